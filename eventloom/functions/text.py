@@ -55,9 +55,7 @@ def fill(template, **slots) -> Column:
 
 def before_first(text, mark: str) -> Column:
     """The text before the first occurrence of a mark, or all of it."""
-    text = as_column(text)
-    at = F.instr(text, mark)
-    return F.when(at > 0, F.substr(text, F.lit(1), at - 1)).otherwise(text)
+    return F.substring_index(as_column(text), mark, 1)
 
 
 def sentence_count(text) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from eventloom import vocab
 from eventloom.functions.sampling import draw_with_replacement
+from eventloom.functions.staged import staged
 from eventloom.functions.text import before_first, strip
 from eventloom.operators.audits import stated_value
 from eventloom.operators.quality import clean_sql, error_text_found, is_empty_result
@@ -38,34 +39,45 @@ def parse_toolcalls(steps: DataFrame) -> DataFrame:
     """
     opening, closing = vocab.TOOLCALL_START + "[", "]" + vocab.TOOLCALL_END
     text = F.coalesce(F.col("gen_text"), F.lit(""))
-    start = F.instr(text, opening)
-    end = F.when(start > 0, F.locate(closing, F.substr(text, start))).otherwise(F.lit(0))
-    rows = steps.withColumns({"_start": start, "_end": end})
+    rows = staged(steps, _start=F.instr(text, opening))
+    rows = staged(
+        rows, _end=F.when(F.col("_start") > 0, F.locate(closing, F.substr(text, F.col("_start")))).otherwise(F.lit(0))
+    )
     array_text = F.substr(
         text, F.col("_start") + len(vocab.TOOLCALL_START), F.col("_end") - len(vocab.TOOLCALL_START)
     )
-    rows = rows.withColumn("has_call", F.col("_start") > 0).withColumn("closed", F.col("_end") > 0)
     # As a member of an object the list cannot have anything after it.
     wrapped = F.concat(F.lit('{"calls": '), array_text, F.lit("}"))
-    rows = rows.withColumn("_calls", F.when(F.col("closed"), F.try_parse_json(wrapped)))
-    rows = rows.withColumn("_call", F.try_variant_get("_calls", "$.calls[0]", "variant"))
-    return (
-        rows.withColumn("reasoning", F.when(F.col("has_call"), F.substr(text, F.lit(1), F.col("_start") - 1)).otherwise(text))
-        .withColumn("calls_kind", F.schema_of_variant("_calls"))
-        .withColumn("call_kind", F.schema_of_variant("_call"))
-        .withColumn("name_kind", F.schema_of_variant(F.try_variant_get("_call", "$.name", "variant")))
-        .withColumn("sql_kind", F.schema_of_variant(F.try_variant_get("_call", "$.arguments.sql", "variant")))
-        .withColumn("call", F.to_json("_call"))
-        .drop("_start", "_end", "_calls", "_call")
+    rows = staged(
+        rows,
+        has_call=F.col("_start") > 0,
+        closed=F.col("_end") > 0,
+        reasoning=F.when(F.col("_start") > 0, F.substr(text, F.lit(1), F.col("_start") - 1)).otherwise(text),
+        _calls=F.when(F.col("_end") > 0, F.try_parse_json(wrapped)),
+    )
+    rows = staged(
+        rows,
+        calls_kind=F.schema_of_variant("_calls"),
+        _call=F.try_variant_get("_calls", "$.calls[0]", "variant"),
+    )
+    rows = staged(
+        rows,
+        call_kind=F.schema_of_variant("_call"),
+        name_kind=F.schema_of_variant(F.try_variant_get("_call", "$.name", "variant")),
+        sql_kind=F.schema_of_variant(F.try_variant_get("_call", "$.arguments.sql", "variant")),
+        tool_name=F.try_variant_get("_call", "$.name", "string"),
+        sql_argument=F.try_variant_get("_call", "$.arguments.sql", "string"),
+        call=F.to_json("_call"),
     )
+    return rows.drop("_start", "_end", "_calls", "_call")
 
 
 def tool_name() -> Column:
-    return F.get_json_object("call", "$.name")
+    return F.col("tool_name")
 
 
 def sql_argument() -> Column:
-    return F.get_json_object("call", "$.arguments.sql")
+    return F.col("sql_argument")
 
 
 def toolcall_error() -> Column:
@@ -158,11 +170,11 @@ def classify_steps(steps: DataFrame) -> DataFrame:
     )
     late = F.coalesce(tool_name_error(), sql_argument_error(), F.when(is_sql, sql_outcome_error()))
     is_call = F.col("early_error").isNull() & F.col("has_call")
-    return (
-        parsed.withColumn("early_error", early)
-        .withColumn("signature", F.when(is_call, F.col("call")))
-        .withColumn("late_error", F.when(is_call, late))
-        .withColumn("is_answer", F.col("early_error").isNull() & ~F.col("has_call"))
+    return staged(
+        staged(parsed, early_error=early),
+        signature=F.when(is_call, F.col("call")),
+        late_error=F.when(is_call, late),
+        is_answer=F.col("early_error").isNull() & ~F.col("has_call"),
     )
 
 
@@ -182,26 +194,20 @@ def conversation_verdict(steps: DataFrame, max_rounds: int = vocab.MAX_ROUNDS) -
     """The outcome of each conversation: (conv_id, success, error_type, last_step).
 
     A conversation ends at its first error or at its answer. Of equal calls only the
-    first two matter, as the second one already ends the conversation; the rank filter
-    keeps just those before anything is shuffled, so long loops cost nothing.
+    first two matter, as the second one already ends the conversation, and of the steps
+    without a call only the first. The rank filter drops the rest before anything is
+    shuffled, so long loops cost nothing.
     """
     classified = classify_steps(steps.where(F.col("step") < max_rounds))
-    rank = F.row_number().over(Window.partitionBy("conv_id", "signature").orderBy("step"))
+    call_no = F.row_number().over(Window.partitionBy("conv_id", "signature").orderBy("step"))
+    repeated = F.col("signature").isNotNull() & (F.col("call_no") > 1)
     outcome = F.coalesce(
-        "early_error", F.when(F.col("call_no") > 1, "REPEATED_TOOLCALL_LOOP"), "late_error",
-        F.when(F.col("is_answer"), SUCCESS),
+        "early_error", F.when(repeated, "REPEATED_TOOLCALL_LOOP"), "late_error", F.when(F.col("is_answer"), SUCCESS)
     )
-    calls = (
-        classified.where("signature IS NOT NULL")
-        .withColumn("call_no", rank)
+    ends = (
+        classified.withColumn("call_no", call_no)
         .where(F.col("call_no") <= 2)
         .select("conv_id", "step", outcome.alias("outcome"))
-    )
-    others = classified.where("signature IS NULL").select(
-        "conv_id", "step", F.coalesce("early_error", F.lit(SUCCESS)).alias("outcome")
-    )
-    ends = (
-        calls.unionByName(others)
         .groupBy("conv_id")
         .agg(
             F.min_by("outcome", F.when(F.col("outcome").isNotNull(), F.col("step"))).alias("outcome"),
@@ -266,26 +272,23 @@ def error_records(steps: DataFrame, max_rounds: int = vocab.MAX_ROUNDS) -> DataF
 
 def verdict_only_sql(steps: DataFrame) -> DataFrame:
     """The two-round form: SQL first, then the answer, with its own order of checks."""
-    sql = clean_sql("gen_text")
     first = F.coalesce(
         call_error(),
         F.when(F.col("finish_reason") == "length", "SQL_GENERATION_LENGTH_CUTOFF"),
-        F.when(F.coalesce(sql, F.lit("")) == "", "EMPTY_SQL"),
+        F.when(F.col("sql") == "", "EMPTY_SQL"),
         sql_outcome_error(),
     )
     second = F.coalesce(
         call_error(),
         F.when(F.col("finish_reason") == "length", "ANSWER_GENERATION_LENGTH_CUTOFF"),
-        F.when(final_answer() == "", "EMPTY_FINAL_ANSWER"),
+        F.when(F.col("answer") == "", "EMPTY_FINAL_ANSWER"),
     )
-    rounds = steps.where(F.col("step") < 2).select(
-        "conv_id",
-        "step",
-        "elapsed",
-        F.when(F.col("step") == 0, first).otherwise(second).alias("error"),
-        F.when(F.col("step") == 0, sql).alias("sql"),
-        F.when(F.col("step") == 1, final_answer()).alias("answer"),
+    texts = staged(
+        steps.where(F.col("step") < 2),
+        sql=F.when(F.col("step") == 0, F.coalesce(clean_sql("gen_text"), F.lit(""))),
+        answer=F.when(F.col("step") == 1, final_answer()),
     )
+    rounds = staged(texts, error=F.when(F.col("step") == 0, first).otherwise(second))
     per_conversation = rounds.groupBy("conv_id").agg(
         F.min_by("error", F.when(F.col("error").isNotNull(), F.col("step"))).alias("error"),
         F.max("step").alias("max_step"),
@@ -309,8 +312,16 @@ def verdict_only_sql(steps: DataFrame) -> DataFrame:
 
 def timed_verdicts(steps: DataFrame, max_rounds: int = vocab.MAX_ROUNDS) -> DataFrame:
     """Verdicts with the time of the successful ones."""
-    times = success_records(steps, max_rounds).select("conv_id", "elapsed")
-    return conversation_verdict(steps, max_rounds).join(times, "conv_id", "left")
+    verdicts = conversation_verdict(steps, max_rounds)
+    good = verdicts.where("success").select("conv_id", "last_step")
+    times = (
+        steps.select("conv_id", "step", "elapsed")
+        .join(good, "conv_id")
+        .where("step <= last_step")
+        .groupBy("conv_id")
+        .agg(F.round(F.sum("elapsed"), 6).alias("elapsed"))
+    )
+    return verdicts.join(times, "conv_id", "left")
 
 
 def _summary_columns() -> list[Column]:

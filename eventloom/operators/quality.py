@@ -135,19 +135,13 @@ def is_empty_result(text) -> Column:
     text = as_column(text)
     document = F.try_parse_json(text)
     kind = F.schema_of_variant(document)
-    as_text = F.try_variant_get(document, "$", "string")
-    list_size = None
-    for key in vocab.RESULT_LIST_KEYS:
-        member = F.json_array_length(F.get_json_object(text, f"$.{key}"))
-        found = F.when(member.isNotNull(), member)
-        list_size = found if list_size is None else F.coalesce(list_size, found)
+    row_list = F.coalesce(*[F.json_array_length(F.get_json_object(text, f"$.{k}")) for k in vocab.RESULT_LIST_KEYS])
     return (
-        F.when(text.isNull() | (strip(text) == ""), True)
-        .when(document.isNull(), False)
+        F.when(F.coalesce(strip(text), F.lit("")) == "", True)
         .when(kind == "VOID", True)
         .when(kind.startswith("ARRAY"), F.json_array_length(text) == 0)
-        .when(kind.startswith("OBJECT"), (F.size(F.json_object_keys(text)) == 0) | F.coalesce(list_size == 0, F.lit(False)))
-        .when(kind == "STRING", strip(as_text) == "")
+        .when(kind.startswith("OBJECT"), (F.size(F.json_object_keys(text)) == 0) | F.coalesce(row_list == 0, F.lit(False)))
+        .when(kind == "STRING", strip(F.try_variant_get(document, "$", "string")) == "")
         .otherwise(False)
     )
 
@@ -169,16 +163,16 @@ def capture_errors(steps: DataFrame) -> DataFrame:
     )
 
 
+FENCED = r"(?s)^```[^\r\n]*(?:\r\n|\r|\n|\z)(.*?)(?:(?:\r\n|\r|\n|(?<=[\r\n]))```[^\r\n]*)?\z"
+
+
 def clean_sql(text) -> Column:
     """The SQL in a model's text: cut at the end marks, unfenced, from the first SELECT on."""
     body = strip(before_first(strip(text), vocab.SHORT_END_OF_TURN))
     body = strip(before_first(body, vocab.END_OF_TURN))
-    opened = F.regexp_replace(body, r"^```[^\r\n]*(\r\n|\r|\n|$)", "")
-    closed = F.regexp_replace(opened, r"(^|\r\n|\r|\n)```[^\r\n]*$", "")
-    unfenced = strip(F.regexp_replace(closed, r"\r\n|\r", "\n"))
-    body = F.when(body.startswith("```"), unfenced).otherwise(body)
-    at = F.regexp_instr(body, F.lit("(?i)SELECT"))
-    return F.when(at > 0, strip(F.substr(body, at))).otherwise(body)
+    unfenced = F.regexp_replace(F.regexp_replace(body, FENCED, "$1"), r"\r\n|\r", "\n")
+    body = strip(F.when(body.startswith("```"), unfenced).otherwise(body))
+    return F.regexp_replace(body, r"(?is)^.*?(?=SELECT)", "")
 
 
 # --- curation ---------------------------------------------------------------------

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from eventloom import vocab
 from eventloom.functions.running import block_of, running_before
 from eventloom.functions.sampling import below_probability, dense_index
+from eventloom.functions.staged import staged
 from eventloom.functions.text import as_column, matches, tokens
 
 ASSISTANT_HEADER = vocab.HEADER_START + "assistant" + vocab.HEADER_END
@@ -39,9 +40,7 @@ def tokenise(segments: DataFrame, tokenizer=None) -> DataFrame:
     ``tokenizer`` takes and returns a column and may be a pandas UDF around a model's
     own tokenizer; the default stays inside Spark.
     """
-    return segments.withColumn("tokens", (tokenizer or tokens)(F.col("segment"))).withColumn(
-        "n_tokens", F.size("tokens")
-    )
+    return staged(segments, tokens=(tokenizer or tokens)(F.col("segment"))).withColumn("n_tokens", F.size("tokens"))
 
 
 def positioned(tokenised: DataFrame) -> DataFrame:
@@ -94,17 +93,11 @@ def kept(placed: DataFrame, max_length) -> DataFrame:
     """Cut conversations to ``max_length`` tokens; messages beyond it are dropped."""
     limit = max_length if isinstance(max_length, Column) else F.lit(max_length)
     rows = placed.withColumn("_limit", limit).where(F.col("first_token") < F.col("_limit"))
-    n_kept = F.least(F.col("n_tokens").cast("bigint"), F.col("_limit") - F.col("first_token"))
-    return (
-        rows.withColumn("n_kept", n_kept.cast("int"))
-        .withColumn("kept_tokens", F.when(F.col("n_kept") == F.col("n_tokens"), F.col("tokens")).otherwise(
-            F.slice("tokens", F.lit(1), F.col("n_kept"))
-        ))
-        .withColumn("kept_text", F.when(F.col("n_kept") == F.col("n_tokens"), F.col("segment")).otherwise(
-            F.array_join("kept_tokens", "")
-        ))
-        .drop("_limit")
-    )
+    n_kept = F.least(F.col("n_tokens").cast("bigint"), F.col("_limit") - F.col("first_token")).cast("int")
+    rows = rows.withColumn("n_kept", n_kept).drop("_limit")
+    whole = F.col("n_kept") == F.col("n_tokens")
+    rows = staged(rows, kept_tokens=F.when(whole, F.col("tokens")).otherwise(F.slice("tokens", F.lit(1), F.col("n_kept"))))
+    return staged(rows, kept_text=F.when(whole, F.col("segment")).otherwise(F.array_join("kept_tokens", "")))
 
 
 def find_subsequence(rows: DataFrame, needle: list[str], array: str = "tokens") -> DataFrame:
@@ -213,11 +206,12 @@ def label_mask(placed: DataFrame, max_length) -> DataFrame:
     response = crossing_flags(
         "kept_text", "n_kept", RESPONSE, vocab.TOOL_RESPONSE_START, vocab.TOOL_RESPONSE_END, "response"
     )
-    has_answer = F.col("kept_text").rlike(TRAINED)
-    trained = F.when(has_answer, F.zip_with(answer, response, lambda a, r: a & ~r)).otherwise(
-        F.array_repeat(F.lit(False), F.col("n_kept"))
-    )
-    return rows.withColumn("trained", trained).drop("response_open", "response_runs_on")
+    rows = staged(rows, _answer=answer)
+    rows = staged(rows, _response=F.when(F.array_contains("_answer", True), response))
+    trained = F.when(
+        F.col("_response").isNotNull(), F.zip_with("_answer", "_response", lambda a, r: a & ~r)
+    ).otherwise(F.col("_answer"))
+    return staged(rows, trained=trained).drop("_answer", "_response", "response_open", "response_runs_on")
 
 
 def labels(tokens_column="kept_tokens", trained="trained") -> Column:
@@ -305,9 +299,7 @@ def loss_weights(placed: DataFrame, max_length) -> DataFrame:
     only in conversations where the assistant calls the SQL tool."""
     rows = label_mask(placed, max_length)
     in_call = crossing_flags("segment", "n_tokens", JSON_CALL, vocab.JSON_CALL_START, ")", "call")
-    flagged = rows.withColumn(
-        "_in_call", F.when(F.col("calls_sql") & F.array_contains("trained", True), in_call)
-    )
+    flagged = staged(rows, _in_call=F.when(F.col("calls_sql") & F.array_contains("trained", True), in_call))
 
     def weight(trained: Column, i: Column) -> Column:
         token = F.get("tokens", i)
@@ -323,7 +315,7 @@ def loss_weights(placed: DataFrame, max_length) -> DataFrame:
             .otherwise(vocab.WEIGHT_NORMAL)
         )
 
-    return flagged.withColumn("weights", F.transform("trained", weight)).drop(
+    return staged(flagged, weights=F.transform("trained", weight)).drop(
         "_in_call", "calls_sql", "call_open", "call_runs_on"
     )
 
