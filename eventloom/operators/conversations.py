@@ -51,6 +51,13 @@ def attach_tools(records: DataFrame) -> DataFrame:
     return records.withColumn("tools", F.lit(tools_json()))
 
 
+def spread(records: DataFrame, key: str = "conv_id") -> DataFrame:
+    """Records over all shuffle partitions: each grows many times over when it becomes a
+    conversation, which the size of the input does not show."""
+    n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return records.repartition(n, key)
+
+
 def assemble(
     records: DataFrame, check_results: DataFrame, result_parts: DataFrame, system: str = vocab.SYSTEM_MESSAGE
 ) -> DataFrame:
@@ -59,7 +66,7 @@ def assemble(
     ``result_parts`` is (conv_id, part, n_parts, text). Seven messages per conversation;
     only the SQL result, message six, can take several rows.
     """
-    base = attach_check_result(records, check_results, "tool1")
+    base = attach_check_result(spread(records), check_results, "tool1")
     parts = base.join(result_parts, "conv_id", "left").select(
         *base.columns,
         F.coalesce("part", F.lit(0)).alias("part"),
@@ -116,7 +123,7 @@ def without_reasoning(records: DataFrame) -> DataFrame:
 
 def assemble_only_sql(records: DataFrame, result_parts: DataFrame, system: str = vocab.SYSTEM_MESSAGE) -> DataFrame:
     """Five messages without tools: system, user, SQL, result, answer (form inferred)."""
-    parts = records.join(result_parts, "conv_id", "left").select(
+    parts = spread(records).join(result_parts, "conv_id", "left").select(
         *records.columns,
         F.coalesce("part", F.lit(0)).alias("part"),
         F.coalesce("n_parts", F.lit(1)).alias("n_parts"),

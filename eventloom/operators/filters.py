@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.metadata import ALL_KEYS, flat, meta, meta_like, meta_named, meta_number, successful
+from eventloom.functions.text import json_quote
 
 
 def of_event(events: DataFrame, event: str) -> DataFrame:
@@ -71,8 +72,17 @@ def unpivot(events: DataFrame) -> DataFrame:
 
 
 def unpivot_json(events: DataFrame) -> DataFrame:
-    """Like ``unpivot`` but the value keeps its JSON form: text quoted, numbers bare."""
-    parsed = events.select("_ID", "EVENT", "JOB_ID", F.try_parse_json("METADATA").alias("document"))
-    return parsed.lateralJoin(
-        events.sparkSession.tvf.variant_explode(F.col("document").outer())
-    ).select("_ID", "EVENT", "JOB_ID", "key", F.to_json("value").alias("json_value"))
+    """Like ``unpivot`` but the value keeps its JSON form: text quoted, numbers as written."""
+    parsed = events.select(
+        "_ID",
+        "EVENT",
+        "JOB_ID",
+        F.try_parse_json("METADATA").alias("document"),
+        F.from_json("METADATA", "map<string,string>").alias("texts"),
+    )
+    fields = parsed.lateralJoin(events.sparkSession.tvf.variant_explode(F.col("document").outer()))
+    text = F.col("texts")[F.col("key")]
+    json_value = F.when(F.schema_of_variant("value") == "STRING", json_quote(text)).otherwise(
+        F.coalesce(text, F.lit("null"))
+    )
+    return fields.select("_ID", "EVENT", "JOB_ID", "key", json_value.alias("json_value"))

@@ -2,8 +2,9 @@
 
 A message is tokenised on its own: every message starts and ends with a tag, and tags
 are single tokens, so this gives the same tokens as the whole text would. Positions in
-the conversation come from running totals over the messages. All work on tokens stays
-in array columns of one message; tokens become rows only where a job asks for rows.
+the conversation come from running totals over the messages. Only text and counts are
+shuffled; token arrays are made from the text where they are needed, and tokens become
+rows only where a job asks for rows.
 """
 
 from __future__ import annotations
@@ -34,50 +35,66 @@ JSON_CALL_ANY = rf"{_literal(vocab.JSON_CALL_START)}[^)]*\)"
 # --- tokens and positions ---------------------------------------------------------
 
 
-def tokenise(segments: DataFrame, tokenizer=None) -> DataFrame:
-    """Add the token array of each message and its length.
+def measure(segments: DataFrame, tokenizer=tokens) -> DataFrame:
+    """Add what the running totals need of each message: its numbers of tokens and
+    characters, and where markers open and close regions. Later passes over these
+    columns then do not read the text.
 
     ``tokenizer`` takes and returns a column and may be a pandas UDF around a model's
     own tokenizer; the default stays inside Spark.
     """
-    return staged(segments, tokens=(tokenizer or tokens)(F.col("segment"))).withColumn("n_tokens", F.size("tokens"))
+    text = F.col("segment")
+    is_call = (F.col("role") == "assistant") & (F.col("tool_name") == vocab.SQL_TOOL)
+    counted = staged(
+        segments.withColumn("_block", block_of("seq")), n_tokens=F.size(tokenizer(text)), n_chars=F.length(text)
+    )
+    # The usual place of the closing response tag is right before the end tag.
+    close_end = F.instr(text, vocab.TOOL_RESPONSE_END) + len(vocab.TOOL_RESPONSE_END) - 1
+    at_end = close_end == F.col("n_chars") - len(vocab.END_OF_TURN)
+    close_token = F.when(at_end, F.col("n_tokens") - 2).otherwise(
+        F.size(tokens(F.substr(text, F.lit(1), close_end))) - 1
+    )
+    return counted.withColumns(
+        {
+            "calls": F.coalesce(is_call, F.lit(False)),
+            "call_code": _marker_code("segment", vocab.JSON_CALL_START, ")"),
+            "call_close": F.when(text.contains(")"), F.col("seq")),
+            "response_code": _marker_code("segment", vocab.TOOL_RESPONSE_START, vocab.TOOL_RESPONSE_END),
+            "response_close_token": F.when(text.contains(vocab.TOOL_RESPONSE_END), close_token),
+        }
+    )
 
 
-def positioned(tokenised: DataFrame) -> DataFrame:
+def positioned(measured: DataFrame) -> DataFrame:
     """Add what a message has to know about the rest of its conversation: the tokens and
-    characters before it, whether a metadata access is still open when it begins and
-    whether that closes, and whether the SQL tool is called anywhere."""
-    is_call = (F.col("role") == "assistant") & (F.col("tool_name") == vocab.SQL_TOOL)
-    rows = (
-        tokenised.withColumn("_block", block_of("seq"))
-        .withColumn("_chars", F.length("segment"))
-        .withColumn("_code", _marker_code("segment", vocab.JSON_CALL_START, ")"))
-        .withColumn("_close", F.when(F.col("segment").contains(")"), F.col("seq")))
-        .withColumn("_is_call", F.coalesce(is_call, F.lit(False)))
-    )
-    placed = running_before(
-        rows,
+    characters before it, the regions left open before it, the last message that closes
+    a metadata access, and whether the SQL tool is called anywhere."""
+    return running_before(
+        measured,
         ["conv_id"],
         ["_block"],
         ["seq"],
-        {"first_token": ("sum", "n_tokens"), "first_char": ("sum", "_chars"), "_state": ("max", "_code")},
-        {"_last_close": ("max", "_close"), "calls_sql": ("max", "_is_call")},
+        {
+            "first_token": ("sum", "n_tokens"),
+            "first_char": ("sum", "n_chars"),
+            "call_state": ("max", "call_code"),
+            "response_state": ("max", "response_code"),
+        },
+        {"call_last_close": ("max", "call_close"), "calls_sql": ("max", "calls")},
     )
-    return _region_state(placed, "segment", vocab.JSON_CALL_START, ")", "call").drop("_chars", "_is_call")
 
 
-def token_rows(placed: DataFrame) -> DataFrame:
+def token_rows(placed: DataFrame, tokenizer=tokens) -> DataFrame:
     """One row per token with its position in the conversation."""
-    return placed.select("conv_id", "seq", "first_token", F.posexplode("tokens").alias("i", "token")).select(
-        "conv_id", "seq", (F.col("first_token") + F.col("i")).alias("pos"), "token"
-    )
+    exploded = placed.select("conv_id", "seq", "first_token", F.posexplode(tokenizer(F.col("segment"))).alias("i", "token"))
+    return exploded.select("conv_id", "seq", (F.col("first_token") + F.col("i")).alias("pos"), "token")
 
 
-def token_offsets(placed: DataFrame) -> DataFrame:
+def token_offsets(placed: DataFrame, tokenizer=tokens) -> DataFrame:
     """Start and end character of every token in the conversation's text."""
     inside = Window.partitionBy("conv_id", "seq").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     exploded = placed.select(
-        "conv_id", "seq", "first_token", "first_char", F.posexplode("tokens").alias("i", "token")
+        "conv_id", "seq", "first_token", "first_char", F.posexplode(tokenizer(F.col("segment"))).alias("i", "token")
     )
     start = F.col("first_char") + F.coalesce(F.sum(F.length("token")).over(inside), F.lit(0))
     return exploded.withColumn("start_char", start).select(
@@ -89,18 +106,25 @@ def token_offsets(placed: DataFrame) -> DataFrame:
     )
 
 
-def kept(placed: DataFrame, max_length) -> DataFrame:
-    """Cut conversations to ``max_length`` tokens; messages beyond it are dropped."""
+def _counted(placed: DataFrame, max_length) -> DataFrame:
     limit = max_length if isinstance(max_length, Column) else F.lit(max_length)
     rows = placed.withColumn("_limit", limit).where(F.col("first_token") < F.col("_limit"))
     n_kept = F.least(F.col("n_tokens").cast("bigint"), F.col("_limit") - F.col("first_token")).cast("int")
-    rows = rows.withColumn("n_kept", n_kept).drop("_limit")
-    whole = F.col("n_kept") == F.col("n_tokens")
-    rows = staged(rows, kept_tokens=F.when(whole, F.col("tokens")).otherwise(F.slice("tokens", F.lit(1), F.col("n_kept"))))
-    return staged(rows, kept_text=F.when(whole, F.col("segment")).otherwise(F.array_join("kept_tokens", "")))
+    return rows.withColumn("n_kept", n_kept).drop("_limit")
 
 
-def find_subsequence(rows: DataFrame, needle: list[str], array: str = "tokens") -> DataFrame:
+def _with_kept_text(counted: DataFrame) -> DataFrame:
+    cut = F.array_join(F.slice(tokens("segment"), F.lit(1), F.col("n_kept")), "")
+    return staged(counted, kept_text=F.when(F.col("n_kept") == F.col("n_tokens"), F.col("segment")).otherwise(cut))
+
+
+def kept(placed: DataFrame, max_length) -> DataFrame:
+    """Cut conversations to ``max_length`` tokens: ``n_kept`` and ``kept_text`` of each message
+    that is still there. Only a message the cut goes through has to be tokenised for it."""
+    return _with_kept_text(_counted(placed, max_length))
+
+
+def find_subsequence(rows: DataFrame, needle: list[str], array: str) -> DataFrame:
     """All start positions of a token sequence in each array, overlaps included."""
     n = len(needle)
     wanted = F.array(*[F.lit(t) for t in needle])
@@ -153,43 +177,47 @@ def _marker_code(text: str, opener: str, closer: str) -> Column:
     return F.when(has_marker, F.col("seq") * 2 + _ends_open(text, opener, closer).cast("int"))
 
 
-def _region_state(rows: DataFrame, text: str, opener: str, closer: str, name: str) -> DataFrame:
-    """From the running ``_state`` and the ``_last_close`` of the conversation: does a region
-    reach into this message, and does one opened here reach beyond it?"""
-    closes_here_or_later = F.col("_last_close") >= F.col("seq")
-    closes_later = F.col("_last_close") > F.col("seq")
-    return rows.withColumns(
-        {
-            f"{name}_open": F.coalesce((F.col("_state") % 2 == 1) & closes_here_or_later, F.lit(False)),
-            f"{name}_runs_on": F.coalesce(_ends_open(text, opener, closer) & closes_later, F.lit(False)),
-        }
-    ).drop("_code", "_close", "_state", "_last_close")
+def _open_before(name: str) -> Column:
+    """A region reaches into this message: the last marker before it opens one, and that
+    one closes here or later."""
+    still_open = F.col(f"{name}_state") % 2 == 1
+    return F.coalesce(still_open & (F.col(f"{name}_last_close") >= F.col("seq")), F.lit(False))
 
 
-def open_responses(rows: DataFrame) -> DataFrame:
-    """Regions of tool responses that cross messages; stray markers can make such."""
-    markers = (vocab.TOOL_RESPONSE_START, vocab.TOOL_RESPONSE_END)
-    marked = rows.withColumn("_code", _marker_code("kept_text", *markers)).withColumn(
-        "_close", F.when(F.col("kept_text").contains(markers[1]), F.col("seq"))
-    )
-    placed = running_before(
-        marked, ["conv_id"], ["_block"], ["seq"], {"_state": ("max", "_code")}, {"_last_close": ("max", "_close")}
-    )
-    return _region_state(placed, "kept_text", *markers, "response")
+def _open_after(name: str) -> Column:
+    """A region opened in this message reaches beyond it."""
+    left_open = F.col(f"{name}_code") % 2 == 1
+    return F.coalesce(left_open & (F.col(f"{name}_last_close") > F.col("seq")), F.lit(False))
 
 
-def crossing_flags(text: str, size, pattern: str, opener: str, closer: str, name: str) -> Column:
-    """Region flags that also know about regions reaching in from or out to other messages."""
-    reaches_in, runs_on = F.col(f"{name}_open"), F.col(f"{name}_runs_on")
-    body = pattern.removeprefix("(?s)")
-    into = rf"^.*?(?:{_literal(closer)}|\z)"
-    beyond = rf"[A-Za-z0-9_]*{_literal(opener)}.*\z" if opener[0].isalnum() else rf"{_literal(opener)}.*\z"
-    return (
-        F.when(reaches_in & runs_on, region_flags(text, rf"(?s){into}|{body}|{beyond}", size))
-        .when(reaches_in, region_flags(text, rf"(?s){into}|{body}", size))
-        .when(runs_on, region_flags(text, rf"(?s){body}|{beyond}", size))
-        .otherwise(region_flags(text, pattern, size))
+def crossing_flags(text: str, size: str, pattern: str, opener: str, closer: str, name: str) -> Column:
+    """Region flags that also know about regions reaching in from or out to other messages.
+
+    A region reaching in covers the tokens up to the first closing marker, one reaching
+    out those from the first opening marker that no closing marker follows.
+    """
+    column, n = F.col(text), F.col(size)
+    flags = region_flags(text, pattern, size)
+    up_to_close = F.when(
+        column.contains(closer), F.size(tokens(F.concat(F.substring_index(column, closer, 1), F.lit(closer))))
+    ).otherwise(n)
+    after_close = F.substring_index(column, closer, -1)
+    before_open = F.substring_index(after_close, opener, 1)
+    if opener[0].isalnum():
+        # A word run directly before the marker belongs to the same token.
+        before_open = F.regexp_replace(before_open, r"[A-Za-z0-9_]*\z", "")
+    from_open = n - F.size(tokens(after_close)) + F.size(tokens(before_open))
+    first = F.when(_open_before(name), up_to_close).otherwise(F.lit(0))
+    last = F.when(_open_after(name), from_open).otherwise(n)
+    bounds = F.struct(first.alias("first"), last.alias("last"), flags.alias("flags"))
+    extended = F.get(
+        F.transform(
+            F.array(bounds),
+            lambda b: F.transform(b["flags"], lambda f, i: f | (i < b["first"]) | (i >= b["last"])),
+        ),
+        F.lit(0),
     )
+    return F.when(_open_before(name) | _open_after(name), extended).otherwise(flags)
 
 
 # --- labels -----------------------------------------------------------------------
@@ -199,10 +227,24 @@ def label_mask(placed: DataFrame, max_length) -> DataFrame:
     """Add ``trained``: for each kept token whether it is learned.
 
     Learned is what follows an assistant header up to and with the end tag, except tool
-    responses. A block whose end tag was cut off is not learned at all.
+    responses. A block whose end tag was cut off is not learned at all, and a response
+    whose closing tag was cut off is not left out.
     """
-    rows = open_responses(kept(placed, max_length))
-    answer = region_flags("kept_text", TRAINED, "n_kept")
+    rows = _counted(placed, max_length)
+    closes = F.col("response_close_token") < F.col("n_kept")
+    rows = running_before(
+        rows.withColumn("_close", F.when(closes, F.col("seq"))),
+        ["conv_id"],
+        ["_block"],
+        ["seq"],
+        {},
+        {"response_last_close": ("max", "_close")},
+    )
+    rows = _with_kept_text(rows.drop("_close"))
+    nothing = F.array_repeat(F.lit(False), F.col("n_kept"))
+    answer = F.when(
+        F.col("kept_text").contains(ASSISTANT_HEADER), region_flags("kept_text", TRAINED, "n_kept")
+    ).otherwise(nothing)
     response = crossing_flags(
         "kept_text", "n_kept", RESPONSE, vocab.TOOL_RESPONSE_START, vocab.TOOL_RESPONSE_END, "response"
     )
@@ -211,32 +253,32 @@ def label_mask(placed: DataFrame, max_length) -> DataFrame:
     trained = F.when(
         F.col("_response").isNotNull(), F.zip_with("_answer", "_response", lambda a, r: a & ~r)
     ).otherwise(F.col("_answer"))
-    return staged(rows, trained=trained).drop("_answer", "_response", "response_open", "response_runs_on")
+    return staged(rows, trained=trained).drop("_answer", "_response")
 
 
-def labels(tokens_column="kept_tokens", trained="trained") -> Column:
+def labels(text="kept_text", trained="trained") -> Column:
     """Token ids where learned, the ignore label elsewhere."""
     return F.zip_with(
-        tokens_column, trained, lambda t, y: F.when(y, token_id(t)).otherwise(F.lit(vocab.IGNORE_LABEL))
+        tokens(text), trained, lambda t, y: F.when(y, token_id(t)).otherwise(F.lit(vocab.IGNORE_LABEL))
     )
 
 
-def masked_view(tokens_column="kept_tokens", trained="trained") -> Column:
+def masked_view(text="kept_text", trained="trained") -> Column:
     """The text with every ignored token shown as a placeholder."""
     return F.array_join(
-        F.zip_with(tokens_column, trained, lambda t, y: F.when(y, t).otherwise(F.lit(vocab.PLACEHOLDER))), ""
+        F.zip_with(tokens(text), trained, lambda t, y: F.when(y, t).otherwise(F.lit(vocab.PLACEHOLDER))), ""
     )
 
 
 # --- statistics -------------------------------------------------------------------
 
 
-def conversation_lengths(tokenised: DataFrame) -> DataFrame:
-    return tokenised.groupBy("conv_id").agg(F.sum("n_tokens").alias("n_tokens"))
+def conversation_lengths(measured: DataFrame) -> DataFrame:
+    return measured.groupBy("conv_id").agg(F.sum("n_tokens").alias("n_tokens"))
 
 
-def length_stats(tokenised: DataFrame) -> DataFrame:
-    return conversation_lengths(tokenised).agg(
+def length_stats(measured: DataFrame) -> DataFrame:
+    return conversation_lengths(measured).agg(
         F.count(F.lit(1)).alias("n_conversations"),
         F.min("n_tokens").alias("shortest"),
         F.max("n_tokens").alias("longest"),
@@ -244,12 +286,12 @@ def length_stats(tokenised: DataFrame) -> DataFrame:
     )
 
 
-def rounded_max_length(tokenised: DataFrame, cap: int | None = vocab.LENGTH_CAP) -> DataFrame:
+def rounded_max_length(measured: DataFrame, cap: int | None = vocab.LENGTH_CAP) -> DataFrame:
     """The greatest length, rounded up to a full step and capped, as a one-row table."""
     longest = F.max("n_tokens")
     rounded = F.ceil(longest / F.lit(vocab.LENGTH_STEP)) * F.lit(vocab.LENGTH_STEP)
     capped = rounded if cap is None else F.least(rounded, F.lit(cap).cast("bigint"))
-    return conversation_lengths(tokenised).agg(longest.alias("longest"), capped.alias("max_length"))
+    return conversation_lengths(measured).agg(longest.alias("longest"), capped.alias("max_length"))
 
 
 def mask_ratio(masked: DataFrame) -> DataFrame:
@@ -299,13 +341,18 @@ def loss_weights(placed: DataFrame, max_length) -> DataFrame:
     only in conversations where the assistant calls the SQL tool."""
     rows = label_mask(placed, max_length)
     in_call = crossing_flags("segment", "n_tokens", JSON_CALL, vocab.JSON_CALL_START, ")", "call")
-    flagged = staged(rows, _in_call=F.when(F.col("calls_sql") & F.array_contains("trained", True), in_call))
+    learned = F.array_contains("trained", True)
+    flagged = staged(
+        rows,
+        _in_call=F.when(F.col("calls_sql") & learned, in_call),
+        _tokens=F.when(F.col("calls_sql") & learned, tokens("segment")),
+    )
 
     def weight(trained: Column, i: Column) -> Column:
-        token = F.get("tokens", i)
+        token = F.get("_tokens", i)
         # "$" and "." are tokens of their own, so the mark is these two side by side.
-        marked = ((token == "$") & (F.get("tokens", i + 1) == ".")) | (
-            (token == ".") & (i > 0) & (F.get("tokens", F.greatest(i - 1, F.lit(0))) == "$")
+        marked = ((token == "$") & (F.get("_tokens", i + 1) == ".")) | (
+            (token == ".") & (i > 0) & (F.get("_tokens", F.greatest(i - 1, F.lit(0))) == "$")
         )
         return (
             F.when(~trained, 0.0)
@@ -315,9 +362,9 @@ def loss_weights(placed: DataFrame, max_length) -> DataFrame:
             .otherwise(vocab.WEIGHT_NORMAL)
         )
 
-    return staged(flagged, weights=F.transform("trained", weight)).drop(
-        "_in_call", "calls_sql", "call_open", "call_runs_on"
-    )
+    none_trained = F.array_repeat(F.lit(0.0), F.col("n_kept"))
+    weights = F.when(F.array_contains("trained", True), F.transform("trained", weight)).otherwise(none_trained)
+    return staged(flagged, weights=weights).drop("_in_call", "_tokens")
 
 
 def weight_stats(weighted: DataFrame) -> DataFrame:
@@ -359,7 +406,7 @@ def examples(weighted: DataFrame) -> DataFrame:
         "conv_id",
         F.struct(
             "seq",
-            F.transform("kept_tokens", lambda t: token_id(t)).alias("ids"),
+            F.transform(tokens("kept_text"), lambda t: token_id(t)).alias("ids"),
             labels().alias("labels"),
             F.col("weights").alias("weights"),
         ).alias("part"),

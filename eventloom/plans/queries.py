@@ -12,10 +12,12 @@ from eventloom import vocab
 from eventloom.fixtures import table, view
 from eventloom.functions import sampling
 from eventloom.functions.metadata import meta, successful
-from eventloom.functions.text import matches
+from eventloom.functions.staged import staged
+from eventloom.functions.text import matches, tokens
 from eventloom.operators import analytics, audits, conversations, evaluation, filters, generation, inspection, quality, training
-from eventloom.session import run_dir
-from eventloom.sources import jsonl, sinks, tools
+from eventloom.session import run_dir, written
+from eventloom.sources import jsonl, sinks
+from eventloom.sources import tools as tool_source
 from eventloom.streaming import jobs
 
 QUERIES: dict = {}
@@ -58,7 +60,7 @@ over("raw_lines", "load_testcases", jsonl.load_testcases)
 
 @query
 def tool_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tools.tool_usage(tools.tool_catalog(spark), view(spark, sf_dir, "qa_records"))
+    return tool_source.tool_usage(tool_source.tool_catalog(spark), view(spark, sf_dir, "qa_records"))
 
 
 @query
@@ -334,7 +336,7 @@ def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.tokenise(conversations.render_segments(_stored(spark, sf_dir)))
+    return training.measure(conversations.render_segments(_stored(spark, sf_dir)))
 
 
 def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,7 +384,8 @@ def truncate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def find_subsequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     needle = [vocab.HEADER_START, "assistant", vocab.HEADER_END]
-    found = training.find_subsequence(_placed(spark, sf_dir), needle)
+    placed = staged(_placed(spark, sf_dir), tokens=tokens("segment"))
+    found = training.find_subsequence(placed, needle, "tokens")
     return found.select("conv_id", F.explode("starts").alias("start"), "first_token").select(
         "conv_id", (F.col("first_token") + F.col("start")).alias("start")
     )
@@ -414,7 +417,7 @@ def mask_tool_response(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("seq") % 3 == 0, F.lit("")).otherwise(F.lit(vocab.TOOL_RESPONSE_END)), F.lit(" so "), "content",
         ),
     )
-    placed = training.positioned(training.tokenise(conversations.render_segments(quoted)))
+    placed = training.positioned(training.measure(conversations.render_segments(quoted)))
     masked = training.label_mask(placed, vocab.LENGTH_CAP)
     return masked.select("conv_id", "seq", F.array_join(F.transform("trained", lambda t: F.when(t, "1").otherwise("0")), "").alias("trained"))
 
@@ -437,9 +440,9 @@ def rounded_max_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mask_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenised = _segments(spark, sf_dir)
-    limit = training.rounded_max_length(tokenised).select("max_length").scalar()
-    return training.mask_ratio(training.label_mask(training.positioned(tokenised), limit))
+    measured = _segments(spark, sf_dir)
+    limit = training.rounded_max_length(measured).select("max_length").scalar()
+    return training.mask_ratio(training.label_mask(training.positioned(measured), limit))
 
 
 @query
@@ -449,9 +452,10 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights of the model-written conversations, cut at the rounded greatest length."""
-    tokenised = training.tokenise(conversations.render_segments(_model_messages(spark, sf_dir)))
-    limit = training.rounded_max_length(tokenised).select("max_length").scalar()
-    return training.loss_weights(training.positioned(tokenised), limit)
+    segments = conversations.render_segments(_model_messages(spark, sf_dir))
+    measured = written(training.measure(segments), "measured")
+    limit = training.rounded_max_length(measured).select("max_length").scalar()
+    return training.loss_weights(training.positioned(measured), limit)
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -47,3 +47,13 @@ def register_json_extract(spark: SparkSession) -> None:
         "CREATE OR REPLACE TEMPORARY FUNCTION json_extract(document STRING, path STRING) "
         "RETURNS STRING RETURN get_json_object(document, path)"
     )
+
+
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """Write a result that later steps read several times and go on from the files.
+
+    The files outlive lost executors, and what led to them is computed only once.
+    """
+    path = run_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)

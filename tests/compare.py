@@ -24,20 +24,19 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def normal(value):
+    """Numbers of either engine as one type, doubles to nine digits."""
     if isinstance(value, bool) or value is None:
         return value
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.9g}")
     if isinstance(value, int):
         return float(value) if abs(value) < 2**53 else value
-    return str(value) if not isinstance(value, str) else value
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else float(f"{value:.9g}")
+    return str(value)
 
 
 def rows_of(columns: list[str], rows) -> list[tuple]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(tuple(normal(row[i]) for i in order) for row in rows) if False else sorted(
-        (tuple(normal(row[i]) for i in order) for row in rows), key=repr
-    )
+    return sorted((tuple(normal(row[i]) for i in order) for row in rows), key=repr)
 
 
 def difference(spark_frame, connection, sql: str) -> str | None:
