@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom import vocab
+from eventloom.functions.joins import left_join_many
 from eventloom.functions.running import BLOCK
 from eventloom.functions.text import as_column, json_quote
 from eventloom.sources.tools import tools_json
@@ -43,7 +44,7 @@ def attach_check_result(records: DataFrame, check_results: DataFrame, tool_colum
 
 def attach_sql_result(records: DataFrame, results: DataFrame) -> DataFrame:
     """Attach result cells to records; a record without a result keeps one empty row."""
-    return records.join(results, "qa_id", "left")
+    return left_join_many(records, results, ["qa_id"])
 
 
 def attach_tools(records: DataFrame) -> DataFrame:
@@ -67,7 +68,7 @@ def assemble(
     only the SQL result, message six, can take several rows.
     """
     base = attach_check_result(spread(records), check_results, "tool1")
-    parts = base.join(result_parts, "conv_id", "left").select(
+    parts = left_join_many(base, result_parts, ["conv_id"]).select(
         *base.columns,
         F.coalesce("part", F.lit(0)).alias("part"),
         F.coalesce("n_parts", F.lit(1)).alias("n_parts"),
@@ -123,7 +124,7 @@ def without_reasoning(records: DataFrame) -> DataFrame:
 
 def assemble_only_sql(records: DataFrame, result_parts: DataFrame, system: str = vocab.SYSTEM_MESSAGE) -> DataFrame:
     """Five messages without tools: system, user, SQL, result, answer (form inferred)."""
-    parts = spread(records).join(result_parts, "conv_id", "left").select(
+    parts = left_join_many(spread(records), result_parts, ["conv_id"]).select(
         *records.columns,
         F.coalesce("part", F.lit(0)).alias("part"),
         F.coalesce("n_parts", F.lit(1)).alias("n_parts"),

@@ -246,27 +246,29 @@ def success_records(steps: DataFrame, max_rounds: int = vocab.MAX_ROUNDS) -> Dat
 def error_records(steps: DataFrame, max_rounds: int = vocab.MAX_ROUNDS) -> DataFrame:
     """Failed conversations with their last output and their messages.
 
-    At most ``max_rounds`` steps belong to a conversation, so gathering them is bounded.
+    Steps are brought together by number first, so at most ``max_rounds`` entries of a
+    conversation are gathered even where a step was stored many times.
     """
     failed = conversation_verdict(steps, max_rounds).where("NOT success")
-    message = F.struct(
-        F.col("step"), F.lit("assistant").alias("role"), F.coalesce("gen_text", F.lit("")).alias("content")
+    single = (
+        steps.where(F.col("step") < max_rounds)
+        .groupBy("conv_id", "step")
+        .agg(F.max(F.struct(F.coalesce("gen_text", F.lit("")).alias("said"), F.coalesce("tool_result", F.lit("")).alias("got"))).alias("s"))
     )
-    answered = F.struct(F.col("step"), F.lit("tool").alias("role"), F.coalesce("tool_result", F.lit("")).alias("content"))
+    said = F.struct(F.lit("assistant").alias("role"), F.col("s.said").alias("content"))
+    got = F.struct(F.lit("tool").alias("role"), F.col("s.got").alias("content"))
+    turn = F.when(F.col("step") < F.col("last_step"), F.array(said, got)).otherwise(F.array(said))
     return (
-        steps.where(F.col("step") < max_rounds)
-        .join(failed, "conv_id")
+        single.join(failed, "conv_id")
         .where("step <= last_step")
-        .groupBy("conv_id", "error_type", F.col("last_step").alias("step"))
+        .groupBy("conv_id", "error_type", "last_step")
         .agg(
-            F.max_by("gen_text", steps["step"]).alias("last_model_output"),
-            F.transform(
-                F.flatten(F.sort_array(F.collect_list(
-                    F.when(F.col("step") < F.col("last_step"), F.array(message, answered)).otherwise(F.array(message))
-                ))),
-                lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")),
+            F.max_by("s.said", "step").alias("last_model_output"),
+            F.flatten(
+                F.transform(F.sort_array(F.collect_list(F.struct("step", turn.alias("turn")))), lambda t: t["turn"])
             ).alias("messages"),
         )
+        .withColumnRenamed("last_step", "step")
     )
 
 

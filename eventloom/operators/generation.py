@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom import vocab
+from eventloom.functions.joins import left_join_many
 from eventloom.functions.metadata import meta
 from eventloom.functions.sampling import below_probability, draw_with_replacement, hash_index
 from eventloom.functions.text import fill
@@ -251,18 +252,27 @@ def value_parts(events: DataFrame, per_part: int = VALUES_PER_PART) -> DataFrame
             F.transform(F.sort_array(F.collect_list("json_value")), lambda v: F.concat(F.lit("["), v, F.lit("]"))), ", "
         ).alias("text")
     )
-    return enclosed_parts(texts, group, "bucket")
+    return enclosed_parts(texts, bucketed, group, "bucket")
 
 
-def enclosed_parts(texts: DataFrame, group: list[str], order: str) -> DataFrame:
-    """Number the parts of each text and put the outer brackets and commas in place."""
+def enclosed_parts(texts: DataFrame, buckets: DataFrame, group: list[str], order: str) -> DataFrame:
+    """Number the parts of each text and put the outer brackets and commas in place.
+
+    ``buckets`` holds just the keys of the parts, so that the texts of one group need not
+    meet in one task to be numbered.
+    """
     window = Window.partitionBy(*group)
-    numbered = texts.withColumn("part", F.row_number().over(window.orderBy(order)) - 1).withColumn(
-        "n_parts", F.count(F.lit(1)).over(window)
+    numbers = (
+        buckets.select(*group, order)
+        .distinct()
+        .withColumn("part", F.row_number().over(window.orderBy(order)) - 1)
+        .withColumn("n_parts", F.count(F.lit(1)).over(window))
     )
     head = F.when(F.col("part") == 0, F.lit("[")).otherwise(F.lit(", "))
     tail = F.when(F.col("part") == F.col("n_parts") - 1, F.lit("]")).otherwise(F.lit(""))
-    return numbered.select(*group, "part", "n_parts", F.concat(head, "text", tail).alias("text"))
+    return texts.join(numbers, [*group, order]).select(
+        *group, "part", "n_parts", F.concat(head, "text", tail).alias("text")
+    )
 
 
 # --- choices made per record ------------------------------------------------------
@@ -350,7 +360,7 @@ def sql_prompts(records: DataFrame, check_results: DataFrame) -> DataFrame:
 def answer_prompts(records: DataFrame, result_parts: DataFrame) -> DataFrame:
     """Prompts for the answer step; a long result continues in further parts."""
     head = fill(F.lit(ANSWER_PROMPT), user_question="user_question", sql="sql")
-    joined = records.join(result_parts, "qa_id", "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    joined = left_join_many(records, result_parts, ["qa_id"]).withColumn("part", F.coalesce("part", F.lit(0)))
     text = F.concat(
         F.when(F.col("part") == 0, head).otherwise(F.lit("")), F.coalesce("text", F.lit("[]"))
     )

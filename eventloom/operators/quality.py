@@ -68,7 +68,8 @@ def result_parts(results: DataFrame, rows_per_part: int = VALUES_PER_PART) -> Da
             ", ",
         ).alias("row")
     )
-    texts = rows.groupBy("qa_id", F.floor(F.col("row_no") / F.lit(rows_per_part)).alias("bucket")).agg(
+    bucket = F.floor(F.col("row_no") / F.lit(rows_per_part)).alias("bucket")
+    texts = rows.groupBy("qa_id", bucket).agg(
         F.array_join(
             F.transform(
                 F.sort_array(F.collect_list(F.struct("row_no", "row"))),
@@ -77,7 +78,7 @@ def result_parts(results: DataFrame, rows_per_part: int = VALUES_PER_PART) -> Da
             ", ",
         ).alias("text")
     )
-    return enclosed_parts(texts, ["qa_id"], "bucket")
+    return enclosed_parts(texts, results.select("qa_id", bucket), ["qa_id"], "bucket")
 
 
 # --- answers ----------------------------------------------------------------------

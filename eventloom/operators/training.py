@@ -92,9 +92,11 @@ def token_rows(placed: DataFrame, tokenizer=tokens) -> DataFrame:
 
 def token_offsets(placed: DataFrame, tokenizer=tokens) -> DataFrame:
     """Start and end character of every token in the conversation's text."""
-    inside = Window.partitionBy("conv_id", "seq").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    # With the block among the keys the arrangement of the running totals serves here too.
+    message = Window.partitionBy("conv_id", "_block", "seq")
+    inside = message.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     exploded = placed.select(
-        "conv_id", "seq", "first_token", "first_char", F.posexplode(tokenizer(F.col("segment"))).alias("i", "token")
+        "conv_id", "_block", "seq", "first_token", "first_char", F.posexplode(tokenizer(F.col("segment"))).alias("i", "token")
     )
     start = F.col("first_char") + F.coalesce(F.sum(F.length("token")).over(inside), F.lit(0))
     return exploded.withColumn("start_char", start).select(

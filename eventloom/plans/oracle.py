@@ -910,6 +910,13 @@ _SUMMARY = (
     "round(avg(g.elapsed), 6) AS mean_seconds"
 )
 add("benchmark_summary", [*_CLASSIFIED, _GOOD], f"SELECT {_SUMMARY} FROM verdicts v LEFT JOIN good g USING (conv_id)")
+add(
+    "benchmark_report", [*_CLASSIFIED, _GOOD, ("s", f"SELECT {_SUMMARY} FROM verdicts v LEFT JOIN good g USING (conv_id)")],
+    "SELECT 'Total: ' || n_total AS line FROM s UNION ALL SELECT 'Success: ' || n_success FROM s UNION ALL "
+    "SELECT printf('Success rate: (%.2f ± %.2f)%%', success_rate * 100, standard_error * 100) FROM s UNION ALL "
+    "SELECT 'Mean time of successes: ' || mean_seconds || ' s' FROM s UNION ALL SELECT 'Failed: ' || n_failed FROM s UNION ALL "
+    "SELECT '  ' || verdict || ': ' || count(*) FROM verdicts WHERE verdict <> 'SUCCESS' GROUP BY verdict",
+)
 _BREAKDOWN = "SELECT verdict AS error_type, count(*) AS n FROM verdicts WHERE verdict <> 'SUCCESS' GROUP BY 1 ORDER BY n DESC, error_type"
 add("error_breakdown", _CLASSIFIED, _BREAKDOWN)
 add("stream_error_counts", _CLASSIFIED, _BREAKDOWN)

@@ -81,7 +81,7 @@ over_records(
 @query
 def route_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "route_sink")
-    sinks.write_routes(quality.route_answers(view(spark, sf_dir, "qa_records")), path)
+    sinks.write_split(quality.route_answers(view(spark, sf_dir, "qa_records")), path)
     written = spark.read.schema(RECORD_SCHEMA + ", answer string, route string").json(path)
     return written.select("qa_id", "route", "answer")
 
@@ -540,6 +540,12 @@ over_steps("benchmark_summary", lambda s: evaluation.benchmark_summary(evaluatio
 over_steps("error_breakdown", lambda s: evaluation.error_breakdown(evaluation.conversation_verdict(s, ROUNDS)))
 
 
+@query
+def benchmark_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    timed = evaluation.timed_verdicts(view(spark, sf_dir, "transcript_steps"), ROUNDS)
+    return sinks.report_lines(evaluation.benchmark_summary(timed), evaluation.error_breakdown(timed))
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions = evaluation.predictions_from_steps(view(spark, sf_dir, "transcript_steps"))
     return evaluation.score_transcripts(predictions, view(spark, sf_dir, "gold_records"))

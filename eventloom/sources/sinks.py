@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_routes(routed: DataFrame, path: str, mode: str = "append") -> None:
-    """All routes in one pass, one folder per route."""
-    routed.write.mode(mode).partitionBy("route").json(path)
+def write_split(rows: DataFrame, path: str, column: str = "route", mode: str = "append") -> None:
+    """All outputs in one pass, one folder per value of a column: routes, decisions, splits."""
+    rows.write.mode(mode).partitionBy(column).json(path)
 
 
 def write_error_log(errors: DataFrame, path: str, mode: str = "append") -> None:
@@ -17,33 +17,28 @@ def write_error_log(errors: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def report_lines(summary: DataFrame, breakdown: DataFrame) -> DataFrame:
-    """The benchmark report as numbered lines, built from its two small tables."""
-    figures = summary.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit(1).alias("part"), F.lit("").alias("sort_key"), F.format_string("Total: %s", F.col("n_total").cast("string")).alias("line")),
-                F.struct(F.lit(2).alias("part"), F.lit("").alias("sort_key"), F.format_string("Success: %s", F.col("n_success").cast("string")).alias("line")),
-                F.struct(
-                    F.lit(3).alias("part"), F.lit("").alias("sort_key"),
-                    F.format_string(
-                        "Success rate: (%.2f ± %.2f)%%", F.col("success_rate") * 100, F.col("standard_error") * 100
-                    ).alias("line"),
-                ),
-                F.struct(
-                    F.lit(4).alias("part"), F.lit("").alias("sort_key"),
-                    F.format_string("Mean time of successes: %s s", F.col("mean_seconds").cast("string")).alias("line"),
-                ),
-                F.struct(F.lit(5).alias("part"), F.lit("").alias("sort_key"), F.format_string("Failed: %s", F.col("n_failed").cast("string")).alias("line")),
-            )
-        )
+    """The benchmark report as ordered lines, built from its two small tables."""
+
+    def text(name: str):
+        return F.col(name).cast("string")
+
+    rate = F.format_string("Success rate: (%.2f ± %.2f)%%", F.col("success_rate") * 100, F.col("standard_error") * 100)
+    figures = [
+        F.concat(F.lit("Total: "), text("n_total")),
+        F.concat(F.lit("Success: "), text("n_success")),
+        rate,
+        F.concat(F.lit("Mean time of successes: "), F.coalesce(text("mean_seconds"), F.lit("none")), F.lit(" s")),
+        F.concat(F.lit("Failed: "), text("n_failed")),
+    ]
+    head = summary.select(F.posexplode(F.array(*figures)).alias("place", "line")).select(
+        "place", F.lit(0).cast("bigint").alias("rank"), "line"
     )
-    rank = F.format_string("%020d", F.lit(10**18) - F.col("n"))
     errors = breakdown.select(
-        F.lit(6).alias("part"),
-        F.concat(rank, "error_type").alias("sort_key"),
-        F.concat(F.lit("  "), "error_type", F.lit(": "), F.col("n").cast("string")).alias("line"),
+        F.lit(len(figures)).alias("place"),
+        (-F.col("n")).alias("rank"),
+        F.concat(F.lit("  "), "error_type", F.lit(": "), text("n")).alias("line"),
     )
-    return figures.unionByName(errors).orderBy("part", "sort_key").select("line")
+    return head.unionByName(errors).orderBy("place", "rank", "line").select("line")
 
 
 def write_report(summary: DataFrame, breakdown: DataFrame, path: str) -> None:
