@@ -1,4 +1,4 @@
-"""Compute columns once where later steps use them many times."""
+"""Keep expensive columns from being computed more than once."""
 
 from __future__ import annotations
 
@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 
 def staged(rows: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns in a step of its own.
+    """Add columns in a step of their own, for later steps to refer to."""
+    return rows.withColumns(columns)
 
-    The optimizer would copy an expression into every filter and column above that uses
-    it. A one-row ``inline`` keeps it in place, so it is computed once per row and the
-    plan stays small.
+
+def sealed(rows: DataFrame, *names: str) -> DataFrame:
+    """Fix columns in place: filters on them are not moved below and computed again there.
+
+    The optimizer copies an expression into every filter it pushes down. It does not push
+    filters through a generator, and a one-row ``inline`` is the plainest one.
     """
-    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+    others = [c for c in rows.columns if c not in names]
+    return rows.select(*others, F.inline(F.array(F.struct(*names))))

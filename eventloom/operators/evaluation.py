@@ -12,13 +12,19 @@ from pyspark.sql import functions as F
 
 from eventloom import vocab
 from eventloom.functions.sampling import draw_with_replacement
-from eventloom.functions.staged import staged
+from eventloom.functions.staged import sealed, staged
 from eventloom.functions.text import before_first, strip
 from eventloom.operators.audits import stated_value
 from eventloom.operators.quality import clean_sql, error_text_found, is_empty_result
 
 SUCCESS = "SUCCESS"
 UNFINISHED = "TRANSCRIPT_UNFINISHED"
+OUTCOMES = [
+    "HTTP_ERROR", "VLLM_RESPONSE_PARSE_ERROR", "UNEXPECTED_ERROR", "GENERATION_LENGTH_CUTOFF", "TOOLCALL_TAG_UNCLOSED",
+    "TOOLCALL_JSON_ERROR", "EMPTY_TOOLCALL", "TOOLCALL_NOT_DICT", "EMPTY_FINAL_ANSWER", "TOOLCALL_MISSING_NAME",
+    "REPEATED_TOOLCALL_LOOP", "UNKNOWN_CHECK_TOOL", "UNKNOWN_TOOL", "SQL_ARGUMENT_ERROR", "SQL_EXECUTION_ERROR",
+    "SQL_TOOL_RUNTIME_ERROR", "SQL_HALLUCINATION_OR_EXECUTION_ERROR", "SQL_EMPTY_RESULT", SUCCESS,
+]
 CALL_ERRORS = {
     "http_error": "HTTP_ERROR",
     "parse_error": "VLLM_RESPONSE_PARSE_ERROR",
@@ -69,7 +75,8 @@ def parse_toolcalls(steps: DataFrame) -> DataFrame:
         sql_argument=F.try_variant_get("_call", "$.arguments.sql", "string"),
         call=F.to_json("_call"),
     )
-    return rows.drop("_start", "_end", "_calls", "_call")
+    rows = rows.drop("_start", "_end", "_calls", "_call")
+    return sealed(rows, *[c for c in rows.columns if c not in steps.columns])
 
 
 def tool_name() -> Column:
@@ -180,7 +187,8 @@ def classify_steps(steps: DataFrame) -> DataFrame:
 
 def repeated_toolcalls(steps: DataFrame) -> DataFrame:
     """Steps that make the very call an earlier step of the conversation made."""
-    calls = classify_steps(steps).where("signature IS NOT NULL").select("conv_id", "step", "signature")
+    signed = sealed(classify_steps(steps).select("conv_id", "step", "signature"), "signature")
+    calls = signed.where("signature IS NOT NULL")
     first = calls.groupBy("conv_id", "signature").agg(F.min("step").alias("first_step"))
     return calls.join(first, ["conv_id", "signature"]).where("step > first_step").select(
         "conv_id", "step", "first_step"
@@ -204,15 +212,19 @@ def conversation_verdict(steps: DataFrame, max_rounds: int = vocab.MAX_ROUNDS) -
     outcome = F.coalesce(
         "early_error", F.when(repeated, "REPEATED_TOOLCALL_LOOP"), "late_error", F.when(F.col("is_answer"), SUCCESS)
     )
+    # Step and outcome as one number, so that the earliest is found by a plain hash aggregate.
+    names = F.array(*[F.lit(o) for o in OUTCOMES])
+    code = F.col("step") * 64 + F.array_position(names, outcome)
     ends = (
         classified.withColumn("call_no", call_no)
         .where(F.col("call_no") <= 2)
-        .select("conv_id", "step", outcome.alias("outcome"))
         .groupBy("conv_id")
-        .agg(
-            F.min_by("outcome", F.when(F.col("outcome").isNotNull(), F.col("step"))).alias("outcome"),
-            F.min(F.when(F.col("outcome").isNotNull(), F.col("step"))).alias("last_step"),
-            F.max("step").alias("max_step"),
+        .agg(F.min(code).alias("code"), F.max("step").alias("max_step"))
+        .select(
+            "conv_id",
+            "max_step",
+            F.get(names, (F.col("code") % 64 - 1).cast("int")).alias("outcome"),
+            F.floor(F.col("code") / 64).alias("last_step"),
         )
     )
     used_up = F.when(F.col("max_step") >= max_rounds - 1, F.lit("MAX_ROUNDS_EXCEEDED")).otherwise(F.lit(UNFINISHED))

@@ -460,8 +460,10 @@ def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def loss_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = F.array_join(F.transform("weights", lambda w: w.cast("int").cast("string")), " ")
+    zeros = F.rtrim(F.repeat(F.lit("0 "), F.col("n_kept")))
     return _weighted(spark, sf_dir).select(
-        "conv_id", "seq", F.array_join(F.transform("weights", lambda w: w.cast("int").cast("string")), " ").alias("weights")
+        "conv_id", "seq", F.when(F.array_contains("trained", True), shown).otherwise(zeros).alias("weights")
     )
 
 
