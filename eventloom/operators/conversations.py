@@ -52,28 +52,30 @@ def attach_tools(records: DataFrame) -> DataFrame:
     return records.withColumn("tools", F.lit(tools_json()))
 
 
-def spread(records: DataFrame, key: str = "conv_id") -> DataFrame:
-    """Records over all shuffle partitions: each grows many times over when it becomes a
-    conversation, which the size of the input does not show."""
-    n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return records.repartition(n, key)
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows evenly over all shuffle partitions: each grows many times over when it becomes
+    a conversation, which its size does not show. Parts of one long result separate too."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "conv_id", "part")
 
 
-def assemble(
-    records: DataFrame, check_results: DataFrame, result_parts: DataFrame, system: str = vocab.SYSTEM_MESSAGE
-) -> DataFrame:
-    """Message rows of records (conv_id, question, think1, tool1, think2, tool2, sql, answer).
-
-    ``result_parts`` is (conv_id, part, n_parts, text). Seven messages per conversation;
-    only the SQL result, message six, can take several rows.
-    """
-    base = attach_check_result(spread(records), check_results, "tool1")
-    parts = left_join_many(base, result_parts, ["conv_id"]).select(
-        *base.columns,
+def with_parts(records: DataFrame, parts: DataFrame) -> DataFrame:
+    """Records (conv_id, ...) with result parts (conv_id, part, n_parts, text) made elsewhere."""
+    return left_join_many(records, parts, ["conv_id"]).select(
+        *records.columns,
         F.coalesce("part", F.lit(0)).alias("part"),
         F.coalesce("n_parts", F.lit(1)).alias("n_parts"),
         F.coalesce("text", F.lit("[]")).alias("result_text"),
     )
+
+
+def assemble(records: DataFrame, check_results: DataFrame, system: str = vocab.SYSTEM_MESSAGE) -> DataFrame:
+    """Message rows of records (conv_id, question, think1, tool1, think2, tool2, sql, answer)
+    that carry their result text (part, n_parts, result_text).
+
+    Seven messages per conversation; only the SQL result, message six, can take several rows.
+    """
+    parts = attach_check_result(spread(records), check_results, "tool1")
     first = F.array(
         _message(0, "system", F.lit(system)),
         _message(1, "user", "question"),
@@ -114,6 +116,7 @@ def from_model_records(records: DataFrame) -> DataFrame:
         F.lit(vocab.SQL_TOOL).alias("tool2"),
         "sql",
         "answer",
+        *[c for c in ("part", "n_parts", "result_text") if c in records.columns],
     )
 
 
@@ -122,14 +125,9 @@ def without_reasoning(records: DataFrame) -> DataFrame:
     return records.withColumns({"think1": F.lit(""), "think2": F.lit("")})
 
 
-def assemble_only_sql(records: DataFrame, result_parts: DataFrame, system: str = vocab.SYSTEM_MESSAGE) -> DataFrame:
+def assemble_only_sql(records: DataFrame, system: str = vocab.SYSTEM_MESSAGE) -> DataFrame:
     """Five messages without tools: system, user, SQL, result, answer (form inferred)."""
-    parts = left_join_many(spread(records), result_parts, ["conv_id"]).select(
-        *records.columns,
-        F.coalesce("part", F.lit(0)).alias("part"),
-        F.coalesce("n_parts", F.lit(1)).alias("n_parts"),
-        F.coalesce("text", F.lit("[]")).alias("result_text"),
-    )
+    parts = spread(records)
     first = F.array(
         _message(0, "system", F.lit(system)), _message(1, "user", "question"), _message(2, "assistant", "sql")
     )

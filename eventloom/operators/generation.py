@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom import vocab
-from eventloom.functions.joins import left_join_many
 from eventloom.functions.metadata import meta
 from eventloom.functions.sampling import below_probability, draw_with_replacement, hash_index
 from eventloom.functions.text import fill
@@ -357,14 +356,12 @@ def sql_prompts(records: DataFrame, check_results: DataFrame) -> DataFrame:
     return joined.select("qa_id", prompt.alias("prompt"))
 
 
-def answer_prompts(records: DataFrame, result_parts: DataFrame) -> DataFrame:
-    """Prompts for the answer step; a long result continues in further parts."""
+def answer_prompts(answered: DataFrame) -> DataFrame:
+    """Prompts for the answer step from records with their result text; a long result
+    continues in further parts."""
     head = fill(F.lit(ANSWER_PROMPT), user_question="user_question", sql="sql")
-    joined = left_join_many(records, result_parts, ["qa_id"]).withColumn("part", F.coalesce("part", F.lit(0)))
-    text = F.concat(
-        F.when(F.col("part") == 0, head).otherwise(F.lit("")), F.coalesce("text", F.lit("[]"))
-    )
-    return joined.select("qa_id", "part", text.alias("prompt"))
+    first = F.when(F.col("part") == 0, head).otherwise(F.lit(""))
+    return answered.select("qa_id", "part", F.concat(first, "result_text").alias("prompt"))
 
 
 def job_prompts(profiles: DataFrame, vague: float = 0.1, seed=SEED, rows_per_part: int = 200) -> DataFrame:

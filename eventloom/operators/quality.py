@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom import vocab
 from eventloom.functions.text import as_column, before_first, is_json_object, json_quote, strip
-from eventloom.operators.generation import VALUES_PER_PART, enclosed_parts
+from eventloom.operators.generation import VALUES_PER_PART
 
 # --- replies ----------------------------------------------------------------------
 
@@ -60,16 +60,22 @@ def expected_marker(questions: DataFrame, results: DataFrame) -> DataFrame:
     return joined.select("qa_id", F.when(is_null, vocab.NULL_RESULT).otherwise(vocab.ANSWER).alias("expected_marker"))
 
 
-def result_parts(results: DataFrame, rows_per_part: int = VALUES_PER_PART) -> DataFrame:
-    """Each result as JSON text in parts of so many rows: (qa_id, part, n_parts, text)."""
+def with_result_text(records: DataFrame, results: DataFrame, rows_per_part: int = VALUES_PER_PART) -> DataFrame:
+    """Records with their result as JSON text, in parts of so many rows.
+
+    Adds part, n_parts and result_text; a record without result has the one part ``[]``.
+    The number of parts is known from a small aggregate, so the texts are joined by record
+    and part, and a result with very many rows is spread like any others.
+    """
+    part = F.floor(F.col("row_no") / F.lit(rows_per_part)).cast("int")
+    sizes = results.groupBy("qa_id").agg((F.floor(F.max("row_no") / F.lit(rows_per_part)) + 1).cast("int").alias("n_parts"))
     rows = results.groupBy("qa_id", "row_no").agg(
         F.array_join(
             F.transform(F.sort_array(F.collect_list(F.struct("col_no", json_quote("cell").alias("cell")))), lambda c: c["cell"]),
             ", ",
         ).alias("row")
     )
-    bucket = F.floor(F.col("row_no") / F.lit(rows_per_part)).alias("bucket")
-    texts = rows.groupBy("qa_id", bucket).agg(
+    texts = rows.groupBy("qa_id", part.alias("part")).agg(
         F.array_join(
             F.transform(
                 F.sort_array(F.collect_list(F.struct("row_no", "row"))),
@@ -78,7 +84,18 @@ def result_parts(results: DataFrame, rows_per_part: int = VALUES_PER_PART) -> Da
             ", ",
         ).alias("text")
     )
-    return enclosed_parts(texts, results.select("qa_id", bucket), ["qa_id"], "bucket")
+    numbered = (
+        records.join(sizes, "qa_id", "left")
+        .withColumn("n_parts", F.coalesce("n_parts", F.lit(1)))
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
+    )
+    head = F.when(F.col("part") == 0, F.lit("[")).otherwise(F.lit(", "))
+    tail = F.when(F.col("part") == F.col("n_parts") - 1, F.lit("]")).otherwise(F.lit(""))
+    return (
+        numbered.join(texts, ["qa_id", "part"], "left")
+        .withColumn("result_text", F.concat(head, F.coalesce("text", F.lit("")), tail))
+        .drop("text")
+    )
 
 
 # --- answers ----------------------------------------------------------------------

@@ -240,8 +240,8 @@ def render_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def render_answer_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = quality.result_parts(view(spark, sf_dir, "sql_results"))
-    return generation.answer_prompts(view(spark, sf_dir, "qa_records"), parts)
+    answered = quality.with_result_text(view(spark, sf_dir, "qa_records"), view(spark, sf_dir, "sql_results"))
+    return generation.answer_prompts(answered)
 
 
 over_events("render_job_prompts", lambda e: generation.job_prompts(inspection.job_profile(e)))
@@ -287,16 +287,16 @@ over("only_sql_steps", "clean_sql", lambda s: s.select("conv_id", "step", qualit
 # --- conversations ----------------------------------------------------------------
 
 
-def _answered(records: DataFrame) -> DataFrame:
-    return quality.route_answers(records)
+def _model_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model-written records, answers routed, with their result text."""
+    routed = quality.route_answers(view(spark, sf_dir, "qa_records"))
+    return conversations.from_model_records(quality.with_result_text(routed, view(spark, sf_dir, "sql_results")))
 
 
 def _model_messages(spark: SparkSession, sf_dir: str, change=lambda r: r) -> DataFrame:
     """Message rows of the model-written records with one sampled row per event type."""
-    records = change(conversations.from_model_records(_answered(view(spark, sf_dir, "qa_records"))))
     samples = inspection.check_results(view(spark, sf_dir, "grid_events"), 1)
-    parts = quality.result_parts(view(spark, sf_dir, "sql_results")).withColumnRenamed("qa_id", "conv_id")
-    return conversations.assemble(records, samples, parts)
+    return conversations.assemble(change(_model_records(spark, sf_dir)), samples)
 
 
 @query
@@ -309,9 +309,8 @@ def assemble_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = asked.join(generation.value_parts(events), ["EVENT", "JOB_ID", "key"]).select(
         "conv_id", "part", "n_parts", "text"
     )
-    return conversations.assemble(
-        conversations.from_templates(questions), inspection.check_results(events, 1), parts
-    )
+    records = conversations.with_parts(conversations.from_templates(questions), parts)
+    return conversations.assemble(records, inspection.check_results(events, 1))
 
 
 @query
@@ -326,9 +325,7 @@ def assemble_no_reasoning(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def assemble_only_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = conversations.from_model_records(_answered(view(spark, sf_dir, "qa_records")))
-    parts = quality.result_parts(view(spark, sf_dir, "sql_results")).withColumnRenamed("qa_id", "conv_id")
-    return conversations.assemble_only_sql(records, parts)
+    return conversations.assemble_only_sql(_model_records(spark, sf_dir))
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,10 +84,11 @@ def test_result_rules(spark):
 def test_long_results_come_in_parts(spark):
     cells = [(1, i, c, f"v{i}.{c}") for i in range(7) for c in range(2)] + [(2, 0, 0, None)]
     results = spark.createDataFrame(cells, "qa_id int, row_no int, col_no int, cell string")
-    parts = quality.result_parts(results, 3).orderBy("qa_id", "part").collect()
-    assert [(r.qa_id, r.part, r.n_parts) for r in parts] == [(1, 0, 3), (1, 1, 3), (1, 2, 3), (2, 0, 1)]
-    assert json.loads("".join(r.text for r in parts if r.qa_id == 1)) == [[f"v{i}.0", f"v{i}.1"] for i in range(7)]
-    assert parts[-1].text == "[[null]]"
+    records = spark.createDataFrame([(1,), (2,), (3,)], "qa_id int")
+    parts = quality.with_result_text(records, results, 3).orderBy("qa_id", "part").collect()
+    assert [(r.qa_id, r.part, r.n_parts) for r in parts] == [(1, 0, 3), (1, 1, 3), (1, 2, 3), (2, 0, 1), (3, 0, 1)]
+    assert json.loads("".join(r.result_text for r in parts if r.qa_id == 1)) == [[f"v{i}.0", f"v{i}.1"] for i in range(7)]
+    assert [r.result_text for r in parts[-2:]] == ["[[null]]", "[]"]
 
 
 def step(conv, number, text, finish="stop", call="ok", tool="ok", result='[["1"]]'):
