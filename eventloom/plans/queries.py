@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from eventloom import vocab
 from eventloom.fixtures import table, view
 from eventloom.functions import sampling
-from eventloom.functions.metadata import meta, successful
+from eventloom.functions.metadata import successful
 from eventloom.functions.staged import staged
 from eventloom.functions.text import matches, tokens
 from eventloom.operators import analytics, audits, conversations, evaluation, filters, generation, inspection, quality, training
