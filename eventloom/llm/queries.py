@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import mixing, packing, quality, secrets, simhash, tokenrows
+from eventloom.llm import lattice, mixing, packing, pii, quality, secrets, simhash, tokenrows
 from eventloom.llm.common import documents
 
 QUERIES: dict = {}
@@ -17,6 +17,10 @@ def query(function):
     return function
 
 
+def number_of(spans: str, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 @query
 def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(documents(spark, sf_dir))
@@ -63,10 +67,7 @@ def op7_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     repository = F.concat_ws("/", "source", "lang")
     rows = secrets.scan(documents(spark, sf_dir), repository=repository, owner="source", keep=["doc_id"])
     base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}")
-        for k, name in enumerate(secrets.BASE)
-    ]
+    counts = [number_of("spans", k).alias(f"n_{name}") for k, name in enumerate(secrets.BASE)]
     return rows.select(
         "row.doc_id",
         *counts,
@@ -75,3 +76,18 @@ def op7_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"),
         F.size(F.filter("spans", lambda s: ~s["live"])).cast("bigint").alias("n_copied"),
     )
+
+
+@query
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.scan(documents(spark, sf_dir), keep=["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"] < len(pii.BASE))
+    counts = [number_of("spans", k).alias(f"n_{name}") for k, name in enumerate(pii.BASE)]
+    return rows.select(
+        "row.doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
+
+
+@query
+def op10_lattice_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
