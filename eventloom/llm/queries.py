@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import lattice, mixing, packing, pii, quality, secrets, simhash, tokenrows
+from eventloom.llm import lattice, mixing, packing, pii, quality, quotes, secrets, simhash, suffix_tree, tokenrows
 from eventloom.llm.common import documents
 
 QUERIES: dict = {}
@@ -21,6 +21,25 @@ def number_of(spans: str, kind: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
 
 
+@query
+def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quotes.conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return rows.select(
+        "row.conv_id",
+        "row.turn",
+        "row.role",
+        F.col("own").alias("text"),
+        "levels",
+        "quoted",
+        "linked",
+        "answers_conv",
+        "answers_turn",
+        "conversation",
+        "root_turn",
+        "depth",
+    )
+
+
 @query
 def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(documents(spark, sf_dir))
@@ -88,6 +107,21 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    rows = suffix_tree.scored(documents(spark, sf_dir), ~held_out, keep=["doc_id"])
+    return rows.select(
+        "row.doc_id",
+        (F.crc32(F.col("row.doc_id").cast("string")) % 7 == 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @query
 def op10_lattice_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
