@@ -294,6 +294,13 @@ def redacted(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, built).otherwise(text)
 
 
+def redact(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The input with personal data in ``text`` replaced; its other columns stay."""
+    rows = scan(docs, text, threshold=threshold)
+    told = [F.col(f"row.`{c}`") if c != text else redacted(F.col(f"row.`{c}`"), F.col("spans")).alias(c) for c in docs.columns]
+    return rows.select(*told)
+
+
 def listed(spans: Column) -> Column:
     """``kind:start:end`` by kind, then start, joined by commas."""
     names = F.array(*[F.lit(k) for k in KINDS])
