@@ -124,6 +124,7 @@ def _cells_of(s: Lattice) -> Column:
                 for at in range(0, len(rows), 2000):
                     some = rows[at : at + 2000]
                     x = np.array([vectors.iloc[i] for i in some], dtype=np.float64)
+                    x /= np.abs(x).max(1, keepdims=True)
                     x /= np.linalg.norm(x, axis=1, keepdims=True)
                     for i, c in zip(some, cells(x, s).reshape(len(some), -1)):
                         found[i] = c
@@ -132,11 +133,15 @@ def _cells_of(s: Lattice) -> Column:
     return compute
 
 
+def cosine(a: np.ndarray, b: np.ndarray) -> float:
+    """Cosine of two vectors in double precision; scaled first, so that squares neither overflow nor vanish."""
+    x, y = a / np.abs(a).max(), b / np.abs(b).max()
+    return float(np.dot(x, y) / np.sqrt(np.dot(x, x) * np.dot(y, y)))
+
+
 @F.pandas_udf(T.DoubleType())
 def _cosine(a: pd.Series, b: pd.Series) -> pd.Series:
-    x, y = (np.array(v.tolist(), dtype=np.float64) for v in (a, b))
-    x, y = ((v / np.abs(v).max(1, keepdims=True)) if len(v) else v.reshape(0, 1) for v in (x, y))
-    return pd.Series(np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y)))
+    return pd.Series([cosine(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 def _usable(vector: Column, label: Column) -> Column:

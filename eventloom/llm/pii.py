@@ -30,12 +30,13 @@ ADDED = ("long_number", "local_phone", "id_number", "account")
 KINDS = (*BASE, *ADDED)
 
 # A match can only begin where a run of its first class begins, or right after the match
-# before; saying so keeps the search linear and finds the same matches.
+# before; saying so keeps the search linear and finds the same matches. Repeated groups are
+# possessive (++): nothing follows them, and others would recurse once per repetition.
 _LOCAL = r"[A-Za-z0-9._%+-]"
 _PATTERNS = (
-    (rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "@"),
+    (rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++", "@"),
     (r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]+){3}", "."),
-    (r"[0-9](?:[\x20-]?[0-9])+", None),
+    (r"[0-9](?:[\x20-]?[0-9])++", None),
     (r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
     (
         r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|\(?[0-9]{3}\)?\x20?[0-9]{3}[-.\x20][0-9]{4}"
@@ -63,21 +64,42 @@ def _parts(text: Column, pattern: str, needs: str | None) -> Column:
     return F.when(text.contains(needs), cut) if needs else cut
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _matches(kind: Column, parts: Column) -> Column:
-    """The matches in ``parts`` with code-point positions and what stands around them."""
-    lengths = F.transform(parts, F.char_length)
-    ends = F.aggregate(lengths, F.array(F.lit(0)), lambda found, n: F.array_append(found, F.element_at(found, -1) + n))
-    inner = F.transform(
-        F.sequence(F.lit(1), F.size(parts) - 2, F.lit(2)),
-        lambda i: F.struct(
-            kind.alias("kind"),
-            F.get(ends, i).alias("start"),
-            F.get(ends, i + 1).alias("end"),
-            F.get(parts, i).alias("value"),
-            F.right(F.get(parts, i - 1), F.lit(24)).alias("before"),
-            F.left(F.get(parts, i + 1), F.lit(8)).alias("after"),
-        ),
-    )
+    """The matches in ``parts`` with code-point positions and what stands around them.
+
+    A part starts after the parts before it: after whole chunks, whose starts are summed once,
+    and after the parts before it in its own chunk. So many matches in a text stay affordable.
+    """
+    chunk = 256
+
+    def starts_of_chunks(lengths: Column) -> Column:
+        firsts = F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / chunk).cast("int"))
+        sums = F.transform(firsts, lambda c: F.aggregate(F.slice(lengths, c * chunk + 1, chunk), F.lit(0), lambda a, n: a + n))
+        return F.aggregate(sums, F.array(F.lit(0)), lambda found, n: F.array_append(found, F.element_at(found, -1) + n))
+
+    def found(lengths: Column, starts: Column) -> Column:
+        def at(i: Column) -> Column:
+            own = F.slice(lengths, i - i % chunk + 1, i % chunk)
+            return F.get(starts, F.floor(i / chunk).cast("int")) + F.aggregate(own, F.lit(0), lambda a, n: a + n)
+
+        return F.transform(
+            F.sequence(F.lit(1), F.size(parts) - 2, F.lit(2)),
+            lambda i: F.struct(
+                kind.alias("kind"),
+                at(i).alias("start"),
+                (at(i) + F.get(lengths, i)).alias("end"),
+                F.get(parts, i).alias("value"),
+                F.right(F.get(parts, i - 1), F.lit(24)).alias("before"),
+                F.left(F.get(parts, i + 1), F.lit(8)).alias("after"),
+            ),
+        )
+
+    inner = _bound(F.transform(parts, F.char_length), lambda n: _bound(starts_of_chunks(n), lambda s: found(n, s)))
     return F.when(F.size(parts) > 1, inner)
 
 
@@ -157,7 +179,7 @@ def votes() -> dict[str, Column]:
     kind, value = F.col("kind"), F.col("value")
     digits = _digits(value)
     strict = (
-        F.when(kind == 0, value.rlike(r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9][A-Za-z0-9-]*\.)+[A-Za-z]{2,}$"))
+        F.when(kind == 0, value.rlike(r"^[A-Za-z0-9][^@]*@[A-Za-z0-9][^@]*\.[A-Za-z]{2,}$") & ~value.rlike(r"\.\.|\.-|-\."))
         .when(kind == 1, value.rlike(r"^(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$"))
         .when(kind.isin(2, 4), F.when(F.length(digits).between(13, 19), _luhn(digits)).otherwise(False))
         .when(kind == 3, value.rlike(r"^\+[1-9][0-9]{0,2}[ .(-]"))

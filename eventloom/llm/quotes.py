@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import carried, written
 
 MARK, STAND_IN = "\u0001", "\u0002"
-_PREFIX = r"^(?:[\x20\t]*>)+"
+# Possessive, as a greedy group would recurse once per level.
+_PREFIX = r"^(?:[\x20\t]*+>)++"
 #: How the line before a quotation says who wrote it.
 _ATTRIBUTION = r"(?i)\b(wrote|writes|schrieb|a écrit|escribió)\s*:\s*$"
 
