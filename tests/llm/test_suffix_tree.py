@@ -79,6 +79,7 @@ def test_equals_slow_version(docs_of):
         text = [draw.choice(words) for _ in range(draw.randrange(40))]
         if i % 3 == 0:
             text[5:5] = "The quick brown fox jumps over it".split()
+        text[3:3] = draw.choice(["left turn goes", "right turn stays"]).split()  # what follows "turn" depends on the word before
         texts.append(" ".join(text))
     texts += [None, "", "unseen words only", " \n", texts[0]]
     tree = suffix_tree.Tree(depth=3, min_count=4, block_tokens=300, bucket_tokens=200)
@@ -86,7 +87,7 @@ def test_equals_slow_version(docs_of):
     rows = suffix_tree.scored(docs, F.col("doc_id") % 5 != 0, tree=tree).collect()
     got = {r.row.doc_id: (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows}
     want, states = slow_scores(texts, [i % 5 != 0 for i in range(len(texts))], tree)
-    assert {len(c) for c in states} == {1, 2} or {len(c) for c in states} == {1, 2, 3}
+    assert {1, 2} <= {len(c) for c in states}
     compare([got[i] for i in range(len(texts))], want)
     assert rows[0].row.block == "clash"
 
