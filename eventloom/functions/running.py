@@ -54,6 +54,9 @@ def running_before(
             return F.coalesce(mine, F.lit(0)) + F.coalesce(before, F.lit(0))
         return F.greatest(mine, before)
 
-    return inside.join(carried, [*keys, *blocks]).select(
+    # Keys and blocks may be null; such rows form groups too.
+    renamed = carried.withColumnsRenamed({c: f"_at_{c}" for c in (*keys, *blocks)})
+    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in (*keys, *blocks)]
+    return inside.join(renamed, same).select(
         *rows.columns, *[combined(name, kind).alias(name) for name, (kind, _) in totals.items()], *overall
     )

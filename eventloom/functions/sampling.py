@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_DIGITS = 3
+BUCKET_DIGITS = 5
 
 
 def seeded_hash(seed, *parts) -> Column:
@@ -25,16 +25,18 @@ def hash_index(seed, part, n) -> Column:
 
 def below_probability(seed, part, probability: float) -> Column:
     """True for about ``probability`` of all ids; the same ids on every run."""
-    bound = format(min(int(probability * 16**8), 16**8 - 1), "08x")
+    if probability >= 1:
+        return F.lit(True)
+    bound = format(int(probability * 16**8), "08x")
     return F.substring(seeded_hash(seed, part), 1, 8) < F.lit(bound)
 
 
 def dense_index(rows: DataFrame, id_column: str, seed=0, name: str = "row_index") -> DataFrame:
     """Number all rows 0..N-1 in hash order without sorting them in one task.
 
-    Rows fall evenly into 16**3 buckets by the start of their hash, are numbered
-    inside their bucket, and the bucket offsets come from a table of at most 4,096
-    rows, which is what makes the broadcast safe.
+    Rows fall evenly into 16**5 buckets by the start of their hash and are numbered
+    inside their bucket: 100,000 rows each at 10**11 rows. The bucket offsets are a table
+    of at most 1,048,576 rows of 24 bytes, which is what makes the broadcast safe.
     """
     keyed = rows.withColumn("_hash", seeded_hash(seed, F.col(id_column).cast("string"))).withColumn(
         "_bucket", F.substring("_hash", 1, BUCKET_DIGITS)

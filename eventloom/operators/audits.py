@@ -247,11 +247,11 @@ def answer_agrees(records: DataFrame) -> DataFrame:
     )
 
 
-def leakage(train: DataFrame, test: DataFrame, min_chars: int = 20) -> DataFrame:
+def leakage(train: DataFrame, test: DataFrame) -> DataFrame:
     """Training texts that share sentences with test texts, with the number shared.
 
-    Sentences are compared whole, lower-cased, with white space made even; those shorter
-    than ``min_chars`` are too common to tell anything. Only hashes travel.
+    Sentences of any length are compared whole, lower-cased, with white space made even.
+    Only hashes travel.
     """
 
     def sentence_hashes(texts: DataFrame, *keep: str) -> DataFrame:
@@ -260,7 +260,7 @@ def leakage(train: DataFrame, test: DataFrame, min_chars: int = 20) -> DataFrame
         return (
             texts.select(*keep, F.explode(pieces).alias("piece"))
             .select(*keep, even.alias("sentence"))
-            .where(F.length("sentence") >= min_chars)
+            .where("sentence <> ''")
             .select(*keep, F.md5("sentence").alias("sentence_hash"))
         )
 

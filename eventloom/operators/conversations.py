@@ -156,26 +156,28 @@ def plain_messages(conversations: DataFrame) -> DataFrame:
 
 
 def explode_messages(nested: DataFrame) -> DataFrame:
-    """Nested conversations (conv_id, messages) to message rows."""
-    return nested.select("conv_id", F.posexplode("messages").alias("pos", "m")).select(
-        "conv_id", F.col("pos").cast("bigint").alias("turn"), F.col("m.role").alias("role"), F.col("m.content").alias("content")
-    )
+    """Nested conversations (conv_id, messages) to message rows, with their stored turns."""
+    return nested.select("conv_id", F.explode("messages").alias("m")).select("conv_id", "m.turn", "m.role", "m.content")
 
 
 def implode_messages(messages: DataFrame, block: int = BLOCK) -> DataFrame:
     """Message rows to nested conversations, at most ``block`` messages in one array.
 
     An ordinary conversation is one row with ``block_no`` 0. A longer one continues in
-    further rows, so no conversation is gathered without bound.
+    further rows, so no conversation is gathered without bound; every message carries its
+    turn. The parts of one turn, as of a long tool result, are put together to one message.
     """
-    return messages.groupBy("conv_id", F.floor(F.col("seq") / F.lit(block)).alias("block_no")).agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("seq", "role", "content", "tool_name", "tool_args"))),
-            lambda m: F.struct(
-                m["role"].alias("role"), m["content"].alias("content"),
-                m["tool_name"].alias("tool_name"), m["tool_args"].alias("tool_args"),
-            ),
-        ).alias("messages")
+    whole = messages.groupBy("conv_id", "turn").agg(
+        F.min("seq").alias("seq"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "content"))), lambda p: p["content"]), "").alias("joined"),
+        F.count("content").alias("_told"),
+        *[F.first(c, ignorenulls=True).alias(c) for c in ("role", "tool_name", "tool_args")],
+    )
+    message = F.struct(
+        "seq", "turn", "role", F.when(F.col("_told") > 0, F.col("joined")).alias("content"), "tool_name", "tool_args"
+    )
+    return whole.groupBy("conv_id", F.floor(F.col("turn") / F.lit(block)).alias("block_no")).agg(
+        F.transform(F.array_sort(F.collect_list(message)), lambda m: m.dropFields("seq")).alias("messages")
     )
 
 

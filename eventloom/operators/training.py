@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from eventloom import vocab
 from eventloom.functions.running import block_of, running_before
-from eventloom.functions.sampling import below_probability, dense_index
+from eventloom.functions.sampling import below_probability, dense_index, hash_number
 from eventloom.functions.staged import staged
 from eventloom.functions.text import as_column, matches, tokens
 
@@ -109,6 +109,9 @@ def token_offsets(placed: DataFrame, tokenizer=tokens) -> DataFrame:
 
 
 def _counted(placed: DataFrame, max_length) -> DataFrame:
+    """``n_kept`` of each message; None keeps all of it."""
+    if max_length is None:
+        return placed.withColumn("n_kept", F.col("n_tokens"))
     limit = max_length if isinstance(max_length, Column) else F.lit(max_length)
     rows = placed.withColumn("_limit", limit).where(F.col("first_token") < F.col("_limit"))
     n_kept = F.least(F.col("n_tokens").cast("bigint"), F.col("_limit") - F.col("first_token")).cast("int")
@@ -138,8 +141,8 @@ def find_subsequence(rows: DataFrame, needle: list[str], array: str) -> DataFram
 
 
 def token_id(token) -> Column:
-    """A number for a token: the first 28 bits of its hash."""
-    return F.conv(F.substring(F.md5(as_column(token)), 1, 7), 16, 10).cast("int")
+    """A number for a token: 60 bits of its hash, so that no two of a vocabulary are likely to meet."""
+    return hash_number(F.md5(as_column(token)))
 
 
 # --- regions of a message ---------------------------------------------------------
@@ -225,12 +228,12 @@ def crossing_flags(text: str, size: str, pattern: str, opener: str, closer: str,
 # --- labels -----------------------------------------------------------------------
 
 
-def label_mask(placed: DataFrame, max_length) -> DataFrame:
+def label_mask(placed: DataFrame, max_length=None) -> DataFrame:
     """Add ``trained``: for each kept token whether it is learned.
 
     Learned is what follows an assistant header up to and with the end tag, except tool
     responses. A block whose end tag was cut off is not learned at all, and a response
-    whose closing tag was cut off is not left out.
+    whose closing tag was cut off is not left out. Nothing is cut without ``max_length``.
     """
     rows = _counted(placed, max_length)
     closes = F.col("response_close_token") < F.col("n_kept")
@@ -261,7 +264,7 @@ def label_mask(placed: DataFrame, max_length) -> DataFrame:
 def labels(text="kept_text", trained="trained") -> Column:
     """Token ids where learned, the ignore label elsewhere."""
     return F.zip_with(
-        tokens(text), trained, lambda t, y: F.when(y, token_id(t)).otherwise(F.lit(vocab.IGNORE_LABEL))
+        tokens(text), trained, lambda t, y: F.when(y, token_id(t)).otherwise(F.lit(vocab.IGNORE_LABEL).cast("bigint"))
     )
 
 
@@ -288,8 +291,8 @@ def length_stats(measured: DataFrame) -> DataFrame:
     )
 
 
-def rounded_max_length(measured: DataFrame, cap: int | None = vocab.LENGTH_CAP) -> DataFrame:
-    """The greatest length, rounded up to a full step and capped, as a one-row table."""
+def rounded_max_length(measured: DataFrame, cap: int | None) -> DataFrame:
+    """The greatest length, rounded up to a full step, at most ``cap`` if given, as a one-row table."""
     longest = F.max("n_tokens")
     rounded = F.ceil(longest / F.lit(vocab.LENGTH_STEP)) * F.lit(vocab.LENGTH_STEP)
     capped = rounded if cap is None else F.least(rounded, F.lit(cap).cast("bigint"))
@@ -337,7 +340,7 @@ def pattern_spans(rows: DataFrame, id_column: str, text: str, pattern: str) -> D
     )
 
 
-def loss_weights(placed: DataFrame, max_length) -> DataFrame:
+def loss_weights(placed: DataFrame, max_length=None) -> DataFrame:
     """Add ``weights`` per kept token: 0 ignored, 1 normal, 2 inside a metadata access of
     the SQL, 20 on its path mark. Spans are looked for in the whole conversation, and
     only in conversations where the assistant calls the SQL tool."""
@@ -402,7 +405,7 @@ def train_test_split(rows: DataFrame, id_column: str, test_size: float = 0.1, se
 def examples(weighted: DataFrame) -> DataFrame:
     """One row per conversation with its token, label and weight arrays.
 
-    Conversations are cut to the length limit before, so the arrays are bounded.
+    Each array is one whole conversation, or what a length limit left of it before.
     """
     parts = weighted.select(
         "conv_id",

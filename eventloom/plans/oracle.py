@@ -576,7 +576,7 @@ add(
 )
 add(
     "explode_messages", [],
-    "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS turn, role, text AS content FROM conversations",
+    "SELECT conv_id, turn, role, text AS content FROM conversations",
 )
 _HEAD, _TAIL = "'<|start_header_id|>' || {0} || '<|end_header_id|>' || chr(10) || chr(10) || ", " || '<|eot_id|>'"
 _RENDERED = ("rendered", f"SELECT conv_id, turn AS seq, role, {_HEAD.format('role')}text{_TAIL} AS segment FROM conversations")
@@ -609,13 +609,13 @@ add(
 )
 
 
-def _masked(limit: str):
-    """Label state of every token before ``limit``: learned from an assistant header to the next end tag."""
+def _masked(limit: str | None = None):
+    """Label state of every token, or of those before ``limit``: learned from an assistant header to the next end tag."""
     w = "(PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     before = "(PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     after = "(PARTITION BY conv_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
     return [
-        ("cut", f"SELECT * FROM tokens WHERE pos < {limit}"),
+        ("cut", f"SELECT * FROM tokens WHERE pos < {limit}" if limit else "SELECT * FROM tokens"),
         (
             "tagged",
             "SELECT *, CASE WHEN token = '<|end_header_id|>' AND lag(token, 1) OVER o = 'assistant' AND lag(token, 2) OVER o = '<|start_header_id|>' "
@@ -637,10 +637,10 @@ def _masked(limit: str):
     ]
 
 
-TOKEN_ID = "('0x' || substr(md5(token), 1, 7))::INT"
+TOKEN_ID = "('0x' || substr(md5(token), 1, 15))::BIGINT"
 LABEL = f"CASE WHEN trained THEN {TOKEN_ID} ELSE -100 END"
 add(
-    "label_mask", [_RENDERED, _TOKENISED, *_masked("8192")],
+    "label_mask", [_RENDERED, _TOKENISED, *_masked()],
     f"SELECT conv_id, seq, string_agg(CAST({LABEL} AS VARCHAR), ' ' ORDER BY pos) AS labels FROM labelled GROUP BY conv_id, seq",
 )
 add(
@@ -651,16 +651,16 @@ _QUOTED = (
     "rendered",
     "SELECT conv_id, turn AS seq, role, "
     + _HEAD.format("role")
-    + "'Seen: <TOOL_RESPONSE>' || substr(text, 1, 40) || CASE WHEN turn % 3 = 0 THEN '' ELSE '</TOOL_RESPONSE>' END || ' so ' || text"
+    + "'Seen: <TOOL_RESPONSE>' || text || CASE WHEN turn % 3 = 0 THEN '' ELSE '</TOOL_RESPONSE>' END || ' so ' || text"
     + _TAIL
     + " AS segment FROM conversations",
 )
 add(
-    "mask_tool_response", [_QUOTED, _TOKENISED, *_masked("8192")],
+    "mask_tool_response", [_QUOTED, _TOKENISED, *_masked()],
     "SELECT conv_id, seq, string_agg(CASE WHEN trained THEN '1' ELSE '0' END, '' ORDER BY pos) AS trained FROM labelled GROUP BY conv_id, seq",
 )
 add(
-    "masked_view", [_RENDERED, _TOKENISED, *_masked("8192")],
+    "masked_view", [_RENDERED, _TOKENISED, *_masked()],
     f"SELECT conv_id, seq, string_agg(CASE WHEN trained THEN token ELSE {lit(vocab.PLACEHOLDER)} END, '' ORDER BY pos) AS shown FROM labelled GROUP BY conv_id, seq",
 )
 _LENGTHS = ("lengths", "SELECT conv_id, count(*) AS n_tokens FROM tokens GROUP BY conv_id")
@@ -671,7 +671,7 @@ add(
 )
 add("rounded_max_length", [_RENDERED, _TOKENISED, _LENGTHS, _LIMIT], "SELECT longest, max_length FROM max_len")
 add(
-    "mask_ratio", [_RENDERED, _TOKENISED, _LENGTHS, _LIMIT, *_masked("(SELECT max_length FROM max_len)")],
+    "mask_ratio", [_RENDERED, _TOKENISED, *_masked()],
     "SELECT conv_id, count(*) AS n_tokens, count(*) FILTER (trained) AS n_trained, round(count(*) FILTER (trained) / count(*), 6) AS ratio FROM labelled GROUP BY conv_id",
 )
 _CALL = "CASE WHEN tool_name IS NOT NULL THEN '<TOOLCALL>[{\"name\": \"' || tool_name || '\", \"arguments\": ' || tool_args || '}]</TOOLCALL>' ELSE '' END"
@@ -683,7 +683,7 @@ _RENDERED_MESSAGES = (
 )
 
 
-def _weights(limit: str):
+def _weights():
     w = "(PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     before = "(PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     after = "(PARTITION BY conv_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
@@ -703,7 +703,7 @@ def _weights(limit: str):
             f"SELECT conv_id, pos, mark, coalesce(max(call_open) OVER {w} > coalesce(max(call_close) OVER {before}, -1) "
             f"AND max(call_close) OVER {after} IS NOT NULL, false) AS in_call FROM marked",
         ),
-        *_masked(limit),
+        *_masked(),
         (
             "weighted",
             "SELECT l.conv_id, l.seq, l.pos, l.token, l.trained, CASE WHEN NOT l.trained THEN 0 WHEN c.calls IS NULL THEN 1 WHEN k.mark THEN 20 WHEN k.in_call THEN 2 ELSE 1 END AS weight "
@@ -714,8 +714,8 @@ def _weights(limit: str):
 
 _CALLERS = ("sql_callers", "SELECT DISTINCT conv_id, true AS calls FROM messages WHERE role = 'assistant' AND tool_name = 'execute_sql'")
 _MODEL_WEIGHTS = [
-    *_model("q.reason_check", "q.reason_sql"), _RENDERED_MESSAGES, _TOKENISED, _LENGTHS, _LIMIT, _CALLERS,
-    *_weights("(SELECT max_length FROM max_len)"),
+    *_model("q.reason_check", "q.reason_sql"), _RENDERED_MESSAGES, _TOKENISED, _CALLERS,
+    *_weights(),
 ]
 add(
     "loss_weights", _MODEL_WEIGHTS,
@@ -736,7 +736,7 @@ def _padded(text: str, filler: str) -> str:
 add(
     "pad_batches",
     [
-        _RENDERED, _TOKENISED, _NO_CALLERS, *_weights("256"),
+        _RENDERED, _TOKENISED, _NO_CALLERS, *_weights(),
         (
             "per_conv",
             f"SELECT conv_id, count(*) AS n, string_agg(CAST({TOKEN_ID} AS VARCHAR), ' ' ORDER BY pos) AS ids, "
@@ -785,7 +785,7 @@ add(
         ("trained", f"SELECT DISTINCT doc_id, {_SENTENCES} AS sentence FROM documents"),
         ("tested", f"SELECT DISTINCT {_SENTENCES} AS sentence FROM benchmark"),
     ],
-    "SELECT doc_id, count(*) AS n_shared FROM trained WHERE length(sentence) >= 20 AND sentence IN (SELECT sentence FROM tested) GROUP BY doc_id",
+    "SELECT doc_id, count(*) AS n_shared FROM trained WHERE sentence <> '' AND sentence IN (SELECT sentence FROM tested) GROUP BY doc_id",
 )
 
 # --- evaluation -------------------------------------------------------------------

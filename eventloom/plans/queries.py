@@ -394,7 +394,7 @@ def _label_text():
 
 @query
 def label_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    masked = training.label_mask(_placed(spark, sf_dir), vocab.LENGTH_CAP)
+    masked = training.label_mask(_placed(spark, sf_dir))
     return masked.select("conv_id", "seq", _label_text().alias("labels"))
 
 
@@ -410,18 +410,18 @@ def mask_tool_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     quoted = _stored(spark, sf_dir).withColumn(
         "content",
         F.concat(
-            F.lit("Seen: "), F.lit(vocab.TOOL_RESPONSE_START), F.substring("content", 1, 40),
+            F.lit("Seen: "), F.lit(vocab.TOOL_RESPONSE_START), F.col("content"),
             F.when(F.col("seq") % 3 == 0, F.lit("")).otherwise(F.lit(vocab.TOOL_RESPONSE_END)), F.lit(" so "), "content",
         ),
     )
     placed = training.positioned(training.measure(conversations.render_segments(quoted)))
-    masked = training.label_mask(placed, vocab.LENGTH_CAP)
+    masked = training.label_mask(placed)
     return masked.select("conv_id", "seq", F.array_join(F.transform("trained", lambda t: F.when(t, "1").otherwise("0")), "").alias("trained"))
 
 
 @query
 def masked_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    masked = training.label_mask(_placed(spark, sf_dir), vocab.LENGTH_CAP)
+    masked = training.label_mask(_placed(spark, sf_dir))
     return masked.select("conv_id", "seq", training.masked_view().alias("shown"))
 
 
@@ -432,14 +432,12 @@ def length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rounded_max_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.rounded_max_length(_segments(spark, sf_dir))
+    return training.rounded_max_length(_segments(spark, sf_dir), vocab.LENGTH_CAP)
 
 
 @query
 def mask_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = _segments(spark, sf_dir)
-    limit = training.rounded_max_length(measured).select("max_length").scalar()
-    return training.mask_ratio(training.label_mask(training.positioned(measured), limit))
+    return training.mask_ratio(training.label_mask(_placed(spark, sf_dir)))
 
 
 @query
@@ -448,11 +446,10 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weights of the model-written conversations, cut at the rounded greatest length."""
+    """Weights of the model-written conversations."""
     segments = conversations.render_segments(_model_messages(spark, sf_dir))
     measured = written(training.measure(segments), "measured")
-    limit = training.rounded_max_length(measured).select("max_length").scalar()
-    return training.loss_weights(training.positioned(measured), limit)
+    return training.loss_weights(training.positioned(measured))
 
 
 @query
@@ -471,11 +468,11 @@ def weight_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pad_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weighted = training.loss_weights(_placed(spark, sf_dir), SHORT)
+    weighted = training.loss_weights(_placed(spark, sf_dir))
     batches = training.pad_batches(training.examples(weighted))
 
     def joined(name: str):
-        return F.array_join(F.transform(name, lambda x: x.cast("int").cast("string")), " ").alias(name)
+        return F.array_join(F.transform(name, lambda x: x.cast("bigint").cast("string")), " ").alias(name)
 
     return batches.select(
         "batch_no", "conv_id", "width", *[joined(c) for c in ["input_ids", "attention_mask", "labels", "loss_weights"]]

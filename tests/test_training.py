@@ -1,4 +1,4 @@
-"""Masks and weights against a plain Python reading of the rules, on awkward texts."""
+"""Masks and weights: results written out for named texts, and what holds for any text."""
 
 from __future__ import annotations
 
@@ -13,55 +13,14 @@ from eventloom.functions.running import running_before
 from eventloom.functions.text import TOKEN_PATTERN, tokens
 from eventloom.operators import conversations, training
 
-HEADER = ["<|start_header_id|>", "assistant", "<|end_header_id|>"]
-RESPONSE_OPEN, RESPONSE_CLOSE = ["<", "TOOL_RESPONSE", ">"], ["<", "/", "TOOL_RESPONSE", ">"]
+HEADER = "<|start_header_id|>assistant<|end_header_id|>"
+OPEN, CLOSE, END = vocab.TOOL_RESPONSE_START, vocab.TOOL_RESPONSE_END, vocab.END_OF_TURN
 
 
 def cut(text: str) -> list[str]:
     return [m.group(0) for m in re.finditer(TOKEN_PATTERN, text)]
 
 
-def occurrences(items, wanted):
-    return [i for i in range(len(items) - len(wanted) + 1) if items[i : i + len(wanted)] == wanted]
-
-
-def expected_mask(toks: list[str]) -> list[bool]:
-    learned = [False] * len(toks)
-    for start in occurrences(toks, HEADER):
-        begin = start + 3
-        ends = [i for i in range(begin, len(toks)) if toks[i] == vocab.END_OF_TURN]
-        for i in range(begin, ends[0] + 1) if ends else []:
-            learned[i] = True
-    for start in occurrences(toks, RESPONSE_OPEN):
-        closing = [c for c in occurrences(toks, RESPONSE_CLOSE) if c >= start + 3]
-        for i in range(start, closing[0] + 4) if closing else []:
-            learned[i] = False
-    return learned
-
-
-def expected_weights(text: str, learned: list[bool], calls_sql: bool) -> list[float]:
-    spans = []
-    at = text.find(vocab.JSON_MARK)
-    while at >= 0:
-        spans.append((at, at + 2, 20.0))
-        at = text.find(vocab.JSON_MARK, at + 2)
-    at = text.find(vocab.JSON_CALL_START)
-    while at >= 0:
-        end = text.find(")", at)
-        if end < 0:
-            break
-        spans.append((at, end + 1, 2.0))
-        at = text.find(vocab.JSON_CALL_START, end + 1)
-    weights, place = [], 0
-    for token, is_learned in zip(cut(text), learned):
-        weight = 1.0 if is_learned else 0.0
-        if is_learned and calls_sql:
-            weight = max([weight] + [w for a, b, w in spans if place < b and place + len(token) > a])
-        weights.append(weight)
-        place += len(token)
-    return weights
-
-
 PIECES = [
     "word", " ", "\n", "é漢", "x", "$.", "$", ".", ")", "(", "json_extract(METADATA, '$.site')", "json_extract(METADATA, '$.a",
     "json_extract(METADATA,'$.b')", "my_json_extract(METADATA, '$.c') ", "<TOOL_RESPONSE>", "</TOOL_RESPONSE>", "<|eot_id|>",
@@ -85,25 +44,78 @@ def random_messages(seed: int, n_conversations: int):
 SCHEMA = "conv_id bigint, seq bigint, turn bigint, role string, content string, tool_name string, tool_args string, opens boolean, closes boolean"
 
 
-@pytest.mark.parametrize("limit", [17, 60, 8192])
-def test_mask_and_weights_on_stray_markers(spark, limit):
-    messages = spark.createDataFrame(random_messages(limit, 150), SCHEMA)
-    placed = training.positioned(training.measure(conversations.render_segments(messages)))
-    result = training.loss_weights(placed, limit).select("conv_id", "seq", "segment", "trained", "weights", tokens("kept_text").alias("t"))
+@pytest.mark.parametrize("limit", [17, 60, None])
+def test_weights_are_zero_exactly_where_nothing_is_learned(spark, limit):
+    messages = spark.createDataFrame(random_messages(limit or 5, 150), SCHEMA)
+    segments = conversations.render_segments(messages)
+    placed = training.positioned(training.measure(segments))
+    result = training.loss_weights(placed, limit).select("conv_id", "seq", "trained", "weights", tokens("kept_text").alias("t"))
+    texts: dict = {}
+    for row in segments.orderBy("conv_id", "seq").collect():
+        texts[row.conv_id] = texts.get(row.conv_id, "") + row.segment
     got: dict = {}
     for row in result.orderBy("conv_id", "seq").collect():
         got.setdefault(row.conv_id, []).append(row)
-    texts: dict = {}
-    calls: dict = {}
-    for row in conversations.render_segments(messages).orderBy("conv_id", "seq").collect():
-        texts[row.conv_id] = texts.get(row.conv_id, "") + row.segment
-        calls[row.conv_id] = calls.get(row.conv_id, False) or row.tool_name == vocab.SQL_TOOL
+        assert [w > 0 for w in row.weights] == row.trained
+        assert set(row.weights) <= {0.0, 1.0, 2.0, 20.0}
     for conv, text in texts.items():
-        toks = cut(text)[:limit]
-        learned = expected_mask(toks)
-        assert [t for r in got[conv] for t in r.t] == toks
-        assert [y for r in got[conv] for y in r.trained] == learned, text
-        assert [w for r in got[conv] for w in r.weights] == expected_weights(text, learned, calls[conv]), text
+        assert [t for r in got[conv] for t in r.t] == cut(text)[:limit]
+
+
+def learned_text(spark, role: str, content: str, limit=None) -> str:
+    row = training.label_mask(one_message(spark, role, content), limit).first()
+    return "".join(t for t, y in zip(cut(row.kept_text), row.trained) if y)
+
+
+LEARNED = {
+    "plain answer": ("assistant", "yes it is", "\n\nyes it is" + END),
+    "user message": ("user", "yes it is", ""),
+    "response quoted": ("assistant", f"a{OPEN}b{CLOSE}c", "\n\nac" + END),
+    "two responses": ("assistant", f"{OPEN}1{CLOSE} and {OPEN}2{CLOSE}.", "\n\n and ." + END),
+    "response without end": ("assistant", f"a{OPEN}b", f"\n\na{OPEN}b" + END),
+    "response without start": ("assistant", f"a{CLOSE}b", f"\n\na{CLOSE}b" + END),
+    "response opened twice": ("assistant", f"a{OPEN}b{OPEN}c{CLOSE}d", "\n\nad" + END),
+    "header inside a user's text": ("user", f"x{HEADER}y", "y" + END),
+    "end tag inside the text": ("assistant", f"a{END}b", "\n\na" + END),
+    "half a tag": ("assistant", "<|eot_i TOOL_RESPONSE>", "\n\n<|eot_i TOOL_RESPONSE>" + END),
+}
+
+
+@pytest.mark.parametrize("name", LEARNED)
+def test_what_is_learned(spark, name):
+    role, content, expected = LEARNED[name]
+    assert learned_text(spark, role, content) == expected
+
+
+def test_taking_a_pair_of_response_tags_away_learns_its_span(spark):
+    inside = learned_text(spark, "assistant", f"before {OPEN}the span{CLOSE} after")
+    assert learned_text(spark, "assistant", "before the span after") == inside.replace("before ", "before the span")
+
+
+def weighted_text(spark, content: str, shift: str = "") -> list[tuple[str, float]]:
+    """Runs of equal weight in an assistant message that calls the SQL tool."""
+    rows = [(0, 0, 0, "user", shift, None, None, True, True), (0, 1, 1, "assistant", content, vocab.SQL_TOOL, "{}", True, True)]
+    placed = training.positioned(training.measure(conversations.render_segments(spark.createDataFrame(rows, SCHEMA))))
+    row = training.loss_weights(placed).where("seq = 1").first()
+    runs: list = []
+    for token, weight in zip(cut(row.segment), row.weights):
+        if runs and runs[-1][1] == weight:
+            runs[-1] = (runs[-1][0] + token, weight)
+        else:
+            runs.append((token, weight))
+    return runs
+
+
+def test_weights_of_a_metadata_access(spark):
+    runs = weighted_text(spark, "see json_extract(METADATA, '$.site') of $.x")
+    tail = '<TOOLCALL>[{"name": "execute_sql", "arguments": {}}]</TOOLCALL>' + END
+    assert runs == [
+        (HEADER, 0.0), ("\n\nsee ", 1.0), ("json_extract(METADATA, '", 2.0), ("$.", 20.0), ("site')", 2.0), (" of ", 1.0), ("$.", 20.0),
+        ("x" + tail, 1.0),
+    ]
+    assert weighted_text(spark, "see json_extract(METADATA, '$.site') of $.x", "moves everything on") == runs
+    spaced = weighted_text(spark, "json_extract(METADATA,'$.site')")
+    assert (2.0 not in {w for _, w in spaced}) and ("$.", 20.0) in spaced
 
 
 def one_message(spark, role: str, content: str):
@@ -156,6 +168,30 @@ def test_long_conversations_continue_in_blocks(spark):
     nested = conversations.implode_messages(spark.createDataFrame(rows, SCHEMA), 4).orderBy("block_no").collect()
     assert [len(r.messages) for r in nested] == [4, 4, 2]
     assert [m.content for r in nested for m in r.messages] == [f"m{i}" for i in range(10)]
+    back = conversations.explode_messages(conversations.implode_messages(spark.createDataFrame(rows, SCHEMA), 4))
+    assert sorted(tuple(r) for r in back.collect()) == [(1, i, "user", f"m{i}") for i in range(10)]
+
+
+def test_parts_of_one_result_become_one_message(spark):
+    rows = [(1, 0, 0, "user", "q", None, None, True, True), (1, 1, 1, "tool", "[1,", None, None, True, False)]
+    rows += [(1, 2, 1, "tool", " 2,", None, None, False, False), (1, 3, 1, "tool", " 3]", None, None, False, True), (1, 4, 2, "assistant", None, "t", "{}", True, True)]
+    nested = conversations.implode_messages(spark.createDataFrame(rows, SCHEMA), 2).orderBy("block_no").collect()
+    assert [[(m.turn, m.role, m.content, m.tool_name) for m in r.messages] for r in nested] == [
+        [(0, "user", "q", None), (1, "tool", "[1, 2, 3]", None)], [(2, "assistant", None, "t")]
+    ]
+
+
+def test_running_totals_keep_rows_with_null_keys(spark):
+    rows = spark.createDataFrame([(None, 0, 1, 5), ("a", None, 1, 6), ("a", 0, 1, 7), ("a", 0, 2, 8)], "k string, b int, seq int, x int")
+    done = running_before(rows, ["k"], ["b"], ["seq"], {"s": ("sum", "x")}, {"top": ("max", "x")})
+    assert sorted((r.x, r.s, r.top) for r in done.collect()) == [(5, 0, 5), (6, 0, 8), (7, 6, 8), (8, 13, 8)]
+
+
+def test_everything_is_chosen_with_certainty(spark):
+    from eventloom.functions.sampling import below_probability
+
+    assert spark.range(1000).where(below_probability(1, F.col("id").cast("string"), 1.0)).count() == 1000
+    assert spark.range(1000).where(below_probability(1, F.col("id").cast("string"), 0.0)).count() == 0
 
 
 @pytest.mark.parametrize("side", ["right", "left"])
