@@ -101,7 +101,7 @@ def routed_tool(question: Column) -> Column:
     hits = F.array_compact(
         F.array(
             *[
-                F.when(lowered.rlike(r"\b(" + "|".join(words) + ")"), F.lit(tool))
+                F.when(lowered.rlike(r"\b(" + "|".join(words) + r")(s|ing)?\b"), F.lit(tool))
                 for tool, words in vocab.ROUTING_WORDS.items()
             ]
         )

@@ -258,24 +258,33 @@ def success_records(steps: DataFrame, max_rounds: int = vocab.MAX_ROUNDS) -> Dat
 def error_records(steps: DataFrame, max_rounds: int = vocab.MAX_ROUNDS) -> DataFrame:
     """Failed conversations with their last output and their messages.
 
-    Steps are brought together by number first, so at most ``max_rounds`` entries of a
-    conversation are gathered even where a step was stored many times.
+    A call that failed left no output, so messages end before it; where all rounds are used
+    up, the last tool result is there too. Steps are brought together by number first, so
+    at most ``max_rounds`` entries of a conversation are gathered even where a step was stored
+    many times; ``n_repeated`` says how many stored steps that left out.
     """
     failed = conversation_verdict(steps, max_rounds).where("NOT success")
     single = (
         steps.where(F.col("step") < max_rounds)
         .groupBy("conv_id", "step")
-        .agg(F.max(F.struct(F.coalesce("gen_text", F.lit("")).alias("said"), F.coalesce("tool_result", F.lit("")).alias("got"))).alias("s"))
+        .agg(
+            F.max(F.struct(F.coalesce("gen_text", F.lit("")).alias("said"), F.coalesce("tool_result", F.lit("")).alias("got"))).alias("s"),
+            (F.count(F.lit(1)) - 1).alias("again"),
+        )
     )
     said = F.struct(F.lit("assistant").alias("role"), F.col("s.said").alias("content"))
     got = F.struct(F.lit("tool").alias("role"), F.col("s.got").alias("content"))
-    turn = F.when(F.col("step") < F.col("last_step"), F.array(said, got)).otherwise(F.array(said))
+    not_said = (F.col("step") == F.col("last_step")) & F.col("error_type").isin(*CALL_ERRORS.values())
+    answered = (F.col("step") < F.col("last_step")) | (F.col("error_type") == "MAX_ROUNDS_EXCEEDED")
+    pair = F.array(said, got)
+    turn = F.when(not_said, F.slice(pair, 1, 0)).when(answered, pair).otherwise(F.array(said))
     return (
         single.join(failed, "conv_id")
         .where("step <= last_step")
         .groupBy("conv_id", "error_type", "last_step")
         .agg(
-            F.max_by("s.said", "step").alias("last_model_output"),
+            F.max_by("s.said", F.when(~not_said, F.col("step"))).alias("last_model_output"),
+            F.sum("again").alias("n_repeated"),
             F.flatten(
                 F.transform(F.sort_array(F.collect_list(F.struct("step", turn.alias("turn")))), lambda t: t["turn"])
             ).alias("messages"),
@@ -366,18 +375,20 @@ def error_breakdown(verdicts: DataFrame) -> DataFrame:
     )
 
 
-def compare_runs(verdicts: DataFrame) -> DataFrame:
-    """Summaries per ``run`` and each pair's difference in combined standard errors.
-
-    There is one row per run, so pairing the runs is a join of two tiny tables.
-    """
+def compare_runs(verdicts: DataFrame, base: str | None = None) -> DataFrame:
+    """Each run beside a base run, by default the first, with the difference in combined standard errors."""
     runs = verdicts.groupBy("run").agg(*_summary_columns()).select("run", "n_total", "success_rate", "standard_error")
-    other = runs.select(
-        F.col("run").alias("other_run"), F.col("success_rate").alias("other_rate"), F.col("standard_error").alias("other_error")
-    )
+    figures = F.struct("run", "success_rate", "standard_error")
+    first = runs.agg(F.min(figures) if base is None else F.max(F.when(F.col("run") == base, figures)))
+    beside = runs.select(
+        F.col("run").alias("other_run"),
+        F.col("success_rate").alias("other_rate"),
+        F.col("standard_error").alias("other_error"),
+        first.scalar().alias("base"),
+    ).select("*", "base.*")
     gap = F.col("success_rate") - F.col("other_rate")
     spread = F.sqrt(F.pow("standard_error", F.lit(2)) + F.pow("other_error", F.lit(2)))
-    return runs.join(other, F.col("run") < F.col("other_run")).select(
+    return beside.where("run <> other_run").select(
         "run", "other_run", "success_rate", "other_rate", F.round(F.try_divide(gap, spread), 4).alias("gap_in_errors")
     )
 
@@ -405,7 +416,8 @@ def extract_fields(steps: DataFrame) -> DataFrame:
 def score_transcripts(predictions: DataFrame, gold: DataFrame) -> DataFrame:
     """Weighted scores of (conv_id, check_text, sql_text, answer_text) against gold records.
 
-    The usual score credits any check tool; the strict one asks for the right one.
+    The usual score credits any check tool; the strict one asks for the right one. A gold
+    record without a transcript scores nothing.
     """
     check, sql, answer = plain_fields("check_text"), plain_fields("sql_text"), plain_fields("answer_text")
     right_tool = F.coalesce(check["tool_name"] == F.col("gold_tool"), F.lit(False))
@@ -416,7 +428,7 @@ def score_transcripts(predictions: DataFrame, gold: DataFrame) -> DataFrame:
     def credit(condition: Column, points: float) -> Column:
         return F.when(condition, F.lit(points)).otherwise(F.lit(0.0))
 
-    return predictions.join(gold, "conv_id").select(
+    return gold.join(predictions, "conv_id", "left").select(
         "conv_id",
         F.round(
             credit(right_tool | any_check, vocab.SCORE_TOOL) + credit(right_sql, vocab.SCORE_SQL)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -137,6 +138,8 @@ def execute_sql(events: DataFrame, sql: str) -> DataFrame:
     text = sql.strip().rstrip(";")
     if not text.upper().startswith(("SELECT", "WITH")):
         raise ValueError("only SELECT statements are run")
+    if re.search(r"(?i)json_extract\s*\([^,()]*,\s*'(?!\$)", text):
+        raise ValueError("a JSON path starts with $")
     spark = events.sparkSession
     register_json_extract(spark)
     events.createOrReplaceTempView("EVENTS")

@@ -153,7 +153,7 @@ def is_empty_result(text) -> Column:
     text = as_column(text)
     document = F.try_parse_json(text)
     kind = F.schema_of_variant(document)
-    row_list = F.coalesce(*[F.json_array_length(F.get_json_object(text, f"$.{k}")) for k in vocab.RESULT_LIST_KEYS])
+    row_list = F.coalesce(*[F.size(F.try_variant_get(document, f"$.{k}", "array<variant>")) for k in vocab.RESULT_LIST_KEYS])
     return (
         F.when(F.coalesce(strip(text), F.lit("")) == "", True)
         .when(kind == "VOID", True)

@@ -136,7 +136,7 @@ add("meta_unpivot", [GE, _LONG], "SELECT _ID, EVENT, JOB_ID, key, value FROM lon
 add(
     "semi_jobs", [GE],
     "SELECT _ID, JOB_ID FROM grid_events WHERE EVENT = 'JobExecution' AND JOB_ID IN "
-    f"(SELECT JOB_ID FROM grid_events WHERE EVENT = 'FileTransfer' AND {num('size')} > 99 * 1048576.0)",
+    f"(SELECT JOB_ID FROM grid_events WHERE EVENT = 'FileTransfer' AND {num('size')} > 90 * 1048576.0)",
 )
 _PROFILE = (
     "profile",
@@ -880,8 +880,11 @@ _GOOD = (
 add("success_records", [*_CLASSIFIED, _GOOD], "SELECT * FROM good")
 add(
     "error_log_sink", _CLASSIFIED,
-    "SELECT v.conv_id, v.last_step AS step, v.verdict AS error_type, arg_max(p.gen_text, p.step) AS last_model_output, 2 * count(*) - 1 AS n_messages, "
-    "repeat('assistant,tool,', CAST(count(*) - 1 AS BIGINT)) || 'assistant' AS roles FROM verdicts v "
+    "SELECT v.conv_id, v.last_step AS step, v.verdict AS error_type, "
+    "arg_max(p.gen_text, p.step) FILTER (NOT (p.step = v.last_step AND v.verdict IN ('HTTP_ERROR', 'VLLM_RESPONSE_PARSE_ERROR'))) AS last_model_output, "
+    "2 * count(*) + CASE WHEN v.verdict = 'MAX_ROUNDS_EXCEEDED' THEN 0 WHEN v.verdict IN ('HTTP_ERROR', 'VLLM_RESPONSE_PARSE_ERROR') THEN -2 ELSE -1 END AS n_messages, "
+    "rtrim(repeat('assistant,tool,', CAST(count(*) - 1 AS BIGINT)) || CASE WHEN v.verdict = 'MAX_ROUNDS_EXCEEDED' THEN 'assistant,tool' "
+    "WHEN v.verdict IN ('HTTP_ERROR', 'VLLM_RESPONSE_PARSE_ERROR') THEN '' ELSE 'assistant' END, ',') AS roles FROM verdicts v "
     "JOIN parsed p ON p.conv_id = v.conv_id AND p.step <= v.last_step WHERE v.verdict <> 'SUCCESS' GROUP BY v.conv_id, v.last_step, v.verdict",
 )
 add(
@@ -924,7 +927,7 @@ add(
     "compare_runs",
     [*_CLASSIFIED, _GOOD, ("runs", f"SELECT 'run_' || CAST(v.conv_id % 3 AS VARCHAR) AS run, {_SUMMARY} FROM verdicts v LEFT JOIN good g USING (conv_id) GROUP BY 1")],
     "SELECT a.run, b.run AS other_run, a.success_rate, b.success_rate AS other_rate, round((a.success_rate - b.success_rate) / "
-    "sqrt(a.standard_error ** 2 + b.standard_error ** 2), 4) AS gap_in_errors FROM runs a JOIN runs b ON a.run < b.run",
+    "sqrt(a.standard_error ** 2 + b.standard_error ** 2), 4) AS gap_in_errors FROM runs a JOIN runs b ON a.run < b.run WHERE a.run = (SELECT min(run) FROM runs)",
 )
 _CUT = [
     (
@@ -940,8 +943,8 @@ _SCORES = [
     (
         "joined",
         "SELECT g.*, a.tool_name AS tool1, b.tool_name AS tool2, b.sql, c.answer_value, NULLIF(regexp_extract(g.gold_answer, ' is ''(.*?)''', 1), '') AS gold_value "
-        "FROM gold_records g JOIN cut_fields a ON a.conv_id = g.conv_id AND a.step = 0 JOIN cut_fields b ON b.conv_id = g.conv_id AND b.step = 1 "
-        "JOIN cut_fields c ON c.conv_id = g.conv_id AND c.step = 3",
+        "FROM gold_records g LEFT JOIN cut_fields a ON a.conv_id = g.conv_id AND a.step = 0 LEFT JOIN cut_fields b ON b.conv_id = g.conv_id AND b.step = 1 "
+        "LEFT JOIN cut_fields c ON c.conv_id = g.conv_id AND c.step = 3",
     ),
     (
         "scored",
@@ -1032,7 +1035,7 @@ add(
     f"SELECT *, not_named = '' AND not_used = '' AS consistent FROM (SELECT qa_id, {_named(True)} AS not_named, {_named(False)} AS not_used FROM qa_records)",
 )
 _HITS = ", ".join(
-    f"CASE WHEN regexp_matches(lower(user_question), '\\b({'|'.join(words)})') THEN '{tool}' END" for tool, words in vocab.ROUTING_WORDS.items()
+    f"CASE WHEN regexp_matches(lower(user_question), '\\b({'|'.join(words)})(s|ing)?\\b') THEN '{tool}' END" for tool, words in vocab.ROUTING_WORDS.items()
 )
 add(
     "route_question",

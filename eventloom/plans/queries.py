@@ -129,7 +129,7 @@ over_events("meta_unpivot", filters.unpivot)
 over_events(
     "semi_jobs",
     lambda e: analytics.events_of_jobs(
-        filters.of_event(e, "JobExecution"), analytics.jobs_with(e, "FileTransfer", "size", 99 * 1048576.0)
+        filters.of_event(e, "JobExecution"), analytics.jobs_with(e, "FileTransfer", "size", 90 * 1048576.0)
     ).select("_ID", "JOB_ID"),
 )
 over_events("job_profile", inspection.job_profile)

@@ -45,7 +45,8 @@ def register_json_extract(spark: SparkSession) -> None:
     """Make ``json_extract(text, path)`` usable in SQL written for other engines."""
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION json_extract(document STRING, path STRING) "
-        "RETURNS STRING RETURN get_json_object(document, path)"
+        "RETURNS STRING RETURN get_json_object(document, CASE WHEN startswith(path, '$') THEN path "
+        "ELSE raise_error('a JSON path starts with $') END)"
     )
 
 

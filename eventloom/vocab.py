@@ -45,11 +45,11 @@ NO_INPUT = "NO_INPUT"
 TOOL_NAMES = [*CHECK_TOOLS, SQL_TOOL]
 
 ROUTING_WORDS = {
-    "check_JobAllocation": ["allocation", "assignment", "placement"],
+    "check_JobAllocation": ["allocation", "assignment", "placement", "resource assignment"],
     "check_JobExecution": ["execution", "processing", "compute", "running", "queue", "speed", "flops"],
     "check_FileTransfer": ["transfer", "migration", "movement", "sent", "delivered", "source", "destination"],
-    "check_FileRead": ["read", "retrieve", "input", "opened"],
-    "check_FileWrite": ["write", "save", "output", "stored"],
+    "check_FileRead": ["read", "retrieve", "input", "opened file", "disk read"],
+    "check_FileWrite": ["write", "save", "output", "stored file", "disk write"],
 }
 
 # --- fixed values: question templates ---------------------------------------------
