@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from eventloom.llm import lattice, mixing, packing, pii, quality, quotes, secrets, simhash, suffix_tree, tokenrows
 from eventloom.llm.common import documents
+from eventloom.llm.oracle import ORACLE
 
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(function):
@@ -73,9 +73,6 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-ORACLE["op5_mix_sources"] = mixing.copies_sql()
-
-
 @query
 def op6_token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenrows.packed_rows(documents(spark, sf_dir))
@@ -125,3 +122,6 @@ def op9_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_lattice_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+__all__ = ["ORACLE", "QUERIES"]
