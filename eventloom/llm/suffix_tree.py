@@ -48,7 +48,7 @@ class Tree:
     min_count: int = 6
     min_gain: float = 4.0
     strengths: tuple[float, ...] = (2.0, 100.0)
-    block_tokens: int = 4_000_000
+    block_tokens: int = 2_000_000
     bucket_tokens: int = 2_000_000
 
 
@@ -148,7 +148,7 @@ class Block:
         self.train = np.repeat(_unpacked(row.trains, np.uint8) > 0, self.lengths)
         starts = np.cumsum(self.lengths) - self.lengths
         self.starts = starts
-        self.place = np.arange(len(self.words)) - np.repeat(starts, self.lengths)
+        self.place = (np.arange(len(self.words)) - np.repeat(starts, self.lengths)).astype(np.int32)
         self.hashes = self.vocabulary[self.words]
         self.sequences = self.hashes  # of the current order, by the position they end at
         self.counts = None  # of those sequences, over the training texts
