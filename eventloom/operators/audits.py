@@ -85,13 +85,17 @@ def job_id_lint(records: DataFrame, job_id: Column) -> DataFrame:
 
 _NAMES = [c for c in vocab.EVENT_COLUMNS if c != "EVENT"] + [k for k in ALL_KEYS if "_" in k] + [vocab.SQL_TOOL, "json_extract"]
 EXACT_NAME = r"\b(" + "|".join(_NAMES) + r")\b"
+#: Names that are plain words as well, so that finding one proves nothing.
+PLAIN_NAME = r"\b(" + "|".join(["EVENT"] + [k for k in ALL_KEYS if "_" not in k]) + r")\b"
 
 
 def field_name_lint(records: DataFrame, text: str) -> DataFrame:
-    """Exact column, key or function names used where plain language is asked for."""
-    found = matches(text, EXACT_NAME)
+    """Exact column, key or function names used where plain language is asked for; names that
+    are plain words too are listed apart."""
+    found, plain = matches(text, EXACT_NAME), matches(text, PLAIN_NAME)
     return records.select(
-        "qa_id", (F.size(found) > 0).alias("uses_names"), F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("names")
+        "qa_id", (F.size(found) > 0).alias("uses_names"), F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("names"),
+        F.array_join(F.array_sort(F.array_distinct(plain)), ",").alias("plain_names"),
     )
 
 
@@ -140,8 +144,11 @@ def sql_keys(records: DataFrame) -> DataFrame:
 
 
 def sql_unknown_keys(records: DataFrame, known: DataFrame) -> DataFrame:
-    """Keys asked for that occur nowhere in the data."""
-    return sql_keys(records).join(known.select("key").distinct(), "key", "left_anti").select("qa_id", "key")
+    """Keys asked for that are not among the known ones: the key list, or the keys of a sample.
+
+    ``known`` is a list of some forty keys; it is broadcast for that.
+    """
+    return sql_keys(records).join(F.broadcast(known.select("key").distinct()), "key", "left_anti").select("qa_id", "key")
 
 
 SQL_OPERATIONS = {

@@ -300,12 +300,12 @@ def draw_event_type(records: DataFrame, seed=SEED) -> DataFrame:
 
 
 def merge_records(first: DataFrame, second: DataFrame, id_column: str = "qa_id") -> DataFrame:
-    """Put two records together; where both fill a column the second wins."""
+    """Put two records together; of a column in both the second's value counts, null or not."""
     second_columns = [c for c in second.columns if c != id_column]
-    renamed = second.select(id_column, *[F.col(c).alias(f"_{c}") for c in second_columns])
+    renamed = second.select(id_column, F.lit(True).alias("_there"), *[F.col(c).alias(f"_{c}") for c in second_columns])
     joined = first.join(renamed, id_column, "left")
     merged = [
-        F.coalesce(f"_{c}", c).alias(c) if c in second_columns else F.col(c) for c in first.columns if c != id_column
+        F.when(F.col("_there"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in second_columns else F.col(c) for c in first.columns if c != id_column
     ]
     added = [F.col(f"_{c}").alias(c) for c in second_columns if c not in first.columns]
     return joined.select(id_column, *merged, *added)
@@ -322,7 +322,10 @@ STRUCTURE_NOTE = (
     + ", ".join(vocab.STATUSES)
     + ". EVENT is one of "
     + ", ".join(vocab.EVENTS)
-    + "."
+    + ". METADATA is JSON; its keys are, by event: "
+    + "; ".join(f"{event}: {', '.join(keys)}" for event, keys in vocab.EVENT_KEYS.items())
+    + ". A file event succeeded when its STATE is Finished, a JobExecution when its STATUS is finished, "
+    + "a JobAllocation when its STATUS is assigned."
 )
 QUESTION_PROMPT = (
     "Write one question about job {jobid} that needs grouping, ranking or filtering to answer.\n"
@@ -332,6 +335,15 @@ VAGUE_QUESTION_PROMPT = (
     "Write one question about job {jobid} that leaves open which event type it is about.\n"
     "Table: " + STRUCTURE_NOTE + "\nReturn JSON with the keys " + ", ".join(vocab.QUESTION_KEYS) + ".\nRows: "
 )
+GENERAL_PROMPT = (
+    "Write one question about site {site}, or about sites compared with it, that needs grouping, ranking or filtering to answer "
+    "and names no job.\nTable: " + STRUCTURE_NOTE + "\nReturn JSON with the keys " + ", ".join(vocab.QUESTION_KEYS)
+    + ".\nSample: {check_result}"
+)
+VAGUE_GENERAL_PROMPT = (
+    "Write one question about site {site} that names no job and leaves open which event type it is about.\n"
+    "Table: " + STRUCTURE_NOTE + "\nReturn JSON with the keys " + ", ".join(vocab.QUESTION_KEYS) + ".\nSample: {check_result}"
+)
 SQL_PROMPT = (
     "Write one SELECT over EVENTS that answers the question, using only keys seen in the sample.\n"
     "Question: {user_question}\nReason: {reason_check}\nTool: {check_tool}\nSample: {check_result}\n"
@@ -356,6 +368,15 @@ def sql_prompts(records: DataFrame, check_results: DataFrame) -> DataFrame:
     return joined.select("qa_id", prompt.alias("prompt"))
 
 
+def general_prompts(sites: DataFrame, check_results: DataFrame, vague: float = 0.1, seed=SEED) -> DataFrame:
+    """Prompts for questions that are not about one job: one per site, clear or vague, with the
+    sample of all event types, a single bounded text."""
+    sample = check_results.where(F.col("tool_name") == vocab.CHECK_ALL).select(F.max("check_result")).scalar()
+    template = F.when(below_probability(f"{seed}:vague", "site", vague), F.lit(VAGUE_GENERAL_PROMPT)).otherwise(F.lit(GENERAL_PROMPT))
+    prompt = fill(template, site="site", check_result=F.coalesce(sample, F.lit("[]")))
+    return sites.where("site IS NOT NULL").select("site", prompt.alias("prompt"))
+
+
 def answer_prompts(answered: DataFrame) -> DataFrame:
     """Prompts for the answer step from records with their result text; a long result
     continues in further parts."""

@@ -33,11 +33,16 @@ def _result_facts(results: DataFrame) -> DataFrame:
     )
 
 
-def result_quality(questions: DataFrame, results: DataFrame) -> DataFrame:
-    """Reject empty results, a single zero, and results with nothing but NULLs."""
-    facts = questions.select("qa_id").join(_result_facts(results), "qa_id", "left")
+def result_quality(questions: DataFrame, results: DataFrame, failed: Column | None = None) -> DataFrame:
+    """Reject failed queries, empty results, a single zero, and results with nothing but NULLs.
+
+    ``failed`` is a condition on a question that says its query ended with an error.
+    """
+    broken = F.coalesce(F.lit(False) if failed is None else failed, F.lit(False))
+    facts = questions.select("qa_id", broken.alias("_broken")).join(_result_facts(results), "qa_id", "left")
     reason = (
-        F.when(F.col("n_cells").isNull(), "empty")
+        F.when(F.col("_broken"), "query_error")
+        .when(F.col("n_cells").isNull(), "empty")
         .when((F.col("n_cells") == 1) & (F.col("first_cell").try_cast("double") == 0), "zero")
         .when(F.col("n_filled") == 0, "all_null")
     )

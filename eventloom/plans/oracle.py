@@ -403,6 +403,13 @@ add(
     "'{reason_check}', q.reason_check), '{check_tool}', q.check_tool), '{check_result}', coalesce(c.check_result, '[]')) AS prompt "
     "FROM qa_records q LEFT JOIN check_results c ON c.tool_name = q.check_tool",
 )
+add(
+    "render_general_prompts", [GE, *_checks(1)],
+    f"SELECT DISTINCT {m('site')} AS site, replace(replace(CASE WHEN substr(md5('42:vague:' || {m('site')}), 1, 8) < '19999999' "
+    f"THEN {lit(generation.VAGUE_GENERAL_PROMPT)} ELSE {lit(generation.GENERAL_PROMPT)} END, '{{site}}', {m('site')}), '{{check_result}}', "
+    "(SELECT check_result FROM check_results WHERE tool_name = 'check_All')) AS prompt "
+    f"FROM grid_events WHERE EVENT = 'JobAllocation' AND {m('site')} IS NOT NULL",
+)
 _RESULT_TEXT = (
     "result_text",
     "SELECT qa_id, '[' || string_agg('[' || coalesce('\"' || cell || '\"', 'null') || ']', ', ' ORDER BY row_no) || ']' AS text "
@@ -425,7 +432,7 @@ add(
 )
 add(
     "merge_records", [QA],
-    "SELECT qa_id, user_question, check_tool, CASE WHEN qa_id % 2 = 0 THEN reason_sql ELSE reason_check END AS reason, sql FROM qa_records",
+    "SELECT qa_id, user_question, check_tool, CASE WHEN qa_id % 2 = 0 THEN reason_sql END AS reason, sql FROM qa_records",
 )
 
 # --- validation and routing -------------------------------------------------------
@@ -437,7 +444,7 @@ add(
 )
 add(
     "result_quality", [QA, SR],
-    "SELECT qa_id, reason IS NULL AS accepted, reason AS reject_reason FROM (SELECT q.qa_id, CASE WHEN count(r.qa_id) = 0 THEN 'empty' "
+    "SELECT qa_id, reason IS NULL AS accepted, reason AS reject_reason FROM (SELECT q.qa_id, CASE WHEN q.qa_id % 17 = 3 THEN 'query_error' WHEN count(r.qa_id) = 0 THEN 'empty' "
     "WHEN count(r.qa_id) = 1 AND TRY_CAST(max(r.cell) AS DOUBLE) = 0 THEN 'zero' WHEN count(r.cell) = 0 THEN 'all_null' END AS reason "
     "FROM qa_records q LEFT JOIN sql_results r USING (qa_id) GROUP BY q.qa_id)",
 )
@@ -989,10 +996,12 @@ add(
 _NAMES = "\\b(" + "|".join(
     [c for c in vocab.EVENT_COLUMNS if c != "EVENT"] + [k for k in ALL_KEYS if "_" in k] + ["execute_sql", "json_extract"]
 ) + ")\\b"
+_PLAIN_NAMES = "\\b(" + "|".join(["EVENT"] + [k for k in ALL_KEYS if "_" not in k]) + ")\\b"
 add(
     "lint_field_names", [GE, *_lookups(None, 2)],
     f"SELECT qa_id, len(regexp_extract_all(question, '{_NAMES}')) > 0 AS uses_names, "
-    f"array_to_string(list_sort(list_distinct(regexp_extract_all(question, '{_NAMES}'))), ',') AS names FROM filled",
+    f"array_to_string(list_sort(list_distinct(regexp_extract_all(question, '{_NAMES}'))), ',') AS names, "
+    f"array_to_string(list_sort(list_distinct(regexp_extract_all(question, '{_PLAIN_NAMES}'))), ',') AS plain_names FROM filled",
 )
 add(
     "lint_sql", [QA],
@@ -1001,9 +1010,9 @@ add(
     "regexp_matches(sql, 'JOB_ID LIKE') AS plain_column_like FROM qa_records",
 )
 add(
-    "sql_unknown_keys", [QA, GE, _LONG],
+    "sql_unknown_keys", [QA, _ALLOWED],
     "SELECT qa_id, key FROM (SELECT DISTINCT qa_id, unnest(regexp_extract_all(sql, 'json_extract\\(METADATA, ''(?:\\$\\.)?([A-Za-z_0-9]+)''', 1)) AS key FROM qa_records) "
-    "WHERE key NOT IN (SELECT key FROM long)",
+    "WHERE key NOT IN (SELECT key FROM allowed)",
 )
 _SQL_FLAGS = {
     "filters": "\\bWHERE\\b", "json_extract": "JSON_EXTRACT", "aggregation": "\\b(COUNT|SUM|AVG|MIN|MAX)\\s*\\(", "grouping": "\\bGROUP\\s+BY\\b",

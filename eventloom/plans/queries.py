@@ -238,6 +238,12 @@ def render_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generation.sql_prompts(view(spark, sf_dir, "qa_records"), results)
 
 
+@query
+def render_general_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = view(spark, sf_dir, "grid_events")
+    return generation.general_prompts(analytics.site_frequencies(events), inspection.check_results(events, 1))
+
+
 @query
 def render_answer_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     answered = quality.with_result_text(view(spark, sf_dir, "qa_records"), view(spark, sf_dir, "sql_results"))
@@ -263,7 +269,7 @@ def over_results(name: str, job) -> None:
     QUERIES[name] = lambda spark, sf_dir: job(view(spark, sf_dir, "qa_records"), view(spark, sf_dir, "sql_results"))
 
 
-over_results("result_quality", quality.result_quality)
+over_results("result_quality", lambda q, r: quality.result_quality(q, r, F.col("qa_id") % 17 == 3))
 over_results("flag_zero_results", quality.flag_zero_results)
 over_results("expected_marker", quality.marker_disagreements)
 over_records("route_answers", lambda r: quality.route_answers(r).select("qa_id", "route", "answer", "raw_answer_output"))
@@ -600,8 +606,7 @@ over_records("lint_sql", audits.sql_lint)
 
 @query
 def sql_unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = filters.unpivot(view(spark, sf_dir, "grid_events"))
-    return audits.sql_unknown_keys(view(spark, sf_dir, "qa_records"), known)
+    return audits.sql_unknown_keys(view(spark, sf_dir, "qa_records"), audits.allowed_keys(spark))
 
 
 over_records("sql_features", audits.sql_features)
