@@ -52,6 +52,7 @@ def successful(allocation_needs_assignment: bool = True) -> Column:
     )
 
 
-def flat(column: str = "METADATA") -> Column:
-    """All known fields at once, typed, from a single parse."""
-    return F.from_json(as_column(column), FLAT_SCHEMA)
+def flat(column: str = "METADATA", *fields: str) -> Column:
+    """All known fields, or those named, at once, typed, from a single parse."""
+    schema = T.StructType([FLAT_SCHEMA[f] for f in fields]) if fields else FLAT_SCHEMA
+    return F.from_json(as_column(column), schema)

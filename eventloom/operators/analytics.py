@@ -90,7 +90,7 @@ def job_time_breakdown(events: DataFrame) -> DataFrame:
 
     On equal times the stage named first wins: execution, queue, read, write, transfer.
     """
-    timed = events.select("EVENT", "JOB_ID", flat().alias("m")).select(
+    timed = events.select("EVENT", "JOB_ID", flat("METADATA", "duration", "total_queue_time").alias("m")).select(
         "EVENT", "JOB_ID", F.col("m.duration").alias("duration"), F.col("m.total_queue_time").alias("queue")
     )
 

@@ -53,10 +53,9 @@ def attach_tools(records: DataFrame) -> DataFrame:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Rows evenly over all shuffle partitions: each grows many times over when it becomes
-    a conversation, which its size does not show. Parts of one long result separate too."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "conv_id", "part")
+    """Rows evenly spread: each grows many times over when it becomes a conversation, which
+    its size does not show. Parts of one long result separate too."""
+    return rows.repartition("conv_id", "part")
 
 
 def with_parts(records: DataFrame, parts: DataFrame) -> DataFrame:
