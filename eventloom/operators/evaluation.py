@@ -255,8 +255,25 @@ def success_records(steps: DataFrame, max_rounds: int = vocab.MAX_ROUNDS) -> Dat
     )
 
 
-def error_records(steps: DataFrame, max_rounds: int = vocab.MAX_ROUNDS) -> DataFrame:
-    """Failed conversations with their last output and their messages.
+def error_message(error_type="error_type", detail="detail") -> Column:
+    """What went wrong: the tool's own text where it failed, else a sentence for the class."""
+    kind = F.col(error_type)
+    told = F.lit(None).cast("string")
+    for name, text in vocab.ERROR_MESSAGES.items():
+        told = F.coalesce(F.when(kind == name, F.lit(text)), told)
+    return F.coalesce(F.when(kind.isin(*TOOL_ERRORS.values()), F.col(detail)), told, kind)
+
+
+def error_records(
+    steps: DataFrame,
+    max_rounds: int = vocab.MAX_ROUNDS,
+    requests: DataFrame | None = None,
+    system: str = vocab.SYSTEM_MESSAGE,
+) -> DataFrame:
+    """Failed conversations with their request, error message, last output and messages.
+
+    ``requests`` (conv_id, user_request) gives what was asked; messages begin with the system
+    message and that request, null where it is not known.
 
     A call that failed left no output, so messages end before it; where all rounds are used
     up, the last tool result is there too. Steps are brought together by number first, so
@@ -270,27 +287,37 @@ def error_records(steps: DataFrame, max_rounds: int = vocab.MAX_ROUNDS) -> DataF
         .agg(
             F.max(F.struct(F.coalesce("gen_text", F.lit("")).alias("said"), F.coalesce("tool_result", F.lit("")).alias("got"))).alias("s"),
             (F.count(F.lit(1)) - 1).alias("again"),
+            F.max(F.coalesce(F.col("call_status").isin(*CALL_ERRORS), F.lit(False))).alias("lost"),
         )
     )
     said = F.struct(F.lit("assistant").alias("role"), F.col("s.said").alias("content"))
     got = F.struct(F.lit("tool").alias("role"), F.col("s.got").alias("content"))
-    not_said = (F.col("step") == F.col("last_step")) & F.col("error_type").isin(*CALL_ERRORS.values())
+    not_said = (F.col("step") == F.col("last_step")) & F.col("lost")
     answered = (F.col("step") < F.col("last_step")) | (F.col("error_type") == "MAX_ROUNDS_EXCEEDED")
     pair = F.array(said, got)
     turn = F.when(not_said, F.slice(pair, 1, 0)).when(answered, pair).otherwise(F.array(said))
-    return (
+    records = (
         single.join(failed, "conv_id")
         .where("step <= last_step")
         .groupBy("conv_id", "error_type", "last_step")
         .agg(
             F.max_by("s.said", F.when(~not_said, F.col("step"))).alias("last_model_output"),
             F.sum("again").alias("n_repeated"),
+            F.max_by("s.got", "step").alias("detail"),
             F.flatten(
                 F.transform(F.sort_array(F.collect_list(F.struct("step", turn.alias("turn")))), lambda t: t["turn"])
             ).alias("messages"),
         )
         .withColumnRenamed("last_step", "step")
     )
+    asked = records.withColumn("user_request", F.lit(None).cast("string")) if requests is None else records.join(
+        requests.select("conv_id", "user_request"), "conv_id", "left"
+    )
+    opening = F.array(
+        F.struct(F.lit("system").alias("role"), F.lit(system).alias("content")),
+        F.struct(F.lit("user").alias("role"), F.col("user_request").alias("content")),
+    )
+    return asked.withColumns({"error_message": error_message(), "messages": F.concat(opening, "messages")}).drop("detail")
 
 
 def verdict_only_sql(steps: DataFrame) -> DataFrame:

@@ -886,13 +886,15 @@ _GOOD = (
 )
 add("success_records", [*_CLASSIFIED, _GOOD], "SELECT * FROM good")
 add(
-    "error_log_sink", _CLASSIFIED,
-    "SELECT v.conv_id, v.last_step AS step, v.verdict AS error_type, "
-    "arg_max(p.gen_text, p.step) FILTER (NOT (p.step = v.last_step AND v.verdict IN ('HTTP_ERROR', 'VLLM_RESPONSE_PARSE_ERROR'))) AS last_model_output, "
-    "2 * count(*) + CASE WHEN v.verdict = 'MAX_ROUNDS_EXCEEDED' THEN 0 WHEN v.verdict IN ('HTTP_ERROR', 'VLLM_RESPONSE_PARSE_ERROR') THEN -2 ELSE -1 END AS n_messages, "
-    "rtrim(repeat('assistant,tool,', CAST(count(*) - 1 AS BIGINT)) || CASE WHEN v.verdict = 'MAX_ROUNDS_EXCEEDED' THEN 'assistant,tool' "
+    "error_log_sink", [QA, *_CLASSIFIED],
+    "SELECT v.conv_id, v.last_step AS step, v.verdict AS error_type, any_value(q.user_question) AS user_request, "
+    "CASE WHEN v.verdict IN ('SQL_EXECUTION_ERROR', 'SQL_TOOL_RUNTIME_ERROR') THEN arg_max(p.tool_result, p.step) ELSE coalesce(CASE v.verdict "
+    + " ".join(f"WHEN '{kind}' THEN {lit(text)}" for kind, text in vocab.ERROR_MESSAGES.items())
+    + " END, v.verdict) END AS error_message, arg_max(p.gen_text, p.step) FILTER (NOT (p.step = v.last_step AND v.verdict IN ('HTTP_ERROR', 'VLLM_RESPONSE_PARSE_ERROR'))) AS last_model_output, "
+    "2 + 2 * count(*) + CASE WHEN v.verdict = 'MAX_ROUNDS_EXCEEDED' THEN 0 WHEN v.verdict IN ('HTTP_ERROR', 'VLLM_RESPONSE_PARSE_ERROR') THEN -2 ELSE -1 END AS n_messages, "
+    "rtrim('system,user,' || repeat('assistant,tool,', CAST(count(*) - 1 AS BIGINT)) || CASE WHEN v.verdict = 'MAX_ROUNDS_EXCEEDED' THEN 'assistant,tool' "
     "WHEN v.verdict IN ('HTTP_ERROR', 'VLLM_RESPONSE_PARSE_ERROR') THEN '' ELSE 'assistant' END, ',') AS roles FROM verdicts v "
-    "JOIN parsed p ON p.conv_id = v.conv_id AND p.step <= v.last_step WHERE v.verdict <> 'SUCCESS' GROUP BY v.conv_id, v.last_step, v.verdict",
+    "JOIN parsed p ON p.conv_id = v.conv_id AND p.step <= v.last_step LEFT JOIN qa_records q ON q.qa_id = v.conv_id WHERE v.verdict <> 'SUCCESS' GROUP BY v.conv_id, v.last_step, v.verdict",
 )
 add(
     "verdict_only_sql",

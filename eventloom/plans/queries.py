@@ -88,16 +88,17 @@ def route_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ERROR_SCHEMA = (
     "conv_id bigint, step bigint, last_model_output string, messages array<struct<role:string,content:string>>, "
-    "error_type string"
+    "error_type string, user_request string, error_message string"
 )
 
 
 @query
 def error_log_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "error_log")
-    sinks.write_error_log(evaluation.error_records(view(spark, sf_dir, "transcript_steps"), 4), path)
+    asked = view(spark, sf_dir, "qa_records").select(F.col("qa_id").alias("conv_id"), F.col("user_question").alias("user_request"))
+    sinks.write_error_log(evaluation.error_records(view(spark, sf_dir, "transcript_steps"), 4, asked), path)
     return spark.read.schema(ERROR_SCHEMA).json(path).select(
-        "conv_id", "step", "error_type", "last_model_output", F.size("messages").alias("n_messages"),
+        "conv_id", "step", "error_type", "user_request", "error_message", "last_model_output", F.size("messages").alias("n_messages"),
         F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"),
     )
 

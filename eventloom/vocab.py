@@ -196,3 +196,25 @@ WHITESPACE = (
 )
 
 SYSTEM_MESSAGE = "Answer questions about the event log. Call tools when you need to look at the data."
+
+# --- messages of errors (own wording) ----------------------------------------------
+ERROR_MESSAGES = {
+    "HTTP_ERROR": "the call to the model failed",
+    "VLLM_RESPONSE_PARSE_ERROR": "the model's response could not be read",
+    "UNEXPECTED_ERROR": "the call ended in an unexpected way",
+    "GENERATION_LENGTH_CUTOFF": "the output was cut off at the greatest number of tokens",
+    "EMPTY_FINAL_ANSWER": "there is neither a tool call nor an answer",
+    "TOOLCALL_TAG_UNCLOSED": "a tool call is opened and never closed",
+    "TOOLCALL_JSON_ERROR": "the tool call is not valid JSON",
+    "TOOLCALL_NOT_LIST": "the tool call is not a list",
+    "EMPTY_TOOLCALL": "the list of tool calls is empty",
+    "TOOLCALL_NOT_DICT": "the first tool call is not an object",
+    "TOOLCALL_MISSING_NAME": "the tool call has no name",
+    "REPEATED_TOOLCALL_LOOP": "the same tool call was made before",
+    "UNKNOWN_CHECK_TOOL": "there is no such check tool",
+    "UNKNOWN_TOOL": "there is no such tool",
+    "SQL_ARGUMENT_ERROR": "the SQL tool was called without SQL",
+    "SQL_HALLUCINATION_OR_EXECUTION_ERROR": "the result looks like an error of the database",
+    "SQL_EMPTY_RESULT": "the SQL ran and returned nothing",
+    "MAX_ROUNDS_EXCEEDED": "no answer within the allowed rounds",
+}

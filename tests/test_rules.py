@@ -20,16 +20,24 @@ def test_messages_end_before_a_failed_call(spark):
     rows = steps(spark, (1, 0, "lost", "http_error"), (2, 0, CALL % 0, "ok"), (2, 1, "lost", "http_error"), (2, 1, "lost", "http_error"))
     got = {r.conv_id: r for r in evaluation.error_records(rows, 4).collect()}
     assert got[1].error_type == got[2].error_type == "HTTP_ERROR"
-    assert got[1].messages == [] and got[1].last_model_output is None
-    assert [(m.role, m.content) for m in got[2].messages] == [("assistant", CALL % 0), ("tool", "result 0")]
+    assert [m.role for m in got[1].messages] == ["system", "user"] and got[1].last_model_output is None
+    assert [(m.role, m.content) for m in got[2].messages[2:]] == [("assistant", CALL % 0), ("tool", "result 0")]
     assert got[2].last_model_output == CALL % 0 and (got[1].n_repeated, got[2].n_repeated) == (0, 1)
 
 
+def test_an_unexpected_tool_name_keeps_its_message(spark):
+    odd = '<TOOLCALL>[{"name": 5}]</TOOLCALL>'
+    got = evaluation.error_records(steps(spark, (1, 0, odd, "ok")), 3).first()
+    assert got.error_type == "UNEXPECTED_ERROR" and got.last_model_output == odd and len(got.messages) == 3
+
+
 def test_messages_of_used_up_rounds_end_with_the_tool(spark):
     rows = steps(spark, *[(1, i, CALL % i, "ok") for i in range(3)])
-    got = evaluation.error_records(rows, 3).first()
+    asked = spark.createDataFrame([(1, "what?")], "conv_id int, user_request string")
+    got = evaluation.error_records(rows, 3, asked).first()
+    assert got.user_request == got.messages[1].content == "what?" and "rounds" in got.error_message
     assert got.error_type == "MAX_ROUNDS_EXCEEDED"
-    assert [m.role for m in got.messages] == ["assistant", "tool"] * 3 and got.last_model_output == CALL % 2
+    assert [m.role for m in got.messages[2:]] == ["assistant", "tool"] * 3 and got.last_model_output == CALL % 2
 
 
 def test_short_test_sentences_leak_too(spark):
