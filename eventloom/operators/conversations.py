@@ -1,7 +1,8 @@
 """Training conversations as message rows, and their rendered text.
 
 A conversation is a set of rows (conv_id, seq, turn, role, content, tool_name,
-tool_args, opens, closes). ``seq`` orders the rows. A very long tool result spans
+tool_args, tools, opens, closes). ``seq`` orders the rows. ``tools`` is the catalogue of a
+tool-calling conversation and stands in its first row only. A very long tool result spans
 several rows of the same turn; ``opens`` and ``closes`` mark its first and last one.
 """
 
@@ -16,11 +17,11 @@ from eventloom.functions.running import BLOCK
 from eventloom.functions.text import as_column, json_quote
 from eventloom.sources.tools import tools_json
 
-MESSAGE_COLUMNS = ["conv_id", "seq", "turn", "role", "content", "tool_name", "tool_args", "opens", "closes"]
+MESSAGE_COLUMNS = ["conv_id", "seq", "turn", "role", "content", "tool_name", "tool_args", "tools", "opens", "closes"]
 NO_INPUT_ARGUMENTS = '{"input": "' + vocab.NO_INPUT + '"}'
 
 
-def _message(turn: int, role: str, content, seq=None, tool_name=None, tool_args=None) -> Column:
+def _message(turn: int, role: str, content, seq=None, tool_name=None, tool_args=None, tools: str | None = None) -> Column:
     return F.struct(
         (F.lit(turn) if seq is None else seq).cast("bigint").alias("seq"),
         F.lit(turn).cast("bigint").alias("turn"),
@@ -28,6 +29,7 @@ def _message(turn: int, role: str, content, seq=None, tool_name=None, tool_args=
         as_column(content).alias("content"),
         (F.lit(None) if tool_name is None else as_column(tool_name)).cast("string").alias("tool_name"),
         (F.lit(None) if tool_args is None else as_column(tool_args)).cast("string").alias("tool_args"),
+        F.lit(tools).cast("string").alias("tools"),
     )
 
 
@@ -68,15 +70,19 @@ def with_parts(records: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
-def assemble(records: DataFrame, check_results: DataFrame, system: str = vocab.SYSTEM_MESSAGE) -> DataFrame:
+def assemble(
+    records: DataFrame, check_results: DataFrame, system: str = vocab.SYSTEM_MESSAGE, tools: str | None = None
+) -> DataFrame:
     """Message rows of records (conv_id, question, think1, tool1, think2, tool2, sql, answer)
     that carry their result text (part, n_parts, result_text).
 
     Seven messages per conversation; only the SQL result, message six, can take several rows.
+    The tool catalogue, the default one if none is given, goes along with the first message.
     """
+    catalogue = tools_json() if tools is None else tools
     parts = attach_check_result(spread(records), check_results, "tool1")
     first = F.array(
-        _message(0, "system", F.lit(system)),
+        _message(0, "system", F.lit(system), tools=catalogue),
         _message(1, "user", "question"),
         _message(2, "assistant", "think1", None, "tool1", F.lit(NO_INPUT_ARGUMENTS)),
         _message(3, "tool", "check_result"),
@@ -150,7 +156,7 @@ def plain_messages(conversations: DataFrame) -> DataFrame:
     nothing = F.lit(None).cast("string")
     return conversations.select(
         "conv_id", F.col("turn").alias("seq"), "turn", "role", F.col("text").alias("content"),
-        nothing.alias("tool_name"), nothing.alias("tool_args"), F.lit(True).alias("opens"), F.lit(True).alias("closes"),
+        nothing.alias("tool_name"), nothing.alias("tool_args"), nothing.alias("tools"), F.lit(True).alias("opens"), F.lit(True).alias("closes"),
     )
 
 
@@ -166,24 +172,26 @@ def implode_messages(messages: DataFrame, block: int = BLOCK) -> DataFrame:
     further rows, so no conversation is gathered without bound; every message carries its
     turn. The parts of one turn, as of a long tool result, are put together to one message.
     """
+    others = [c for c in ("role", "tool_name", "tool_args", "tools") if c in messages.columns]
     whole = messages.groupBy("conv_id", "turn").agg(
         F.min("seq").alias("seq"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "content"))), lambda p: p["content"]), "").alias("joined"),
         F.count("content").alias("_told"),
-        *[F.first(c, ignorenulls=True).alias(c) for c in ("role", "tool_name", "tool_args")],
-    )
-    message = F.struct(
-        "seq", "turn", "role", F.when(F.col("_told") > 0, F.col("joined")).alias("content"), "tool_name", "tool_args"
+        *[F.first(c, ignorenulls=True).alias(c) for c in others],
     )
+    message = F.struct("seq", "turn", F.when(F.col("_told") > 0, F.col("joined")).alias("content"), *others)
     return whole.groupBy("conv_id", F.floor(F.col("turn") / F.lit(block)).alias("block_no")).agg(
         F.transform(F.array_sort(F.collect_list(message)), lambda m: m.dropFields("seq")).alias("messages")
     )
 
 
-def rendered(role="role", content="content", tool_name="tool_name", tool_args="tool_args", opens="opens", closes="closes") -> Column:
+def rendered(
+    role="role", content="content", tool_name="tool_name", tool_args="tool_args", opens="opens", closes="closes", tools=None
+) -> Column:
     """One message row as text with role header and end tag.
 
-    Tool results are shown to the model as a user message between response tags.
+    Tool results are shown to the model as a user message between response tags. A tool
+    catalogue is shown before the text of the message that carries it.
     """
     role, opens, closes = as_column(role), as_column(opens), as_column(closes)
     is_tool = role == "tool"
@@ -192,6 +200,9 @@ def rendered(role="role", content="content", tool_name="tool_name", tool_args="t
         F.lit(vocab.HEADER_START), shown_role, F.lit(vocab.HEADER_END + "\n\n"),
         F.when(is_tool, F.lit(vocab.TOOL_RESPONSE_START)).otherwise(F.lit("")),
     )
+    if tools is not None:
+        shown = F.concat(F.lit(vocab.TOOLS_START), as_column(tools), F.lit(vocab.TOOLS_END + "\n\n"))
+        head = F.concat(head, F.when(as_column(tools).isNotNull(), shown).otherwise(F.lit("")))
     call = F.when(
         as_column(tool_name).isNotNull(),
         F.concat(
@@ -212,7 +223,7 @@ def rendered(role="role", content="content", tool_name="tool_name", tool_args="t
 
 def render_segments(messages: DataFrame) -> DataFrame:
     """Each message row with its part of the conversation's text."""
-    return messages.withColumn("segment", rendered())
+    return messages.withColumn("segment", rendered(tools="tools" if "tools" in messages.columns else None))
 
 
 def render_conversation(messages: DataFrame, block: int = BLOCK) -> DataFrame:

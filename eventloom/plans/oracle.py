@@ -9,6 +9,7 @@ from eventloom import vocab
 from eventloom.fixtures import view_sql
 from eventloom.functions.metadata import ALL_KEYS
 from eventloom.operators import generation
+from eventloom.sources.tools import tools_json
 
 ORACLE: dict[str, str] = {}
 
@@ -504,7 +505,8 @@ def _messages(source: str, conv_type: str = "BIGINT"):
     def row(turn, role, content, tool="NULL", arguments="NULL"):
         return (
             f"SELECT conv_id, CAST({turn} AS BIGINT) AS seq, CAST({turn} AS BIGINT) AS turn, '{role}' AS role, {content} AS content, "
-            f"CAST({tool} AS VARCHAR) AS tool_name, CAST({arguments} AS VARCHAR) AS tool_args, true AS opens, true AS closes FROM {source}"
+            f"CAST({tool} AS VARCHAR) AS tool_name, CAST({arguments} AS VARCHAR) AS tool_args, "
+            f"{lit(tools_json()) if turn == 0 else 'CAST(NULL AS VARCHAR)'} AS tools, true AS opens, true AS closes FROM {source}"
         )
 
     return (
@@ -562,7 +564,7 @@ add(
 def _five(turn: int, role: str, content: str) -> str:
     return (
         f"SELECT q.qa_id AS conv_id, CAST({turn} AS BIGINT) AS seq, CAST({turn} AS BIGINT) AS turn, '{role}' AS role, {content} AS content, "
-        "CAST(NULL AS VARCHAR) AS tool_name, CAST(NULL AS VARCHAR) AS tool_args, true AS opens, true AS closes "
+        "CAST(NULL AS VARCHAR) AS tool_name, CAST(NULL AS VARCHAR) AS tool_args, CAST(NULL AS VARCHAR) AS tools, true AS opens, true AS closes "
         "FROM routed q LEFT JOIN result_text r ON r.qa_id = q.qa_id"
     )
 
@@ -685,9 +687,15 @@ _CALL = "CASE WHEN tool_name IS NOT NULL THEN '<TOOLCALL>[{\"name\": \"' || tool
 _RENDERED_MESSAGES = (
     "rendered",
     "SELECT conv_id, seq, role, " + _HEAD.format("CASE WHEN role = 'tool' THEN 'user' ELSE role END")
-    + "CASE WHEN role = 'tool' THEN '<TOOL_RESPONSE>' ELSE '' END || coalesce(content, '') || " + _CALL
+    + "CASE WHEN role = 'tool' THEN '<TOOL_RESPONSE>' ELSE '' END || coalesce('<TOOLS>' || tools || '</TOOLS>' || chr(10) || chr(10), '') "
+    + "|| coalesce(content, '') || " + _CALL
     + " || CASE WHEN role = 'tool' THEN '</TOOL_RESPONSE>' ELSE '' END" + _TAIL + " AS segment FROM messages",
 )
+add(
+    "render_tool_conversation", [*_model("q.reason_check", "q.reason_sql"), _RENDERED_MESSAGES],
+    "SELECT conv_id, seq // 4096 AS block_no, md5(string_agg(segment, '' ORDER BY seq)) AS text_hash, CAST(sum(length(segment)) AS INTEGER) AS n_chars "
+    "FROM rendered GROUP BY ALL",
+)
 
 
 def _weights():

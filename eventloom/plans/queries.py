@@ -360,6 +360,12 @@ def explode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.explode_messages(conversations.implode_messages(_stored(spark, sf_dir)))
 
 
+@query
+def render_tool_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model-written conversations as text, with the tool catalogue in the header."""
+    return conversations.render_conversation(_model_messages(spark, sf_dir)).select("conv_id", "block_no", F.md5("text").alias("text_hash"), F.length("text").alias("n_chars"))
+
+
 @query
 def render_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.render_conversation(_stored(spark, sf_dir))

@@ -172,6 +172,8 @@ SHORT_END_OF_TURN = "<eot_id>"
 TOOL_RESPONSE_START = "<TOOL_RESPONSE>"
 TOOL_RESPONSE_END = "</TOOL_RESPONSE>"
 TOOLCALL_START = "<TOOLCALL>"
+TOOLS_START = "<TOOLS>"  # own form, as is the rest of the rendered header
+TOOLS_END = "</TOOLS>"
 TOOLCALL_END = "</TOOLCALL>"
 PLACEHOLDER = "▁▁"
 IGNORE_LABEL = -100
