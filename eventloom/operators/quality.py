@@ -176,13 +176,19 @@ def error_text_found(text) -> Column:
 
 
 def capture_errors(steps: DataFrame) -> DataFrame:
-    """Steps that failed while running SQL or while calling the model, with the message."""
+    """Whole steps that failed while running SQL or while calling the model.
+
+    ``sql_error`` or ``answer_error`` says how, ``message`` what was reported: the tool's text,
+    or what came instead of an answer.
+    """
+    reported = F.when(F.col("sql_error").isNotNull(), F.col("tool_result")).otherwise(F.col("gen_text"))
     return (
         steps.withColumn("sql_error", F.when(F.col("tool_status") != "ok", F.col("tool_status")))
         .withColumn(
             "answer_error", F.when(F.col("sql_error").isNull() & (F.col("call_status") != "ok"), F.col("call_status"))
         )
         .where(F.col("sql_error").isNotNull() | F.col("answer_error").isNotNull())
+        .withColumn("message", reported)
     )
 
 

@@ -480,7 +480,7 @@ add(
 add(
     "capture_errors", [TS],
     "SELECT conv_id, step, CASE WHEN tool_status <> 'ok' THEN tool_status END AS sql_error, CASE WHEN tool_status = 'ok' AND call_status <> 'ok' "
-    "THEN call_status END AS answer_error FROM transcript_steps WHERE tool_status <> 'ok' OR call_status <> 'ok'",
+    "THEN call_status END AS answer_error, CASE WHEN tool_status <> 'ok' THEN tool_result ELSE gen_text END AS message, gen_text FROM transcript_steps WHERE tool_status <> 'ok' OR call_status <> 'ok'",
 )
 _CLEAN = [
     OS,

@@ -287,7 +287,7 @@ over_steps(
         "*", F.col("found").isNotNull().alias("looks_like_error")
     ),
 )
-over_steps("capture_errors", lambda s: quality.capture_errors(s).select("conv_id", "step", "sql_error", "answer_error"))
+over_steps("capture_errors", lambda s: quality.capture_errors(s).select("conv_id", "step", "sql_error", "answer_error", "message", "gen_text"))
 over("only_sql_steps", "clean_sql", lambda s: s.select("conv_id", "step", quality.clean_sql("gen_text").alias("sql")))
 
 
