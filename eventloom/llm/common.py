@@ -37,6 +37,11 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def quoted(name: str) -> str:
+    """A column name taken literally, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def carried(rows: DataFrame, keep: Sequence[str] | None = None, **named) -> DataFrame:
     """The columns an operator works on, and the input row beside them as ``row``.
 
@@ -44,7 +49,7 @@ def carried(rows: DataFrame, keep: Sequence[str] | None = None, **named) -> Data
     ``keep`` names the columns of the row that are still wanted afterwards; all by default.
     """
     ship(rows.sparkSession)
-    row = F.struct(*(rows.columns if keep is None else keep))
+    row = F.struct(*[F.col(quoted(c)) for c in (rows.columns if keep is None else keep)])
     return rows.select(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in named.items()], row.alias("row"))
 
 
@@ -130,4 +135,4 @@ def components(nodes: DataFrame, links: DataFrame, node: str = "id", a: str = "a
     )
 
 
-__all__ = ["WORD", "bytes_of", "carried", "components", "documents", "hash32", "pieces_for", "ranked", "run_dir", "ship", "written"]
+__all__ = ["WORD", "bytes_of", "carried", "components", "documents", "hash32", "pieces_for", "quoted", "ranked", "run_dir", "ship", "written"]

@@ -42,7 +42,8 @@ def targets(
 
     All targets are one level times the weight, stopped at ``max_repeats`` times the size;
     the level is where they add up to the shared words. Sources reach their stop in the
-    order of stop / weight, so the level follows from running sums in that order.
+    order of stop / weight, so the level follows from running sums in that order. This is one
+    row per source, not per document, so one task orders it.
     """
     order = Window.orderBy(F.col("source").asc_nulls_last())
     turn = (F.row_number().over(order) - 1) % len(weights)

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import carried, written
+from eventloom.llm.common import carried, quoted, written
 
 MARK, STAND_IN = "\u0001", "\u0002"
 #: Base kinds in their order, then the kinds the method adds.
@@ -319,7 +319,7 @@ def redacted(text: Column, spans: Column) -> Column:
 def redact(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The input with personal data in ``text`` replaced; its other columns stay."""
     rows = scan(docs, text, threshold=threshold)
-    told = [F.col(f"row.`{c}`") if c != text else redacted(F.col(f"row.`{c}`"), F.col("spans")).alias(c) for c in docs.columns]
+    told = [F.col(f"row.{quoted(c)}") if c != text else redacted(F.col(f"row.{quoted(c)}"), F.col("spans")).alias(c) for c in docs.columns]
     return rows.select(*told)
 
 

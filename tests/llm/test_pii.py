@@ -112,7 +112,7 @@ def test_reliabilities_equal_slow_version(spark):
 
 def test_added_kinds_and_redaction(docs_of):
     texts = ["call (499) 555-6503 now", "mail a@b.com or +1 523 555 1055!", "nothing here", None, "", "twice x@y.org x@y.org"] * 20
-    docs = docs_of(*texts)
+    docs = docs_of(*texts).withColumn("a.b `c", F.lit(1)).withColumn("row", F.lit(2))
     rows = {r.row.doc_id: spans_of(r) for r in pii.scan(docs).collect()}
     assert ("local_phone", 5, 19) in rows[0]
     hidden = {r.doc_id: r.text for r in pii.redact(docs).collect()}
