@@ -53,13 +53,22 @@ def carried(rows: DataFrame, keep: Sequence[str] | None = None, **named) -> Data
     return rows.select(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in named.items()], row.alias("row"))
 
 
-def ranked(rows: DataFrame, keys: list[str], spread: str, order: list[str], name: str, each: int = 50_000) -> DataFrame:
+def ranked(
+    rows: DataFrame,
+    keys: list[str],
+    spread: str,
+    order: list[str],
+    name: str,
+    each: int = 50_000,
+    beside: DataFrame | None = None,
+) -> DataFrame:
     """Number the rows of each key 1, 2, ... in ``name``, in the order of ``spread`` and then ``order``.
 
     ``spread`` is an evenly spread number of 32 bits. A key's rows are cut into ranges of it
     of about ``each`` rows, so the largest key is never sorted in one task; each range
     starts after the counted rows of the ranges before it. ``rows`` should be a written
-    table: it is read twice. Keys must not be null.
+    table: it is read twice. Keys must not be null. ``beside`` is a table of one row per key
+    whose columns are wanted too; they come along with the starts, so rows move once.
     """
     counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     ranges = pieces_for(counted.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0], each)
@@ -70,6 +79,8 @@ def ranked(rows: DataFrame, keys: list[str], spread: str, order: list[str], name
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(*keys, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     )
+    if beside is not None:
+        starts = starts.join(beside, keys)
     place = Window.partitionBy(*keys, "_range").orderBy(spread, *order)
     return (
         ranged.withColumn("_place", F.row_number().over(place))

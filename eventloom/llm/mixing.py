@@ -101,7 +101,7 @@ def copies(
     ahead = by_size.select("key", "size", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead")).join(
         sources.select(key.alias("key"), "source_size", "target"), "key"
     )
-    placed = ranked(measured.withColumn("h", hash32("id")), ["key", "size"], "h", ["id"], "place").join(ahead, ["key", "size"])
+    placed = ranked(measured.withColumn("h", hash32("id")), ["key", "size"], "h", ["id"], "place", beside=ahead)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # 16 bits of offset leave the sums exact up to 2**36 rows of a source.
     offset = F.floor(hash32(F.lit(str(seed)), F.col("key.name")) / F.lit(1 << 16)) / F.lit(float(1 << 16))
