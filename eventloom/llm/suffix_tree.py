@@ -45,10 +45,10 @@ class Tree:
     """Settings: longest context, occurrences a context needs, gain it needs (nats), strengths to choose from."""
 
     depth: int = 2
-    min_count: int = 6
+    min_count: int = 2
     min_gain: float = 4.0
     strengths: tuple[float, ...] = (2.0, 100.0)
-    block_tokens: int = 2_000_000
+    block_tokens: int = 1_500_000
     bucket_tokens: int = 2_000_000
 
 
