@@ -16,21 +16,7 @@ from eventloom.functions.staged import sealed, staged
 from eventloom.functions.text import before_first, strip
 from eventloom.operators.audits import stated_value
 from eventloom.operators.quality import clean_sql, error_text_found, is_empty_result
-
-SUCCESS = "SUCCESS"
-UNFINISHED = "TRANSCRIPT_UNFINISHED"
-OUTCOMES = [
-    "HTTP_ERROR", "VLLM_RESPONSE_PARSE_ERROR", "UNEXPECTED_ERROR", "GENERATION_LENGTH_CUTOFF", "TOOLCALL_TAG_UNCLOSED",
-    "TOOLCALL_JSON_ERROR", "EMPTY_TOOLCALL", "TOOLCALL_NOT_DICT", "EMPTY_FINAL_ANSWER", "TOOLCALL_MISSING_NAME",
-    "REPEATED_TOOLCALL_LOOP", "UNKNOWN_CHECK_TOOL", "UNKNOWN_TOOL", "SQL_ARGUMENT_ERROR", "SQL_EXECUTION_ERROR",
-    "SQL_TOOL_RUNTIME_ERROR", "SQL_HALLUCINATION_OR_EXECUTION_ERROR", "SQL_EMPTY_RESULT", SUCCESS,
-]
-CALL_ERRORS = {
-    "http_error": "HTTP_ERROR",
-    "parse_error": "VLLM_RESPONSE_PARSE_ERROR",
-    "unexpected_error": "UNEXPECTED_ERROR",
-}
-TOOL_ERRORS = {"sql_error": "SQL_EXECUTION_ERROR", "runtime_error": "SQL_TOOL_RUNTIME_ERROR"}
+from eventloom.vocab import CALL_ERRORS, OUTCOMES, SUCCESS, TOOL_ERRORS, UNFINISHED
 
 
 # --- one step ---------------------------------------------------------------------

@@ -284,17 +284,12 @@ def vague_branch(records: DataFrame, vague: float = 0.1, seed=SEED) -> DataFrame
     return records.select("qa_id", branch.alias("branch"))
 
 
-EVENT_CHOICES = [
-    "check_JobAllocation", "check_JobExecution", "check_FileRead", "check_FileWrite", "check_FileTransfer", "check_All",
-]
-
-
 def draw_event_type(records: DataFrame, seed=SEED) -> DataFrame:
     """Per record one of the six checks and a sample size of 1 to 3, all equally likely."""
     text_id = F.col("qa_id").cast("string")
     return records.select(
         "qa_id",
-        pick(_literals(EVENT_CHOICES), f"{seed}:check", text_id).alias("check_tool"),
+        pick(_literals(vocab.EVENT_CHOICES), f"{seed}:check", text_id).alias("check_tool"),
         (hash_index(f"{seed}:rows", text_id, 3) + 1).alias("n_rows"),
     )
 

@@ -288,7 +288,7 @@ add("bernoulli_branch", [QA], f"SELECT qa_id, {_BELOW.format('42:vague', '199999
 add("train_test_split", [QA], f"SELECT qa_id, {_BELOW.format('42', '19999999', 'test', 'train')} AS split FROM qa_records")
 add(
     "draw_event_type", [QA],
-    f"SELECT qa_id, {many(generation.EVENT_CHOICES)}[1 + {index_of('42:check', 'CAST(qa_id AS VARCHAR)', 6)}] AS check_tool, "
+    f"SELECT qa_id, {many(vocab.EVENT_CHOICES)}[1 + {index_of('42:check', 'CAST(qa_id AS VARCHAR)', 6)}] AS check_tool, "
     f"1 + {index_of('42:rows', 'CAST(qa_id AS VARCHAR)', 3)} AS n_rows FROM qa_records",
 )
 

@@ -199,6 +199,27 @@ WHITESPACE = (
 
 SYSTEM_MESSAGE = "Answer questions about the event log. Call tools when you need to look at the data."
 
+# --- fixed values: outcomes of a conversation, in the order in which they are looked for ---
+SUCCESS = "SUCCESS"
+UNFINISHED = "TRANSCRIPT_UNFINISHED"
+OUTCOMES = [
+    "HTTP_ERROR", "VLLM_RESPONSE_PARSE_ERROR", "UNEXPECTED_ERROR", "GENERATION_LENGTH_CUTOFF", "TOOLCALL_TAG_UNCLOSED",
+    "TOOLCALL_JSON_ERROR", "EMPTY_TOOLCALL", "TOOLCALL_NOT_DICT", "EMPTY_FINAL_ANSWER", "TOOLCALL_MISSING_NAME",
+    "REPEATED_TOOLCALL_LOOP", "UNKNOWN_CHECK_TOOL", "UNKNOWN_TOOL", "SQL_ARGUMENT_ERROR", "SQL_EXECUTION_ERROR",
+    "SQL_TOOL_RUNTIME_ERROR", "SQL_HALLUCINATION_OR_EXECUTION_ERROR", "SQL_EMPTY_RESULT", SUCCESS,
+]
+CALL_ERRORS = {
+    "http_error": "HTTP_ERROR",
+    "parse_error": "VLLM_RESPONSE_PARSE_ERROR",
+    "unexpected_error": "UNEXPECTED_ERROR",
+}
+TOOL_ERRORS = {"sql_error": "SQL_EXECUTION_ERROR", "runtime_error": "SQL_TOOL_RUNTIME_ERROR"}
+
+# --- fixed values: tools a draw picks from -----------------------------------------
+EVENT_CHOICES = [
+    "check_JobAllocation", "check_JobExecution", "check_FileRead", "check_FileWrite", "check_FileTransfer", "check_All",
+]
+
 # --- messages of errors (own wording) ----------------------------------------------
 ERROR_MESSAGES = {
     "HTTP_ERROR": "the call to the model failed",
