@@ -12,6 +12,9 @@ blocks of some million words; a block asks, per sequence of words it holds, what
 over the whole corpus is. Questions travel as packed arrays to the bucket their hash falls in,
 which adds up the counts of all blocks and answers each block in the order of its questions.
 A sequence is asked for only if the sequence it extends is frequent enough to be a context.
+A context is closed when what is left to gain after it, the sum over its occurrences of minus
+the log chance of the next word, is not over the threshold: no context that ends in it can
+then pass. Orders are added until all contexts are closed, or up to the longest one set.
 Words and sequences are known by 64-bit hashes. No task holds more than a block or a bucket,
 a hot word is one entry per block, and no vocabulary or tree is sent to all.
 
@@ -44,7 +47,7 @@ END = xxhash.xxh64_intdigest(b" ")
 class Tree:
     """Settings: longest context, occurrences a context needs, gain it needs (nats), strengths to choose from."""
 
-    depth: int = 2
+    depth: int = 16
     min_count: int = 2
     min_gain: float = 4.0
     strengths: tuple[float, ...] = (2.0, 100.0)
@@ -73,9 +76,14 @@ def _unpacked_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64)
 
 
-def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Hashes of sequences extended by one word."""
-    mixed = (left ^ (left >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + right * np.uint64(0xC2B2AE3D27D4EB4F)
+def _factor(order: int) -> np.uint64:
+    """What the word ``order`` places before a sequence's last counts in its sum."""
+    return np.uint64(pow(0xC2B2AE3D27D4EB4F, order, 1 << 64))
+
+
+def _mixed(sums: np.ndarray) -> np.ndarray:
+    """Hashes of sequences from the sums of their words."""
+    mixed = (sums ^ (sums >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return mixed ^ (mixed >> np.uint64(32))
 
@@ -150,8 +158,10 @@ class Block:
         self.starts = starts
         self.place = (np.arange(len(self.words)) - np.repeat(starts, self.lengths)).astype(np.int32)
         self.hashes = self.vocabulary[self.words]
-        self.sequences = self.hashes  # of the current order, by the position they end at
-        self.counts = None  # of those sequences, over the training texts
+        self.sums = self.hashes.copy()  # of the sequences of the current order, by the position they end at
+        self.counts = None  # of those sequences, over the training texts; -1 where not asked for
+        self.open = np.ones(len(self.words), bool)  # whether a longer context may still help here
+        self.closing = np.zeros(0, np.int64)  # positions closed by the last states, told after the next counts
         self.known = None  # counts of the words themselves
         self.chance = None  # probability of each word by the longest state so far
         self.order = 0
@@ -164,22 +174,29 @@ class Block:
         self.chance = (self.known + 1.0) / (self.total + self.distinct + 1.0)
 
     def extend(self) -> tuple[np.ndarray, np.ndarray]:
-        """Go to sequences one word longer; the questions are those whose context is frequent enough."""
+        """Go to sequences one word longer; asked for are those after an open context, and those that may be one next."""
         self.order += 1
+        few, inside = self.tree.min_count, self.place >= self.order
         ahead = np.concatenate([[0], self.counts[:-1]])
-        self.at = np.flatnonzero((self.place >= self.order) & (ahead >= self.tree.min_count))
+        self.open &= inside & (ahead >= few)
+        wanted = inside & np.concatenate([self.open[1:], [False]])
+        self.rare = wanted & (ahead >= 0) & (ahead < few)
+        self.at = np.flatnonzero(self.open)
         self.context_counts = ahead[self.at]
-        self.contexts = self.sequences[self.at - 1]
-        longer = np.zeros(len(self.words), np.uint64)
-        longer[self.at] = _joined(self.contexts, self.hashes[self.at])
-        self.sequences = longer
-        keys, self.which = np.unique(longer[self.at], return_inverse=True)
-        trained = np.bincount(self.which[self.train[self.at]], minlength=len(keys))
+        self.contexts = _mixed(self.sums[self.at - 1])
+        self.asked = np.flatnonzero(self.open | (wanted & ~self.rare))
+        self.sums[self.asked] += self.hashes[self.asked - self.order] * _factor(self.order)
+        keys, self.which = np.unique(_mixed(self.sums[self.asked]), return_inverse=True)
+        trained = np.bincount(self.which[self.train[self.asked]], minlength=len(keys))
         return keys, trained.astype(np.uint32)
 
     def counted(self, counts: np.ndarray) -> None:
-        self.counts = np.zeros(len(self.words), np.int64)
-        self.counts[self.at] = counts[self.which]
+        self.counts = np.full(len(self.words), -1, np.int64)
+        self.counts[self.rare] = 0
+        self.counts[self.asked] = counts[self.which]
+        self.open[self.closing] = False
+        still = self.open[self.at]
+        self.at, self.context_counts, self.contexts = self.at[still], self.context_counts[still], self.contexts[still]
 
     def find_contexts(self) -> np.ndarray:
         """Distinct contexts of the current order."""
@@ -187,18 +204,21 @@ class Block:
         return keys
 
     def gains(self) -> tuple[np.ndarray, np.ndarray]:
-        """Per context of the current order, the gain of each strength over this block's training words."""
+        """Per context of the current order, over this block's training words: each strength's gain, and all there is to gain."""
         keys, mine = self.find_contexts(), self.train[self.at]
         seen, n, parent = self.counts[self.at][mine] - 1.0, self.context_counts[mine] - 1.0, self.chance[self.at][mine]
         sums = [
             np.bincount(self.state[mine], weights=np.log((seen + s * parent) / (n + s)) - np.log(parent), minlength=len(keys))
             for s in self.tree.strengths
         ]
+        sums.append(np.bincount(self.state[mine], weights=-np.log(parent), minlength=len(keys)))
         return keys, np.array(sums, np.float32).T
 
-    def states_chosen(self, strengths: np.ndarray) -> None:
-        """Words after a context that is a state take its distribution; 0 means that it is none."""
-        s = strengths[self.state].astype(np.float64)
+    def states_chosen(self, choices: np.ndarray) -> None:
+        """Words after a context that is a state take its distribution; a choice is twice a strength's number, odd if open."""
+        mine = choices[self.state]
+        s = np.array([*self.tree.strengths, 0.0])[mine >> 1]
+        self.closing = self.at[mine & 1 == 0]
         chosen = s > 0
         at, s = self.at[chosen], s[chosen]
         self.chance[at] = (self.counts[at] + s * self.chance[at]) / (self.context_counts[chosen] + s)
@@ -240,7 +260,7 @@ def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
 
 def _answers(questions: DataFrame, tree: Tree) -> DataFrame:
     """Add up what all blocks say of a key; even steps sum counts, odd steps choose strengths by gain."""
-    width, strengths = len(tree.strengths), np.array([*tree.strengths, 0.0], np.float32)
+    width = len(tree.strengths)
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("block")
@@ -251,13 +271,19 @@ def _answers(questions: DataFrame, tree: Tree) -> DataFrame:
             numbers = np.concatenate([_unpacked(n, np.uint32) for n in group.numbers])
             out = np.bincount(where, weights=numbers, minlength=len(found)).astype(np.uint64)
         else:
-            gains = np.concatenate([_unpacked(n, np.float32).reshape(-1, width) for n in group.numbers])
-            sums = np.array([np.bincount(where, weights=gains[:, i], minlength=len(found)) for i in range(width)])
-            best = sums.argmax(0)
-            out = strengths[np.where(sums.max(0) > tree.min_gain, best, width)]
+            gains = np.concatenate([_unpacked(n, np.float32).reshape(-1, width + 1) for n in group.numbers])
+            sums = np.array([np.bincount(where, weights=gains[:, i], minlength=len(found)) for i in range(width + 1)])
+            best, gain = sums[:width].argmax(0), sums[:width].max(0)
+            passed = gain > tree.min_gain
+            left = sums[width] - np.where(passed, gain, 0)
+            # Sums of single precision: a context at the threshold stays open.
+            out = (2 * np.where(passed, best, width) + (left > tree.min_gain - 1e-3 * abs(tree.min_gain))).astype(np.uint8)
         ends = np.cumsum([len(k) for k in keys])
         rows = [(int(b), step, bucket, _packed(out[where[e - len(k) : e]]), 0, 0) for b, k, e in zip(group.block, keys, ends)]
-        rows[0] = (*rows[0][:4], int(out.sum()), int((out > 0).sum())) if step == 0 else rows[0]
+        if step == 0:
+            rows[0] = (*rows[0][:4], int(out.sum()), int((out > 0).sum()))
+        elif step % 2:
+            rows[0] = (*rows[0][:4], int((out & 1).sum()), int((out < 2 * width).sum()))
         return _frame(rows, _ANSWER)
 
     return questions.groupBy("step", "bucket").applyInPandas(answer, _ANSWER)
@@ -278,7 +304,7 @@ def _told(block: Block, answers: pd.DataFrame, upto: int) -> None:
             block.counted(answer(step, np.uint64))
         elif step > 1:
             block.find_contexts()
-            block.states_chosen(answer(step, np.float32))
+            block.states_chosen(answer(step, np.uint8))
 
 
 def scored(
@@ -337,9 +363,18 @@ def scored(
     def together(function, schema: str) -> DataFrame:
         return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(function, schema)
 
-    last = 2 * tree.depth + 1
-    for steps in [[2], *[[k, k + 1] for k in range(3, last, 2)], [last]]:
-        answers = answers.unionByName(written(_answers(together(asking(steps), _QUESTION), tree), "answers"))
+    def asked(steps: list[int]) -> DataFrame:
+        return written(_answers(together(asking(steps), _QUESTION), tree), "answers")
+
+    last = 0
+    if tree.depth > 0:
+        answers = answers.unionByName(asked([2]))
+    for order in range(1, tree.depth + 1):
+        last = 2 * order + 1
+        told = asked([last, last + 1] if order < tree.depth else [last])
+        answers = answers.unionByName(told)
+        if not told.where(F.col("step") == last).agg(F.sum("total")).first()[0]:
+            break
     judged = together(
         judge, "block bigint, n_tokens array<bigint>, n_known array<bigint>, base_score array<double>, score array<double>"
     )

@@ -112,3 +112,17 @@ def test_edges(docs_of):
     assert suffix_tree.scored(docs.limit(0), F.lit(True)).count() == 0
     long = suffix_tree.scored(docs_of("x y " * 100_000, "x"), F.lit(True), tree=suffix_tree.Tree(block_tokens=1000)).collect()
     assert {r.n_tokens for r in long} == {200_001, 2}
+
+
+def test_long_contexts_become_states(docs_of):
+    """The word after a passage of five words depends on the word before it."""
+    draw = random.Random(8)
+    texts = []
+    for i in range(60):
+        noise = [f"w{draw.randrange(30)}" for _ in range(6)]
+        texts.append(" ".join([*noise, f"start{i % 2}", *"and so it goes on".split(), f"end{i % 2}"]))
+    rows = suffix_tree.scored(docs_of(*texts), F.lit(True)).collect()
+    got = {r.row.doc_id: (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows}
+    want, states = slow_scores(texts, [True] * len(texts), suffix_tree.Tree())
+    assert max(len(c) for c in states) == 6
+    compare([got[i] for i in range(len(texts))], want)
