@@ -98,3 +98,59 @@ SELECT m.conv_id, m.turn, m.role, CASE WHEN o.levels > 0 THEN o.tidy ELSE m.text
   coalesce(r.root.t, m.turn) AS root_turn, CAST(coalesce(r.depth, 0) AS BIGINT) AS depth
 FROM messages m JOIN own o USING (no)
 LEFT JOIN answers a ON a.conv = m.conv_id AND a.turn = m.turn LEFT JOIN roots r ON r.conv = m.conv_id AND r.turn = m.turn"""
+
+
+# The remainder of an unsigned CRC-32, bit by bit over the digits of an id.
+_CRC = r"""xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(range(1, len({v}) + 1), lambda i: ascii(substr({v}, i, 1))::BIGINT),
+  lambda c, b: list_reduce([xor(c, b)] || range(0, 8), lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))))"""
+_FIELDS = " || ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR) END"
+    for c in ("doc_id", "source", "lang", "n_chars", "text")
+)
+
+ORACLE["op11_merkle_manifest"] = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS no, doc_id, lang, sha256({_FIELDS}) AS leaf, {_CRC.format(v='CAST(doc_id AS VARCHAR)')} % 7 = 0 AS tampered,
+    sha256({_FIELDS.replace('(n_chars', '(n_chars + 1')}) AS changed FROM documents),
+nodes AS (
+  SELECT lang, 0 AS level, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, no) - 1 AS i, leaf AS h,
+    count(*) OVER (PARTITION BY lang) AS n, no FROM docs
+  UNION ALL SELECT lang, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2, NULL FROM nodes WHERE n > 1 GROUP BY lang, level, i // 2, n),
+subroots AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS i FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, i, subroot AS h, count(*) OVER () AS n FROM subroots
+  UNION ALL SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM tops WHERE n > 1 GROUP BY level, i // 2, n),
+beside AS (
+  SELECT d.no, s.level, s.h, s.i < (l.i >> s.level) AS before FROM docs d JOIN nodes l ON l.no = d.no
+  JOIN nodes s ON s.lang IS NOT DISTINCT FROM d.lang AND s.level < 62 AND s.i = xor(l.i >> s.level, 1)
+  UNION ALL SELECT d.no, 1000 + t.level, t.h, t.i < (s.i >> t.level) FROM docs d JOIN subroots s ON s.lang IS NOT DISTINCT FROM d.lang
+  JOIN tops t ON t.i = xor(s.i >> t.level, 1)),
+heights AS (
+  SELECT d.no, unnest(range(0, (SELECT max(level) FROM nodes x WHERE x.lang IS NOT DISTINCT FROM d.lang)) || range(1000, 1000 + (SELECT max(level) FROM tops))) AS level FROM docs d),
+steps AS (SELECT *, row_number() OVER (PARTITION BY no ORDER BY level) AS k FROM heights LEFT JOIN beside USING (no, level)),
+proofs AS (SELECT no, string_agg(coalesce(h, ''), '' ORDER BY k) AS proof FROM steps GROUP BY no),
+folds AS (
+  SELECT no, 0 AS k, CASE WHEN tampered THEN changed ELSE leaf END AS h FROM docs
+  UNION ALL SELECT f.no, f.k + 1, sha256(CASE WHEN s.h IS NULL THEN f.h WHEN s.before THEN s.h || f.h ELSE f.h || s.h END)
+  FROM folds f JOIN steps s ON s.no = f.no AND s.k = f.k + 1),
+ends AS (SELECT no, arg_max(h, k) AS folded_root FROM folds GROUP BY no)
+SELECT d.doc_id, d.leaf, s.subroot, (SELECT h FROM tops WHERE n = 1) AS root, sha256(coalesce(p.proof, '')) AS proof_sha256, e.folded_root,
+  e.folded_root = (SELECT h FROM tops WHERE n = 1) AS verified
+FROM docs d JOIN subroots s ON s.lang IS NOT DISTINCT FROM d.lang JOIN ends e USING (no) LEFT JOIN proofs p USING (no)"""
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLE["op12_best_position_search"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS no, doc_id, {_TERMS} AS terms FROM documents),
+sized AS (SELECT no, doc_id, len(terms) AS n, terms FROM docs WHERE len(terms) > 0),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM sized),
+postings AS (SELECT no, term, count(*) AS tf FROM (SELECT no, unnest(terms) AS term FROM sized) GROUP BY no, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM postings, totals GROUP BY term),
+items AS (SELECT item, item_id, unnest(list_distinct(terms)) AS term FROM (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS terms FROM benchmark)),
+scores AS (
+  SELECT item, any_value(item_id) AS item_id, p.no, any_value(doc_id) AS doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l)))) AS score
+  FROM items JOIN postings p USING (term) JOIN weights USING (term) JOIN sized s ON s.no = p.no, totals GROUP BY item, p.no),
+places AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id ASC NULLS LAST) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM places WHERE place <= 50"""

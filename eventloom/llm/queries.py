@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import lattice, mixing, packing, pii, quality, quotes, secrets, simhash, suffix_tree, tokenrows
+from eventloom.llm import bestposition, bpe, lattice, merkle, mixing, packing, pii, quality, quotes, secrets, simhash, suffix_tree, tokenrows
 from eventloom.llm.common import documents
 from eventloom.llm.oracle import ORACLE
 
@@ -124,4 +124,38 @@ def op10_lattice_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    changed = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in merkle.FIELDS]
+    original = merkle.leaf([F.col(c) for c in merkle.FIELDS])
+    rows = merkle.manifest(docs, claim=F.when(tampered, merkle.leaf(changed)).otherwise(original))
+    return rows.select(
+        "row.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
+@query
+def op12_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestposition.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op13_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.encoded(documents(spark, sf_dir), keep=["doc_id"])
+    return rows.select(
+        "row.doc_id",
+        "n_tokens",
+        F.sha2(bpe.packed(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
 __all__ = ["ORACLE", "QUERIES"]
