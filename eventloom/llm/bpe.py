@@ -2,16 +2,15 @@
 
 A text is cut into words by a pattern. Documents are gathered in blocks of some million words,
 and each distinct word of a block is encoded once, by Spark's higher-order functions over the
-array of its bytes. Each part of a word is one number: the rank of the pair it forms
-with the next part, its place, its token. So the least number is the pair to merge next, the
-leftmost of equals, and a fold merges until no pair has a rank. Ranks of pairs are a literal
-table: the row of a left token is shifted to where its right tokens meet free slots, so a
-rank is one look at the slot of both. Decoding looks pieces up in a literal array and concatenates
-them. Nothing is shuffled, and a lost executor's blocks are made again from the input.
+array of its bytes. Each part of a word, at first a byte, is one number: the rank of the pair it
+forms with the next part, its place, its token. So the least number is the pair to merge next,
+the leftmost of equals, and a fold merges until no pair has a rank. Ranks of pairs are a
+literal table: the row of a left token is shifted to where its right tokens meet free slots, so
+a rank is one look at the slot of both. Decoding concatenates the pieces of all ids. Nothing is
+shuffled, and a lost executor's blocks are made again from the input.
 
-Words over ``LONG`` bytes, for which a fold takes quadratic time, are merged by a heap in the
-task that cuts the text, by the same rule. A word that is a token, but that merges do not
-lead to, is that token.
+A word that is a token needs no merges. Words over ``LONG`` bytes, for which a fold takes quadratic
+time, are merged by a heap in the task that cuts the text, by the same rule.
 
 Defined results: a null or empty text has no tokens; texts of any length are encoded whole, a single
 word of any length too; repeated rows each have their result; ties of equal rank are
@@ -38,7 +37,7 @@ from pyspark.sql import types as T
 from eventloom.llm.common import bytes_of, carried
 
 #: Words of a block; words of more bytes are merged by a heap.
-BLOCK_WORDS = 4_000_000
+BLOCK_WORDS = 8_000_000
 LONG = 128
 #: Bits of a token, and of a part's place in its word.
 _BITS = 20
@@ -60,13 +59,11 @@ def default_pattern() -> str:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Ranks of a file, the table of pairs made from them, and the tokens that merges do not lead to."""
+    """The table of a rank file's pairs: each left token's shift, and the owner and rank of each slot."""
 
-    ranks: dict[bytes, int]
     shifts: list[int]
     owners: list[int]
     values: list[int]
-    unmerged: dict[bytes, int]
 
 
 @lru_cache(maxsize=4)
@@ -147,8 +144,7 @@ def vocabulary(path: str) -> Vocabulary:
             left, right = ranks.get(token[:i]), ranks.get(token[i:])
             if left is not None and right is not None:
                 rows.setdefault(left, {})[right] = rank
-    unmerged = {token: rank for token, rank in ranks.items() if merged(token, ranks) != [rank]}
-    return Vocabulary(ranks, *_shifted(rows, max(ranks.values()) + 1), unmerged)
+    return Vocabulary(*_shifted(rows, max(ranks.values()) + 1))
 
 
 def _literal(values: list, kind: str) -> Column:
@@ -163,112 +159,123 @@ def _bound(function, *values: Column) -> Column:
     return F.get(F.transform(one, lambda x: function(*[x[n] for n in names])), F.lit(0))
 
 
-def encoded_words(words: Column, known: Vocabulary) -> Column:
-    """Token ids of each word of an array of byte arrays (0 to 255)."""
-    first = [known.ranks[bytes([b])] for b in range(256)]
+def encoded_words(parts: Column, known: Vocabulary) -> Column:
+    """Token ids of each word of an array of words, given as the numbers of their parts."""
     tables = (
-        _literal(first, "bigint"),
         _literal(known.shifts, "bigint"),
         _literal(known.owners, "bigint"),
         _literal([v << 2 * _BITS for v in known.values], "bigint"),
     )
     none, mask, place = F.lit(_NONE << 2 * _BITS), F.lit(_MASK), F.lit(_MASK << _BITS)
 
-    def encode(first, shifts, owners, values) -> Column:
-        def rank(a: Column, b: Column) -> Column:
-            """Rank of a pair, in the high bits."""
-            slot = F.get(shifts, a) + b
+    def encode(shifts, owners, values) -> Column:
+        def rank(slot: Column, a: Column) -> Column:
+            """Rank of a pair, in the high bits: there is one if the slot of both belongs to the left token."""
             return F.when(F.get(owners, slot) == a, F.get(values, slot)).otherwise(none)
 
         def step(parts: Column, _) -> Column:
             def merge(at: Column) -> Column:
-                least, after, left = F.get(parts, at - 1), F.get(parts, at + 1), F.get(parts, at - 2)
-                token = F.shiftright(least, 2 * _BITS)
-                here = least.bitwiseAND(place).bitwiseOR(token)
-                whole = here.bitwiseOR(F.when(after.isNull(), none).otherwise(rank(token, after.bitwiseAND(mask))))
-                rest = F.slice(parts, at + 2, F.size(parts))
-                before = left.bitwiseAND(place.bitwiseOR(mask)).bitwiseOR(rank(left.bitwiseAND(mask), token))
-                return (
-                    F.when(least >= none, parts)
-                    .when(at > 1, F.concat(F.slice(parts, F.lit(1), at - 2), F.array(before, whole), rest))
-                    .otherwise(F.concat(F.array(whole), rest))
+                least, left = F.get(parts, at - 1), F.get(parts, at - 2)
+                token, before = F.shiftright(least, 2 * _BITS), left.bitwiseAND(mask)
+
+                def joined(token, here, after, left, before, met) -> Column:
+                    # ``after`` and ``met`` are the slots of the new token with its neighbours.
+                    new = here.bitwiseOR(F.when(after.isNull(), none).otherwise(rank(after, token)))
+                    rest = F.slice(parts, at + 2, F.lit(LONG))
+                    return F.when(
+                        at > 1, F.concat(F.slice(parts, F.lit(1), at - 2), F.array(left.bitwiseOR(rank(met, before)), new), rest)
+                    ).otherwise(F.concat(F.array(new), rest))
+
+                return _bound(
+                    joined,
+                    token,
+                    least.bitwiseAND(place) + token,
+                    F.get(shifts, token) + F.get(parts, at + 1).bitwiseAND(mask),
+                    left.bitwiseAND(place.bitwiseOR(mask)),
+                    before,
+                    F.get(shifts, before) + token,
                 )
 
-            return F.get(F.transform(F.array(F.array_position(parts, F.array_min(parts)).cast("int")), merge), F.lit(0))
+            least = F.array_min(parts)
+            at = F.array_position(parts, least).cast("int")
+            return F.when(least >= none, parts).otherwise(F.get(F.transform(F.array(at), merge), F.lit(0)))
 
-        def word(w: Column) -> Column:
-            def numbered(tokens: Column) -> Column:
-                def part(a: Column, i: Column) -> Column:
-                    b = F.get(tokens, i + 1)
-                    pair = F.when(b.isNull(), none).otherwise(rank(a, b))
-                    return pair.bitwiseOR(F.shiftleft(i.cast("bigint"), _BITS)).bitwiseOR(a)
+        def word(parts: Column) -> Column:
+            # A word of n parts takes n - 1 merges at most.
+            whole = F.aggregate(F.slice(parts, F.lit(2), F.lit(LONG)), parts, step)
+            return F.transform(whole, lambda p: p.bitwiseAND(mask).cast("int"))
 
-                parts = F.transform(tokens, part)
-                return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(tokens), F.lit(2))), parts, step)
-
-            tokens = F.transform(w, lambda b: F.get(first, b))
-            folded = _bound(numbered, tokens)
-            return F.when(F.size(w) > 0, F.transform(folded, lambda p: p.bitwiseAND(mask).cast("int"))).otherwise(
-                F.array().cast("array<int>")
-            )
-
-        return F.transform(words, word)
+        return F.transform(parts, word)
 
     return _bound(encode, *tables)
 
 
-def decoded(ids: Column, path: str | None = None) -> Column:
-    """The bytes of an array of token ids, their pieces one after the other; null if an id is unknown."""
-    ranks = read_ranks(path or default_path())
-    pieces: list[str | None] = [None] * (max(ranks.values()) + 1)
+def _parts(words: list[bytes], ranks: dict[bytes, int]) -> pa.Array:
+    """The parts of words before any merge: one for each byte."""
+    first = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+    pair = np.full((256, 256), _NONE, np.int64)
     for token, rank in ranks.items():
-        pieces[rank] = token.hex()
-
-    def join(table: Column, tokens: Column) -> Column:
-        found = F.transform(tokens, lambda i: F.get(table, i))
-        return F.when(~F.exists(found, lambda x: x.isNull()), F.unhex(F.array_join(found, "")))
-
-    return _bound(join, _literal(pieces, "string"), ids)
-
+        if len(token) == 2:
+            pair[token[0], token[1]] = rank
+    lengths = np.array([len(w) for w in words], np.int64)
+    ends = np.cumsum(lengths)
+    flat = np.frombuffer(b"".join(words), np.uint8)
+    ranked = np.append(pair[flat[:-1], flat[1:]], _NONE)[: len(flat)]
+    ranked[ends[lengths > 0] - 1] = _NONE
+    place = np.arange(len(flat)) - np.repeat(ends - lengths, lengths)
+    numbers = (ranked << 2 * _BITS) | (place << _BITS) | first[flat]
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(numbers))
+
+
+def decoded(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
+    """``rows`` with ``bytes``, the pieces of their token ids one after the other, and ``packed``, the ids as little-endian 32-bit numbers.
+
+    Null ids, and ids of which one is unknown, have null bytes.
+    """
+    path = path or default_path()
+    schema = T.StructType([*rows.schema.fields, T.StructField("bytes", T.BinaryType()), T.StructField("packed", T.BinaryType())])
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = {rank: token for token, rank in read_ranks(path).items()}.__getitem__
+        for batch in batches:
+            joined, packed = [], []
+            for tokens in batch.column(ids):
+                numbers = tokens.values.to_numpy(zero_copy_only=False) if tokens.is_valid else None
+                packed.append(None if numbers is None else numbers.astype("<u4").tobytes())
+                try:
+                    joined.append(None if numbers is None else b"".join(map(piece, numbers.tolist())))
+                except KeyError:
+                    joined.append(None)
+            yield pa.record_batch([*batch.columns, pa.array(joined, pa.binary()), pa.array(packed, pa.binary())], names=schema.names)
 
-def packed(ids: Column, path: str | None = None) -> Column:
-    """An array of token ids as little-endian unsigned 32-bit numbers."""
-    codes = [i.to_bytes(4, "little").hex() for i in range(max(read_ranks(path or default_path()).values()) + 1)]
-    return _bound(lambda table, tokens: F.unhex(F.array_join(F.transform(tokens, lambda i: F.get(table, i)), "")), _literal(codes, "string"), ids)
+    return rows.mapInArrow(decode, schema)
 
 
-def _blocks(named: DataFrame, path: str, pattern: str, known: Vocabulary, block_words: int) -> DataFrame:
-    """Documents in blocks: input rows, words of each, numbers of the words, bytes or else tokens of each distinct word."""
-    unmerged = known.unmerged
+def _blocks(named: DataFrame, path: str, pattern: str, block_words: int) -> DataFrame:
+    """Documents in blocks: input rows, words of each, numbers of the words, parts or else tokens of each distinct word."""
     row = named.schema["row"].dataType
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        split = regex.compile(pattern).findall
+        split, ranks = regex.compile(pattern).findall, read_ranks(path)
         rows, lengths, numbers, known_words = [], [], array("I"), {}
 
         def flush() -> pa.RecordBatch:
             words = [bytes_of(w) for w in known_words]
-            ready = [
-                unmerged[w] if w in unmerged else None if len(w) <= LONG else merged(w, read_ranks(path)) for w in words
-            ]
-            ready = [[r] if isinstance(r, int) else r for r in ready]
+            ready = [[ranks[w]] if w in ranks else None if len(w) <= LONG else merged(w, ranks) for w in words]
             words = [b"" if r else w for w, r in zip(words, ready)]
-            ends = np.cumsum([0, *map(len, words)]).astype(np.int32)
-            flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int16)
             values = pa.concat_arrays([r.combine_chunks() if isinstance(r, pa.ChunkedArray) else r for r in rows])
-            packed_bytes = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
             one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
             return pa.record_batch(
                 [
                     one(values),
                     one(pa.array(lengths, pa.int32())),
                     pa.array([numbers.tobytes()], pa.binary()),
-                    one(packed_bytes),
+                    one(_parts(words, ranks)),
                     one(pa.array(ready, pa.list_(pa.int32()))),
                 ],
-                names=["rows", "lengths", "numbers", "words", "ready"],
+                names=["rows", "lengths", "numbers", "parts", "ready"],
             )
 
         for batch in batches:
@@ -292,7 +299,7 @@ def _blocks(named: DataFrame, path: str, pattern: str, known: Vocabulary, block_
             T.StructField("rows", T.ArrayType(row)),
             T.StructField("lengths", T.ArrayType(T.IntegerType())),
             T.StructField("numbers", T.BinaryType()),
-            T.StructField("words", T.ArrayType(T.ArrayType(T.ShortType()))),
+            T.StructField("parts", T.ArrayType(T.ArrayType(T.LongType()))),
             T.StructField("ready", T.ArrayType(T.ArrayType(T.IntegerType()))),
         ]
     )
@@ -314,11 +321,10 @@ def encoded(
 ) -> DataFrame:
     """The input ``row`` with ``ids``, the token ids of its text, and ``n_tokens``."""
     path, pattern = path or default_path(), pattern or default_pattern()
-    known = vocabulary(path)
     named = carried(docs, keep, text=text)
     row = named.schema["row"].dataType
-    cut = _blocks(named, path, pattern, known, block_words)
-    folded = cut.select("rows", "lengths", "numbers", "ready", encoded_words(F.col("words"), known).alias("tokens"))
+    cut = _blocks(named, path, pattern, block_words)
+    folded = cut.select("rows", "lengths", "numbers", "ready", encoded_words(F.col("parts"), vocabulary(path)).alias("tokens"))
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

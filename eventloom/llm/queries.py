@@ -149,13 +149,9 @@ def op12_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op13_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bpe.encoded(documents(spark, sf_dir), keep=["doc_id"])
-    return rows.select(
-        "row.doc_id",
-        "n_tokens",
-        F.sha2(bpe.packed(F.col("ids")), 256).alias("ids_sha256"),
-        F.sha2(bpe.decoded(F.col("ids")), 256).alias("decoded_sha256"),
-    )
+    rows = bpe.decoded(bpe.encoded(documents(spark, sf_dir), keep=["doc_id"]))
+    digests = [F.sha2(c, 256).alias(name) for c, name in (("packed", "ids_sha256"), ("bytes", "decoded_sha256"))]
+    return rows.select("row.doc_id", "n_tokens", *digests)
 
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -8,7 +8,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from eventloom.llm import bpe
 from eventloom.llm.queries import QUERIES
@@ -37,7 +36,7 @@ def slow_merged(word: bytes, ranks) -> list[int]:
 
 def ids_of(spark, texts, **settings):
     rows = bpe.encoded(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), **settings)
-    made = rows.select("row.doc_id", "ids", "n_tokens", bpe.decoded(F.col("ids"), settings.get("path")).alias("bytes"))
+    made = bpe.decoded(rows, path=settings.get("path")).select("row.doc_id", "ids", "n_tokens", "bytes", "packed")
     return {r.doc_id: r for r in made.collect()}
 
 
@@ -86,7 +85,7 @@ def unnatural(tmp_path) -> str:
 def test_any_ranks(spark, tmp_path):
     path = unnatural(tmp_path)
     ranks = bpe.read_ranks(path)
-    assert bpe.vocabulary(path).unmerged
+    assert any(bpe.merged(token, ranks) != [rank] for token, rank in ranks.items())
     draw = random.Random(1)
     texts = ["".join(draw.choices("abc", k=draw.randint(1, 60))) for _ in range(200)] + ["zyxw", "zyxwa", "abcab" * 60]
     made = ids_of(spark, texts, path=path)
@@ -123,8 +122,9 @@ def test_clashing_and_odd_names(spark, library):
 
 
 def test_unknown_ids_have_no_bytes(spark):
-    made = spark.createDataFrame([([0, 10**6],), ([],), (None,)], "ids array<int>").select(bpe.decoded(F.col("ids")).alias("b"))
-    assert [None if r.b is None else bytes(r.b) for r in made.collect()] == [None, b"", None]
+    made = bpe.decoded(spark.createDataFrame([([0, 10**6],), ([],), (None,), ([-1],)], "ids array<int>"))
+    assert [None if r.bytes is None else bytes(r.bytes) for r in made.collect()] == [None, b"", None, None]
+    assert [None if r.packed is None else len(r.packed) for r in made.collect()] == [8, 0, None, 4]
 
 
 def test_query(spark, sf_dir, documents, library):
