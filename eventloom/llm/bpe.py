@@ -36,9 +36,10 @@ from pyspark.sql import types as T
 
 from eventloom.llm.common import bytes_of, carried
 
-#: Words of a block; words of more bytes are merged by a heap.
-BLOCK_WORDS = 8_000_000
+#: Words of a block; words of more bytes are merged by a heap; rows decoded at once.
+BLOCK_WORDS = 4_000_000
 LONG = 128
+DECODE_ROWS = 256
 #: Bits of a token, and of a part's place in its word.
 _BITS = 20
 _MASK = (1 << _BITS) - 1
@@ -227,6 +228,23 @@ def _parts(words: list[bytes], ranks: dict[bytes, int]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(numbers))
 
 
+@lru_cache(maxsize=2)
+def _pieces(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pieces one after the other, and the start and size of each id's; the last one stands for unknown ids."""
+    ranks = read_ranks(path)
+    pieces = [b""] * (max(ranks.values()) + 2)
+    for token, rank in ranks.items():
+        pieces[rank] = token
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    return np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+
+def _binary(data: bytes, cuts: np.ndarray, valid: np.ndarray) -> pa.Array:
+    """Stretches of bytes as an Arrow array; null where not valid."""
+    bits = pa.py_buffer(np.packbits(valid, bitorder="little").tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(valid), [bits, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(data)])
+
+
 def decoded(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
     """``rows`` with ``bytes``, the pieces of their token ids one after the other, and ``packed``, the ids as little-endian 32-bit numbers.
 
@@ -236,17 +254,24 @@ def decoded(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataF
     schema = T.StructType([*rows.schema.fields, T.StructField("bytes", T.BinaryType()), T.StructField("packed", T.BinaryType())])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = {rank: token for token, rank in read_ranks(path).items()}.__getitem__
-        for batch in batches:
-            joined, packed = [], []
-            for tokens in batch.column(ids):
-                numbers = tokens.values.to_numpy(zero_copy_only=False) if tokens.is_valid else None
-                packed.append(None if numbers is None else numbers.astype("<u4").tobytes())
-                try:
-                    joined.append(None if numbers is None else b"".join(map(piece, numbers.tolist())))
-                except KeyError:
-                    joined.append(None)
-            yield pa.record_batch([*batch.columns, pa.array(joined, pa.binary()), pa.array(packed, pa.binary())], names=schema.names)
+        pieces, starts, sizes = _pieces(path)
+        for batch in (whole.slice(a, DECODE_ROWS) for whole in batches for a in range(0, whole.num_rows, DECODE_ROWS)):
+            column = batch.column(ids)
+            tokens, lengths = column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
+            lengths = np.where(column.is_valid().to_numpy(zero_copy_only=False), lengths, 0)
+            known = (tokens >= 0) & (tokens < len(sizes) - 1)
+            which = np.where(known, tokens, len(sizes) - 1)
+            taken = sizes[which]
+            ends = np.concatenate([[0], np.cumsum(taken)])
+            joined = pieces[np.repeat(starts[which] - ends[:-1], taken) + np.arange(ends[-1])]
+            cuts = np.concatenate([[0], np.cumsum(lengths)])
+            missing = np.concatenate([[0], np.cumsum(taken == 0)])[cuts]
+            valid = column.is_valid().to_numpy(zero_copy_only=False)
+            columns = (
+                _binary(joined.tobytes(), ends[cuts], valid & (np.diff(missing) == 0)),
+                _binary(tokens.astype("<u4").tobytes(), 4 * cuts, valid),
+            )
+            yield pa.record_batch([*batch.columns, *columns], names=schema.names)
 
     return rows.mapInArrow(decode, schema)
 
