@@ -14,6 +14,11 @@ def block_of(order_column: str, size: int = BLOCK):
     return F.floor(F.col(order_column) / F.lit(size)).cast("bigint")
 
 
+def place_of(keys: list[str], blocks: list[str]):
+    """What names a piece of a group: never null, so that joins need no second form of the keys."""
+    return F.struct(*keys, *blocks)
+
+
 def running_before(
     rows: DataFrame,
     keys: list[str],
@@ -21,6 +26,7 @@ def running_before(
     order: list[str],
     totals: dict,
     overall: dict | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """Add, for each row, aggregates over all earlier rows of its group.
 
@@ -29,21 +35,26 @@ def running_before(
     order agrees with ``order`` and which cut a group into pieces of limited size. Each
     piece is a window partition of its own, and one total per piece is carried over, so
     a group holding a third of all rows is never sorted in one task.
+
+    Window, piece totals and join use one column that names the piece, so the rows themselves
+    move once. ``place`` is that column where the rows have it already (``place_of``): rows
+    that were arranged by it before then stay where they are.
     """
     overall = overall or {}
-    group = Window.partitionBy(*keys)
-    piece = Window.partitionBy(*keys, *blocks).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = group.orderBy(*blocks).rowsBetween(Window.unboundedPreceding, -1)
+    at = place or "_place"
+    given = rows if place else rows.withColumn(at, place_of(keys, blocks))
+    group = Window.partitionBy(*[f"{at}.{k}" for k in keys])
+    piece = Window.partitionBy(at).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = group.orderBy(*[f"{at}.{b}" for b in blocks]).rowsBetween(Window.unboundedPreceding, -1)
 
-    inside = rows.select(
+    inside = given.select(
         "*", *[_AGGREGATES[kind](column).over(piece).alias(f"_in_{name}") for name, (kind, column) in totals.items()]
     )
-    pieces = rows.groupBy(*keys, *blocks).agg(
+    pieces = given.groupBy(at).agg(
         *[_AGGREGATES[kind](column).alias(f"_piece_{name}") for name, (kind, column) in {**totals, **overall}.items()]
     )
     carried = pieces.select(
-        *keys,
-        *blocks,
+        at,
         *[_AGGREGATES[kind](f"_piece_{name}").over(earlier).alias(f"_carry_{name}") for name, (kind, _) in totals.items()],
         *[_AGGREGATES[kind](f"_piece_{name}").over(group).alias(name) for name, (kind, _) in overall.items()],
     )
@@ -54,9 +65,6 @@ def running_before(
             return F.coalesce(mine, F.lit(0)) + F.coalesce(before, F.lit(0))
         return F.greatest(mine, before)
 
-    # Keys and blocks may be null; such rows form groups too.
-    renamed = carried.withColumnsRenamed({c: f"_at_{c}" for c in (*keys, *blocks)})
-    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in (*keys, *blocks)]
-    return inside.join(renamed, same).select(
+    return inside.join(carried, at).select(
         *rows.columns, *[combined(name, kind).alias(name) for name, (kind, _) in totals.items()], *overall
     )

@@ -1,10 +1,13 @@
 """Tokens, label masks, loss weights, splits and batches.
 
-A message is tokenised on its own: every message starts and ends with a tag, and tags
-are single tokens, so this gives the same tokens as the whole text would. Positions in
-the conversation come from running totals over the messages. Only text and counts are
-shuffled; token arrays are made from the text where they are needed, and tokens become
-rows only where a job asks for rows.
+A message is tokenised on its own, once, by any tokenizer whose pieces joined give the text
+again: every message starts and ends with a tag, and a tokenizer keeps tags apart, so this
+gives the same tokens as the whole text would. Positions in the conversation come from running
+totals over the messages. Text and counts are shuffled, and the tokens of those messages only
+in which something may be learned; tokens become rows only where a job asks for rows.
+
+Masks and weights come from spans of characters: what a token covers is found by its place among
+the sorted token ends, so a token of any tokenizer may lie across the border of a span.
 """
 
 from __future__ import annotations
@@ -13,10 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom import vocab
-from eventloom.functions.running import block_of, running_before
+from eventloom.functions.running import block_of, place_of, running_before
 from eventloom.functions.sampling import below_probability, dense_index, hash_number
+from eventloom.functions.spans import SPANS, bound, covered, ends_of, spans_of
 from eventloom.functions.staged import staged
-from eventloom.functions.text import as_column, matches, tokens
+from eventloom.functions.text import as_column, tokens
 
 ASSISTANT_HEADER = vocab.HEADER_START + "assistant" + vocab.HEADER_END
 
@@ -28,31 +32,38 @@ def _literal(text: str) -> str:
 
 TRAINED = rf"(?s)(?<={_literal(ASSISTANT_HEADER)}).*?{_literal(vocab.END_OF_TURN)}"
 RESPONSE = rf"(?s){_literal(vocab.TOOL_RESPONSE_START)}.*?{_literal(vocab.TOOL_RESPONSE_END)}"
-JSON_CALL = rf"(?s)[A-Za-z0-9_]*{_literal(vocab.JSON_CALL_START)}[^)]*\)"
 JSON_CALL_ANY = rf"{_literal(vocab.JSON_CALL_START)}[^)]*\)"
 
 
 # --- tokens and positions ---------------------------------------------------------
 
 
-def measure(segments: DataFrame, tokenizer=tokens) -> DataFrame:
-    """Add what the running totals need of each message: its numbers of tokens and
-    characters, and where markers open and close regions. Later passes over these
-    columns then do not read the text.
+def measure(segments: DataFrame, tokenizer=tokens, catalogue: str | None = None) -> DataFrame:
+    """Tokenise each message, and add what the running totals need of it: its numbers of tokens
+    and characters, and where markers open and close regions. ``pieces`` are the tokens of
+    a message with an assistant header; no later pass tokenises these again.
 
-    ``tokenizer`` takes and returns a column and may be a pandas UDF around a model's
-    own tokenizer; the default stays inside Spark.
+    ``tokenizer`` takes a text column and returns an array of pieces. It may be a pandas UDF
+    around a model's own tokenizer; the default stays inside Spark. ``catalogue`` is a tool
+    catalogue that many messages carry: its tokens are counted once. The tokenizer has to keep
+    the marks around it apart from it, as the default does.
     """
     text = F.col("segment")
+    short, repeated = text, F.lit(0)
+    if catalogue:
+        marked = vocab.TOOLS_START + catalogue + vocab.TOOLS_END
+        carries = (F.col("tools") == catalogue) & ~text.contains(ASSISTANT_HEADER)
+        short = F.when(carries, F.replace(text, F.lit(marked), F.lit(vocab.TOOLS_START + vocab.TOOLS_END))).otherwise(text)
+        times = F.floor((F.length(text) - F.length("_short")) / F.lit(len(catalogue))).cast("int")
+        repeated = F.when(F.length("_short") < F.length(text), times * F.size(tokenizer(F.lit(catalogue)))).otherwise(0)
     is_call = (F.col("role") == "assistant") & (F.col("tool_name") == vocab.SQL_TOOL)
+    shortened = staged(segments.withColumn("_block", block_of("seq")), _short=short)
+    cut = staged(shortened, _tokens=tokenizer(F.col("_short")))
     counted = staged(
-        segments.withColumn("_block", block_of("seq")), n_tokens=F.size(tokenizer(text)), n_chars=F.length(text)
-    )
-    # The usual place of the closing response tag is right before the end tag.
-    close_end = F.instr(text, vocab.TOOL_RESPONSE_END) + len(vocab.TOOL_RESPONSE_END) - 1
-    at_end = close_end == F.col("n_chars") - len(vocab.END_OF_TURN)
-    close_token = F.when(at_end, F.col("n_tokens") - 2).otherwise(
-        F.size(tokens(F.substr(text, F.lit(1), close_end))) - 1
+        cut.withColumn("_place", place_of(["conv_id"], ["_block"])),
+        n_tokens=F.size("_tokens") + repeated,
+        n_chars=F.length(text),
+        pieces=F.when(text.contains(ASSISTANT_HEADER), F.col("_tokens")),
     )
     return counted.withColumns(
         {
@@ -60,15 +71,15 @@ def measure(segments: DataFrame, tokenizer=tokens) -> DataFrame:
             "call_code": _marker_code("segment", vocab.JSON_CALL_START, ")"),
             "call_close": F.when(text.contains(")"), F.col("seq")),
             "response_code": _marker_code("segment", vocab.TOOL_RESPONSE_START, vocab.TOOL_RESPONSE_END),
-            "response_close_token": F.when(text.contains(vocab.TOOL_RESPONSE_END), close_token),
+            "response_close": F.when(text.contains(vocab.TOOL_RESPONSE_END), F.col("seq")),
         }
-    )
+    ).drop("_tokens", "_short")
 
 
 def positioned(measured: DataFrame) -> DataFrame:
     """Add what a message has to know about the rest of its conversation: the tokens and
-    characters before it, the regions left open before it, the last message that closes
-    a metadata access, and whether the SQL tool is called anywhere."""
+    characters before it, the regions left open before it, the last messages that close
+    a metadata access and a response, and whether the SQL tool is called anywhere."""
     return running_before(
         measured,
         ["conv_id"],
@@ -80,7 +91,8 @@ def positioned(measured: DataFrame) -> DataFrame:
             "call_state": ("max", "call_code"),
             "response_state": ("max", "response_code"),
         },
-        {"call_last_close": ("max", "call_close"), "calls_sql": ("max", "calls")},
+        {"call_last_close": ("max", "call_close"), "response_last_close": ("max", "response_close"), "calls_sql": ("max", "calls")},
+        place="_place",
     )
 
 
@@ -92,19 +104,16 @@ def token_rows(placed: DataFrame, tokenizer=tokens) -> DataFrame:
 
 def token_offsets(placed: DataFrame, tokenizer=tokens) -> DataFrame:
     """Start and end character of every token in the conversation's text."""
-    # With the block among the keys the arrangement of the running totals serves here too.
-    message = Window.partitionBy("conv_id", "_block", "seq")
-    inside = message.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    exploded = placed.select(
-        "conv_id", "_block", "seq", "first_token", "first_char", F.posexplode(tokenizer(F.col("segment"))).alias("i", "token")
-    )
-    start = F.col("first_char") + F.coalesce(F.sum(F.length("token")).over(inside), F.lit(0))
-    return exploded.withColumn("start_char", start).select(
+    cut = staged(placed.select("conv_id", "first_token", "first_char", tokenizer(F.col("segment")).alias("_tokens")))
+    ended = staged(cut, _ends=ends_of(F.col("_tokens")))
+    each = ended.select("conv_id", "first_token", "first_char", F.posexplode(F.arrays_zip("_tokens", "_ends")).alias("i", "t"))
+    end = F.col("first_char") + F.col("t._ends")
+    return each.select(
         "conv_id",
         (F.col("first_token") + F.col("i")).alias("pos"),
-        "token",
-        "start_char",
-        (F.col("start_char") + F.length("token")).alias("end_char"),
+        F.col("t._tokens").alias("token"),
+        (end - F.length("t._tokens")).alias("start_char"),
+        end.alias("end_char"),
     )
 
 
@@ -118,15 +127,22 @@ def _counted(placed: DataFrame, max_length) -> DataFrame:
     return rows.withColumn("n_kept", n_kept).drop("_limit")
 
 
-def _with_kept_text(counted: DataFrame) -> DataFrame:
-    cut = F.array_join(F.slice(tokens("segment"), F.lit(1), F.col("n_kept")), "")
-    return staged(counted, kept_text=F.when(F.col("n_kept") == F.col("n_tokens"), F.col("segment")).otherwise(cut))
+def _with_kept_text(counted: DataFrame, tokenizer) -> DataFrame:
+    """``kept_text`` and, of messages with an assistant header, ``pieces`` up to the cut."""
+    part = F.slice(F.coalesce("pieces", tokenizer(F.col("segment"))), F.lit(1), F.col("n_kept"))
+    whole = F.col("n_kept") == F.col("n_tokens")
+    cut = staged(counted, _part=F.when(~whole, part))
+    return staged(
+        cut,
+        kept_text=F.when(whole, F.col("segment")).otherwise(F.array_join("_part", "")),
+        pieces=F.when(whole, F.col("pieces")).when(F.col("pieces").isNotNull(), F.col("_part")),
+    ).drop("_part")
 
 
-def kept(placed: DataFrame, max_length) -> DataFrame:
+def kept(placed: DataFrame, max_length, tokenizer=tokens) -> DataFrame:
     """Cut conversations to ``max_length`` tokens: ``n_kept`` and ``kept_text`` of each message
     that is still there. Only a message the cut goes through has to be tokenised for it."""
-    return _with_kept_text(_counted(placed, max_length))
+    return _with_kept_text(_counted(placed, max_length), tokenizer)
 
 
 def find_subsequence(rows: DataFrame, needle: list[str], array: str) -> DataFrame:
@@ -140,6 +156,37 @@ def find_subsequence(rows: DataFrame, needle: list[str], array: str) -> DataFram
     return rows.withColumn("starts", F.coalesce(starts, F.array().cast("array<int>")))
 
 
+def find_in_conversations(placed: DataFrame, needle: list[str], tokenizer=tokens) -> DataFrame:
+    """All start positions of a token sequence in whole conversations: (conv_id, start), overlaps included.
+
+    A start inside one message counts as a whole match. One that runs over messages, several
+    short ones perhaps, is voted for by each of its tokens in turn: a token near a border says
+    for which starts it is the right one. Votes are added up per start, so no message is sent
+    to another, and at most a needle's length of tokens at each border has votes.
+    """
+    n = len(needle)
+    if not n:
+        return placed.select("conv_id", F.col("first_token").alias("start")).limit(0)
+    cut = staged(placed.select("conv_id", "first_token", "n_tokens", tokenizer(F.col("segment")).alias("_tokens")))
+    wanted = F.array(*[F.lit(t) for t in needle])
+    size = F.col("n_tokens")
+    inside = F.when(size >= n, F.filter(F.sequence(F.lit(0), size - n), lambda i: F.slice("_tokens", i + 1, F.lit(n)) == wanted))
+    whole = F.transform(F.coalesce(inside, F.array().cast("array<int>")), lambda i: F.struct(i.alias("at"), F.lit(n).alias("votes")))
+
+    def near(j: int, token: str) -> Column:
+        # Places i that hold the needle's j-th token where the match does not fit into the message.
+        before = F.sequence(F.lit(0), F.least(F.lit(j), size) - 1) if j else F.array().cast("array<int>")
+        first = F.greatest(F.lit(j), size - n + j + 1)
+        after = F.when(first < size, F.sequence(first, size - 1)).otherwise(F.array().cast("array<int>"))
+        places = F.concat(F.when(size > 0, before).otherwise(F.array().cast("array<int>")), after) if j else after
+        held = F.filter(places, lambda i: F.get("_tokens", i) == token)
+        return F.transform(held, lambda i: F.struct((i - j).alias("at"), F.lit(1).alias("votes")))
+
+    votes = cut.select("conv_id", "first_token", F.inline(F.concat(whole, *[near(j, t) for j, t in enumerate(needle)])))
+    counted = votes.groupBy("conv_id", (F.col("first_token") + F.col("at")).alias("start")).agg(F.sum("votes").alias("votes"))
+    return counted.where(F.col("votes") == n).select("conv_id", "start")
+
+
 def token_id(token) -> Column:
     """A number for a token: 60 bits of its hash, so that no two of a vocabulary are likely to meet."""
     return hash_number(F.md5(as_column(token)))
@@ -148,27 +195,6 @@ def token_id(token) -> Column:
 # --- regions of a message ---------------------------------------------------------
 
 
-def region_flags(text, pattern: str, size) -> Column:
-    """For each token of a text whether it lies in a match of the pattern.
-
-    The pattern has to start and end at token borders. The text is cut at the matches,
-    and each piece gives its number of tokens.
-    """
-    text, size = as_column(text), as_column(size)
-    outside = F.split(text, pattern, -1)
-    inside = F.concat(matches(text, pattern), F.array(F.lit("")))
-    flags = F.flatten(
-        F.zip_with(
-            outside,
-            inside,
-            lambda out, into: F.concat(
-                F.array_repeat(F.lit(False), F.size(tokens(out))), F.array_repeat(F.lit(True), F.size(tokens(into)))
-            ),
-        )
-    )
-    return F.when(text.rlike(pattern), flags).otherwise(F.array_repeat(F.lit(False), size))
-
-
 def _ends_open(text: str, opener: str, closer: str) -> Column:
     """Whether the last marker in the text is an opening one."""
     backwards = F.reverse(F.col(text))
@@ -195,83 +221,82 @@ def _open_after(name: str) -> Column:
     return F.coalesce(left_open & (F.col(f"{name}_last_close") > F.col("seq")), F.lit(False))
 
 
-def crossing_flags(text: str, size: str, pattern: str, opener: str, closer: str, name: str) -> Column:
-    """Region flags that also know about regions reaching in from or out to other messages.
+def crossing_spans(text: str, pattern: str, opener: str, closer: str, name: str) -> Column:
+    """Spans of a pattern in a message, and of regions that reach in from or out to other messages.
 
-    A region reaching in covers the tokens up to the first closing marker, one reaching
-    out those from the first opening marker that no closing marker follows.
+    A region reaching in goes up to the first closing marker, one reaching out begins at the
+    first opening marker that no closing marker follows.
     """
-    column, n = F.col(text), F.col(size)
-    flags = region_flags(text, pattern, size)
-    up_to_close = F.when(
-        column.contains(closer), F.size(tokens(F.concat(F.substring_index(column, closer, 1), F.lit(closer))))
-    ).otherwise(n)
+    column, n = F.col(text), F.length(text)
+    up_to_close = F.when(column.contains(closer), F.length(F.substring_index(column, closer, 1)) + len(closer)).otherwise(n)
     after_close = F.substring_index(column, closer, -1)
-    before_open = F.substring_index(after_close, opener, 1)
-    if opener[0].isalnum():
-        # A word run directly before the marker belongs to the same token.
-        before_open = F.regexp_replace(before_open, r"[A-Za-z0-9_]*\z", "")
-    from_open = n - F.size(tokens(after_close)) + F.size(tokens(before_open))
-    first = F.when(_open_before(name), up_to_close).otherwise(F.lit(0))
-    last = F.when(_open_after(name), from_open).otherwise(n)
-    bounds = F.struct(first.alias("first"), last.alias("last"), flags.alias("flags"))
-    extended = F.get(
-        F.transform(
-            F.array(bounds),
-            lambda b: F.transform(b["flags"], lambda f, i: f | (i < b["first"]) | (i >= b["last"])),
-        ),
-        F.lit(0),
+    from_open = n - F.length(after_close) + F.length(F.substring_index(after_close, opener, 1))
+    none = F.array().cast(SPANS)
+
+    def one(when: Column, start: Column, stop: Column) -> Column:
+        return F.when(when, F.array(F.struct(start.alias("start"), stop.alias("stop")))).otherwise(none)
+
+    return F.concat(
+        one(_open_before(name), F.lit(0), up_to_close), spans_of(text, pattern), one(_open_after(name), from_open, n)
     )
-    return F.when(_open_before(name) | _open_after(name), extended).otherwise(flags)
 
 
 # --- labels -----------------------------------------------------------------------
 
 
-def label_mask(placed: DataFrame, max_length=None) -> DataFrame:
-    """Add ``trained``: for each kept token whether it is learned.
+def label_mask(placed: DataFrame, max_length=None, tokenizer=tokens) -> DataFrame:
+    """Add ``trained``: for each kept token whether it is learned; null if none of the message is.
 
-    Learned is what follows an assistant header up to and with the end tag, except tool
-    responses. A block whose end tag was cut off is not learned at all, and a response
-    whose closing tag was cut off is not left out. Nothing is cut without ``max_length``.
+    Learned is what lies between an assistant header and the end of the end tag, except what
+    touches a tool response. A block whose end tag was cut off is not learned at all, and
+    a response whose closing tag was cut off is not left out. Nothing is cut without ``max_length``.
     """
-    rows = _counted(placed, max_length)
-    closes = F.col("response_close_token") < F.col("n_kept")
-    rows = running_before(
-        rows.withColumn("_close", F.when(closes, F.col("seq"))),
-        ["conv_id"],
-        ["_block"],
-        ["seq"],
-        {},
-        {"response_last_close": ("max", "_close")},
-    )
-    rows = _with_kept_text(rows.drop("_close"))
-    nothing = F.array_repeat(F.lit(False), F.col("n_kept"))
-    answer = F.when(
-        F.col("kept_text").contains(ASSISTANT_HEADER), region_flags("kept_text", TRAINED, "n_kept")
-    ).otherwise(nothing)
-    response = crossing_flags(
-        "kept_text", "n_kept", RESPONSE, vocab.TOOL_RESPONSE_START, vocab.TOOL_RESPONSE_END, "response"
+    rows = _with_kept_text(_counted(placed, max_length), tokenizer)
+    if max_length is not None:
+        closes = F.when(F.col("kept_text").contains(vocab.TOOL_RESPONSE_END), F.col("seq"))
+        rows = running_before(
+            rows.drop("response_last_close").withColumn("_close", closes),
+            ["conv_id"],
+            ["_block"],
+            ["seq"],
+            {},
+            {"response_last_close": ("max", "_close")},
+            place="_place",
+        ).drop("_close")
+    may_answer = F.col("kept_text").contains(ASSISTANT_HEADER) & F.col("kept_text").rlike(TRAINED)
+    rows = staged(rows, _answers=F.when(may_answer, spans_of("kept_text", TRAINED)))
+    rows = staged(
+        rows,
+        ends=F.when(F.col("_answers").isNotNull(), ends_of(F.col("pieces"))),
+        _responses=F.when(
+            F.col("_answers").isNotNull(),
+            crossing_spans("kept_text", RESPONSE, vocab.TOOL_RESPONSE_START, vocab.TOOL_RESPONSE_END, "response"),
+        ),
     )
-    rows = staged(rows, _answer=answer)
-    rows = staged(rows, _response=F.when(F.array_contains("_answer", True), response))
-    trained = F.when(
-        F.col("_response").isNotNull(), F.zip_with("_answer", "_response", lambda a, r: a & ~r)
-    ).otherwise(F.col("_answer"))
-    return staged(rows, trained=trained).drop("_answer", "_response")
+    answer = covered(F.col("ends"), F.col("_answers"), whole=True)
+    response = covered(F.col("ends"), F.col("_responses"))
+    both = F.zip_with(answer, response, lambda a, r: a & ~r)
+    trained = F.when(F.col("_answers").isNotNull(), F.when(F.size("_responses") > 0, both).otherwise(answer))
+    return staged(rows, trained=trained).drop("_answers", "_responses")
+
+
+def flags(trained="trained", n_kept="n_kept") -> Column:
+    """``trained`` with one entry for each kept token of every message."""
+    return F.coalesce(as_column(trained), F.array_repeat(F.lit(False), as_column(n_kept)))
 
 
-def labels(text="kept_text", trained="trained") -> Column:
+def labels(pieces="pieces", trained="trained", n_kept="n_kept") -> Column:
     """Token ids where learned, the ignore label elsewhere."""
-    return F.zip_with(
-        tokens(text), trained, lambda t, y: F.when(y, token_id(t)).otherwise(F.lit(vocab.IGNORE_LABEL).cast("bigint"))
-    )
+    ignored = F.lit(vocab.IGNORE_LABEL).cast("bigint")
+    learned = F.zip_with(pieces, trained, lambda t, y: F.when(y, token_id(t)).otherwise(ignored))
+    return F.when(as_column(trained).isNotNull(), learned).otherwise(F.array_repeat(ignored, as_column(n_kept)))
 
 
-def masked_view(text="kept_text", trained="trained") -> Column:
+def masked_view(pieces="pieces", trained="trained", n_kept="n_kept") -> Column:
     """The text with every ignored token shown as a placeholder."""
-    return F.array_join(
-        F.zip_with(tokens(text), trained, lambda t, y: F.when(y, t).otherwise(F.lit(vocab.PLACEHOLDER))), ""
+    shown = F.zip_with(pieces, trained, lambda t, y: F.when(y, t).otherwise(F.lit(vocab.PLACEHOLDER)))
+    return F.when(as_column(trained).isNotNull(), F.array_join(shown, "")).otherwise(
+        F.repeat(F.lit(vocab.PLACEHOLDER), as_column(n_kept))
     )
 
 
@@ -301,9 +326,8 @@ def rounded_max_length(measured: DataFrame, cap: int | None) -> DataFrame:
 
 def mask_ratio(masked: DataFrame) -> DataFrame:
     """Learned tokens and their share per conversation."""
-    per_message = masked.select(
-        "conv_id", "n_kept", F.size(F.filter("trained", lambda t: t)).alias("n_trained")
-    )
+    learned = F.coalesce(F.size(F.filter("trained", lambda t: t)), F.lit(0))
+    per_message = masked.select("conv_id", "n_kept", F.when(F.col("trained").isNull(), 0).otherwise(learned).alias("n_trained"))
     return (
         per_message.groupBy("conv_id")
         .agg(F.sum("n_kept").alias("n_tokens"), F.sum("n_trained").alias("n_trained"))
@@ -325,51 +349,47 @@ def json_extract_spans(rows: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def pattern_spans(rows: DataFrame, id_column: str, text: str, pattern: str) -> DataFrame:
-    """Spans of all matches; their starts are sums over the pieces of one text."""
-    source = as_column(text)
-    before = F.split(source, pattern, -1)
-    found = matches(source, pattern)
-    pieces = rows.where(source.rlike(pattern)).select(
-        id_column,
-        F.posexplode(F.zip_with(F.slice(before, F.lit(1), F.size(found)), found, lambda b, m: F.struct(F.length(b).alias("gap"), F.length(m).alias("size")))).alias("i", "piece"),
-    )
-    upto = Window.partitionBy(id_column).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("piece.gap") + F.col("piece.size")).over(upto)
-    return pieces.withColumn("end_char", end).select(
-        id_column, (F.col("end_char") - F.col("piece.size")).alias("start_char"), "end_char"
-    )
+    """Spans of all matches, found row by row."""
+    found = rows.where(as_column(text).rlike(pattern)).select(id_column, F.inline(spans_of(text, pattern)))
+    return found.select(id_column, F.col("start").cast("bigint").alias("start_char"), F.col("stop").cast("bigint").alias("end_char"))
 
 
-def loss_weights(placed: DataFrame, max_length=None) -> DataFrame:
-    """Add ``weights`` per kept token: 0 ignored, 1 normal, 2 inside a metadata access of
-    the SQL, 20 on its path mark. Spans are looked for in the whole conversation, and
-    only in conversations where the assistant calls the SQL tool."""
-    rows = label_mask(placed, max_length)
-    in_call = crossing_flags("segment", "n_tokens", JSON_CALL, vocab.JSON_CALL_START, ")", "call")
+def loss_weights(placed: DataFrame, max_length=None, tokenizer=tokens) -> DataFrame:
+    """Add ``weights`` per kept token: 0 ignored, 1 normal, 2 where a token touches a metadata
+    access of the SQL, 20 where it touches its path mark. Spans are looked for in the whole
+    conversation, and only in conversations where the assistant calls the SQL tool. The
+    weights of a message without a learned token are null: all are 0."""
+    rows = label_mask(placed, max_length, tokenizer)
     learned = F.array_contains("trained", True)
-    flagged = staged(
+    raised = F.col("calls_sql") & learned
+    rows = staged(
         rows,
-        _in_call=F.when(F.col("calls_sql") & learned, in_call),
-        _tokens=F.when(F.col("calls_sql") & learned, tokens("segment")),
+        _calls=F.when(raised, crossing_spans("segment", JSON_CALL_ANY, vocab.JSON_CALL_START, ")", "call")),
+        _marks=F.when(raised, spans_of("segment", _literal(vocab.JSON_MARK))),
+    )
+    rows = staged(
+        rows,
+        _in_call=F.when(F.size("_calls") > 0, covered(F.col("ends"), F.col("_calls"))),
+        _marked=F.when(F.size("_marks") > 0, covered(F.col("ends"), F.col("_marks"))),
     )
 
-    def weight(trained: Column, i: Column) -> Column:
-        token = F.get("_tokens", i)
-        # "$" and "." are tokens of their own, so the mark is these two side by side.
-        marked = ((token == "$") & (F.get("_tokens", i + 1) == ".")) | (
-            (token == ".") & (i > 0) & (F.get("_tokens", F.greatest(i - 1, F.lit(0))) == "$")
-        )
-        return (
-            F.when(~trained, 0.0)
-            .when(F.col("_in_call").isNull(), vocab.WEIGHT_NORMAL)
-            .when(F.coalesce(marked, F.lit(False)), vocab.WEIGHT_JSON_MARK)
-            .when(F.get("_in_call", i), vocab.WEIGHT_JSON_CALL)
-            .otherwise(vocab.WEIGHT_NORMAL)
+    def weighted(trained: Column, marked: Column, in_call: Column) -> Column:
+        return F.transform(
+            trained,
+            lambda y, i: F.when(~y, 0.0)
+            .when(F.get(marked, i), vocab.WEIGHT_JSON_MARK)
+            .when(F.get(in_call, i), vocab.WEIGHT_JSON_CALL)
+            .otherwise(vocab.WEIGHT_NORMAL),
         )
 
-    none_trained = F.array_repeat(F.lit(0.0), F.col("n_kept"))
-    weights = F.when(F.array_contains("trained", True), F.transform("trained", weight)).otherwise(none_trained)
-    return staged(flagged, weights=weights).drop("_in_call", "_tokens")
+    # Bound, or the optimizer would put the flags' expressions into the lambda and run them per token.
+    weights = F.when(learned, bound(weighted, F.col("trained"), F.col("_marked"), F.col("_in_call")))
+    return staged(rows, weights=weights).drop("_calls", "_marks", "_in_call", "_marked")
+
+
+def all_weights(weights="weights", n_kept="n_kept") -> Column:
+    """``weights`` with one entry for each kept token of every message."""
+    return F.coalesce(as_column(weights), F.array_repeat(F.lit(0.0), as_column(n_kept)))
 
 
 def weight_stats(weighted: DataFrame) -> DataFrame:
@@ -377,10 +397,15 @@ def weight_stats(weighted: DataFrame) -> DataFrame:
     per_message = weighted.select(
         "conv_id",
         "n_kept",
-        F.size(F.filter("weights", lambda w: w > 1.0)).alias("n_raised"),
-        F.size(F.filter("weights", lambda w: w > 0.0)).alias("n_trained"),
-        F.array_max("weights").alias("max_weight"),
-        F.aggregate("weights", F.lit(0.0), lambda a, w: a + w).alias("sum_weight"),
+        *[
+            F.when(F.col("weights").isNull(), F.lit(0)).otherwise(value).alias(name)
+            for name, value in (
+                ("n_raised", F.size(F.filter("weights", lambda w: w > 1.0))),
+                ("n_trained", F.size(F.filter("weights", lambda w: w > 0.0))),
+                ("max_weight", F.array_max("weights")),
+                ("sum_weight", F.aggregate("weights", F.lit(0.0), lambda a, w: a + w)),
+            )
+        ],
     )
     return (
         per_message.groupBy("conv_id")
@@ -402,7 +427,7 @@ def train_test_split(rows: DataFrame, id_column: str, test_size: float = 0.1, se
     return rows.withColumn("split", F.when(chosen, "test").otherwise("train"))
 
 
-def examples(weighted: DataFrame) -> DataFrame:
+def examples(weighted: DataFrame, tokenizer=tokens) -> DataFrame:
     """One row per conversation with its token, label and weight arrays.
 
     Each array is one whole conversation, or what a length limit left of it before.
@@ -411,9 +436,9 @@ def examples(weighted: DataFrame) -> DataFrame:
         "conv_id",
         F.struct(
             "seq",
-            F.transform(tokens("kept_text"), lambda t: token_id(t)).alias("ids"),
+            F.transform(F.coalesce("pieces", tokenizer(F.col("kept_text"))), lambda t: token_id(t)).alias("ids"),
             labels().alias("labels"),
-            F.col("weights").alias("weights"),
+            all_weights().alias("weights"),
         ).alias("part"),
     )
     gathered = parts.groupBy("conv_id").agg(F.sort_array(F.collect_list("part")).alias("parts"))

@@ -610,11 +610,11 @@ add(
 )
 _LEADS = (
     "leads",
-    "SELECT *, lead(token, 1) OVER w AS t1, lead(token, 2) OVER w AS t2 FROM tokens WINDOW w AS (PARTITION BY conv_id ORDER BY pos)",
+    "SELECT *, lead(token, 1) OVER w AS t1, lead(token, 2) OVER w AS t2, lead(token, 3) OVER w AS t3 FROM tokens WINDOW w AS (PARTITION BY conv_id ORDER BY pos)",
 )
 add(
     "find_subsequence", [_RENDERED, _TOKENISED, _LEADS],
-    "SELECT conv_id, pos AS start FROM leads WHERE token = '<|start_header_id|>' AND t1 = 'assistant' AND t2 = '<|end_header_id|>'",
+    "SELECT conv_id, pos AS start FROM leads WHERE token = '<|eot_id|>' AND t1 = '<|start_header_id|>' AND t2 = 'assistant' AND t3 = '<|end_header_id|>'",
 )
 
 

@@ -12,7 +12,6 @@ from eventloom import vocab
 from eventloom.fixtures import table, view
 from eventloom.functions import sampling
 from eventloom.functions.metadata import successful
-from eventloom.functions.staged import staged
 from eventloom.functions.text import matches, tokens
 from eventloom.operators import analytics, audits, conversations, evaluation, filters, generation, inspection, quality, training
 from eventloom.session import run_dir, written
@@ -393,12 +392,9 @@ def truncate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def find_subsequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    needle = [vocab.HEADER_START, "assistant", vocab.HEADER_END]
-    placed = staged(_placed(spark, sf_dir), tokens=tokens("segment"))
-    found = training.find_subsequence(placed, needle, "tokens")
-    return found.select("conv_id", F.explode("starts").alias("start"), "first_token").select(
-        "conv_id", (F.col("first_token") + F.col("start")).alias("start")
-    )
+    """Where an assistant's turn follows another: the needle runs over two messages."""
+    needle = [vocab.END_OF_TURN, vocab.HEADER_START, "assistant", vocab.HEADER_END]
+    return training.find_in_conversations(_placed(spark, sf_dir), needle)
 
 
 def _label_text():
@@ -414,7 +410,7 @@ def label_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mask_unclosed(spark: SparkSession, sf_dir: str) -> DataFrame:
     masked = training.label_mask(_placed(spark, sf_dir), SHORT)
-    return masked.select("conv_id", "seq", "n_kept", F.size(F.filter("trained", lambda t: t)).alias("n_trained"))
+    return masked.select("conv_id", "seq", "n_kept", F.size(F.filter(training.flags(), lambda t: t)).alias("n_trained"))
 
 
 @query
@@ -429,7 +425,7 @@ def mask_tool_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     placed = training.positioned(training.measure(conversations.render_segments(quoted)))
     masked = training.label_mask(placed)
-    return masked.select("conv_id", "seq", F.array_join(F.transform("trained", lambda t: F.when(t, "1").otherwise("0")), "").alias("trained"))
+    return masked.select("conv_id", "seq", F.array_join(F.transform(training.flags(), lambda t: F.when(t, "1").otherwise("0")), "").alias("trained"))
 
 
 @query
@@ -461,7 +457,9 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights of the model-written conversations."""
     segments = conversations.render_segments(_model_messages(spark, sf_dir))
-    measured = written(training.measure(segments), "measured")
+    needed = ["conv_id", "seq", "role", "tool_name", "tools", "segment"]
+    measured = training.measure(segments.select(*needed), catalogue=tool_source.tools_json()).drop("tools")
+    measured = written(measured, "measured")
     return training.loss_weights(training.positioned(measured))
 
 
@@ -470,7 +468,7 @@ def loss_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = F.array_join(F.transform("weights", lambda w: w.cast("int").cast("string")), " ")
     zeros = F.rtrim(F.repeat(F.lit("0 "), F.col("n_kept")))
     return _weighted(spark, sf_dir).select(
-        "conv_id", "seq", F.when(F.array_contains("trained", True), shown).otherwise(zeros).alias("weights")
+        "conv_id", "seq", F.when(F.col("weights").isNotNull(), shown).otherwise(zeros).alias("weights")
     )
 
 

@@ -44,3 +44,22 @@ def test_row_wise_jobs_do_not_shuffle(spark, sf_dir, name):
 def test_only_needed_columns_are_read(spark, sf_dir):
     text = plan(QUERIES["train_test_split"](spark, sf_dir))
     assert "ReadSchema: struct<event_id:bigint>" in text
+
+
+@pytest.mark.parametrize("name,most", [("label_mask", 6), ("mask_ratio", 7), ("masked_view", 6)])
+def test_masks_arrange_messages_once(spark, sf_dir, name, most):
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES[name](spark, sf_dir)).split("Initial Plan")[-1]
+        assert text.count("Exchange hashpartitioning") <= most
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+
+
+@pytest.mark.parametrize("name", ["find_spans", "json_extract_spans", "token_offsets"])
+def test_spans_need_no_window(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert "Window" not in text or name == "token_offsets"
+    if name != "token_offsets":
+        assert "Exchange" not in text

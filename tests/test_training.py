@@ -49,7 +49,9 @@ def test_weights_are_zero_exactly_where_nothing_is_learned(spark, limit):
     messages = spark.createDataFrame(random_messages(limit or 5, 150), SCHEMA)
     segments = conversations.render_segments(messages)
     placed = training.positioned(training.measure(segments))
-    result = training.loss_weights(placed, limit).select("conv_id", "seq", "trained", "weights", tokens("kept_text").alias("t"))
+    result = training.loss_weights(placed, limit).select(
+        "conv_id", "seq", training.flags().alias("trained"), training.all_weights().alias("weights"), tokens("kept_text").alias("t")
+    )
     texts: dict = {}
     for row in segments.orderBy("conv_id", "seq").collect():
         texts[row.conv_id] = texts.get(row.conv_id, "") + row.segment
@@ -63,7 +65,7 @@ def test_weights_are_zero_exactly_where_nothing_is_learned(spark, limit):
 
 
 def learned_text(spark, role: str, content: str, limit=None) -> str:
-    row = training.label_mask(one_message(spark, role, content), limit).first()
+    row = training.label_mask(one_message(spark, role, content), limit).withColumn("trained", training.flags()).first()
     return "".join(t for t, y in zip(cut(row.kept_text), row.trained) if y)
 
 
@@ -125,7 +127,7 @@ def one_message(spark, role: str, content: str):
 
 def test_block_without_end_tag_is_not_learned(spark):
     masked = training.label_mask(one_message(spark, "assistant", "a b c"), 6).first()
-    assert masked.n_kept == 6 and not any(masked.trained)
+    assert masked.n_kept == 6 and not any(masked.trained or [])
 
 
 def test_response_inside_assistant_text_is_masked(spark):
@@ -134,6 +136,136 @@ def test_response_inside_assistant_text_is_masked(spark):
     assert shown.endswith("\n\na" + vocab.PLACEHOLDER * 8 + "c" + vocab.END_OF_TURN)
 
 
+# --- any tokenizer -----------------------------------------------------------------
+
+TAGS = r"<\|[a-z_]+\|>"
+
+
+def by_threes(text):
+    """Tags are tokens; all else is cut into runs of up to three characters, across any other border."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s){TAGS}|(?:(?!{TAGS}).){{1,3}}"), F.lit(0))
+
+
+def slow_threes(text: str) -> list[str]:
+    return re.findall(rf"(?s){TAGS}|(?:(?!{TAGS}).){{1,3}}", text)
+
+
+def masked_by_threes(spark, rows, limit=None):
+    segments = conversations.render_segments(spark.createDataFrame(rows, SCHEMA))
+    placed = training.positioned(training.measure(segments, by_threes))
+    return training.loss_weights(placed, limit, by_threes).withColumn("flags", training.flags()).withColumn("w", training.all_weights())
+
+
+def test_masks_written_out_for_another_tokenizer(spark):
+    rows = [(0, 0, 0, "user", "q", None, None, True, True), (0, 1, 1, "assistant", f"yes{OPEN}no{CLOSE}so", None, None, True, True)]
+    shown = masked_by_threes(spark, rows).withColumn("shown", training.masked_view()).orderBy("seq").collect()
+    assert slow_threes(shown[1].segment) == [
+        "<|start_header_id|>", "ass", "ist", "ant", "<|end_header_id|>", "\n\ny", "es<", "TOO", "L_R", "ESP", "ONS", "E>n", "o</",
+        "TOO", "L_R", "ESP", "ONS", "E>s", "o", "<|eot_id|>",
+    ]
+    p = vocab.PLACEHOLDER
+    assert shown[1].shown == p * 5 + "\n\ny" + p * 12 + "o<|eot_id|>"
+    assert shown[0].shown == p * len(slow_threes(shown[0].segment))
+
+
+@pytest.mark.parametrize("limit", [None, 20])
+def test_labels_cuts_and_weights_follow_the_tokenizer(spark, limit):
+    rows = random_messages(3, 80)
+    texts, want = {}, {}
+    for row in conversations.render_segments(spark.createDataFrame(rows, SCHEMA)).orderBy("conv_id", "seq").collect():
+        texts.setdefault(row.conv_id, []).append(row.segment)
+    result = masked_by_threes(spark, rows, limit).withColumn("labels", training.labels()).orderBy("conv_id", "seq").collect()
+    got = {}
+    for r in result:
+        got.setdefault(r.conv_id, []).append(r)
+        assert len(r.flags) == len(r.w) == len(r.labels) == r.n_kept == len(slow_threes(r.kept_text))
+        assert [y != vocab.IGNORE_LABEL for y in r.labels] == r.flags == [w > 0 for w in r.w]
+    for conv, parts in texts.items():
+        cut_tokens = [t for text in parts for t in slow_threes(text)][:limit]
+        assert [t for r in got[conv] for t in slow_threes(r.kept_text)] == cut_tokens
+        want = slow_learned([r.kept_text for r in got[conv]])
+        assert [t for r in got[conv] for t in r.flags] == want
+
+
+def slow_learned(texts: list[str]) -> list[bool]:
+    """Which tokens lie in an answer and touch no response, over the text of a whole conversation."""
+    text, flags, at = "".join(texts), [], 0
+    answers, begin = [], 0
+    for part in texts:
+        answers += [(begin + m.start(1), begin + m.end(1)) for m in re.finditer(rf"(?s){re.escape(HEADER)}(.*?{re.escape(END)})", part)]
+        begin += len(part)
+    responses = [m.span() for m in re.finditer(rf"(?s){OPEN}.*?{CLOSE}", text)]
+    for part in texts:
+        for t in slow_threes(part):
+            a, b = at, at + len(t)
+            flags.append(any(s <= a and b <= e for s, e in answers) and not any(s < b and a < e for s, e in responses))
+            at = b
+    return flags
+
+
+def test_weights_touch_spans_by_character(spark):
+    rows = [(0, 0, 0, "assistant", "a json_extract(METADATA, '$.k') b", vocab.SQL_TOOL, "{}", True, True)]
+    row = masked_by_threes(spark, rows).first()
+    call = row.segment.index("json_extract("), row.segment.index(")") + 1
+    mark = row.segment.index("$."), row.segment.index("$.") + 2
+    at = 0
+    for t, w in zip(slow_threes(row.segment), row.w):
+        touches = [s < at + len(t) and at < e for s, e in (call, mark)]
+        assert w in (0.0, 20.0 if touches[1] else 2.0 if touches[0] else 1.0)
+        at += len(t)
+
+
+def test_spans_and_tokens_as_sorted_arrays(spark):
+    from eventloom.functions.spans import count_upto, covered, ends_of, spans_of
+
+    draw = random.Random(9)
+    rows = []
+    for _ in range(150):
+        pieces = ["x" * draw.randint(1, 4) for _ in range(draw.randint(0, 40))]
+        size = sum(map(len, pieces))
+        spans = sorted((a, a + draw.randint(1, 9)) for a in (draw.randint(0, size) for _ in range(draw.randint(0, 6))))
+        rows.append((pieces, [{"start": a, "stop": b} for a, b in spans]))
+    frame = spark.createDataFrame(rows, "pieces array<string>, spans array<struct<start: int, stop: int>>").withColumn("ends", ends_of(F.col("pieces")))
+    made = frame.select("*", covered(F.col("ends"), F.col("spans")).alias("touched"), count_upto(F.col("ends"), F.lit(20)).alias("n")).collect()
+    for r in made:
+        ends = [sum(len(p) for p in r.pieces[: i + 1]) for i in range(len(r.pieces))]
+        assert r.ends == ends and r.n == sum(e <= 20 for e in ends)
+        assert r.touched == [any(s.start < e and e - len(p) < s.stop for s in r.spans) for p, e in zip(r.pieces, ends)]
+    text = "é" + "ab$.x" * 40
+    found = spark.createDataFrame([(text,)], "t string").select(spans_of("t", r"\$\.").alias("s")).first().s
+    assert [(x.start, x.stop) for x in found] == [m.span() for m in re.finditer(r"\$\.", text)]
+
+
+def test_catalogue_is_counted_once_with_the_same_result(spark):
+    rows = [(0, 0, 0, "system", "see <TOOLS>[1, 2]</TOOLS> there", None, None, "[1, 2]", True, True), (0, 1, 1, "user", "q", None, None, None, True, True)]
+    segments = conversations.render_segments(
+        spark.createDataFrame(rows, "conv_id bigint, seq bigint, turn bigint, role string, content string, tool_name string, tool_args string, tools string, opens boolean, closes boolean")
+    )
+    plain = training.measure(segments).select("seq", "n_tokens").collect()
+    assert sorted(map(tuple, training.measure(segments, catalogue="[1, 2]").select("seq", "n_tokens").collect())) == sorted(map(tuple, plain))
+
+
+# --- needles over messages -----------------------------------------------------------
+
+
+@pytest.mark.parametrize("needle", [["a"], ["a", "a"], ["a", "a", "a", "a", "a"], ["a", "b", "a"], ["b", "a", "a", "b"], ["c"], []])
+def test_needle_over_messages(spark, needle):
+    draw = random.Random(len(needle))
+    rows, whole = [], {}
+    for conv in range(40):
+        for seq in range(draw.randint(1, 9)):
+            text = "".join(draw.choices("aab", k=draw.choice([0, 1, 1, 1, 2, 5, 12])))
+            rows.append((conv if conv else None, seq, "user", None, text))
+            whole.setdefault(conv if conv else None, []).extend(text)
+    segments = spark.createDataFrame(rows, "conv_id bigint, seq bigint, role string, tool_name string, segment string")
+    letters = lambda text: F.filter(F.split(text, ""), lambda t: t != "")
+    placed = training.positioned(training.measure(segments, letters))
+    got = sorted(map(tuple, training.find_in_conversations(placed, needle, letters).collect()), key=repr)
+    n = len(needle)
+    want = [(c, i) for c, tokens_ in whole.items() for i in range(len(tokens_) - n + 1) if n and tokens_[i : i + n] == needle]
+    assert got == sorted(want, key=repr)
+
+
 def test_overlapping_subsequences(spark):
     rows = spark.createDataFrame([(["1", "1", "1"],), (["1"],)], "tokens array<string>")
     found = training.find_subsequence(rows, ["1", "1"], "tokens").collect()
