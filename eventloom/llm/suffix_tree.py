@@ -36,6 +36,7 @@ import zstandard
 from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventloom.llm.common import bytes_of, carried, written
 
@@ -90,7 +91,10 @@ def _mixed(sums: np.ndarray) -> np.ndarray:
 
 # --- blocks ---------------------------------------------------------------------------
 
-_BLOCK = "block bigint, rows array<{row}>, lengths binary, trains binary, vocabulary binary, words binary"
+def _block_schema(row: T.StructType) -> T.StructType:
+    """A schema as an object: names of input columns may hold any character."""
+    packed = [T.StructField(name, T.BinaryType()) for name in ("lengths", "trains", "vocabulary", "words")]
+    return T.StructType([T.StructField("block", T.LongType()), T.StructField("rows", T.ArrayType(row)), *packed])
 
 
 def blocks(docs: DataFrame, train: Column, text: str, keep: Sequence[str] | None, tree: Tree) -> DataFrame:
@@ -141,7 +145,7 @@ def blocks(docs: DataFrame, train: Column, text: str, keep: Sequence[str] | None
         if words:
             yield flush()
 
-    return named.select("row", "train", "text").mapInArrow(cut, _BLOCK.format(row=named.schema["row"].dataType.simpleString()))
+    return named.select("row", "train", "text").mapInArrow(cut, _block_schema(named.schema["row"].dataType))
 
 
 class Block:

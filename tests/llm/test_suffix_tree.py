@@ -126,3 +126,10 @@ def test_long_contexts_become_states(docs_of):
     want, states = slow_scores(texts, [True] * len(texts), suffix_tree.Tree())
     assert max(len(c) for c in states) == 6
     compare([got[i] for i in range(len(texts))], want)
+
+
+def test_odd_and_clashing_names_are_carried(spark):
+    schema = "doc_id bigint, text string, `a b.c``d` string, block bigint, score string"
+    rows = spark.createDataFrame([(1, "one two", "x", 3, "s"), (2, None, None, None, None)], schema)
+    made = suffix_tree.scored(rows, F.lit(True))
+    assert made.select("row.*").columns == rows.columns and made.count() == 2
