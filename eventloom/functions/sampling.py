@@ -56,16 +56,41 @@ def dense_index(rows: DataFrame, id_column: str, seed=0, name: str = "row_index"
     )
 
 
+#: Stretches of row numbers that draws and buckets are joined by.
+STRETCHES = 1024
+
+
 def draw_with_replacement(rows: DataFrame, id_column: str, n: int, seed=42) -> DataFrame:
-    """Draw ``n`` rows, each draw independent of the others; adds ``draw_no``."""
-    indexed = dense_index(rows, id_column, seed)
-    size = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    """Draw ``n`` rows, each draw independent of the others; adds ``draw_no``.
+
+    Draws are numbers of rows in hash order. Only counts per hash bucket, made on the map side,
+    tell which bucket a number falls into and which place it has there; then rows of
+    the buckets hit are put in order, no others. The draws depend on seed and ids alone.
+    """
+    hashed = seeded_hash(seed, F.col(id_column).cast("string"))
+    bucket = F.substring(hashed, 1, BUCKET_DIGITS)
+    counts = rows.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "_bucket",
+        "_rows",
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
+        F.sum("_rows").over(Window.partitionBy(F.lit(0))).alias("_size"),
+    )
+    stretch = lambda number: F.floor(number * STRETCHES / F.col("_size")).cast("bigint")
+    spread = offsets.withColumn("_stretch", F.explode(F.sequence(stretch(F.col("_offset")), stretch(F.col("_offset") + F.col("_rows") - 1))))
     draws = (
         rows.sparkSession.range(n)
         .withColumnRenamed("id", "draw_no")
-        .withColumn("_size", size)
+        .withColumn("_size", counts.agg(F.sum("_rows").alias("n")).scalar())
         .where("_size > 0")
-        .withColumn("row_index", hash_index(f"{seed}:draw", F.col("draw_no").cast("string"), F.col("_size")))
+        .withColumn("_number", hash_index(f"{seed}:draw", F.col("draw_no").cast("string"), F.col("_size")))
+        .withColumn("_stretch", stretch(F.col("_number")))
         .drop("_size")
     )
-    return indexed.join(draws, "row_index").drop("row_index")
+    inside = (F.col("_number") >= F.col("_offset")) & (F.col("_number") < F.col("_offset") + F.col("_rows"))
+    hits = draws.join(spread, "_stretch").where(inside).select("draw_no", "_bucket", (F.col("_number") - F.col("_offset") + 1).alias("_rank"))
+    keyed = rows.withColumn("_hash", hashed).withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
+    hit = keyed.join(hits.select("_bucket").distinct(), "_bucket", "left_semi")
+    order = Window.partitionBy("_bucket").orderBy("_hash", id_column)
+    return hit.withColumn("_rank", F.row_number().over(order).cast("bigint")).join(hits, ["_bucket", "_rank"]).drop("_bucket", "_rank", "_hash")

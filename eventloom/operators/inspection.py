@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.running import running_before
 from eventloom.functions.sampling import seeded_hash
 from eventloom.functions.text import is_json_object, json_quote
+from eventloom.operators import statements
 from eventloom.operators.filters import of_event
 from eventloom.session import register_json_extract
 from eventloom.vocab import CHECK_ALL, CHECK_TOOLS, EVENT_COLUMNS, SAMPLE_ORDER, SQL_TOOL
@@ -132,14 +132,16 @@ def check_results(events: DataFrame, n: int = 5, seed=SEED) -> DataFrame:
     return texts.drop("field_no").unionByName(everything)
 
 
-def execute_sql(events: DataFrame, sql: str) -> DataFrame:
-    """Run one SELECT over the event table, known to the SQL as EVENTS; nothing is fetched."""
+def execute_sql(events: DataFrame, sql: str, known_keys=None, rules=statements.REFUSED) -> DataFrame:
+    """Run one query over the event table, known to the SQL as EVENTS; nothing is fetched.
+
+    A statement that is no query, reads anything else, or asks for a JSON path that does not
+    start with $, is refused before it runs; a path taken from a column is checked by the tasks. ``rules`` may name the rules that are only
+    told by ``statements.findings`` too; ``known_keys`` are the metadata keys it may ask for.
+    """
     text = sql.strip().rstrip(";")
-    if not text.upper().startswith(("SELECT", "WITH")):
-        raise ValueError("only SELECT statements are run")
-    if re.search(r"(?i)json_extract\s*\([^,()]*,\s*'(?!\$)", text):
-        raise ValueError("a JSON path starts with $")
     spark = events.sparkSession
+    statements.refuse(spark, text, known_keys, rules)
     register_json_extract(spark)
     events.createOrReplaceTempView("EVENTS")
     return spark.sql(text)
