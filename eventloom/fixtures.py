@@ -65,10 +65,10 @@ SELECT event_id AS qa_id, event_id + 1 AS line_no,
   ELSE '__ANSWER__ The value is ''' || CAST(value AS @STR) || '''. ' END AS raw_answer
 FROM @EVENTS""",
     "sql_results": """
-SELECT qa_id, row_no, col_no, cell FROM (
+SELECT qa_id, row_no, col_no, cell, CASE WHEN cell IS NULL THEN 'null' WHEN is_text THEN 'text' ELSE 'number' END AS kind FROM (
  SELECT event_id AS qa_id, 0 AS row_no, 0 AS col_no, CASE WHEN event_id % 6 = 1 THEN '0' WHEN event_id % 6 = 2 THEN NULL
-  ELSE CAST(value AS @STR) END AS cell FROM @EVENTS WHERE event_id % 6 <> 0
- UNION ALL SELECT event_id, 1, 0, CASE WHEN event_id % 6 = 4 THEN NULL ELSE '0' END FROM @EVENTS WHERE event_id % 6 >= 4) t""",
+  ELSE CAST(value AS @STR) END AS cell, event_id % 12 = 7 AS is_text FROM @EVENTS WHERE event_id % 6 <> 0
+ UNION ALL SELECT event_id, 1, 0, CASE WHEN event_id % 6 = 4 THEN NULL ELSE '0' END, event_id % 12 = 11 FROM @EVENTS WHERE event_id % 6 >= 4) t""",
     "curation_decisions": """
 SELECT doc_id + 1 AS line_no, CASE WHEN toxic = 1 THEN 'badquality' WHEN quality = 1 THEN 'ready2train'
  ELSE 'doublecheck' END AS decision FROM @LABELS""",

@@ -60,15 +60,21 @@ def flatten(events: DataFrame) -> DataFrame:
     )
 
 
-def unpivot(events: DataFrame) -> DataFrame:
+def unpivot(events: DataFrame, wanted: dict[str, list[str]] | None = None) -> DataFrame:
     """One row per field present in METADATA: ``key`` and ``value`` as text.
 
-    A JSON null stays a row with a NULL value; malformed text gives no rows.
+    A JSON null stays a row with a NULL value; malformed text gives no rows. ``wanted`` names
+    the fields of each event type that are asked for: all else is left out before it becomes rows,
+    and so are NULL values.
     """
-    parsed = events.select(
-        "_ID", "EVENT", "JOB_ID", F.explode(F.from_json("METADATA", "map<string,string>")).alias("key", "value")
-    )
-    return parsed
+    fields = F.from_json("METADATA", "map<string,string>")
+    if wanted is not None:
+        events = events.where(F.col("EVENT").isin(*wanted))
+        asked = F.lit(None).cast("array<string>")
+        for event, keys in wanted.items():
+            asked = F.when(F.col("EVENT") == event, F.array(*[F.lit(k) for k in keys])).otherwise(asked)
+        fields = F.map_filter(fields, lambda key, value: F.array_contains(asked, key) & value.isNotNull())
+    return events.select("_ID", "EVENT", "JOB_ID", F.explode(fields).alias("key", "value"))
 
 
 def unpivot_json(events: DataFrame) -> DataFrame:

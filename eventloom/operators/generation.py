@@ -102,9 +102,18 @@ def synonyms(events: DataFrame) -> DataFrame:
 # --- answers ----------------------------------------------------------------------
 
 
-def field_answers(events: DataFrame) -> DataFrame:
-    """(EVENT, JOB_ID, key) with the number of distinct values and the least of them."""
-    values = unpivot(events).where(F.col("value").isNotNull()).select("EVENT", "JOB_ID", "key", "value").distinct()
+#: The fields that lookup questions ask for, by event type.
+ASKABLE = {event: list(fields) for event, fields in vocab.SYNONYMS.items()}
+
+
+def field_answers(events: DataFrame, asked: DataFrame, fields: dict[str, list[str]] | None = None) -> DataFrame:
+    """(EVENT, JOB_ID, key) with the number of distinct values and the least of them, of the fields asked for.
+
+    ``asked`` has EVENT, JOB_ID and key; what nobody asked for is dropped before values are
+    compared. ``fields`` names all that may be asked for, if that is known: nothing else becomes rows.
+    """
+    found = unpivot(events, fields).where(F.col("value").isNotNull())
+    values = found.select("EVENT", "JOB_ID", "key", "value").join(asked, ["EVENT", "JOB_ID", "key"], "left_semi").distinct()
     return values.groupBy("EVENT", "JOB_ID", "key").agg(
         F.min("value").alias("answer_value"), F.count(F.lit(1)).alias("n_values")
     )
@@ -205,9 +214,13 @@ def filled(draws: DataFrame) -> DataFrame:
     )
 
 
-def answer_batch(questions: DataFrame, events: DataFrame) -> DataFrame:
-    """Answer all questions by one join; an unanswerable one keeps a NULL answer."""
-    answers = field_answers(events).withColumnRenamed("key", "field")
+def answer_batch(questions: DataFrame, events: DataFrame, fields: dict[str, list[str]] | None = None) -> DataFrame:
+    """Answer all questions by one join; an unanswerable one keeps a NULL answer.
+
+    ``fields`` are the fields by event type that questions may ask for, if that is known.
+    """
+    asked = questions.select("EVENT", "JOB_ID", F.col("field").alias("key"))
+    answers = field_answers(events, asked, fields).withColumnRenamed("key", "field")
     return questions.join(answers, ["EVENT", "JOB_ID", "field"], "left").withColumn(
         "n_values", F.coalesce("n_values", F.lit(0))
     )
@@ -219,7 +232,7 @@ def lookup_questions(
     """Records asking for one field of one job."""
     asked = filled(lookup_draws(events, kinds, per_job, amount, seed))
     slots = {"jobid": "JOB_ID", "field1": "phrase", "field2": "field", "event": "EVENT", "ans": "answer_value"}
-    return answer_batch(asked, events).select(
+    return answer_batch(asked, events, ASKABLE).select(
         *RECORD_COLUMNS[:-1], fill(F.lit(vocab.LOOKUP_ANSWER), **slots).alias("answer")
     )
 
@@ -236,14 +249,18 @@ def template_mix(draws: DataFrame) -> DataFrame:
     return draws.groupBy("EVENT", F.col("template.tool1").alias("tool_name")).agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def value_parts(events: DataFrame, per_part: int = VALUES_PER_PART) -> DataFrame:
+def value_parts(events: DataFrame, per_part: int = VALUES_PER_PART, asked: DataFrame | None = None) -> DataFrame:
     """The rows a lookup SQL returns as JSON text, in parts of about ``per_part`` values.
 
     The parts of one result joined in order are the whole text, so a result with very
-    many values is never gathered in one place.
+    many values is never gathered in one place. ``asked`` (EVENT, JOB_ID, key) names the lookups
+    that are made; all are by default.
     """
     group = ["EVENT", "JOB_ID", "key"]
-    values = unpivot_json(events).where(F.col("json_value") != "null").select(*group, "json_value").distinct()
+    values = unpivot_json(events).where(F.col("json_value") != "null").select(*group, "json_value")
+    if asked is not None:
+        values = values.join(asked.select(*group), group, "left_semi")
+    values = values.distinct()
     sizes = values.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / F.lit(per_part)).alias("n_buckets"))
     bucketed = values.join(sizes, group).withColumn("bucket", hash_index("part", "json_value", F.col("n_buckets")))
     texts = bucketed.groupBy(*group, "bucket").agg(

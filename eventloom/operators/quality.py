@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventloom import vocab
 from eventloom.functions.text import as_column, before_first, is_json_object, json_quote, strip
 from eventloom.operators.generation import VALUES_PER_PART
+from eventloom.session import written
 
 # --- replies ----------------------------------------------------------------------
 
@@ -22,6 +24,49 @@ def validate_reply(replies: DataFrame, text: str = "line", required: list[str] =
 # --- results of queries -----------------------------------------------------------
 
 
+#: What a cell may be; a table of cells without kinds holds text that may be any of them.
+NUMBER, TEXT, BOOLEAN, NULL = "number", "text", "boolean", "null"
+
+
+def result_cells(result: DataFrame, qa_id) -> DataFrame:
+    """The rows of a query's result as cells: (qa_id, row_no, col_no, cell, kind).
+
+    ``kind`` keeps what a cell is, so that the number 0 and the text '0' stay apart. Rows are
+    numbered in their order from the rows counted in each part of the result.
+    """
+    names = result.columns
+    kinds = [
+        NUMBER if isinstance(f.dataType, T.NumericType) else BOOLEAN if isinstance(f.dataType, T.BooleanType) else TEXT
+        for f in result.schema.fields
+    ]
+    plain = result.toDF(*[f"c{i}" for i in range(len(names))])
+    cells = [
+        F.struct(
+            F.lit(i).alias("col_no"),
+            F.col(f"c{i}").cast("string").alias("cell"),
+            F.when(F.col(f"c{i}").isNull(), NULL).otherwise(kind).alias("kind"),
+        )
+        for i, kind in enumerate(kinds)
+    ]
+    held = written(plain.select(F.monotonically_increasing_id().alias("_at"), F.array(*cells).alias("cells")), "cells")
+    part = F.shiftright("_at", 33).alias("_part")
+    counts = held.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    rows = held.withColumn("_part", part).join(starts, "_part")
+    return rows.select(F.lit(qa_id).alias("qa_id"), (F.col("_at") + F.col("_shift")).alias("row_no"), F.inline("cells"))
+
+
+def _is_zero(results: DataFrame) -> Column:
+    zero = F.coalesce(F.col("cell").try_cast("double") == 0, F.lit(False))
+    return zero & (F.col("kind") == NUMBER) if "kind" in results.columns else zero
+
+
+def _cell_json(results: DataFrame) -> Column:
+    quoted = json_quote("cell")
+    return F.when(F.col("kind").isin(NUMBER, BOOLEAN), F.col("cell")).otherwise(quoted) if "kind" in results.columns else quoted
+
+
 def _result_facts(results: DataFrame) -> DataFrame:
     """What the checks need to know of each result, in one aggregation."""
     first = (F.col("row_no") == 0) & (F.col("col_no") == 0)
@@ -29,12 +74,12 @@ def _result_facts(results: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_cells"),
         F.count_if(F.col("col_no") == 0).alias("n_rows"),
         F.count("cell").alias("n_filled"),
-        F.max(F.when(first, F.col("cell"))).alias("first_cell"),
+        F.max(first & _is_zero(results)).alias("first_is_zero"),
     )
 
 
 def result_quality(questions: DataFrame, results: DataFrame, failed: Column | None = None) -> DataFrame:
-    """Reject failed queries, empty results, a single zero, and results with nothing but NULLs.
+    """Reject failed queries, empty results, a single number zero, and results with nothing but NULLs.
 
     ``failed`` is a condition on a question that says its query ended with an error.
     """
@@ -43,16 +88,16 @@ def result_quality(questions: DataFrame, results: DataFrame, failed: Column | No
     reason = (
         F.when(F.col("_broken"), "query_error")
         .when(F.col("n_cells").isNull(), "empty")
-        .when((F.col("n_cells") == 1) & (F.col("first_cell").try_cast("double") == 0), "zero")
+        .when((F.col("n_cells") == 1) & F.col("first_is_zero"), "zero")
         .when(F.col("n_filled") == 0, "all_null")
     )
     return facts.select("qa_id", reason.isNull().alias("accepted"), reason.alias("reject_reason"))
 
 
 def flag_zero_results(questions: DataFrame, results: DataFrame) -> DataFrame:
-    """The weaker check: exactly one row whose first cell is zero; empty is not flagged."""
+    """The weaker check: exactly one row whose first cell is the number zero; empty is not flagged."""
     facts = questions.select("qa_id").join(_result_facts(results), "qa_id", "left")
-    flagged = (F.col("n_rows") == 1) & (F.col("first_cell").try_cast("double") == 0)
+    flagged = (F.col("n_rows") == 1) & F.col("first_is_zero")
     return facts.select("qa_id", F.coalesce(flagged, F.lit(False)).alias("flagged"))
 
 
@@ -76,7 +121,7 @@ def with_result_text(records: DataFrame, results: DataFrame, rows_per_part: int
     sizes = results.groupBy("qa_id").agg((F.floor(F.max("row_no") / F.lit(rows_per_part)) + 1).cast("int").alias("n_parts"))
     rows = results.groupBy("qa_id", "row_no").agg(
         F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("col_no", json_quote("cell").alias("cell")))), lambda c: c["cell"]),
+            F.transform(F.sort_array(F.collect_list(F.struct("col_no", _cell_json(results).alias("cell")))), lambda c: c["cell"]),
             ", ",
         ).alias("row")
     )

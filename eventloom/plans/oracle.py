@@ -185,7 +185,7 @@ add(
 )
 add(
     "attach_sql_result", [QA, SR],
-    "SELECT q.qa_id, q.check_tool, r.row_no, r.col_no, r.cell FROM qa_records q LEFT JOIN sql_results r USING (qa_id)",
+    "SELECT q.qa_id, q.check_tool, r.row_no, r.col_no, r.cell, r.kind FROM qa_records q LEFT JOIN sql_results r USING (qa_id)",
 )
 add("attach_tools", [QA], "SELECT qa_id, 7 AS n_tools, 'execute_sql' AS last_tool FROM qa_records")
 
@@ -413,7 +413,7 @@ add(
 )
 _RESULT_TEXT = (
     "result_text",
-    "SELECT qa_id, '[' || string_agg('[' || coalesce('\"' || cell || '\"', 'null') || ']', ', ' ORDER BY row_no) || ']' AS text "
+    "SELECT qa_id, '[' || string_agg('[' || CASE kind WHEN 'null' THEN 'null' WHEN 'text' THEN '\"' || cell || '\"' ELSE cell END || ']', ', ' ORDER BY row_no) || ']' AS text "
     "FROM sql_results GROUP BY qa_id",
 )
 add(
@@ -446,12 +446,12 @@ add(
 add(
     "result_quality", [QA, SR],
     "SELECT qa_id, reason IS NULL AS accepted, reason AS reject_reason FROM (SELECT q.qa_id, CASE WHEN q.qa_id % 17 = 3 THEN 'query_error' WHEN count(r.qa_id) = 0 THEN 'empty' "
-    "WHEN count(r.qa_id) = 1 AND TRY_CAST(max(r.cell) AS DOUBLE) = 0 THEN 'zero' WHEN count(r.cell) = 0 THEN 'all_null' END AS reason "
+    "WHEN count(r.qa_id) = 1 AND max(r.kind) = 'number' AND TRY_CAST(max(r.cell) AS DOUBLE) = 0 THEN 'zero' WHEN count(r.cell) = 0 THEN 'all_null' END AS reason "
     "FROM qa_records q LEFT JOIN sql_results r USING (qa_id) GROUP BY q.qa_id)",
 )
 add(
     "flag_zero_results", [QA, SR],
-    "SELECT q.qa_id, coalesce(count(r.qa_id) = 1 AND TRY_CAST(max(CASE WHEN r.col_no = 0 THEN r.cell END) AS DOUBLE) = 0, false) AS flagged "
+    "SELECT q.qa_id, coalesce(count(r.qa_id) = 1 AND TRY_CAST(max(CASE WHEN r.col_no = 0 AND r.kind = 'number' THEN r.cell END) AS DOUBLE) = 0, false) AS flagged "
     "FROM qa_records q LEFT JOIN sql_results r USING (qa_id) GROUP BY q.qa_id",
 )
 add(

@@ -225,7 +225,7 @@ over_events(
 over_events(
     "answer_batch",
     lambda e: generation.answer_batch(
-        generation.lookup_draws(e, None, 2).select("qa_id", "EVENT", "JOB_ID", "field"), e
+        generation.lookup_draws(e, None, 2).select("qa_id", "EVENT", "JOB_ID", "field"), e, generation.ASKABLE
     ),
 )
 over_events("synonym_dim", generation.synonyms)
@@ -312,7 +312,7 @@ def assemble_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = generation.lookup_draws(events).select(
         F.col("qa_id").alias("conv_id"), "EVENT", "JOB_ID", F.col("field").alias("key")
     )
-    parts = asked.join(generation.value_parts(events), ["EVENT", "JOB_ID", "key"]).select(
+    parts = asked.join(generation.value_parts(events, asked=asked), ["EVENT", "JOB_ID", "key"]).select(
         "conv_id", "part", "n_parts", "text"
     )
     records = conversations.with_parts(conversations.from_templates(questions), parts)

@@ -89,3 +89,38 @@ def test_every_run_is_compared_with_one_base(spark):
 
 def test_semi_join_fixture_holds_rows(spark):
     assert QUERIES["semi_jobs"](spark, "/root/testdata/sf0.01").count() > 0
+
+
+def test_cells_keep_their_kind(spark):
+    events = spark.createDataFrame([(i, "x" if i % 2 else None) for i in range(40)], "_ID int, STATE string").repartition(4)
+    result = inspection.execute_sql(events, "SELECT _ID, CAST(_ID AS STRING) AS t, _ID > 3 AS b, STATE FROM EVENTS ORDER BY _ID DESC")
+    cells = quality.result_cells(result, 7).collect()
+    assert sorted({(r.col_no, r.kind) for r in cells}) == [(0, "number"), (1, "text"), (2, "boolean"), (3, "null"), (3, "text")]
+    assert {r.row_no: r.cell for r in cells if r.col_no == 0} == {i: str(39 - i) for i in range(40)}
+    shown = quality.with_result_text(spark.createDataFrame([(7,)], "qa_id int"), quality.result_cells(result.limit(1), 7)).first()
+    assert shown.result_text == '[[39, "39", true, "x"]]'
+
+
+@pytest.mark.parametrize(
+    "select, reason",
+    [("0", "zero"), ("0.0", "zero"), ("CAST(0 AS DOUBLE)", "zero"), ("'0'", None), ("'00'", None), ("'0e3'", None), ("false", None), ("NULL", "all_null"), ("1", None)],
+)
+def test_only_the_number_zero_is_rejected(spark, select, reason):
+    events = spark.createDataFrame([(1,)], "_ID int")
+    cells = quality.result_cells(inspection.execute_sql(events, f"SELECT {select} AS x FROM EVENTS"), 1)
+    questions = spark.createDataFrame([(1,)], "qa_id int")
+    assert quality.result_quality(questions, cells).first().reject_reason == reason
+    assert quality.flag_zero_results(questions, cells).first().flagged is (reason == "zero")
+
+
+def test_both_zeros_are_in_the_fixture(spark, sf_dir):
+    verdicts = QUERIES["result_quality"](spark, sf_dir).where("qa_id % 6 = 1 AND qa_id % 17 <> 3").select(F.col("qa_id") % 12, "accepted").distinct()
+    assert sorted(map(tuple, verdicts.collect())) == [(1, False), (7, True)]
+
+
+def test_only_fields_asked_for_become_rows(spark, sf_dir):
+    plan = QUERIES["answer_batch"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    generated = next(i for i, line in enumerate(lines) if "Generate explode" in line and "key" in line)
+    assert any("map_filter(" in line for line in lines[generated : generated + 3])
+    assert any("LeftSemi" in line for line in lines[:generated])
