@@ -7,6 +7,8 @@ verdict of a conversation is that of its first failing step.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -255,6 +257,8 @@ def error_records(
     max_rounds: int = vocab.MAX_ROUNDS,
     requests: DataFrame | None = None,
     system: str = vocab.SYSTEM_MESSAGE,
+    extra: Sequence[str] = ("call_status", "finish_reason", "tool_status"),
+    order: Sequence[str] = ("elapsed",),
 ) -> DataFrame:
     """Failed conversations with their request, error message, last output and messages.
 
@@ -264,14 +268,23 @@ def error_records(
     A call that failed left no output, so messages end before it; where all rounds are used
     up, the last tool result is there too. Steps are brought together by number first, so
     at most ``max_rounds`` entries of a conversation are gathered even where a step was stored
-    many times; ``n_repeated`` says how many stored steps that left out.
+    many times: the first of them by ``order`` and then by its texts stays, and ``n_repeated``
+    says how many that left out. ``extra`` names the columns of the last step that are kept as a
+    map beside the record.
     """
     failed = conversation_verdict(steps, max_rounds).where("NOT success")
     single = (
         steps.where(F.col("step") < max_rounds)
         .groupBy("conv_id", "step")
         .agg(
-            F.max(F.struct(F.coalesce("gen_text", F.lit("")).alias("said"), F.coalesce("tool_result", F.lit("")).alias("got"))).alias("s"),
+            F.min(
+                F.struct(
+                    *[F.struct(F.col(c).isNull().alias("none"), F.col(c).alias("by")).alias(f"o{i}") for i, c in enumerate(order)],
+                    F.coalesce("gen_text", F.lit("")).alias("said"),
+                    F.coalesce("tool_result", F.lit("")).alias("got"),
+                    F.array(*[F.col(c).cast("string") for c in extra]).alias("extra"),
+                )
+            ).alias("s"),
             (F.count(F.lit(1)) - 1).alias("again"),
             F.max(F.coalesce(F.col("call_status").isin(*CALL_ERRORS), F.lit(False))).alias("lost"),
         )
@@ -290,6 +303,7 @@ def error_records(
             F.max_by("s.said", F.when(~not_said, F.col("step"))).alias("last_model_output"),
             F.sum("again").alias("n_repeated"),
             F.max_by("s.got", "step").alias("detail"),
+            F.map_from_arrays(F.array(*[F.lit(c) for c in extra]), F.max_by("s.extra", "step")).alias("extra"),
             F.flatten(
                 F.transform(F.sort_array(F.collect_list(F.struct("step", turn.alias("turn")))), lambda t: t["turn"])
             ).alias("messages"),

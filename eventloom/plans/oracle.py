@@ -901,7 +901,7 @@ add(
     + " END, v.verdict) END AS error_message, arg_max(p.gen_text, p.step) FILTER (NOT (p.step = v.last_step AND v.verdict IN ('HTTP_ERROR', 'VLLM_RESPONSE_PARSE_ERROR'))) AS last_model_output, "
     "2 + 2 * count(*) + CASE WHEN v.verdict = 'MAX_ROUNDS_EXCEEDED' THEN 0 WHEN v.verdict IN ('HTTP_ERROR', 'VLLM_RESPONSE_PARSE_ERROR') THEN -2 ELSE -1 END AS n_messages, "
     "rtrim('system,user,' || repeat('assistant,tool,', CAST(count(*) - 1 AS BIGINT)) || CASE WHEN v.verdict = 'MAX_ROUNDS_EXCEEDED' THEN 'assistant,tool' "
-    "WHEN v.verdict IN ('HTTP_ERROR', 'VLLM_RESPONSE_PARSE_ERROR') THEN '' ELSE 'assistant' END, ',') AS roles FROM verdicts v "
+    "WHEN v.verdict IN ('HTTP_ERROR', 'VLLM_RESPONSE_PARSE_ERROR') THEN '' ELSE 'assistant' END, ',') AS roles, arg_max(p.tool_status, p.step) AS tool_status FROM verdicts v "
     "JOIN parsed p ON p.conv_id = v.conv_id AND p.step <= v.last_step LEFT JOIN qa_records q ON q.qa_id = v.conv_id WHERE v.verdict <> 'SUCCESS' GROUP BY v.conv_id, v.last_step, v.verdict",
 )
 add(
@@ -932,6 +932,7 @@ _SUMMARY = (
 add("benchmark_summary", [*_CLASSIFIED, _GOOD], f"SELECT {_SUMMARY} FROM verdicts v LEFT JOIN good g USING (conv_id)")
 add(
     "benchmark_report", [*_CLASSIFIED, _GOOD, ("s", f"SELECT {_SUMMARY} FROM verdicts v LEFT JOIN good g USING (conv_id)")],
+    "SELECT unnest(['BENCHMARK SUMMARY', 'Test cases: transcript_steps', 'Errors by class:', 'Errors written to: errors']) AS line UNION ALL "
     "SELECT 'Total: ' || n_total AS line FROM s UNION ALL SELECT 'Success: ' || n_success FROM s UNION ALL "
     "SELECT printf('Success rate: (%.2f ± %.2f)%%', success_rate * 100, standard_error * 100) FROM s UNION ALL "
     "SELECT 'Mean time of successes: ' || mean_seconds || ' s' FROM s UNION ALL SELECT 'Failed: ' || n_failed FROM s UNION ALL "

@@ -15,7 +15,7 @@ from eventloom.functions.metadata import successful
 from eventloom.functions.text import matches, tokens
 from eventloom.operators import analytics, audits, conversations, evaluation, filters, generation, inspection, quality, training
 from eventloom.session import run_dir, written
-from eventloom.sources import jsonl, sinks
+from eventloom.sources import appends, jsonl, sinks
 from eventloom.sources import tools as tool_source
 from eventloom.streaming import jobs
 
@@ -80,14 +80,17 @@ over_records(
 @query
 def route_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "route_sink")
-    sinks.write_split(quality.route_answers(view(spark, sf_dir, "qa_records")), path)
-    written = spark.read.schema(RECORD_SCHEMA + ", answer string, route string").json(path)
-    return written.select("qa_id", "route", "answer")
+    routed = quality.route_answers(view(spark, sf_dir, "qa_records"))
+    sinks.write_split(routed.where("qa_id % 2 = 0"), path, "first")
+    for _ in range(2):  # the second time leaves no second copy
+        sinks.write_split(routed.where("qa_id % 2 = 1"), path, "second")
+    stored = appends.read_appended(spark, path, RECORD_SCHEMA + ", answer string, route string")
+    return stored.select("qa_id", "route", "answer")
 
 
 ERROR_SCHEMA = (
     "conv_id bigint, step bigint, last_model_output string, messages array<struct<role:string,content:string>>, "
-    "error_type string, user_request string, error_message string"
+    "error_type string, user_request string, error_message string, extra map<string,string>"
 )
 
 
@@ -95,10 +98,10 @@ ERROR_SCHEMA = (
 def error_log_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "error_log")
     asked = view(spark, sf_dir, "qa_records").select(F.col("qa_id").alias("conv_id"), F.col("user_question").alias("user_request"))
-    sinks.write_error_log(evaluation.error_records(view(spark, sf_dir, "transcript_steps"), 4, asked), path)
-    return spark.read.schema(ERROR_SCHEMA).json(path).select(
+    sinks.write_error_log(evaluation.error_records(view(spark, sf_dir, "transcript_steps"), 4, asked), path, "run")
+    return appends.read_appended(spark, path, ERROR_SCHEMA).select(
         "conv_id", "step", "error_type", "user_request", "error_message", "last_model_output", F.size("messages").alias("n_messages"),
-        F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"),
+        F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"), F.col("extra")["tool_status"].alias("tool_status"),
     )
 
 
@@ -550,7 +553,7 @@ over_steps("error_breakdown", lambda s: evaluation.error_breakdown(evaluation.co
 @query
 def benchmark_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     timed = evaluation.timed_verdicts(view(spark, sf_dir, "transcript_steps"), ROUNDS)
-    return sinks.report_lines(evaluation.benchmark_summary(timed), evaluation.error_breakdown(timed))
+    return sinks.report_lines(evaluation.benchmark_summary(timed), evaluation.error_breakdown(timed), "transcript_steps", "errors")
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
