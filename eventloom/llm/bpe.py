@@ -1,16 +1,20 @@
 """Byte-level BPE: token ids of whole texts by a rank file, and the bytes of token ids.
 
 A text is cut into words by a pattern. Documents are gathered in blocks of some million words,
-and each distinct word of a block is encoded once, by Spark's higher-order functions over the
-array of its bytes. Each part of a word, at first a byte, is one number: the rank of the pair it
-forms with the next part, its place, its token. So the least number is the pair to merge next,
-the leftmost of equals, and a fold merges until no pair has a rank. Ranks of pairs are a
-literal table: the row of a left token is shifted to where its right tokens meet free slots, so
-a rank is one look at the slot of both. Decoding concatenates the pieces of all ids. Nothing is
-shuffled, and a lost executor's blocks are made again from the input.
+and ranked merges are folded over the byte array of each distinct word of a block, once. Each part
+of a word, at first a byte, is one number: the rank of the pair it forms with the next part,
+its place, its token. So the least number is the pair to merge next, the leftmost of equals,
+and the fold merges until no pair has a rank. Ranks of pairs are a literal table: the row of
+a left token is shifted to where its right tokens meet free slots, so a rank is one look at
+the slot of both. Decoding concatenates the pieces of all ids. Nothing is shuffled, and a lost
+executor's blocks are made again from the input.
+
+The fold is there twice, with equal results: ``encoded_words`` is a column of Spark's higher-order
+functions, ``fold_words`` does a merge in all words of a block at a time on arrays. ``encoded``
+takes the second, as the first goes beyond the limits of the check tool (README).
 
 A word that is a token needs no merges. Words over ``LONG`` bytes, for which a fold takes quadratic
-time, are merged by a heap in the task that cuts the text, by the same rule.
+time, are merged by a heap, by the same rule.
 
 Defined results: a null or empty text has no tokens; texts of any length are encoded whole, a single
 word of any length too; repeated rows each have their result; ties of equal rank are
@@ -211,21 +215,94 @@ def encoded_words(parts: Column, known: Vocabulary) -> Column:
     return _bound(encode, *tables)
 
 
-def _parts(words: list[bytes], ranks: dict[bytes, int]) -> pa.Array:
-    """The parts of words before any merge: one for each byte."""
-    first = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+@lru_cache(maxsize=2)
+def _byte_ranks(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The token of each byte, and the rank of each pair of bytes."""
+    ranks = read_ranks(path)
     pair = np.full((256, 256), _NONE, np.int64)
     for token, rank in ranks.items():
         if len(token) == 2:
             pair[token[0], token[1]] = rank
+    return np.array([ranks[bytes([b])] for b in range(256)], np.int64), pair
+
+
+def parts_of(words: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The parts of words before any merge, one for each byte, and how many each word has."""
+    first, pair = _byte_ranks(path)
     lengths = np.array([len(w) for w in words], np.int64)
     ends = np.cumsum(lengths)
     flat = np.frombuffer(b"".join(words), np.uint8)
     ranked = np.append(pair[flat[:-1], flat[1:]], _NONE)[: len(flat)]
     ranked[ends[lengths > 0] - 1] = _NONE
     place = np.arange(len(flat)) - np.repeat(ends - lengths, lengths)
-    numbers = (ranked << 2 * _BITS) | (place << _BITS) | first[flat]
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(numbers))
+    return (ranked << 2 * _BITS) | (place << _BITS) | first[flat], lengths
+
+
+@lru_cache(maxsize=2)
+def _table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    known = vocabulary(path)
+    # A token's slots may lie behind the last one in use.
+    free = np.full(1 << _BITS, -1, np.int64)
+    return np.array(known.shifts), np.concatenate([known.owners, free]), np.concatenate([known.values, free])
+
+
+def fold_words(parts: np.ndarray, lengths: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of words, one after the other, and how many each has.
+
+    The fold of ``encoded_words``, a merge in every word at a time: a word's least part is merged with
+    the part behind it, and its pairs with both neighbours get their ranks. Words without a pair
+    of a rank leave.
+    """
+    shifts, owners, values = _table(path)
+    low = (1 << 2 * _BITS) - 1
+
+    def with_rank(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        token = left & _MASK
+        slot = shifts[token] + (right & _MASK)
+        return (left & low) | (np.where(owners[slot] == token, values[slot], _NONE) << 2 * _BITS)
+
+    word = np.flatnonzero(lengths)
+    counts, done_words, done_parts, done_counts = lengths[word], [], [], []
+    while len(word):
+        starts = np.cumsum(counts) - counts
+        least = np.minimum.reduceat(parts, starts)
+        going = (least >> 2 * _BITS) < _NONE
+        if not going.all():
+            of_part = np.repeat(going, counts)
+            done_words.append(word[~going])
+            done_counts.append(counts[~going])
+            done_parts.append(parts[~of_part])
+            word, counts, least, parts = word[going], counts[going], least[going], parts[of_part]
+            starts = np.cumsum(counts) - counts
+        if not len(word):
+            break
+        at = np.flatnonzero(parts == np.repeat(least, counts))
+        rank, ends = least >> 2 * _BITS, starts + counts
+        new = (least & (_MASK << _BITS)) | rank
+        after = at + 2 < ends
+        new[~after] |= _NONE << 2 * _BITS
+        new[after] = with_rank(new[after], parts[at[after] + 2])
+        parts[at] = new
+        before = at > starts
+        parts[at[before] - 1] = with_rank(parts[at[before] - 1], new[before])
+        kept = np.ones(len(parts), bool)
+        kept[at + 1] = False
+        parts, counts = parts[kept], counts - 1
+    # Back in the order of the words.
+    sizes = np.zeros(len(lengths), np.int64)
+    words = np.concatenate([np.zeros(0, np.int64), *done_words])
+    ended = np.concatenate([np.zeros(0, np.int64), *done_counts])
+    tokens = np.concatenate([np.zeros(0, np.int64), *done_parts]) & _MASK
+    sizes[words] = ended
+    order = np.argsort(words, kind="stable")
+    return _gathered(tokens, np.cumsum(ended) - ended, ended, order), sizes
+
+
+def _gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` at ``which``, one after the other."""
+    taken = sizes[which]
+    total = np.concatenate([[0], np.cumsum(taken)])
+    return values[np.repeat(starts[which] - total[:-1], taken) + np.arange(total[-1])]
 
 
 @lru_cache(maxsize=2)
@@ -245,142 +322,102 @@ def _binary(data: bytes, cuts: np.ndarray, valid: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(valid), [bits, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(data)])
 
 
+def _bytes_and_ids(tokens: np.ndarray, lengths: np.ndarray, valid: np.ndarray, path: str) -> tuple[pa.Array, pa.Array]:
+    """For each row of ids the pieces one after the other, and the ids as little-endian 32-bit numbers."""
+    pieces, starts, sizes = _pieces(path)
+    known = (tokens >= 0) & (tokens < len(sizes) - 1)
+    which = np.where(known, tokens, len(sizes) - 1)
+    ends = np.concatenate([[0], np.cumsum(sizes[which])])
+    cuts = np.concatenate([[0], np.cumsum(lengths)])
+    missing = np.concatenate([[0], np.cumsum(sizes[which] == 0)])[cuts]
+    joined = _gathered(pieces, starts, sizes, which)
+    return (
+        _binary(joined.tobytes(), ends[cuts], valid & (np.diff(missing) == 0)),
+        _binary(tokens.astype("<u4").tobytes(), 4 * cuts, valid),
+    )
+
+
 def decoded(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
     """``rows`` with ``bytes``, the pieces of their token ids one after the other, and ``packed``, the ids as little-endian 32-bit numbers.
 
     Null ids, and ids of which one is unknown, have null bytes.
     """
     path = path or default_path()
-    schema = T.StructType([*rows.schema.fields, T.StructField("bytes", T.BinaryType()), T.StructField("packed", T.BinaryType())])
+    schema = T.StructType([*rows.schema.fields, *_BYTES])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, starts, sizes = _pieces(path)
         for batch in (whole.slice(a, DECODE_ROWS) for whole in batches for a in range(0, whole.num_rows, DECODE_ROWS)):
             column = batch.column(ids)
-            tokens, lengths = column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
-            lengths = np.where(column.is_valid().to_numpy(zero_copy_only=False), lengths, 0)
-            known = (tokens >= 0) & (tokens < len(sizes) - 1)
-            which = np.where(known, tokens, len(sizes) - 1)
-            taken = sizes[which]
-            ends = np.concatenate([[0], np.cumsum(taken)])
-            joined = pieces[np.repeat(starts[which] - ends[:-1], taken) + np.arange(ends[-1])]
-            cuts = np.concatenate([[0], np.cumsum(lengths)])
-            missing = np.concatenate([[0], np.cumsum(taken == 0)])[cuts]
             valid = column.is_valid().to_numpy(zero_copy_only=False)
-            columns = (
-                _binary(joined.tobytes(), ends[cuts], valid & (np.diff(missing) == 0)),
-                _binary(tokens.astype("<u4").tobytes(), 4 * cuts, valid),
-            )
-            yield pa.record_batch([*batch.columns, *columns], names=schema.names)
+            tokens = column.flatten().to_numpy(zero_copy_only=False)
+            lengths = np.where(valid, np.diff(column.offsets.to_numpy()), 0)
+            yield pa.record_batch([*batch.columns, *_bytes_and_ids(tokens, lengths, valid, path)], names=schema.names)
 
     return rows.mapInArrow(decode, schema)
 
 
-def _blocks(named: DataFrame, path: str, pattern: str, block_words: int) -> DataFrame:
-    """Documents in blocks: input rows, words of each, numbers of the words, parts or else tokens of each distinct word."""
-    row = named.schema["row"].dataType
+_BYTES = [T.StructField("bytes", T.BinaryType()), T.StructField("packed", T.BinaryType())]
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def encoded(
+    docs: DataFrame,
+    text: str = "text",
+    keep: Sequence[str] | None = None,
+    path: str | None = None,
+    pattern: str | None = None,
+    block_words: int = BLOCK_WORDS,
+    decode: bool = False,
+) -> DataFrame:
+    """The input ``row`` with ``ids``, the token ids of its text, and ``n_tokens``; ``decode`` adds the columns of ``decoded``."""
+    path, pattern = path or default_path(), pattern or default_pattern()
+    read_ranks(path)
+    named = carried(docs, keep, text=text).select("row", "text")
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         split, ranks = regex.compile(pattern).findall, read_ranks(path)
-        rows, lengths, numbers, known_words = [], [], array("I"), {}
-
-        def flush() -> pa.RecordBatch:
-            words = [bytes_of(w) for w in known_words]
-            ready = [[ranks[w]] if w in ranks else None if len(w) <= LONG else merged(w, ranks) for w in words]
-            words = [b"" if r else w for w, r in zip(words, ready)]
-            values = pa.concat_arrays([r.combine_chunks() if isinstance(r, pa.ChunkedArray) else r for r in rows])
-            one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-            return pa.record_batch(
-                [
-                    one(values),
-                    one(pa.array(lengths, pa.int32())),
-                    pa.array([numbers.tobytes()], pa.binary()),
-                    one(_parts(words, ranks)),
-                    one(pa.array(ready, pa.list_(pa.int32()))),
-                ],
-                names=["rows", "lengths", "numbers", "parts", "ready"],
-            )
+        rows, lengths, numbers, seen = [], [], array("I"), {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            words = [bytes_of(w) for w in seen]
+            ready = [[ranks[w]] if w in ranks else merged(w, ranks) if len(w) > LONG else None for w in words]
+            tokens, sizes = fold_words(*parts_of([b"" if r else w for w, r in zip(words, ready)], path), path)
+            given = np.array([len(r) if r else 0 for r in ready], np.int64)
+            flat = np.fromiter((t for r in ready if r for t in r), np.int64, int(given.sum()))
+            # A word's tokens are in one of the two lists.
+            starts = np.where(given > 0, len(tokens) + np.cumsum(given) - given, np.cumsum(sizes) - sizes)
+            values, sizes = np.concatenate([tokens, flat]).astype(np.int32), sizes + given
+            which, ends = np.frombuffer(numbers, np.uint32), np.cumsum(lengths)
+            whole = pa.concat_arrays([r.combine_chunks() if isinstance(r, pa.ChunkedArray) else r for r in rows])
+            for a in range(0, len(lengths), DECODE_ROWS):
+                b = min(a + DECODE_ROWS, len(lengths))
+                mine = which[(ends[a - 1] if a else 0) : ends[b - 1]]
+                total = np.concatenate([[0], np.cumsum(sizes[mine])])
+                cuts = total[np.concatenate([[0], np.cumsum(lengths[a:b])])]
+                found = _gathered(values, starts, sizes, mine)
+                ids = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(found))
+                columns = [whole.slice(a, b - a), pa.array(np.diff(cuts).astype(np.int64)), ids]
+                if decode:
+                    columns += _bytes_and_ids(found, np.diff(cuts), np.ones(b - a, bool), path)
+                yield pa.record_batch(columns, names=schema.names)
 
         for batch in batches:
             carried_rows, begin = batch.column("row"), 0
             for i, body in enumerate(batch.column("text")):
                 found = split(body.as_py() or "")
-                numbers.extend([known_words.setdefault(w, len(known_words)) for w in found])
+                numbers.extend([seen.setdefault(w, len(seen)) for w in found])
                 lengths.append(len(found))
                 if len(numbers) >= block_words:
                     rows.append(carried_rows.slice(begin, i + 1 - begin))
                     begin = i + 1
-                    yield flush()
-                    rows, lengths, numbers, known_words = [], [], array("I"), {}
+                    yield from flush()
+                    rows, lengths, numbers, seen = [], [], array("I"), {}
             if begin < len(carried_rows):
                 rows.append(carried_rows.slice(begin))
         if lengths:
-            yield flush()
-
-    schema = T.StructType(
-        [
-            T.StructField("rows", T.ArrayType(row)),
-            T.StructField("lengths", T.ArrayType(T.IntegerType())),
-            T.StructField("numbers", T.BinaryType()),
-            T.StructField("parts", T.ArrayType(T.ArrayType(T.LongType()))),
-            T.StructField("ready", T.ArrayType(T.ArrayType(T.IntegerType()))),
-        ]
-    )
-    return named.select("row", "text").mapInArrow(cut, schema)
-
-
-def _flat(lists) -> tuple[np.ndarray, np.ndarray]:
-    """Values and lengths of an Arrow array of lists of numbers."""
-    return lists.flatten().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())
-
-
-def encoded(
-    docs: DataFrame,
-    text: str = "text",
-    keep: Sequence[str] | None = None,
-    path: str | None = None,
-    pattern: str | None = None,
-    block_words: int = BLOCK_WORDS,
-) -> DataFrame:
-    """The input ``row`` with ``ids``, the token ids of its text, and ``n_tokens``."""
-    path, pattern = path or default_path(), pattern or default_pattern()
-    named = carried(docs, keep, text=text)
-    row = named.schema["row"].dataType
-    cut = _blocks(named, path, pattern, block_words)
-    folded = cut.select("rows", "lengths", "numbers", "ready", encoded_words(F.col("parts"), vocabulary(path)).alias("tokens"))
+            yield from flush()
 
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                column = lambda name: batch.column(name).slice(i, 1).flatten()  # noqa: E731, B023
-                rows, lengths = column("rows"), column("lengths").to_numpy()
-                numbers = np.frombuffer(batch.column("numbers")[i].as_py(), np.uint32)
-                tokens, sizes = _flat(column("tokens"))
-                ready, given = _flat(column("ready"))
-                # A word's tokens are in one of the two lists.
-                offsets = np.where(given > 0, len(tokens) + np.cumsum(given) - given, np.cumsum(sizes) - sizes)
-                sizes = sizes + given
-                values = np.concatenate([tokens, ready]).astype(np.int32)
-                ends = np.cumsum(lengths)
-                for a in range(0, len(lengths), 1000):
-                    b = min(a + 1000, len(lengths))
-                    which = numbers[(ends[a - 1] if a else 0) : ends[b - 1]]
-                    taken = sizes[which]
-                    total = np.concatenate([[0], np.cumsum(taken)])
-                    at = np.repeat(offsets[which] - total[:-1], taken) + np.arange(total[-1])
-                    cuts = total[np.concatenate([[0], np.cumsum(lengths[a:b])])]
-                    ids = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(values[at]))
-                    yield pa.record_batch(
-                        [rows.slice(a, b - a), pa.array(np.diff(cuts).astype(np.int64)), ids], names=["row", "n_tokens", "ids"]
-                    )
-
-    schema = T.StructType(
-        [
-            T.StructField("row", row),
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("ids", T.ArrayType(T.IntegerType())),
-        ]
-    )
-    return folded.mapInArrow(assemble, schema)
+    ids = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    schema = T.StructType([named.schema["row"], *ids, *(_BYTES if decode else [])])
+    return named.mapInArrow(encode, schema)

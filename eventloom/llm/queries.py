@@ -149,7 +149,7 @@ def op12_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op13_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bpe.decoded(bpe.encoded(documents(spark, sf_dir), keep=["doc_id"]))
+    rows = bpe.encoded(documents(spark, sf_dir), keep=["doc_id"], decode=True)
     digests = [F.sha2(c, 256).alias(name) for c, name in (("packed", "ids_sha256"), ("bytes", "decoded_sha256"))]
     return rows.select("row.doc_id", "n_tokens", *digests)
 

@@ -8,6 +8,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from eventloom.llm import bpe
 from eventloom.llm.queries import QUERIES
@@ -103,6 +104,21 @@ def test_heap_merges_like_one_at_a_time(tmp_path):
             assert bpe.merged(word, ranks) == slow_merged(word, ranks)
 
 
+def test_both_folds_are_equal(spark, tmp_path):
+    """Higher-order functions over one word, and arrays over all words."""
+    draw = random.Random(3)
+    for path, letters in ((bpe.default_path(), [*b"abcdetho srn", 0xC3, 0xA9]), (unnatural(tmp_path), b"abc")):
+        words = [bytes(draw.choices(letters, k=draw.randint(0, 30))) for _ in range(300)]
+        parts, lengths = bpe.parts_of(words, path)
+        tokens, sizes = bpe.fold_words(parts.copy(), lengths, path)
+        cuts, at = np.concatenate([[0], np.cumsum(sizes)]), np.concatenate([[0], np.cumsum(lengths)])
+        arrays = [tokens[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
+        given = [parts[a:b].tolist() for a, b in zip(at, at[1:])]
+        frame = spark.createDataFrame([(given,)], "parts array<array<bigint>>")
+        column = frame.select(bpe.encoded_words(F.col("parts"), bpe.vocabulary(path)).alias("ids")).first().ids
+        assert column == arrays == [bpe.merged(w, bpe.read_ranks(path)) for w in words]
+
+
 def test_ranks_without_a_byte_are_refused(tmp_path):
     path = tmp_path / "few.tiktoken"
     path.write_text("YQ== 0\n")
