@@ -144,11 +144,8 @@ def sql_keys(records: DataFrame) -> DataFrame:
 
 
 def sql_unknown_keys(records: DataFrame, known: DataFrame) -> DataFrame:
-    """Keys asked for that are not among the known ones: the key list, or the keys of a sample.
-
-    ``known`` is a list of some forty keys; it is broadcast for that.
-    """
-    return sql_keys(records).join(F.broadcast(known.select("key").distinct()), "key", "left_anti").select("qa_id", "key")
+    """Keys asked for that are not among the known ones: the key list, or the keys of a sample."""
+    return sql_keys(records).join(known.select("key").distinct(), "key", "left_anti").select("qa_id", "key")
 
 
 SQL_OPERATIONS = {

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from eventloom import vocab
 from eventloom.functions.running import block_of, place_of, running_before
-from eventloom.functions.sampling import below_probability, dense_index, hash_number
+from eventloom.functions.sampling import below_probability, dense_index, hash_number, seeded_hash
 from eventloom.functions.spans import SPANS, bound, covered, ends_of, spans_of
 from eventloom.functions.staged import staged
 from eventloom.functions.text import as_column, tokens
@@ -427,51 +427,94 @@ def train_test_split(rows: DataFrame, id_column: str, test_size: float = 0.1, se
     return rows.withColumn("split", F.when(chosen, "test").otherwise("train"))
 
 
-def examples(weighted: DataFrame, tokenizer=tokens) -> DataFrame:
-    """One row per conversation with its token, label and weight arrays.
+def examples(weighted: DataFrame, tokenizer=tokens, piece_tokens: int = vocab.LENGTH_CAP) -> DataFrame:
+    """Training rows with token, label and weight arrays: (conv_id, piece, input_ids, labels, loss_weights).
 
-    Each array is one whole conversation, or what a length limit left of it before.
+    A conversation of at most ``piece_tokens`` tokens is one row; a longer one goes on in further
+    pieces of that many, cut by position in the conversation, so no row grows with it. The pieces
+    joined in order are the whole arrays. ``example_id`` names a row.
     """
-    parts = weighted.select(
+    rows = staged(
+        weighted.where("n_kept > 0"),
+        _ids=F.transform(F.coalesce("pieces", tokenizer(F.col("kept_text"))), lambda t: token_id(t)),
+        _labels=labels(),
+        _weights=all_weights(),
+    )
+    first = F.floor(F.col("first_token") / piece_tokens)
+    last = F.floor((F.col("first_token") + F.col("n_kept") - 1) / piece_tokens)
+    # Where a message goes over a piece's end, its arrays are cut there.
+    begin = F.greatest(F.col("piece") * piece_tokens - F.col("first_token"), F.lit(0)).cast("int")
+    end = F.least((F.col("piece") + 1) * piece_tokens - F.col("first_token"), F.col("n_kept").cast("bigint")).cast("int")
+    cut = rows.withColumn("piece", F.explode(F.sequence(first, last))).withColumns({"_begin": begin, "_size": end - begin})
+    parts = cut.select(
         "conv_id",
-        F.struct(
-            "seq",
-            F.transform(F.coalesce("pieces", tokenizer(F.col("kept_text"))), lambda t: token_id(t)).alias("ids"),
-            labels().alias("labels"),
-            all_weights().alias("weights"),
-        ).alias("part"),
+        "piece",
+        F.struct("seq", *[F.slice(f"_{c}", F.col("_begin") + 1, F.col("_size")).alias(c) for c in ("ids", "labels", "weights")]).alias("part"),
     )
-    gathered = parts.groupBy("conv_id").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    gathered = parts.groupBy("conv_id", "piece").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    name = F.col("conv_id").cast("string")
     return gathered.select(
         "conv_id",
+        "piece",
+        F.when(F.col("piece") == 0, name).otherwise(F.concat_ws(":", name, F.col("piece").cast("string"))).alias("example_id"),
         F.flatten(F.transform("parts", lambda p: p["ids"])).alias("input_ids"),
         F.flatten(F.transform("parts", lambda p: p["labels"])).alias("labels"),
         F.flatten(F.transform("parts", lambda p: p["weights"])).alias("loss_weights"),
     )
 
 
-def pad_batches(rows: DataFrame, batch_size: int = 4, side: str = "right", pad_id: int = 0, seed=42) -> DataFrame:
-    """Form batches in shuffled order and pad each to its longest example."""
-    indexed = dense_index(rows, "conv_id", seed).withColumn("batch_no", F.floor(F.col("row_index") / F.lit(batch_size)))
-    width = F.max(F.size("input_ids")).over(Window.partitionBy("batch_no"))
-    sized = indexed.withColumn("width", width).withColumn("_pad", F.col("width") - F.size("input_ids"))
+def _padded(width: Column, side: str, pad_id: int) -> list[Column]:
+    """The arrays of an example filled up to a width, and which of their entries are tokens."""
+    missing = width - F.size("input_ids")
 
-    def padded(array: str, filler) -> Column:
-        fill_ = F.array_repeat(F.lit(filler), F.col("_pad"))
-        return F.concat(F.col(array), fill_) if side == "right" else F.concat(fill_, F.col(array))
+    def filled(values: Column, filler) -> Column:
+        more = F.array_repeat(F.lit(filler), missing)
+        return F.concat(values, more) if side == "right" else F.concat(more, values)
 
-    mask = F.transform("input_ids", lambda _: F.lit(1))
-    return (
-        sized.withColumn("attention_mask", mask)
-        .select(
-            "batch_no",
-            "conv_id",
-            "width",
-            padded("input_ids", pad_id).alias("input_ids"),
-            padded("attention_mask", 0).alias("attention_mask"),
-            padded("labels", vocab.IGNORE_LABEL).alias("labels"),
-            padded("loss_weights", 0.0).alias("loss_weights"),
-        )
+    return [
+        filled(F.col("input_ids"), pad_id).alias("input_ids"),
+        filled(F.transform("input_ids", lambda _: F.lit(1)), 0).alias("attention_mask"),
+        filled(F.col("labels"), vocab.IGNORE_LABEL).alias("labels"),
+        filled(F.col("loss_weights"), 0.0).alias("loss_weights"),
+    ]
+
+
+#: Hex digits of the hash that examples of one width are numbered by, in parts.
+_WIDTH_DIGITS = 3
+
+
+def budget_batches(
+    rows: DataFrame, budget: int = 2 * vocab.LENGTH_CAP, step: int = 64, side: str = "right", pad_id: int = 0, seed=42
+) -> DataFrame:
+    """Batches of at most ``budget`` tokens, padding included: (width, batch_no, example_id, arrays).
+
+    Examples are padded to the next multiple of ``step``, and those of one width share batches, as
+    many as the budget holds, at least one. They are numbered in hash order from counts
+    per part of the hash, so a width that most examples have is not sorted in one task.
+    """
+    width = (F.ceil(F.greatest(F.size("input_ids"), F.lit(1)) / F.lit(step)) * step).cast("int")
+    keyed = rows.withColumns({"width": width, "_hash": seeded_hash(seed, F.col("example_id"))}).withColumn(
+        "_part", F.substring("_hash", 1, _WIDTH_DIGITS)
+    )
+    earlier = Window.partitionBy("width").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        keyed.groupBy("width", "_part")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("width", "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    )
+    inside = Window.partitionBy("width", "_part").orderBy("_hash", "example_id")
+    numbered = keyed.withColumn("_place", F.row_number().over(inside)).join(offsets, ["width", "_part"])
+    per_batch = F.greatest(F.floor(F.lit(budget) / F.col("width")), F.lit(1))
+    batch = F.floor((F.col("_offset") + F.col("_place") - 1) / per_batch)
+    return numbered.select("width", batch.alias("batch_no"), "example_id", *_padded(F.col("width"), side, pad_id))
+
+
+def pad_batches(rows: DataFrame, batch_size: int = 4, side: str = "right", pad_id: int = 0, seed=42, id_column: str = "conv_id") -> DataFrame:
+    """Form batches in shuffled order and pad each to its longest example."""
+    indexed = dense_index(rows, id_column, seed).withColumn("batch_no", F.floor(F.col("row_index") / F.lit(batch_size)))
+    width = F.max(F.size("input_ids")).over(Window.partitionBy("batch_no"))
+    return indexed.withColumn("width", width).select(
+        "batch_no", *dict.fromkeys(["conv_id", id_column]), "width", *_padded(F.col("width"), side, pad_id)
     )
 
 

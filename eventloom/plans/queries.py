@@ -483,7 +483,7 @@ def weight_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def pad_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     weighted = training.loss_weights(_placed(spark, sf_dir))
-    batches = training.pad_batches(training.examples(weighted))
+    batches = training.pad_batches(training.examples(weighted), id_column="example_id")
 
     def joined(name: str):
         return F.array_join(F.transform(name, lambda x: x.cast("bigint").cast("string")), " ").alias(name)

@@ -345,3 +345,37 @@ def test_split_is_disjoint_and_about_a_tenth(spark):
     rows = training.train_test_split(spark.range(20000), "id")
     counts = {r.split: r["count"] for r in rows.groupBy("split").count().collect()}
     assert counts["train"] + counts["test"] == 20000 and 1700 < counts["test"] < 2300
+
+
+@pytest.mark.parametrize("piece", [1, 7, 50, 8192])
+def test_pieces_join_to_the_whole_arrays(spark, piece):
+    segments = conversations.render_segments(spark.createDataFrame(random_messages(11, 40), SCHEMA))
+    weighted = training.loss_weights(training.positioned(training.measure(segments)))
+    whole = {r.conv_id: r for r in training.examples(weighted, piece_tokens=10**6).collect()}
+    joined: dict = {}
+    for r in sorted(training.examples(weighted, piece_tokens=piece).collect(), key=lambda r: (r.conv_id, r.piece)):
+        assert 0 < len(r.input_ids) <= piece and len(r.input_ids) == len(r.labels) == len(r.loss_weights)
+        assert r.example_id == (str(r.conv_id) if r.piece == 0 else f"{r.conv_id}:{r.piece}")
+        for name in ("input_ids", "labels", "loss_weights"):
+            joined.setdefault((r.conv_id, name), []).extend(r[name])
+    assert {c for c, _ in joined} == set(whole)
+    assert all(joined[c, name] == whole[c][name] for c in whole for name in ("input_ids", "labels", "loss_weights"))
+
+
+def test_batches_stay_within_the_token_budget(spark):
+    draw = random.Random(4)
+    rows = [(str(i), [1] * n, [2] * n, [1.0] * n) for i, n in enumerate([draw.choice([3, 3, 3, draw.randint(1, 90)]) for _ in range(400)] + [500])]
+    frame = spark.createDataFrame(rows, "example_id string, input_ids array<int>, labels array<int>, loss_weights array<double>")
+    batches: dict = {}
+    for r in training.budget_batches(frame, budget=200, step=8).collect():
+        assert len(r.input_ids) == len(r.attention_mask) == len(r.labels) == len(r.loss_weights) == r.width and r.width % 8 == 0
+        assert sum(r.attention_mask) == len(rows[int(r.example_id)][1]) > r.width - 8
+        batches.setdefault((r.width, r.batch_no), []).append(r.example_id)
+    assert sorted(x for b in batches.values() for x in b) == sorted(r[0] for r in rows)
+    for (width, _), members in batches.items():
+        assert len(members) * width <= 200 or len(members) == 1
+    full = [w for w, _ in batches]
+    # All batches of a width but its last one are full.
+    for w in set(full):
+        sizes = [len(m) for (width, no), m in sorted(batches.items()) if width == w]
+        assert all(s == max(1, 200 // w) for s in sizes[:-1])
