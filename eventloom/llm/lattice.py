@@ -12,7 +12,8 @@ cap; a join on a crowded cell is one that Spark can split.
 
 Defined results: a null label, or a vector that is null, zero, or has null or non-finite
 components, links with nothing and is its own component; repeated ids are vectors of their own that
-share the id; an empty table gives an empty result.
+share the id; equal vectors link at any place in the order; vectors of unlike lengths do not link;
+an empty table gives an empty result; other input columns are not read, so none clashes.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ All of it is DataFrame operations; runs agree because order and offset depend on
 a seed only. Defined results: a null or empty text has size 0 and may be emitted, which
 takes no words; the null source is a source of its own and comes last; a source without
 words has target 0 and emits nothing; equal rows with equal ids are interchangeable; an
-empty table gives an empty mix.
+empty table gives an empty mix; input columns travel in ``row`` and clash with nothing.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ place up. The packing is the one best-fit decreasing gives for all pieces togeth
 
 Defined results: a null or empty text is one piece, the end token; a text of any length is
 cut into pieces, only the first of which may be shorter; repeated rows are packed
-each for itself; an empty table gives no pieces.
+each for itself; pieces of one length change places freely; an empty table gives no pieces; input
+columns travel in ``row`` and clash with nothing.
 """
 
 from __future__ import annotations

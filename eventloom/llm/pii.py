@@ -11,7 +11,8 @@ All of it is DataFrame and SQL functions. What is gathered is bounded: at most 3
 number of labelers vote patterns, and one weight per feature value.
 
 Defined results: a null or empty text has no spans; a text of any length is searched whole;
-repeated rows each have their spans; an empty table gives an empty result.
+repeated rows each have their spans; spans are listed by kind, then start; an empty
+table gives an empty result; input columns travel in ``row`` and clash with nothing.
 """
 
 from __future__ import annotations

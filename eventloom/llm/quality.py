@@ -6,7 +6,8 @@ what a rule is worth reads the bits only, never the text.
 
 Defined results: a null or empty text has zero words and measurements of zero, and fails
 ``few_words`` only; texts of any length are measured whole; repeated rows are judged
-alike, each for itself; an empty table gives an empty ledger.
+alike, each for itself; no rule compares rows, so there are no ties; an empty table gives an
+empty ledger; input columns travel in ``row`` and clash with nothing.
 """
 
 from __future__ import annotations

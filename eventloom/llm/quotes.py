@@ -15,7 +15,9 @@ come from pointer doubling: as many rounds as the logarithm of the longest chain
 
 Defined results: a null or empty text has no passages and stays as it is; a message with a
 null conversation or turn is kept and neither answers nor is answered; repeated
-(conversation, turn) rows share their answer and depth; an empty table gives an empty result.
+(conversation, turn) rows share their answer and depth; of several holders of a passage the first
+in order counts; texts of any length are read whole; an empty table gives an empty result; input
+columns travel in ``row`` and clash with nothing.
 """
 
 from __future__ import annotations

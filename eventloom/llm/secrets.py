@@ -11,7 +11,9 @@ per task and pair; its verdict is joined back as one row per value.
 
 Defined results: a null or empty text has no spans; a null repository or owner counts as
 one more, of its own; repeated rows hold the same spans each and do not make a value more
-widely held, as their repository is the same; an empty table gives an empty result.
+widely held, as their repository is the same; texts of any length are searched whole; spans that
+start at one place are listed by kind; an empty table gives an empty result; input columns travel
+in ``row`` and clash with nothing.
 """
 
 from __future__ import annotations

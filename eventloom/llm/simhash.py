@@ -13,7 +13,9 @@ links between fingerprints, rewired round by round in the shared folder.
 
 Defined results: null, empty and blank texts have fingerprint zero and link like any
 other; equal texts have equal fingerprints; a null id counts as larger than all others; repeated
-rows are one group; an empty table gives an empty result.
+rows are one group; of equal ids the first row read stays; a text of any length has one
+fingerprint of all its shingles; an empty table gives an empty result; input columns travel in
+``row`` and clash with nothing.
 """
 
 from __future__ import annotations

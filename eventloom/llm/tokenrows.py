@@ -9,7 +9,8 @@ positions start again from zero. ``write`` stores rows as Parquet through Spark,
 store that Spark reaches; ``matrix`` and ``positions`` read rows back.
 
 Defined results: a null or empty text is the end token alone; repeated rows are each
-packed; an empty table gives no rows.
+packed; documents of one length change places freely; an empty table gives no rows; only the id and
+the text are read, so no other column clashes.
 """
 
 from __future__ import annotations
