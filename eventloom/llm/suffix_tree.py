@@ -12,9 +12,12 @@ blocks of some million words; a block asks, per sequence of words it holds, what
 over the whole corpus is. Questions travel as packed arrays to the bucket their hash falls in,
 which adds up the counts of all blocks and answers each block in the order of its questions.
 A sequence is asked for only if the sequence it extends is frequent enough to be a context.
-A context is closed when what is left to gain after it, the sum over its occurrences of minus
-the log chance of the next word, is not over the threshold: no context that ends in it can
-then pass. Orders are added until all contexts are closed, or up to the longest one set.
+A context is closed when what is left to gain after it is not over the threshold. An occurrence
+of a word seen m times after the context can gain at most what a context with these m
+occurrences and no others would gain; the sum of that over the occurrences bounds every longer context.
+Rounds end when all contexts are closed. A block carries its open positions from round to
+round, with the chance of the word and the count of the context; the logs of closed ones are
+added to their texts' scores and not looked at again.
 Words and sequences are known by 64-bit hashes. No task holds more than a block or a bucket,
 a hot word is one entry per block, and no vocabulary or tree is sent to all.
 
@@ -47,9 +50,11 @@ END = xxhash.xxh64_intdigest(b" ")
 
 @dataclass(frozen=True)
 class Tree:
-    """Settings: longest context, occurrences a context needs, gain it needs (nats), strengths to choose from."""
+    """Settings: longest context (null: none), lengths judged one by one, occurrences and gain (nats) a context needs,
+    strengths to choose from."""
 
-    depth: int = 16
+    depth: int | None = None
+    single: int = 8
     min_count: int = 2
     min_gain: float = 4.0
     strengths: tuple[float, ...] = (2.0, 100.0)
@@ -78,9 +83,12 @@ def _unpacked_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64)
 
 
-def _factor(order: int) -> np.uint64:
-    """What the word ``order`` places before a sequence's last counts in its sum."""
-    return np.uint64(pow(0xC2B2AE3D27D4EB4F, order, 1 << 64))
+#: What a word counts in a sequence's sum, for each place that it is before the last word.
+FACTOR = 0xC2B2AE3D27D4EB4F
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.full(n, base, np.uint64))
 
 
 def _mixed(sums: np.ndarray) -> np.ndarray:
@@ -149,112 +157,155 @@ def blocks(docs: DataFrame, train: Column, text: str, keep: Sequence[str] | None
     return named.select("row", "train", "text").mapInArrow(cut, _block_schema(named.schema["row"].dataType))
 
 
+def _rounds(tree: Tree) -> Iterator[tuple[int, int]]:
+    """Shortest and longest context of each round."""
+    first = 1
+    while tree.depth is None or first <= tree.depth:
+        last = first if first <= tree.single else 2 * (first - 1)
+        last = last if tree.depth is None else min(last, tree.depth)
+        yield first, last
+        first = last + 1
+
+
 class Block:
-    """A block's words, and what is known of the sequences in it after each answer."""
+    """A block's words, and its open positions: those where a longer context may still help."""
 
-    def __init__(self, row, tree: Tree, total: int = 0, distinct: int = 0):
-        self.number, self.tree = int(row.block), tree
-        self.total, self.distinct = total, distinct
+    def __init__(self, row, tree: Tree, told: pd.DataFrame, total: int = 0, distinct: int = 0):
+        self.number, self.tree, self.told = int(row.block), tree, told
         self.lengths = _unpacked(row.lengths, np.int64)
         self.vocabulary = _unpacked_sorted(row.vocabulary)
         self.words = _unpacked(row.words, np.uint32)
         self.train = np.repeat(_unpacked(row.trains, np.uint8) > 0, self.lengths)
-        starts = np.cumsum(self.lengths) - self.lengths
-        self.starts = starts
-        self.place = (np.arange(len(self.words)) - np.repeat(starts, self.lengths)).astype(np.int32)
-        self.hashes = self.vocabulary[self.words]
-        self.sums = self.hashes.copy()  # of the sequences of the current order, by the position they end at
-        self.counts = None  # of those sequences, over the training texts; -1 where not asked for
-        self.open = np.ones(len(self.words), bool)  # whether a longer context may still help here
-        self.closing = np.zeros(0, np.int64)  # positions closed by the last states, told after the next counts
-        self.known = None  # counts of the words themselves
-        self.chance = None  # probability of each word by the longest state so far
-        self.order = 0
+        self.text = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.total, self.distinct = total, distinct
 
     def first_questions(self) -> tuple[np.ndarray, np.ndarray]:
         return self.vocabulary, np.bincount(self.words[self.train], minlength=len(self.vocabulary)).astype(np.uint32)
 
-    def words_counted(self, counts: np.ndarray) -> None:
-        self.known = self.counts = counts[self.words].astype(np.int64)
-        self.chance = (self.known + 1.0) / (self.total + self.distinct + 1.0)
-
-    def extend(self) -> tuple[np.ndarray, np.ndarray]:
-        """Go to sequences one word longer; asked for are those after an open context, and those that may be one next."""
-        self.order += 1
-        few, inside = self.tree.min_count, self.place >= self.order
-        ahead = np.concatenate([[0], self.counts[:-1]])
-        self.open &= inside & (ahead >= few)
-        wanted = inside & np.concatenate([self.open[1:], [False]])
-        self.rare = wanted & (ahead >= 0) & (ahead < few)
-        self.at = np.flatnonzero(self.open)
-        self.context_counts = ahead[self.at]
-        self.contexts = _mixed(self.sums[self.at - 1])
-        self.asked = np.flatnonzero(self.open | (wanted & ~self.rare))
-        self.sums[self.asked] += self.hashes[self.asked - self.order] * _factor(self.order)
-        keys, self.which = np.unique(_mixed(self.sums[self.asked]), return_inverse=True)
-        trained = np.bincount(self.which[self.train[self.asked]], minlength=len(keys))
-        return keys, trained.astype(np.uint32)
-
-    def counted(self, counts: np.ndarray) -> None:
-        self.counts = np.full(len(self.words), -1, np.int64)
-        self.counts[self.rare] = 0
-        self.counts[self.asked] = counts[self.which]
-        self.open[self.closing] = False
-        still = self.open[self.at]
-        self.at, self.context_counts, self.contexts = self.at[still], self.context_counts[still], self.contexts[still]
-
-    def find_contexts(self) -> np.ndarray:
-        """Distinct contexts of the current order."""
-        keys, self.state = np.unique(self.contexts, return_inverse=True)
-        return keys
-
-    def gains(self) -> tuple[np.ndarray, np.ndarray]:
-        """Per context of the current order, over this block's training words: each strength's gain, and all there is to gain."""
-        keys, mine = self.find_contexts(), self.train[self.at]
-        seen, n, parent = self.counts[self.at][mine] - 1.0, self.context_counts[mine] - 1.0, self.chance[self.at][mine]
-        sums = [
-            np.bincount(self.state[mine], weights=np.log((seen + s * parent) / (n + s)) - np.log(parent), minlength=len(keys))
-            for s in self.tree.strengths
-        ]
-        sums.append(np.bincount(self.state[mine], weights=-np.log(parent), minlength=len(keys)))
-        return keys, np.array(sums, np.float32).T
-
-    def states_chosen(self, choices: np.ndarray) -> None:
-        """Words after a context that is a state take its distribution; a choice is twice a strength's number, odd if open."""
-        mine = choices[self.state]
-        s = np.array([*self.tree.strengths, 0.0])[mine >> 1]
-        self.closing = self.at[mine & 1 == 0]
-        chosen = s > 0
-        at, s = self.at[chosen], s[chosen]
-        self.chance[at] = (self.counts[at] + s * self.chance[at]) / (self.context_counts[chosen] + s)
-
-    def result(self) -> dict:
-        base = np.log10((self.known + 1.0) / (self.total + self.distinct + 1.0))
-
-        def by_text(values: np.ndarray) -> list:
-            return np.add.reduceat(values, self.starts).tolist()
+    def heard(self, what: str, dtype, step: int | None = None) -> np.ndarray:
+        mine = self.told[self.told.what == what]
+        mine = (mine if step is None else mine[mine.step == step]).sort_values("bucket")
+        return np.concatenate([np.zeros(0, dtype), *[_unpacked(n, dtype) for n in mine.numbers]])
 
-        return {
-            "block": self.number,
-            "n_tokens": self.lengths.tolist(),
-            "n_known": by_text((self.known > 0).astype(np.int64)),
-            "base_score": by_text(base),
-            "score": by_text(np.log10(self.chance)),
-        }
+    def opened(self, first: int) -> Block:
+        """Take up the state before the round whose shortest context has ``first`` words."""
+        n = len(self.words)
+        self.place = np.arange(n) - (np.cumsum(self.lengths) - self.lengths)[self.text]
+        self.power = _powers(FACTOR, n)
+        weighed = self.vocabulary[self.words] * _powers(pow(FACTOR, -1, 1 << 64), n)
+        self.running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(weighed)])
+        if first == 1:
+            self.known = self.heard("count", np.uint64, 0)[self.words].astype(np.int64)
+            self.chance = self.base = (self.known + 1.0) / (self.total + self.distinct + 1.0)
+            ahead = np.concatenate([[0], self.known[:-1]])
+            self.at = np.flatnonzero((self.place >= 1) & (ahead >= self.tree.min_count))
+            self.ahead, self.closed = ahead[self.at], np.ones(n, bool)
+        else:
+            self.at = np.cumsum(self.heard("at", np.uint64), dtype=np.uint64).astype(np.int64)
+            self.ahead = self.heard("ahead", np.uint64).astype(np.int64)
+            self.chance, self.closed = np.ones(n), np.zeros(n, bool)
+            self.chance[self.at] = self.heard("chance", np.float32)
+            self.closed[self.at] = True
+        return self
+
+    def keys(self, ends: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the sequences of some length that end at positions."""
+        return _mixed(self.power[ends] * (self.running[ends + 1] - self.running[ends + 1 - length]))
+
+    def sequences(self, order: int) -> np.ndarray:
+        """Where sequences of order + 1 words end that are asked for: open positions, and those before them."""
+        asked = np.zeros(len(self.words), bool)
+        asked[self.at[self.place[self.at] >= order]] = True
+        asked[self.at[self.place[self.at] > order] - 1] = True
+        return np.flatnonzero(asked)
+
+    def counting(self, order: int) -> tuple[np.ndarray, np.ndarray]:
+        ends = self.sequences(order)
+        keys, which = np.unique(self.keys(ends, order + 1), return_inverse=True)
+        return keys, np.bincount(which[self.train[ends]], minlength=len(keys)).astype(np.uint32)
+
+    def counted(self, order: int) -> np.ndarray:
+        """Counts of the sequences, as answered."""
+        which = np.unique(self.keys(self.sequences(order), order + 1), return_inverse=True)[1]
+        return self.heard("count", np.uint64, 2 * order)[which]
+
+    def judged(self, first: int, last: int, counts) -> Iterator[tuple]:
+        """Per order of a round: where its contexts end, whose they are, their counts and those of the next word."""
+        ahead = np.zeros(len(self.words), np.int64)
+        ahead[self.at] = self.ahead
+        for order in range(first, last + 1):
+            given, seen = counts(order), np.full(len(self.words), -1, np.int64)
+            seen[self.sequences(order)] = given.astype(np.int64)
+            at = self.at[(self.place[self.at] >= order) & (ahead[self.at] >= self.tree.min_count)]
+            keys, state = np.unique(self.keys(at - 1, order), return_inverse=True)
+            yield order, given, at, keys, state, ahead[at], seen[at]
+            ahead = np.concatenate([[0], seen[:-1]])
+        self.next_ahead = ahead
+
+    def gains(self, first: int, last: int) -> Iterator[tuple]:
+        """Per order its counts and, over this block's training words, each strength's gain and what is then left."""
+        strengths, least = self.tree.strengths, min(self.tree.strengths)
+        lowest = self.chance.copy()
+        for order, given, at, keys, state, n, seen in self.judged(first, last, self.counted):
+            mine = self.train[at]
+            at, state, n, seen = at[mine], state[mine], n[mine], seen[mine]
+            before = self.chance[at]
+            after = [(seen + s * before) / (n + s) for s in strengths]
+            lowest[at] = np.minimum(lowest[at], np.min(after, axis=0)) if len(at) else lowest[at]
+            parts = [np.log((seen - 1 + s * before) / (n - 1 + s)) - np.log(before) for s in strengths]
+            for chance in [*after, before] if order == last else []:
+                chance = chance if first == last else lowest[at]
+                parts.append(np.maximum(0, np.log((seen - 1 + least * chance) / (seen - 1 + least)) - np.log(chance)))
+            sums = np.zeros((2 * len(strengths) + 1, len(keys)))
+            for i, part in enumerate(parts):
+                sums[i] = np.bincount(state, weights=part, minlength=len(keys))
+            yield order, given, keys, sums.astype(np.float32).T
+
+    def settle(self, first: int, last: int, final: bool) -> list[tuple]:
+        """Take the states of a round; what stays open goes on, the scores of what is closed are added up."""
+        chance, still = self.chance.copy(), self.at[:0]
+        strengths = np.array([*self.tree.strengths, 0.0])
+        for order, _, at, _, state, n, seen in self.judged(first, last, lambda k: self.heard("seen", np.uint64, k)):
+            mine = self.heard("gain", np.uint8, 2 * order + 1)[state]
+            s = strengths[mine >> 1]
+            use = s > 0
+            chance[at[use]] = (seen[use] + s[use] * self.chance[at[use]]) / (n[use] + s[use])
+            still = at[mine & 1 == 1]
+        out = []
+        if not final:
+            still = still[(self.place[still] > last) & (self.next_ahead[still] >= self.tree.min_count)]
+            if len(still):
+                out += [
+                    self.says("at", np.diff(still, prepend=0).astype(np.uint64)),
+                    self.says("ahead", self.next_ahead[still].astype(np.uint64)),
+                    self.says("chance", chance[still].astype(np.float32)),
+                ]
+                self.closed[still] = False
+        out.append(self.says("score", self.by_text(np.where(self.closed, np.log10(chance), 0.0))))
+        if first == 1:
+            out.append(self.says("base", self.by_text(np.log10(self.base))))
+            out.append(self.says("known", self.by_text(self.known > 0)))
+        return out
+
+    def says(self, what: str, numbers: np.ndarray, step: int = 0) -> tuple:
+        return (self.number, what, step, 0, b"", _packed(numbers), 0, 0)
+
+    def by_text(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.text, weights=values, minlength=len(self.lengths))
 
 
 # --- questions and answers ------------------------------------------------------------
 
-_QUESTION = "block bigint, step int, bucket int, keys binary, numbers binary"
-_ANSWER = "block bigint, step int, bucket int, numbers binary, total bigint, distinct bigint"
+_MESSAGE = "block bigint, what string, step int, bucket int, keys binary, numbers binary, total bigint, distinct bigint"
+_SCORES = "block bigint, n_tokens array<bigint>, n_known array<bigint>, base_score array<double>, score array<double>"
 
 
-def _questions(block: int, step: int, keys: np.ndarray, numbers: np.ndarray, bits: int) -> list[tuple]:
+def _questions(block: int, what: str, step: int, keys: np.ndarray, numbers: np.ndarray, bits: int) -> list[tuple]:
     """One packed message for each bucket, told by the first bits of the keys."""
     buckets = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     cuts = np.flatnonzero(np.diff(buckets, prepend=-1))
     return [
-        (block, step, int(buckets[a]), _packed_sorted(keys[a:b]), _packed(numbers[a:b]))
+        (block, what, step, int(buckets[a]), _packed_sorted(keys[a:b]), _packed(numbers[a:b]), 0, 0)
         for a, b in zip(cuts, [*cuts[1:], len(keys)])
     ]
 
@@ -264,52 +315,34 @@ def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
 
 
 def _answers(questions: DataFrame, tree: Tree) -> DataFrame:
-    """Add up what all blocks say of a key; even steps sum counts, odd steps choose strengths by gain."""
+    """Add up what all blocks say of a key: counts, or gains by which a strength is chosen."""
     width = len(tree.strengths)
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("block")
-        step, bucket = int(group.step.iloc[0]), int(group.bucket.iloc[0])
+        what, step, bucket = group.what.iloc[0], int(group.step.iloc[0]), int(group.bucket.iloc[0])
         keys = [_unpacked_sorted(k) for k in group["keys"]]
         found, where = np.unique(np.concatenate(keys), return_inverse=True)
-        if step % 2 == 0:
+        if what == "count":
             numbers = np.concatenate([_unpacked(n, np.uint32) for n in group.numbers])
             out = np.bincount(where, weights=numbers, minlength=len(found)).astype(np.uint64)
         else:
-            gains = np.concatenate([_unpacked(n, np.float32).reshape(-1, width + 1) for n in group.numbers])
-            sums = np.array([np.bincount(where, weights=gains[:, i], minlength=len(found)) for i in range(width + 1)])
-            best, gain = sums[:width].argmax(0), sums[:width].max(0)
-            passed = gain > tree.min_gain
-            left = sums[width] - np.where(passed, gain, 0)
-            # Sums of single precision: a context at the threshold stays open.
-            out = (2 * np.where(passed, best, width) + (left > tree.min_gain - 1e-3 * abs(tree.min_gain))).astype(np.uint8)
+            gains = np.concatenate([_unpacked(n, np.float32).reshape(-1, 2 * width + 1) for n in group.numbers])
+            sums = np.array([np.bincount(where, weights=column, minlength=len(found)) for column in gains.T])
+            best = np.where(sums[:width].max(0) > tree.min_gain, sums[:width].argmax(0), width)
+            left = sums[width + best, np.arange(len(found))]
+            # A choice is twice a strength's number, odd if open. Sums of single precision: at the threshold it is open.
+            out = (2 * best + (left > tree.min_gain - 1e-3 * abs(tree.min_gain))).astype(np.uint8)
         ends = np.cumsum([len(k) for k in keys])
-        rows = [(int(b), step, bucket, _packed(out[where[e - len(k) : e]]), 0, 0) for b, k, e in zip(group.block, keys, ends)]
+        rows = [
+            (int(b), what, step, bucket, b"", _packed(out[where[e - len(k) : e]]), 0, 0)
+            for b, k, e in zip(group.block, keys, ends)
+        ]
         if step == 0:
-            rows[0] = (*rows[0][:4], int(out.sum()), int((out > 0).sum()))
-        elif step % 2:
-            rows[0] = (*rows[0][:4], int((out & 1).sum()), int((out < 2 * width).sum()))
-        return _frame(rows, _ANSWER)
+            rows[0] = (*rows[0][:6], int(out.sum()), int((out > 0).sum()))
+        return _frame(rows, _MESSAGE)
 
-    return questions.groupBy("step", "bucket").applyInPandas(answer, _ANSWER)
-
-
-def _told(block: Block, answers: pd.DataFrame, upto: int) -> None:
-    """Replay the answers of the steps before ``upto`` in order."""
-
-    def answer(step: int, dtype) -> np.ndarray:
-        mine = answers[answers.step == step].sort_values("bucket")
-        return np.concatenate([np.zeros(0, dtype), *[_unpacked(n, dtype) for n in mine.numbers]])
-
-    for step in range(upto):
-        if step == 0:
-            block.words_counted(answer(0, np.uint64))
-        elif step % 2 == 0:
-            block.extend()
-            block.counted(answer(step, np.uint64))
-        elif step > 1:
-            block.find_contexts()
-            block.states_chosen(answer(step, np.uint8))
+    return questions.groupBy("what", "step", "bucket").applyInPandas(answer, _MESSAGE)
 
 
 def scored(
@@ -317,8 +350,7 @@ def scored(
 ) -> DataFrame:
     """The input ``row`` with n_tokens, n_known, train_tokens, base_score and score (log10).
 
-    ``train`` says which documents the tree learns from. Step 2k counts sequences of k + 1
-    words; step 2k + 1 chooses the states of k words.
+    ``train`` says which documents the tree learns from.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -333,56 +365,71 @@ def scored(
     tokens = packed.select("words").mapInPandas(size, "n bigint").agg(F.sum("n")).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1, tokens / tree.bucket_tokens)))))
 
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                block = Block(row, tree)
-                yield _frame(_questions(block.number, 0, *block.first_questions(), bits), _QUESTION)
+                block = Block(row, tree, batch)
+                yield _frame(_questions(block.number, "count", 0, *block.first_questions(), bits), _MESSAGE)
 
-    answers = written(_answers(packed.mapInPandas(first, _QUESTION), tree), "answers")
-    totals = answers.agg(F.sum("total"), F.sum("distinct")).first()
+    state = written(_answers(packed.mapInPandas(words, _MESSAGE), tree), "state")
+    totals = state.agg(F.sum("total"), F.sum("distinct")).first()
     total, distinct = int(totals[0] or 0), int(totals[1] or 0)
 
-    def asking(steps: list[int]):
-        """The questions of a step, or of two: choosing states and counting the next sequences."""
+    def together(messages: DataFrame, function, first: int) -> DataFrame:
+        """Blocks that have messages, with all of them."""
 
-        def ask(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        def each(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
             out = []
-            for row in rows.itertuples():
-                block = Block(row, tree, total, distinct)
-                _told(block, told, steps[0])
-                for step in steps:
-                    out += _questions(block.number, step, *(block.extend() if step % 2 == 0 else block.gains()), bits)
-            return _frame(out, _QUESTION)
+            if len(told):
+                for row in rows.itertuples():
+                    out += function(Block(row, tree, told, total, distinct).opened(first))
+            return _frame(out, _MESSAGE)
 
-        return ask
+        return packed.groupBy("block").cogroup(messages.groupBy("block")).applyInPandas(each, _MESSAGE)
 
-    def judge(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+    def round_of(state: DataFrame, first: int, last: int) -> DataFrame:
+        def count(block: Block) -> list[tuple]:
+            out = []
+            for order in range(first, last + 1):
+                out += _questions(block.number, "count", 2 * order, *block.counting(order), bits)
+            return out
+
+        def weigh(block: Block) -> list[tuple]:
+            out = []
+            for order, given, keys, gains in block.gains(first, last):
+                out.append(block.says("seen", given, order))
+                out += _questions(block.number, "gain", 2 * order + 1, keys, gains, bits)
+            return out
+
+        counts = _answers(together(state, count, first), tree)
+        weighed = written(together(state.unionByName(counts), weigh, first), "weighed")
+        choices = _answers(weighed.where("what = 'gain'"), tree)
+        told = state.unionByName(weighed.where("what = 'seen'")).unionByName(choices)
+        return written(together(told, lambda block: block.settle(first, last, last == tree.depth), first), "state")
+
+    closed = None
+    for first, last in _rounds(tree):
+        done = round_of(state, first, last)
+        mine = done.where(F.col("what").isin("score", "base", "known"))
+        closed = mine if closed is None else closed.unionByName(mine)
+        state = done.where(F.col("what").isin("at", "ahead", "chance"))
+        if state.isEmpty():
+            break
+    if closed is None:
+        closed = together(state, lambda block: block.settle(1, 0, True), 1)
+
+    def add_up(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         done = []
         for row in rows.itertuples():
-            block = Block(row, tree, total, distinct)
-            _told(block, told, last + 1)
-            done.append(block.result())
-        return pd.DataFrame(done, columns=["block", "n_tokens", "n_known", "base_score", "score"])
-
-    def together(function, schema: str) -> DataFrame:
-        return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(function, schema)
-
-    def asked(steps: list[int]) -> DataFrame:
-        return written(_answers(together(asking(steps), _QUESTION), tree), "answers")
-
-    last = 0
-    if tree.depth > 0:
-        answers = answers.unionByName(asked([2]))
-    for order in range(1, tree.depth + 1):
-        last = 2 * order + 1
-        told = asked([last, last + 1] if order < tree.depth else [last])
-        answers = answers.unionByName(told)
-        if not told.where(F.col("step") == last).agg(F.sum("total")).first()[0]:
-            break
-    judged = together(
-        judge, "block bigint, n_tokens array<bigint>, n_known array<bigint>, base_score array<double>, score array<double>"
-    )
+            lengths = _unpacked(row.lengths, np.int64)
+            sums = {
+                what: np.sum([_unpacked(n, np.float64) for n in told.numbers[told.what == what]], axis=0)
+                for what in ("known", "base", "score")
+            }
+            done.append((int(row.block), lengths, sums["known"].astype(np.int64), sums["base"], sums["score"]))
+        return _frame(done, _SCORES)
+
+    judged = packed.select("block", "lengths").groupBy("block").cogroup(closed.groupBy("block")).applyInPandas(add_up, _SCORES)
     columns = ("n_tokens", "n_known", "base_score", "score")
     each = held.select("block", "rows").join(judged, "block")
     result = written(

@@ -20,38 +20,57 @@ def words_of(text):
 
 
 def slow_scores(texts, trained, tree):
-    """Base score, score and known words of each text, one word after the other."""
+    """Base score, score and known words of each text, one word after the other; no context is ever closed."""
     texts = [words_of(t) for t in texts]
     learnt = [t for t, use in zip(texts, trained) if use]
     counts = Counter(w for t in learnt for w in t)
     total, distinct = sum(counts.values()), len(counts)
-    after = defaultdict(Counter)
-    for t in learnt:
-        for i, w in enumerate(t):
-            for k in range(1, tree.depth + 1):
-                if i >= k:
-                    after[tuple(t[i - k : i])][w] += 1
+    longest = min(tree.depth or 10**9, max((len(t) for t in texts), default=0))
+    rounds, first = [], 1
+    while first <= longest:
+        last = first if first <= tree.single else 2 * (first - 1)
+        rounds.append(range(first, min(last, longest) + 1))
+        first = last + 1
+    after = defaultdict(Counter)  # of contexts with min_count occurrences; those that end in a rarer one are rarer still
+    places = [(t, i) for t in learnt for i in range(1, len(t))]
+    for k in range(1, longest + 1):
+        found = defaultdict(Counter)
+        for t, i in places:
+            if i >= k:
+                found[tuple(t[i - k : i])][t[i]] += 1
+        often = {context: seen for context, seen in found.items() if sum(seen.values()) >= tree.min_count}
+        after.update(often)
+        places = [(t, i) for t, i in places if i >= k and tuple(t[i - k : i]) in often]
+        if not places:
+            break
     states = {}
 
-    def chance(context, word, longest):
+    def chance(context, word, upto):
         p = (counts[word] + 1) / (total + distinct + 1)
-        for k in range(1, longest + 1):
-            if len(context) >= k and tuple(context[-k:]) in states:
-                seen, s = after[tuple(context[-k:])], states[tuple(context[-k:])]
-                p = (seen[word] + s * p) / (sum(seen.values()) + s)
+        for lengths in rounds:
+            best = None
+            for k in lengths:
+                if k > min(upto, len(context)) or context[-k:] not in after:
+                    return p if best is None else smoothed(best, word, p)
+                best = context[-k:] if context[-k:] in states else best
+            p = p if best is None else smoothed(best, word, p)  # by the longest state of the round
         return p
 
-    for k in range(1, tree.depth + 1):
+    def smoothed(context, word, p):
+        seen, s = after[context], states[context]
+        return (seen[word] + s * p) / (sum(seen.values()) + s)
+
+    for lengths in rounds:
         new = {}
         for context, seen in after.items():
             n = sum(seen.values())
-            if len(context) != k or n < tree.min_count:
+            if len(context) not in lengths or n < tree.min_count:
                 continue
             gains = []
             for s in tree.strengths:
                 gain = 0.0
                 for w, c in seen.items():
-                    p = chance(context, w, k - 1)
+                    p = chance(context, w, lengths[0] - 1)
                     gain += c * math.log((c - 1 + s * p) / (n - 1 + s) / p)
                 gains.append(gain)
             if max(gains) > tree.min_gain:
@@ -60,7 +79,7 @@ def slow_scores(texts, trained, tree):
     out = []
     for t in texts:
         base = sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in t)
-        score = sum(math.log10(chance(t[:i], w, tree.depth)) for i, w in enumerate(t))
+        score = sum(math.log10(chance(tuple(t[max(0, i - longest) : i]), w, longest)) for i, w in enumerate(t))
         out.append((len(t), sum(counts[w] > 0 for w in t), total, base, score))
     return out, states
 
@@ -133,3 +152,38 @@ def test_odd_and_clashing_names_are_carried(spark):
     rows = spark.createDataFrame([(1, "one two", "x", 3, "s"), (2, None, None, None, None)], schema)
     made = suffix_tree.scored(rows, F.lit(True))
     assert made.select("row.*").columns == rows.columns and made.count() == 2
+
+
+def test_passage_of_thirty_words(docs_of):
+    """The word after a passage depends on the passage's first word; lengths of 17 to 32 words are one round."""
+    draw = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(29))
+    texts = []
+    for i in range(60):
+        noise = " ".join(f"w{draw.randrange(30)}" for _ in range(6))
+        texts.append(f"{noise} start{i % 2} {passage} end{i % 2} {noise}")
+    docs = docs_of(*texts)
+    rows = suffix_tree.scored(docs, F.lit(True), tree=suffix_tree.Tree(block_tokens=500, bucket_tokens=300)).collect()
+    got = {r.row.doc_id: (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows}
+    want, states = slow_scores(texts, [True] * len(texts), suffix_tree.Tree())
+    assert max(len(c) for c in states) >= 30
+    compare([got[i] for i in range(len(texts))], want)
+    short = suffix_tree.scored(docs, F.lit(True), tree=suffix_tree.Tree(depth=16)).collect()
+    assert sum(r.score for r in rows) > sum(r.score for r in short) + 10
+
+
+def test_near_copies_with_independent_edits(docs_of):
+    """Contexts stay open over hundreds of words where copies differ in a few words each."""
+    draw = random.Random(10)
+    text = [f"t{draw.randrange(60)}" for _ in range(70)]
+    texts = [" ".join(f"x{draw.randrange(60)}" if draw.random() < 0.03 else w for w in text) for _ in range(30)]
+    tree = suffix_tree.Tree(single=2, block_tokens=700, bucket_tokens=500)
+    rows = suffix_tree.scored(docs_of(*texts), F.col("doc_id") % 5 != 0, tree=tree).collect()
+    got = {r.row.doc_id: (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows}
+    want, _ = slow_scores(texts, [i % 5 != 0 for i in range(len(texts))], tree)
+    compare([got[i] for i in range(len(texts))], want)
+
+
+def test_root_only(docs_of):
+    rows = suffix_tree.scored(docs_of("a b a", "b"), F.lit(True), tree=suffix_tree.Tree(depth=0)).collect()
+    assert all(r.score == pytest.approx(r.base_score) and r.base_score < 0 for r in rows)
