@@ -15,9 +15,9 @@ A sequence is asked for only if the sequence it extends is frequent enough to be
 A context is closed when what is left to gain after it is not over the threshold. An occurrence
 of a word seen m times after the context can gain at most what a context with these m
 occurrences and no others would gain; the sum of that over the occurrences bounds every longer context.
-Rounds end when all contexts are closed. A block carries its open positions from round to
-round, with the chance of the word and the count of the context; the logs of closed ones are
-added to their texts' scores and not looked at again.
+Rounds end when all contexts are closed. From the second
+round on a block carries its open positions, with the chance of the word and the count of the
+context; the logs of closed ones are added to their texts' scores and not looked at again.
 Words and sequences are known by 64-bit hashes. No task holds more than a block or a bucket,
 a hot word is one entry per block, and no vocabulary or tree is sent to all.
 
@@ -200,6 +200,10 @@ class Block:
             ahead = np.concatenate([[0], self.known[:-1]])
             self.at = np.flatnonzero((self.place >= 1) & (ahead >= self.tree.min_count))
             self.ahead, self.closed = ahead[self.at], np.ones(n, bool)
+        elif first == 2:  # the first round is gone over again: its answers are less than what stays open
+            self.opened(1).settle(1, 1)
+            self.at, self.ahead = self.still, self.next_ahead[self.still]
+            self.closed = ~self.closed
         else:
             self.at = np.cumsum(self.heard("at", np.uint64), dtype=np.uint64).astype(np.int64)
             self.ahead = self.heard("ahead", np.uint64).astype(np.int64)
@@ -225,28 +229,32 @@ class Block:
         return keys, np.bincount(which[self.train[ends]], minlength=len(keys)).astype(np.uint32)
 
     def counted(self, order: int) -> np.ndarray:
-        """Counts of the sequences, as answered."""
+        """Counts of the sequences, as answered per distinct one."""
         which = np.unique(self.keys(self.sequences(order), order + 1), return_inverse=True)[1]
-        return self.heard("count", np.uint64, 2 * order)[which]
+        return self.heard("count", np.uint64, 2 * order)[which].astype(np.int64)
 
-    def judged(self, first: int, last: int, counts) -> Iterator[tuple]:
-        """Per order of a round: where its contexts end, whose they are, their counts and those of the next word."""
+    def judged(self, first: int, last: int) -> Iterator[tuple]:
+        """Per order of a round: where words after its contexts are, whose they are, counts of contexts and with the word.
+
+        Of a context that occurs twice, before a word once, all words follow once: nothing can be gained.
+        """
         ahead = np.zeros(len(self.words), np.int64)
         ahead[self.at] = self.ahead
         for order in range(first, last + 1):
-            given, seen = counts(order), np.full(len(self.words), -1, np.int64)
-            seen[self.sequences(order)] = given.astype(np.int64)
+            seen = np.full(len(self.words), -1, np.int64)
+            seen[self.sequences(order)] = self.counted(order)
             at = self.at[(self.place[self.at] >= order) & (ahead[self.at] >= self.tree.min_count)]
+            at = at[(ahead[at] > 2) | (seen[at] != 1)]
             keys, state = np.unique(self.keys(at - 1, order), return_inverse=True)
-            yield order, given, at, keys, state, ahead[at], seen[at]
+            yield order, at, keys, state, ahead[at], seen[at]
             ahead = np.concatenate([[0], seen[:-1]])
         self.next_ahead = ahead
 
     def gains(self, first: int, last: int) -> Iterator[tuple]:
-        """Per order its counts and, over this block's training words, each strength's gain and what is then left."""
+        """Per order its contexts and, over this block's training words, each strength's gain and what is then left."""
         strengths, least = self.tree.strengths, min(self.tree.strengths)
         lowest = self.chance.copy()
-        for order, given, at, keys, state, n, seen in self.judged(first, last, self.counted):
+        for order, at, keys, state, n, seen in self.judged(first, last):
             mine = self.train[at]
             at, state, n, seen = at[mine], state[mine], n[mine], seen[mine]
             before = self.chance[at]
@@ -259,29 +267,35 @@ class Block:
             sums = np.zeros((2 * len(strengths) + 1, len(keys)))
             for i, part in enumerate(parts):
                 sums[i] = np.bincount(state, weights=part, minlength=len(keys))
-            yield order, given, keys, sums.astype(np.float32).T
+            yield order, keys, sums.astype(np.float32).T
 
-    def settle(self, first: int, last: int, final: bool) -> list[tuple]:
-        """Take the states of a round; what stays open goes on, the scores of what is closed are added up."""
+    def settle(self, first: int, last: int, final: bool = False) -> None:
+        """Take the states of a round, and tell what stays open from what is closed."""
         chance, still = self.chance.copy(), self.at[:0]
         strengths = np.array([*self.tree.strengths, 0.0])
-        for order, _, at, _, state, n, seen in self.judged(first, last, lambda k: self.heard("seen", np.uint64, k)):
+        for order, at, _, state, n, seen in self.judged(first, last):
             mine = self.heard("gain", np.uint8, 2 * order + 1)[state]
             s = strengths[mine >> 1]
             use = s > 0
             chance[at[use]] = (seen[use] + s[use] * self.chance[at[use]]) / (n[use] + s[use])
             still = at[mine & 1 == 1]
-        out = []
-        if not final:
-            still = still[(self.place[still] > last) & (self.next_ahead[still] >= self.tree.min_count)]
-            if len(still):
-                out += [
-                    self.says("at", np.diff(still, prepend=0).astype(np.uint64)),
-                    self.says("ahead", self.next_ahead[still].astype(np.uint64)),
-                    self.says("chance", chance[still].astype(np.float32)),
-                ]
-                self.closed[still] = False
-        out.append(self.says("score", self.by_text(np.where(self.closed, np.log10(chance), 0.0))))
+        if final:
+            still = still[:0]
+        self.still = still[(self.place[still] > last) & (self.next_ahead[still] >= self.tree.min_count)] if len(still) else still
+        self.closed[self.still] = False
+        chance[self.still] = chance[self.still].astype(np.float32)
+        self.chance = chance
+
+    def settled(self, first: int) -> list[tuple]:
+        """What goes on after the round that began with ``first``, and the scores of what it closed."""
+        out, ahead = [], self.next_ahead[self.still] if len(self.still) else self.still
+        if first == 1 and len(self.still):
+            out.append(self.says("again", np.zeros(0, np.uint8)))
+        elif len(self.still):
+            out.append(self.says("at", np.diff(self.still, prepend=0).astype(np.uint64)))
+            out.append(self.says("ahead", ahead.astype(np.uint64)))
+            out.append(self.says("chance", self.chance[self.still].astype(np.float32)))
+        out.append(self.says("score", self.by_text(np.where(self.closed, np.log10(self.chance), 0.0))))
         if first == 1:
             out.append(self.says("base", self.by_text(np.log10(self.base))))
             out.append(self.says("known", self.by_text(self.known > 0)))
@@ -387,7 +401,9 @@ def scored(
 
         return packed.groupBy("block").cogroup(messages.groupBy("block")).applyInPandas(each, _MESSAGE)
 
-    def round_of(state: DataFrame, first: int, last: int) -> DataFrame:
+    def round_of(state: DataFrame, first: int, last: int) -> tuple[DataFrame, DataFrame]:
+        """The state after a round, and what the round says."""
+
         def count(block: Block) -> list[tuple]:
             out = []
             for order in range(first, last + 1):
@@ -396,27 +412,34 @@ def scored(
 
         def weigh(block: Block) -> list[tuple]:
             out = []
-            for order, given, keys, gains in block.gains(first, last):
-                out.append(block.says("seen", given, order))
+            for order, keys, gains in block.gains(first, last):
                 out += _questions(block.number, "gain", 2 * order + 1, keys, gains, bits)
             return out
 
-        counts = _answers(together(state, count, first), tree)
-        weighed = written(together(state.unionByName(counts), weigh, first), "weighed")
-        choices = _answers(weighed.where("what = 'gain'"), tree)
-        told = state.unionByName(weighed.where("what = 'seen'")).unionByName(choices)
-        return written(together(told, lambda block: block.settle(first, last, last == tree.depth), first), "state")
+        def settle(block: Block) -> list[tuple]:
+            block.settle(first, last, last == tree.depth)
+            return block.settled(first)
+
+        told = state.unionByName(written(_answers(together(state, count, first), tree), "counts"))
+        told = told.unionByName(written(_answers(together(told, weigh, first), tree), "choices"))
+        done = written(together(told, settle, first), "state")
+        kept = told.unionByName(done) if first == 1 else done
+        return kept, done
+
+    def root(block: Block) -> list[tuple]:
+        block.settle(1, 0, True)
+        return block.settled(1)
 
     closed = None
     for first, last in _rounds(tree):
-        done = round_of(state, first, last)
+        kept, done = round_of(state, first, last)
         mine = done.where(F.col("what").isin("score", "base", "known"))
         closed = mine if closed is None else closed.unionByName(mine)
-        state = done.where(F.col("what").isin("at", "ahead", "chance"))
-        if state.isEmpty():
+        state = kept.where(F.col("what").isin("count", "gain", "at", "ahead", "chance"))
+        if done.where(F.col("what").isin("again", "at")).isEmpty():
             break
     if closed is None:
-        closed = together(state, lambda block: block.settle(1, 0, True), 1)
+        closed = together(state, root, 1)
 
     def add_up(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         done = []
