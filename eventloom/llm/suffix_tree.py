@@ -188,8 +188,12 @@ class Block:
         return np.concatenate([np.zeros(0, dtype), *[_unpacked(n, dtype) for n in mine.numbers]])
 
     def opened(self, first: int) -> Block:
-        """Take up the state before the round whose shortest context has ``first`` words."""
+        """Take up the state before the round whose shortest context has ``first`` words.
+
+        From the third round on only open positions and those before them are looked at: ``spots``.
+        """
         n = len(self.words)
+        self.spots = np.arange(n)
         self.place = np.arange(n) - (np.cumsum(self.lengths) - self.lengths)[self.text]
         self.power = _powers(FACTOR, n)
         weighed = self.vocabulary[self.words] * _powers(pow(FACTOR, -1, 1 << 64), n)
@@ -205,20 +209,24 @@ class Block:
             self.at, self.ahead = self.still, self.next_ahead[self.still]
             self.closed = ~self.closed
         else:
-            self.at = np.cumsum(self.heard("at", np.uint64), dtype=np.uint64).astype(np.int64)
+            places = np.cumsum(self.heard("at", np.uint64), dtype=np.uint64).astype(np.int64)
+            self.spots = np.union1d(places, places - 1)
+            self.place, self.text, self.train = self.place[self.spots], self.text[self.spots], self.train[self.spots]
+            self.at = np.searchsorted(self.spots, places)
             self.ahead = self.heard("ahead", np.uint64).astype(np.int64)
-            self.chance, self.closed = np.ones(n), np.zeros(n, bool)
+            self.chance, self.closed = np.ones(len(self.spots)), np.zeros(len(self.spots), bool)
             self.chance[self.at] = self.heard("chance", np.float32)
             self.closed[self.at] = True
         return self
 
     def keys(self, ends: np.ndarray, length: int) -> np.ndarray:
         """Hashes of the sequences of some length that end at positions."""
-        return _mixed(self.power[ends] * (self.running[ends + 1] - self.running[ends + 1 - length]))
+        at = self.spots[ends]
+        return _mixed(self.power[at] * (self.running[at + 1] - self.running[at + 1 - length]))
 
     def sequences(self, order: int) -> np.ndarray:
         """Where sequences of order + 1 words end that are asked for: open positions, and those before them."""
-        asked = np.zeros(len(self.words), bool)
+        asked = np.zeros(len(self.spots), bool)
         asked[self.at[self.place[self.at] >= order]] = True
         asked[self.at[self.place[self.at] > order] - 1] = True
         return np.flatnonzero(asked)
@@ -238,10 +246,10 @@ class Block:
 
         Of a context that occurs twice, before a word once, all words follow once: nothing can be gained.
         """
-        ahead = np.zeros(len(self.words), np.int64)
+        ahead = np.zeros(len(self.spots), np.int64)
         ahead[self.at] = self.ahead
         for order in range(first, last + 1):
-            seen = np.full(len(self.words), -1, np.int64)
+            seen = np.full(len(self.spots), -1, np.int64)
             seen[self.sequences(order)] = self.counted(order)
             at = self.at[(self.place[self.at] >= order) & (ahead[self.at] >= self.tree.min_count)]
             at = at[(ahead[at] > 2) | (seen[at] != 1)]
@@ -290,9 +298,9 @@ class Block:
         """What goes on after the round that began with ``first``, and the scores of what it closed."""
         out, ahead = [], self.next_ahead[self.still] if len(self.still) else self.still
         if first == 1 and len(self.still):
-            out.append(self.says("again", np.zeros(0, np.uint8)))
+            out.append(self.says("again", np.zeros(0, np.uint8), len(self.still)))
         elif len(self.still):
-            out.append(self.says("at", np.diff(self.still, prepend=0).astype(np.uint64)))
+            out.append(self.says("at", np.diff(self.spots[self.still], prepend=0).astype(np.uint64), len(self.still)))
             out.append(self.says("ahead", ahead.astype(np.uint64)))
             out.append(self.says("chance", self.chance[self.still].astype(np.float32)))
         out.append(self.says("score", self.by_text(np.where(self.closed, np.log10(self.chance), 0.0))))
@@ -301,8 +309,8 @@ class Block:
             out.append(self.says("known", self.by_text(self.known > 0)))
         return out
 
-    def says(self, what: str, numbers: np.ndarray, step: int = 0) -> tuple:
-        return (self.number, what, step, 0, b"", _packed(numbers), 0, 0)
+    def says(self, what: str, numbers: np.ndarray, total: int = 0) -> tuple:
+        return (self.number, what, 0, 0, b"", _packed(numbers), total, 0)
 
     def by_text(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.text, weights=values, minlength=len(self.lengths))
@@ -377,7 +385,11 @@ def scored(
             yield pd.DataFrame({"n": [len(_unpacked(w, np.uint32)) for w in batch.words]})
 
     tokens = packed.select("words").mapInPandas(size, "n bigint").agg(F.sum("n")).first()[0] or 0
-    bits = max(0, int(np.ceil(np.log2(max(1, tokens / tree.bucket_tokens)))))
+
+    def bits_for(positions: int) -> int:
+        return max(0, int(np.ceil(np.log2(max(1, positions / tree.bucket_tokens)))))
+
+    bits = bits_for(tokens)
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -401,7 +413,7 @@ def scored(
 
         return packed.groupBy("block").cogroup(messages.groupBy("block")).applyInPandas(each, _MESSAGE)
 
-    def round_of(state: DataFrame, first: int, last: int) -> tuple[DataFrame, DataFrame]:
+    def round_of(state: DataFrame, first: int, last: int, bits: int) -> tuple[DataFrame, DataFrame]:
         """The state after a round, and what the round says."""
 
         def count(block: Block) -> list[tuple]:
@@ -432,12 +444,14 @@ def scored(
 
     closed = None
     for first, last in _rounds(tree):
-        kept, done = round_of(state, first, last)
+        kept, done = round_of(state, first, last, bits)
         mine = done.where(F.col("what").isin("score", "base", "known"))
         closed = mine if closed is None else closed.unionByName(mine)
         state = kept.where(F.col("what").isin("count", "gain", "at", "ahead", "chance"))
-        if done.where(F.col("what").isin("again", "at")).isEmpty():
+        still = done.where(F.col("what").isin("again", "at")).agg(F.sum("total")).first()[0]
+        if not still:
             break
+        bits = bits_for(2 * still)  # as many buckets as an order needs, open positions and those before them
     if closed is None:
         closed = together(state, root, 1)
 
