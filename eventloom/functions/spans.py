@@ -76,6 +76,58 @@ def spans_of(text, pattern: str) -> Column:
     return F.when(source.rlike(pattern), spans).otherwise(F.array().cast(SPANS))
 
 
+def flagged(runs: Column, n: Column) -> Column:
+    """``n`` flags, true in the runs (first, last), which come in the order of their starts; last is exclusive."""
+
+    def made(runs: Column) -> Column:
+        # Runs may overlap: a token already flagged is not flagged again.
+        def marked(reach: Column) -> Column:
+            def run(f: Column, i: Column) -> Column:
+                before = F.coalesce(F.get(reach, i - 1), F.lit(0))
+                start = F.greatest(f["first"], before)
+                return F.concat(
+                    F.array_repeat(F.lit(False), start - before), F.array_repeat(F.lit(True), F.greatest(f["last"], start) - start)
+                )
+
+            return F.flatten(F.transform(runs, run))
+
+        return bound(marked, _running(F.transform(runs, lambda f: f["last"]), F.greatest))
+
+    return bound(lambda found: F.concat(found, F.array_repeat(F.lit(False), n - F.size(found))), bound(made, runs))
+
+
+#: Stands between the tokens of a text in ``runs_of``; a text that holds it itself has to be searched another way.
+BORDER = "\x00"
+
+
+def across_borders(literal: str, escaped) -> str:
+    """A regular expression for a literal that token borders may run through."""
+    return (BORDER_PATTERN + "*").join(escaped(ch) for ch in literal)
+
+
+BORDER_PATTERN = r"\x00"
+
+
+def runs_of(joined, pattern: str) -> Column:
+    """The tokens that matches of a pattern touch, as runs (first, last), in a text whose tokens are joined by ``BORDER``.
+
+    A token's number is the number of borders before it, so nothing is done token by token.
+    """
+
+    def borders(text: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(BORDER), F.lit("")))
+
+    def placed(before: Column, found: Column) -> Column:
+        crossed = F.zip_with(F.slice(before, F.lit(1), F.size(found)), found, lambda b, m: borders(b) + borders(m))
+        return bound(
+            lambda upto: F.zip_with(upto, found, lambda e, m: F.struct((e - borders(m)).alias("first"), (e + 1).alias("last"))),
+            running_sum(crossed),
+        )
+
+    source = as_column(joined)
+    return bound(placed, F.split(source, pattern, -1), matches(source, pattern))
+
+
 def covered(ends: Column, spans: Column, whole: bool = False) -> Column:
     """For each token whether it overlaps one of the spans; ``whole``: whether it lies in one.
 
@@ -95,20 +147,6 @@ def covered(ends: Column, spans: Column, whole: bool = False) -> Column:
                 last = F.least(count_upto(ends, s["stop"] - 1) + 1, n)
             return F.struct(first.alias("first"), last.alias("last"))
 
-        def made(found: Column) -> Column:
-            # Spans may overlap: a token already flagged is not flagged again.
-            def runs(reach: Column) -> Column:
-                def run(f: Column, i: Column) -> Column:
-                    before = F.coalesce(F.get(reach, i - 1), F.lit(0))
-                    start = F.greatest(f["first"], before)
-                    return F.concat(
-                        F.array_repeat(F.lit(False), start - before), F.array_repeat(F.lit(True), F.greatest(f["last"], start) - start)
-                    )
-
-                return F.flatten(F.transform(found, run))
-
-            return bound(runs, _running(F.transform(found, lambda f: f["last"]), F.greatest))
-
-        return bound(lambda found: F.concat(found, F.array_repeat(F.lit(False), n - F.size(found))), bound(made, F.transform(spans, tokens_of)))
+        return bound(lambda found: flagged(found, n), F.transform(spans, tokens_of))
 
     return F.when(F.size(spans) > 0, bound(flags, ends, spans)).otherwise(F.array_repeat(F.lit(False), F.size(ends)))

@@ -302,9 +302,10 @@ def _model_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.from_model_records(quality.with_result_text(routed, view(spark, sf_dir, "sql_results")))
 
 
-def _model_messages(spark: SparkSession, sf_dir: str, change=lambda r: r) -> DataFrame:
+def _model_messages(spark: SparkSession, sf_dir: str, change=lambda r: r, samples: DataFrame | None = None) -> DataFrame:
     """Message rows of the model-written records with one sampled row per event type."""
-    samples = inspection.check_results(view(spark, sf_dir, "grid_events"), 1)
+    if samples is None:
+        samples = inspection.check_results(view(spark, sf_dir, "grid_events"), 1)
     return conversations.assemble(change(_model_records(spark, sf_dir)), samples)
 
 
@@ -459,10 +460,11 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights of the model-written conversations."""
-    segments = conversations.render_segments(_model_messages(spark, sf_dir))
-    needed = ["conv_id", "seq", "role", "tool_name", "tools", "segment"]
-    measured = training.measure(segments.select(*needed), catalogue=tool_source.tools_json()).drop("tools")
-    measured = written(measured, "measured")
+    samples = written(inspection.check_results(view(spark, sf_dir, "grid_events"), 1), "samples")
+    segments = conversations.render_segments(_model_messages(spark, sf_dir, samples=samples))
+    needed = ["conv_id", "seq", "role", "tool_name", "segment"]
+    measured = training.measure(segments.select(*needed), shared=conversations.shared_segments(samples))
+    measured = written(training.without_plain_pieces(measured), "measured")
     return training.loss_weights(training.positioned(measured))
 
 

@@ -379,3 +379,27 @@ def test_batches_stay_within_the_token_budget(spark):
     for w in set(full):
         sizes = [len(m) for (width, no), m in sorted(batches.items()) if width == w]
         assert all(s == max(1, 200 // w) for s in sizes[:-1])
+
+
+@pytest.mark.parametrize("tokenizer", [tokens, by_threes], ids=["words", "threes"])
+def test_weights_of_shared_and_left_out_texts(spark, tokenizer):
+    """Texts measured once, and tokens left out until they are needed, give the same weights as all of it; in joined tokens too."""
+    texts = random_messages(11, 60)
+    texts += [(100 + i, 0, 0, "assistant", t, vocab.SQL_TOOL, "{}", True, True) for i, t in enumerate(["$.a json_extract(METADATA, '$.b')", "json_extract(METADATA, '$.a", "\x00$.", "$.$.", ""])]
+    texts += [(101, 1, 1, "assistant", "still in the call", None, None, True, True), (101, 2, 2, "tool", "end)", None, None, True, True)]
+    segments = conversations.render_segments(spark.createDataFrame(texts, SCHEMA))
+    measured = training.measure(segments, tokenizer, shared=segments.where("conv_id % 3 = 0 OR role = 'tool'").select("segment"))
+    some = training.loss_weights(training.positioned(training.without_plain_pieces(measured)), None, tokenizer)
+    for row in some.select("conv_id", "seq", "segment", training.flags().alias("y"), training.all_weights().alias("w")).collect():
+        assert len(row.y) == len(row.w) and [w > 0 for w in row.w] == row.y
+    key = ["conv_id", "seq", training.flags().alias("y"), training.all_weights().alias("w")]
+    # The same by token ends: what is cut at a limit no message reaches is searched in its characters.
+    by_ends = training.measure(segments, tokenizer).withColumn("answer_at", F.lit(None).cast("int"))
+    slow = training.loss_weights(training.positioned(by_ends), None, tokenizer).select(key)
+    assert sorted(some.select(key).collect(), key=str) == sorted(slow.collect(), key=str)
+
+
+def test_few_values_are_counted_as_all_are(spark):
+    rows = [(1, 4, [0.0, 1.0, 20.0, 2.0]), (1, 2, None), (1, 3, [1.5, 1.5, 0.0]), (2, 1, None), (3, 2, [0.0, 0.0])]
+    got = training.weight_stats(spark.createDataFrame(rows, "conv_id int, n_kept int, weights array<double>")).orderBy("conv_id").collect()
+    assert [tuple(r) for r in got] == [(1, 9, 4, 20.0, 5.2), (2, 1, 0, 0.0, None), (3, 2, 0, 0.0, None)]
