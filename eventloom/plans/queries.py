@@ -470,7 +470,7 @@ def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def loss_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shown = F.array_join(F.transform("weights", lambda w: w.cast("int").cast("string")), " ")
+    shown = F.array_join(F.col("weights").cast("array<int>").cast("array<string>"), " ")
     zeros = F.rtrim(F.repeat(F.lit("0 "), F.col("n_kept")))
     return _weighted(spark, sf_dir).select(
         "conv_id", "seq", F.when(F.col("weights").isNotNull(), shown).otherwise(zeros).alias("weights")
