@@ -21,7 +21,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id: five-word shingles, Jaccard 0.8 or more."""
+    """One document of each group of near copies, the one with the smallest id: SimHash over five-word shingles, then Jaccard 0.8 or more."""
     return shingles.representatives(docs)
 
 

@@ -1,16 +1,16 @@
-"""Near copies by the exact Jaccard similarity of word shingles.
+"""Near copies by SimHash fingerprints and the exact Jaccard similarity of word shingles.
 
 Two texts are linked if their sets of word shingles have a Jaccard similarity of at least
-a given bound. Which texts may be is found by banded minima: 120 minima of rehashed
-shingles in 24 bands of five, so a pair at 0.8 shares no band in one of 13,000 cases, and a
-closer pair less often. Texts that share a band, directly or over others, are gathered in
+a given bound. Which texts may be is found by SimHash first: the fingerprint of a text's set of
+shingles goes through the popcount grid of ``simhash``, and texts whose fingerprints hang together over links
+of at most three bits share a cell. Pairs at 0.8 differ in more bits (up to 17 in the small table), and a limit that
+wide would meet a share of all pairs of unlike texts. So 24 further cells hold texts with equal bands of minima: 120
+minima of rehashed shingles in bands of five, so a pair at 0.8 shares no band in one of 13,000 cases, and a
+closer pair less often. Texts that share a cell, directly or over others, are gathered in
 numbered pieces of bounded size, each two pieces of a gathering meet in one task, and there
 the similarity itself is computed until all linked texts are known to hang together.
 A large group of copies costs one comparison a text, not all pairs, and nothing is capped.
 
-The 64-bit fingerprints of ``simhash`` are not used: a pair at 0.83 in the small table differs
-in 17 bits of them, and a limit that wide meets a share of all pairs of unlike texts.
-
 Defined results: null, empty and blank texts are copies of each other; a text of fewer words
 than a shingle is one shingle; texts of equal words are copies and compared once; a text of any
 length is one set of all its shingles; of equal ids the first row read stays; a null id
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventloom.llm import simhash
 from eventloom.llm.common import bytes_of, carried, components, quoted, written
 
 SHINGLE = 5
@@ -69,9 +70,13 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return shared / (len(both) - shared) if len(both) else 1.0
 
 
-def linked(keys: list[int], sets: list[np.ndarray], banded: list[np.ndarray], bound: float) -> list[tuple[int, int]]:
-    """Links enough to join all of these texts that links between texts sharing a band join."""
-    root, found, tried = list(range(len(keys))), [], set()
+def linked(keys: list[int], sets: list[np.ndarray], cells_of: np.ndarray, bound: float) -> list[tuple[int, int]]:
+    """Links enough to join all of these texts that links between texts sharing a cell join.
+
+    ``cells_of`` has a row for each text and a column for each kind of cell.
+    """
+    root, found = list(range(len(keys))), []
+    sizes = np.array([len(s) for s in sets], np.int64)
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -79,25 +84,30 @@ def linked(keys: list[int], sets: list[np.ndarray], banded: list[np.ndarray], bo
             i = root[i]
         return i
 
-    for band in range(BANDS):
+    def untried(i: int, others: list[int], kind: int) -> set[int]:
+        # Who shared an earlier cell was compared there, unless it hung together with i already.
+        js = np.array(others)
+        js = js[np.minimum(sizes[js], sizes[i]) >= bound * np.maximum(sizes[js], sizes[i])]
+        return set(js[~(cells_of[js, :kind] == cells_of[i, :kind]).any(1)].tolist())
+
+    for kind in range(cells_of.shape[1]):
         cells = defaultdict(list)
-        for i, numbers in enumerate(banded):
-            cells[numbers[band]].append(i)
+        for i, number in enumerate(cells_of[:, kind].tolist()):
+            cells[number].append(i)
         for cell in cells.values():
             parts: dict[int, list[int]] = {}
             for i in cell:
                 mine = [i]
-                for head in list(parts):
+                apart = [head for head in parts if find(head) != find(i)]
+                left = untried(i, [j for head in apart for j in parts[head]], kind) if apart else set()
+                for head in apart if left else []:
                     if find(head) != find(i):
                         for j in parts[head]:
-                            if (j, i) in tried:
-                                continue
-                            tried.add((j, i))
-                            small, large = sorted((len(sets[i]), len(sets[j])))
-                            if small >= bound * large and similarity(sets[i], sets[j]) >= bound:
+                            if j in left and similarity(sets[i], sets[j]) >= bound:
                                 root[find(i)] = find(j)
                                 found.append((keys[j], keys[i]))
                                 break
+                for head in list(parts):
                     if find(head) == find(i):
                         mine = parts.pop(head) + mine
                 parts[mine[0]] = mine
@@ -105,19 +115,20 @@ def linked(keys: list[int], sets: list[np.ndarray], banded: list[np.ndarray], bo
 
 
 def sketched(docs: DataFrame, text: str, shingle: int) -> DataFrame:
-    """The input ``row`` with the ``key`` of its words, the ``n`` of its shingles and its ``bands``."""
+    """The input ``row`` with the ``key`` of its words, the ``n`` of its shingles, their fingerprint ``fp`` and ``bands``."""
     rows = carried(docs, text=text).select("row", "text")
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, n, numbers = [], [], []
+            keys, n, prints, numbers = [], [], [], []
             for body in batch.column("text"):
                 key, hashes = shingles(body.as_py(), shingle)
                 keys.append(key)
                 n.append(len(hashes))
+                prints.append(simhash.majority(hashes))
                 numbers.append(bands(hashes).tobytes())
-            made = [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(n, pa.int64()), pa.array(numbers, pa.binary())]
-            yield pa.record_batch([batch.column("row"), *made], names=["row", "key", "n", "bands"])
+            made = [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(n, pa.int64()), pa.array(prints, pa.int64())]
+            yield pa.record_batch([batch.column("row"), *made, pa.array(numbers, pa.binary())], names=["row", "key", "n", "fp", "bands"])
 
     # A schema as an object: names of input columns may hold any character.
     schema = T.StructType(
@@ -125,20 +136,26 @@ def sketched(docs: DataFrame, text: str, shingle: int) -> DataFrame:
             rows.schema["row"],
             T.StructField("key", T.LongType()),
             T.StructField("n", T.LongType()),
+            T.StructField("fp", T.LongType()),
             T.StructField("bands", T.BinaryType()),
         ]
     )
     return rows.mapInArrow(sketch, schema)
 
 
-def links(texts: DataFrame, distinct: DataFrame, shingle: int, bound: float) -> DataFrame:
-    """Pairs ``a``, ``b`` of keys that join what is linked. ``texts`` has the key and the text, ``distinct`` the sketch."""
-    each = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("bands", i * 8 + 1, F.lit(8))))
+def links(rows: DataFrame, distinct: DataFrame, shingle: int, bound: float) -> DataFrame:
+    """Pairs ``a``, ``b`` of keys that join what is linked. ``rows`` has ``no`` and the text, ``distinct`` the sketch of each
+    key (``n``, ``fp``, ``bands``) and the ``no`` of a row with its text."""
+    grouped = distinct.join(simhash.component_of_prints(distinct), "fp")
+    print_cell = F.unhex(F.lpad(F.hex("component"), 16, "0"))
+    distinct = written(grouped.select("key", "no", "n", F.concat(print_cell, "bands").alias("cells")), "cells")
+    each = F.transform(F.sequence(F.lit(0), F.lit(BANDS)), lambda i: F.xxhash64(i, F.substring("cells", i * 8 + 1, F.lit(8))))
     cells = distinct.select("key", F.explode(each).alias("cell"))
     first = cells.groupBy("cell").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     met = written(cells.join(first, "cell").where("key <> least").select(F.col("key").alias("a"), F.col("least").alias("b")).distinct(), "met")
     nodes = met.select(F.col("a").alias("key")).unionByName(met.select(F.col("b").alias("key"))).distinct()
-    gathered = written(components(nodes, met, node="key"), "gathered").join(distinct, "key")
+    gathered = written(components(nodes, met, node="key").join(distinct, "key"), "gathered")
+    texts = rows.join(gathered.select("no", "key"), "no").select("key", "text")
     sizes = gathered.groupBy("component").agg(F.ceil(F.sum("n") / PIECE).alias("pieces"))
     piece = F.pmod(F.xxhash64("key"), F.greatest("pieces", F.lit(1)))
     placed = gathered.join(sizes, "component").withColumn("piece", piece)
@@ -146,15 +163,15 @@ def links(texts: DataFrame, distinct: DataFrame, shingle: int, bound: float) ->
         F.sequence(F.lit(0).cast("bigint"), F.greatest("pieces", F.lit(1)) - 1),
         lambda other: F.struct(F.least("piece", other).alias("low"), F.greatest("piece", other).alias("high")),
     )
-    meeting = placed.select("key", "component", "bands", F.explode(pair).alias("at")).join(texts, "key")
+    meeting = placed.select("key", "component", "cells", F.explode(pair).alias("at")).join(texts, "key")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("key")
         sets = [shingles(body, shingle)[1] for body in group.text]
-        numbers = [np.frombuffer(b, np.uint64).tolist() for b in group.bands]
+        numbers = np.frombuffer(b"".join(group.cells), np.uint64).reshape(len(group), BANDS + 1)
         return pd.DataFrame(linked(group.key.tolist(), sets, numbers, bound), columns=["a", "b"], dtype="int64")
 
-    return meeting.select("key", "component", "bands", "at.low", "at.high", "text").groupBy("component", "low", "high").applyInPandas(
+    return meeting.select("key", "component", "cells", "at.low", "at.high", "text").groupBy("component", "low", "high").applyInPandas(
         compare, "a bigint, b bigint"
     )
 
@@ -166,11 +183,11 @@ def representatives(
     rows = written(sketched(docs, text, shingle).withColumn("no", F.monotonically_increasing_id()), "sketches")
     of = F.col(f"row.{quoted(doc_id)}")
     one = F.min(F.struct(of.isNull(), of, "no")).alias("first")
-    distinct = written(rows.groupBy("key").agg(one, F.first("n").alias("n"), F.first("bands").alias("bands")), "distinct")
+    sketch = [F.first(c).alias(c) for c in ("n", "fp", "bands")]
+    distinct = written(rows.groupBy("key").agg(one, *sketch), "distinct")
     # The sketch of a key comes with the row it is taken from, so a text is found by its number.
-    holders = distinct.select("key", F.col("first.no").alias("no"))
-    texts = rows.select("no", F.col(f"row.{quoted(text)}").alias("text")).join(holders, "no").select("key", "text")
-    found = written(links(texts, distinct.select("key", "n", "bands"), shingle, bound), "found")
+    texts = rows.select("no", F.col(f"row.{quoted(text)}").alias("text"))
+    found = written(links(texts, distinct.select("key", F.col("first.no").alias("no"), "n", "fp", "bands"), shingle, bound), "found")
     whole = components(distinct.select("key", "first"), found, node="key").join(distinct.select("key", "first"), "key")
     chosen = whole.groupBy("component").agg(F.min("first")["no"].alias("no"))
     return rows.join(chosen, "no", "left_semi").select("row.*")

@@ -50,11 +50,16 @@ def fingerprint(text, shingle: int = SHINGLE) -> int:
     hashes = np.fromiter(
         (digest(joined[s : e - 1], SEED) for s, e in zip(starts[:last], starts[min(shingle, len(words)) :])), np.uint64, last
     )
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of some hashes, as a signed 64-bit number."""
     set_bits = np.zeros(64, np.int64)
-    for i in range(0, last, _CHUNK):
+    for i in range(0, len(hashes), _CHUNK):
         part = hashes[i : i + _CHUNK]
         set_bits += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * set_bits > last, bitorder="little").view("<i8")[0])
+    return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view("<i8")[0])
 
 
 @F.pandas_udf(T.LongType())
@@ -112,7 +117,7 @@ def fingerprinted(docs: DataFrame, text: str = "text", keep: Sequence[str] | Non
     return carried(docs, keep, text=text).select("row", _fingerprints("text").alias("fp"))
 
 
-def _component_of_prints(prints: DataFrame) -> DataFrame:
+def component_of_prints(prints: DataFrame) -> DataFrame:
     """Each distinct ``fp`` of a written table with its component of linked fingerprints."""
     points = prints.select("fp").distinct()
     return written(components(points, links(points), node="fp"), "components")
@@ -121,7 +126,7 @@ def _component_of_prints(prints: DataFrame) -> DataFrame:
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: its id, ``fp`` and ``component_id``, the smallest id reachable by links."""
     prints = written(fingerprinted(docs, text, [doc_id]).select(F.col(f"row.{doc_id}").alias(doc_id), "fp"), "fingerprints")
-    found = _component_of_prints(prints)
+    found = component_of_prints(prints)
     least = prints.groupBy("fp").agg(F.min(doc_id).alias("least")).join(found, "fp")
     smallest = least.groupBy("component").agg(F.min("least").alias("component_id"))
     return prints.join(found.join(smallest, "component").select("fp", "component_id"), "fp").select(doc_id, "fp", "component_id")
@@ -131,5 +136,5 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """The input rows of one document per group, the one with the smallest id; a null id is the largest."""
     rows = written(fingerprinted(docs, text).withColumn("no", F.monotonically_increasing_id()), "fingerprints")
     first = rows.groupBy("fp").agg(F.min(F.struct(F.col(f"row.{doc_id}").isNull(), F.col(f"row.{doc_id}"), "no")).alias("first"))
-    chosen = first.join(_component_of_prints(rows), "fp").groupBy("component").agg(F.min("first")["no"].alias("no"))
+    chosen = first.join(component_of_prints(rows), "fp").groupBy("component").agg(F.min("first")["no"].alias("no"))
     return rows.join(chosen, "no", "left_semi").select("row.*")

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -82,3 +83,27 @@ def test_edges(docs_of):
     assert sorted(r.doc_id for r in kept) == [0, 3, 5, 6, 8]
     assert kept[0].__fields__ == rows.columns
     assert shingles.representatives(rows.limit(0)).count() == 0
+
+
+def test_stage_goes_through_the_fingerprint_grid(docs_of, monkeypatch):
+    """With no bands of minima to meet in, fingerprints within three bits still find copies, and the similarity decides."""
+    seen, grid = [], shingles.simhash.links
+    monkeypatch.setattr(shingles.simhash, "links", lambda points, *rest: seen.append(points.columns) or grid(points, *rest))
+    words = [f"w{i}" for i in range(3000)]
+    near = " ".join([*words[:-1], "changed"])
+    kept = sorted(r.doc_id for r in shingles.representatives(docs_of(" ".join(words), near, " ".join(words[:1500]))).collect())
+    assert seen and kept == [0, 2]
+
+
+def test_many_unlike_texts_in_one_cell():
+    """Texts that share a cell but not enough words are compared once each, whatever further cells they share."""
+    calls, count = [], 60
+    sets = [np.unique(np.arange(5) + 10 * i).astype(np.uint64) for i in range(count)]
+    cells = np.zeros((count, shingles.BANDS + 1), np.uint64)
+    real = shingles.similarity
+    try:
+        shingles.similarity = lambda a, b: calls.append(1) or real(a, b)
+        assert shingles.linked(list(range(count)), sets, cells, 0.8) == []
+    finally:
+        shingles.similarity = real
+    assert len(calls) == count * (count - 1) // 2
