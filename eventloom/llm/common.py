@@ -105,6 +105,31 @@ def pieces_for(rows: int, each: int) -> int:
     return max(1, -(-int(rows) // each))
 
 
+#: Bits of a sieve, and those in one row of it: 1,024 rows of 4 KB at most.
+SIEVE_BITS, _ROW_BITS = 1 << 25, 1 << 15
+
+
+def sieved(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``maybe``: false only where ``key`` is certainly not in ``wanted``; neither side has null keys.
+
+    Wide rows need not move to a join that few of them will meet. The bits set at the hashes of the wanted
+    keys are at most 4 MB however many there are, which is what makes the broadcast safe; with very many
+    keys more rows are let through, so an exact join has to follow.
+    """
+    at = F.pmod(F.xxhash64(key), F.lit(SIEVE_BITS))
+    row, bit = F.floor(at / _ROW_BITS).alias("_row"), (at % _ROW_BITS).alias("_bit")
+    # Places move, not rows of the sieve: a task's own sieve would be as long as the whole one.
+    bits = wanted.select(row, bit).repartition("_row").groupBy("_row").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.coalesce(F.floor(byte / F.pow(F.lit(2), F.col("_bit") % 8)) % 2 == 1, F.lit(False))
+    return (
+        rows.select("*", row, bit)
+        .join(F.broadcast(bits), "_row", "left")
+        .withColumn("maybe", is_set)
+        .drop("_row", "_bit", "_bits")
+    )
+
+
 def components(nodes: DataFrame, links: DataFrame, node: str = "id", a: str = "a", b: str = "b") -> DataFrame:
     """The smallest node reachable from each node: columns ``node`` and ``component``.
 
@@ -146,4 +171,4 @@ def components(nodes: DataFrame, links: DataFrame, node: str = "id", a: str = "a
     )
 
 
-__all__ = ["WORD", "bytes_of", "carried", "components", "documents", "hash32", "pieces_for", "quoted", "ranked", "run_dir", "ship", "written"]
+__all__ = ["WORD", "bytes_of", "carried", "components", "documents", "hash32", "pieces_for", "quoted", "ranked", "run_dir", "ship", "sieved", "written"]

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.llm import simhash
-from eventloom.llm.common import bytes_of, carried, components, quoted, written
+from eventloom.llm.common import bytes_of, carried, components, quoted, sieved, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -155,7 +155,6 @@ def links(rows: DataFrame, distinct: DataFrame, shingle: int, bound: float) -> D
     met = written(cells.join(first, "cell").where("key <> least").select(F.col("key").alias("a"), F.col("least").alias("b")).distinct(), "met")
     nodes = met.select(F.col("a").alias("key")).unionByName(met.select(F.col("b").alias("key"))).distinct()
     gathered = written(components(nodes, met, node="key").join(distinct, "key"), "gathered")
-    texts = rows.join(gathered.select("no", "key"), "no").select("key", "text")
     sizes = gathered.groupBy("component").agg(F.ceil(F.sum("n") / PIECE).alias("pieces"))
     piece = F.pmod(F.xxhash64("key"), F.greatest("pieces", F.lit(1)))
     placed = gathered.join(sizes, "component").withColumn("piece", piece)
@@ -163,7 +162,9 @@ def links(rows: DataFrame, distinct: DataFrame, shingle: int, bound: float) -> D
         F.sequence(F.lit(0).cast("bigint"), F.greatest("pieces", F.lit(1)) - 1),
         lambda other: F.struct(F.least("piece", other).alias("low"), F.greatest("piece", other).alias("high")),
     )
-    meeting = placed.select("key", "component", "cells", F.explode(pair).alias("at")).join(texts, "key")
+    # Most texts meet no other, and are left where they are.
+    texts = sieved(rows, gathered, "no").where("maybe").select("no", "text")
+    meeting = placed.select("no", "key", "component", "cells", pair.alias("pairs")).join(texts, "no").withColumn("at", F.explode("pairs"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("key")
@@ -189,5 +190,9 @@ def representatives(
     texts = rows.select("no", F.col(f"row.{quoted(text)}").alias("text"))
     found = written(links(texts, distinct.select("key", F.col("first.no").alias("no"), "n", "fp", "bands"), shingle, bound), "found")
     whole = components(distinct.select("key", "first"), found, node="key").join(distinct.select("key", "first"), "key")
-    chosen = whole.groupBy("component").agg(F.min("first")["no"].alias("no"))
-    return rows.join(chosen, "no", "left_semi").select("row.*")
+    chosen = written(whole.groupBy("component").agg(F.min("first")["no"].alias("no")).select("no"), "chosen")
+    # Rows are kept where they are unless they may be among those left out; only these move.
+    left_out = rows.select("no").join(chosen, "no", "left_anti")
+    told = sieved(rows.select("no", "row"), left_out, "no")
+    kept = told.where(~F.col("maybe")).unionByName(told.where("maybe").join(chosen, "no", "left_semi"))
+    return kept.select("row.*")

@@ -53,8 +53,9 @@ def register_json_extract(spark: SparkSession) -> None:
 def written(rows: DataFrame, purpose: str) -> DataFrame:
     """Write a result that later steps read several times and go on from the files.
 
-    The files outlive lost executors, and what led to them is computed only once.
+    The files outlive lost executors, and what led to them is computed only once. They stay
+    until the folder is cleared, so they are packed closer than by default.
     """
     path = run_dir(rows.sparkSession, purpose)
-    rows.write.parquet(path)
+    rows.write.parquet(path, compression="zstd")
     return rows.sparkSession.read.parquet(path)

@@ -6,9 +6,10 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from eventloom.llm import shingles
+from eventloom.llm import common, shingles
 
 
 def shingles_of(text):
@@ -95,6 +96,27 @@ def test_stage_goes_through_the_fingerprint_grid(docs_of, monkeypatch):
     assert seen and kept == [0, 2]
 
 
+def test_unique_rows_stay_where_they_are(spark, docs_of, monkeypatch):
+    """Only rows that may meet others move to a join, and a sieve too small for its keys lets more through but loses none."""
+    ids = spark.range(3000).withColumnRenamed("id", "no")
+    wanted = ids.where("no % 10 = 3")
+    for bits, most in ((common.SIEVE_BITS, 310), (64, 3000)):
+        monkeypatch.setattr(common, "SIEVE_BITS", bits)
+        told = common.sieved(ids, wanted, "no")
+        maybe = {r.no for r in told.where("maybe").collect()}
+        assert told.columns == ["no", "maybe"] and told.count() == 3000
+        assert {n for n in range(3000) if n % 10 == 3} <= maybe and len(maybe) <= most
+    assert common.sieved(ids, wanted.limit(0), "no").where("maybe").count() == 0
+    moved = []
+    real = common.sieved
+    monkeypatch.setattr(shingles, "sieved", lambda rows, *rest: moved.append(real(rows, *rest)) or moved[-1])
+    texts = near_copies(20)
+    want, _ = slow_kept(dict(enumerate(texts)))
+    got = sorted(r.doc_id for r in shingles.representatives(docs_of(*texts)).collect())
+    assert got == want and len(moved) == 2
+    assert {r.row.doc_id for r in moved[1].where(~F.col("maybe")).collect()} <= set(want)
+
+
 def test_many_unlike_texts_in_one_cell():
     """Texts that share a cell but not enough words are compared once each, whatever further cells they share."""
     calls, count = [], 60
