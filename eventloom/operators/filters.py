@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.metadata import ALL_KEYS, flat, meta, meta_like, meta_named, meta_number, successful
@@ -92,3 +92,24 @@ def unpivot_json(events: DataFrame) -> DataFrame:
         F.coalesce(text, F.lit("null"))
     )
     return fields.select("_ID", "EVENT", "JOB_ID", "key", json_value.alias("json_value"))
+
+
+def unpivot_kinds(events: DataFrame, keys: list[str]) -> DataFrame:
+    """Per row of events the fields named in its array ``asked`` that are not NULL: ``key``, ``value`` as text, ``is_text``.
+
+    ``is_text`` tells whether the value is a JSON string; it is NULL where METADATA as a whole is no valid
+    JSON, which ``unpivot_json`` gives no rows for. ``keys`` are all keys that ``asked`` may hold.
+    """
+    texts = F.from_json("METADATA", "map<string,string>")
+    wanted = F.map_filter(texts, lambda key, value: F.array_contains("asked", key) & value.isNotNull())
+    parsed = events.select("EVENT", "JOB_ID", F.try_parse_json("METADATA").alias("document"), wanted.alias("wanted"))
+    field = F.lit(None).cast("variant")
+    for key in keys:
+        field = F.when(F.col("key") == key, F.try_variant_get("document", f"$.{key}", "variant")).otherwise(field)
+    fields = parsed.select("EVENT", "JOB_ID", "document", F.explode("wanted").alias("key", "value"))
+    return fields.select("EVENT", "JOB_ID", "key", "value", (F.schema_of_variant(field) == "STRING").alias("is_text"))
+
+
+def json_form(value, is_text) -> Column:
+    """A value of ``unpivot_kinds`` as ``unpivot_json`` writes it: text quoted, numbers as written."""
+    return F.when(F.col(is_text), json_quote(value)).otherwise(F.col(value))

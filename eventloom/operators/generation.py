@@ -15,7 +15,8 @@ from eventloom import vocab
 from eventloom.functions.metadata import meta
 from eventloom.functions.sampling import below_probability, draw_with_replacement, hash_index
 from eventloom.functions.text import fill
-from eventloom.operators.filters import of_event, unpivot, unpivot_json
+from eventloom.operators.filters import json_form, of_event, unpivot, unpivot_json, unpivot_kinds
+from eventloom.session import written
 
 SEED = 42
 RECORD_COLUMNS = [
@@ -106,14 +107,33 @@ def synonyms(events: DataFrame) -> DataFrame:
 ASKABLE = {event: list(fields) for event, fields in vocab.SYNONYMS.items()}
 
 
-def field_answers(events: DataFrame, asked: DataFrame, fields: dict[str, list[str]] | None = None) -> DataFrame:
+def asked_values(events: DataFrame, asked: DataFrame, fields: dict[str, list[str]]) -> DataFrame:
+    """Distinct values of the fields asked for: (EVENT, JOB_ID, key, value, is_text), written once.
+
+    Answers and the results of the lookups are both made from them, so METADATA is parsed in one pass,
+    and only what a job is asked for becomes rows. ``fields`` names all that may be asked for; ``asked`` has
+    EVENT, JOB_ID and key. Events are spread before they are parsed: that takes longer than reading
+    them, which a table in few files does in few tasks.
+    """
+    keys = asked.groupBy("EVENT", "JOB_ID").agg(F.collect_set("key").alias("asked"))
+    spread = events.join(keys, ["EVENT", "JOB_ID"]).select("_ID", "EVENT", "JOB_ID", "METADATA", "asked").repartition("_ID", "METADATA")
+    names = sorted({key for options in fields.values() for key in options})
+    return written(unpivot_kinds(spread, names).distinct(), "values")
+
+
+def field_answers(
+    events: DataFrame, asked: DataFrame, fields: dict[str, list[str]] | None = None, values: DataFrame | None = None
+) -> DataFrame:
     """(EVENT, JOB_ID, key) with the number of distinct values and the least of them, of the fields asked for.
 
     ``asked`` has EVENT, JOB_ID and key; what nobody asked for is dropped before values are
     compared. ``fields`` names all that may be asked for, if that is known: nothing else becomes rows.
+    ``values`` are the ``asked_values``, if they are there already.
     """
-    found = unpivot(events, fields).where(F.col("value").isNotNull())
-    values = found.select("EVENT", "JOB_ID", "key", "value").join(asked, ["EVENT", "JOB_ID", "key"], "left_semi").distinct()
+    if values is None:
+        found = unpivot(events, fields).where(F.col("value").isNotNull())
+        values = found.join(asked, ["EVENT", "JOB_ID", "key"], "left_semi")
+    values = values.select("EVENT", "JOB_ID", "key", "value").distinct()
     return values.groupBy("EVENT", "JOB_ID", "key").agg(
         F.min("value").alias("answer_value"), F.count(F.lit(1)).alias("n_values")
     )
@@ -214,25 +234,33 @@ def filled(draws: DataFrame) -> DataFrame:
     )
 
 
-def answer_batch(questions: DataFrame, events: DataFrame, fields: dict[str, list[str]] | None = None) -> DataFrame:
+def answer_batch(
+    questions: DataFrame, events: DataFrame, fields: dict[str, list[str]] | None = None, values: DataFrame | None = None
+) -> DataFrame:
     """Answer all questions by one join; an unanswerable one keeps a NULL answer.
 
-    ``fields`` are the fields by event type that questions may ask for, if that is known.
+    ``fields`` are the fields by event type that questions may ask for, if that is known; ``values``
+    the ``asked_values`` of the questions, if they are there already.
     """
     asked = questions.select("EVENT", "JOB_ID", F.col("field").alias("key"))
-    answers = field_answers(events, asked, fields).withColumnRenamed("key", "field")
+    answers = field_answers(events, asked, fields, values).withColumnRenamed("key", "field")
     return questions.join(answers, ["EVENT", "JOB_ID", "field"], "left").withColumn(
         "n_values", F.coalesce("n_values", F.lit(0))
     )
 
 
 def lookup_questions(
-    events: DataFrame, kinds: list[str] | None = None, per_job: int = 1, amount: int | None = None, seed=SEED
+    events: DataFrame,
+    kinds: list[str] | None = None,
+    per_job: int = 1,
+    amount: int | None = None,
+    seed=SEED,
+    values: DataFrame | None = None,
 ) -> DataFrame:
-    """Records asking for one field of one job."""
+    """Records asking for one field of one job; ``values`` are the ``asked_values`` of the same draws, if there already."""
     asked = filled(lookup_draws(events, kinds, per_job, amount, seed))
     slots = {"jobid": "JOB_ID", "field1": "phrase", "field2": "field", "event": "EVENT", "ans": "answer_value"}
-    return answer_batch(asked, events, ASKABLE).select(
+    return answer_batch(asked, events, ASKABLE, values).select(
         *RECORD_COLUMNS[:-1], fill(F.lit(vocab.LOOKUP_ANSWER), **slots).alias("answer")
     )
 
@@ -249,20 +277,26 @@ def template_mix(draws: DataFrame) -> DataFrame:
     return draws.groupBy("EVENT", F.col("template.tool1").alias("tool_name")).agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def value_parts(events: DataFrame, per_part: int = VALUES_PER_PART, asked: DataFrame | None = None) -> DataFrame:
+def value_parts(
+    events: DataFrame, per_part: int = VALUES_PER_PART, asked: DataFrame | None = None, values: DataFrame | None = None
+) -> DataFrame:
     """The rows a lookup SQL returns as JSON text, in parts of about ``per_part`` values.
 
     The parts of one result joined in order are the whole text, so a result with very
     many values is never gathered in one place. ``asked`` (EVENT, JOB_ID, key) names the lookups
-    that are made; all are by default.
+    that are made; all are by default. ``values`` are their ``asked_values``, if they are there already.
     """
     group = ["EVENT", "JOB_ID", "key"]
-    values = unpivot_json(events).where(F.col("json_value") != "null").select(*group, "json_value")
-    if asked is not None:
-        values = values.join(asked.select(*group), group, "left_semi")
-    values = values.distinct()
+    if values is not None:
+        values = values.where(F.col("is_text").isNotNull()).select(*group, json_form("value", "is_text").alias("json_value"))
+    else:
+        values = unpivot_json(events).where(F.col("json_value") != "null").select(*group, "json_value")
+        if asked is not None:
+            values = values.join(asked.select(*group), group, "left_semi")
+        values = values.distinct()
     sizes = values.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / F.lit(per_part)).alias("n_buckets"))
-    bucketed = values.join(sizes, group).withColumn("bucket", hash_index("part", "json_value", F.col("n_buckets")))
+    spread = F.when(F.col("n_buckets") > 1, hash_index("part", "json_value", F.col("n_buckets")))
+    bucketed = values.join(sizes, group).withColumn("bucket", F.coalesce(spread, F.lit(0).cast("bigint")))
     texts = bucketed.groupBy(*group, "bucket").agg(
         F.array_join(
             F.transform(F.sort_array(F.collect_list("json_value")), lambda v: F.concat(F.lit("["), v, F.lit("]"))), ", "

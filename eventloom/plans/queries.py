@@ -312,14 +312,15 @@ def _model_messages(spark: SparkSession, sf_dir: str, change=lambda r: r, sample
 @query
 def assemble_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = view(spark, sf_dir, "grid_events")
-    questions = generation.lookup_questions(events)
     asked = generation.lookup_draws(events).select(
         F.col("qa_id").alias("conv_id"), "EVENT", "JOB_ID", F.col("field").alias("key")
     )
-    parts = asked.join(generation.value_parts(events, asked=asked), ["EVENT", "JOB_ID", "key"]).select(
+    values = generation.asked_values(events, asked, generation.ASKABLE)
+    questions = generation.lookup_questions(events, values=values)
+    parts = asked.join(generation.value_parts(events, asked=asked, values=values), ["EVENT", "JOB_ID", "key"]).select(
         "conv_id", "part", "n_parts", "text"
     )
-    records = conversations.with_parts(conversations.from_templates(questions), parts)
+    records = conversations.with_parts(conversations.from_templates(questions), written(parts, "parts"))
     return conversations.assemble(records, inspection.check_results(events, 1))
 
 

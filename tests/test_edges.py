@@ -266,3 +266,24 @@ def test_stream_counts_go_on_after_restart(spark, tmp_path):
         jsonl.write_jsonl(rows, source)
         jobs.count_errors_stream(jobs.stream_jsonl(spark, source, rows.schema), out, state).awaitTermination()
     assert {r.error_type: r.n for r in jobs.latest_counts(spark, out).collect()} == {"A": 3, "B": 1}
+
+
+def test_asked_values_parse_metadata_once(spark):
+    """Answers and results made from the values asked for equal those made from all events; each reads them from files."""
+    texts = [
+        '{"duration": 1.50, "disk": "d\\"1", "host": "x"}', '{"duration": "1.50", "disk": null}', '{"duration": 1.50}', "{bad",
+        '{"duration": 2} tail', '{"duration": 1, "duration": 2}', '{"duration": "null", "disk": "null"}', '{"duration": [1, "a"]}', "[1]", None,
+    ]
+    jobs = ["7", "7", "7", "7", "8", "9", "9", "10", "10", None]
+    rows = [(i, "FileRead", job, text) for i, (job, text) in enumerate(zip(jobs, texts))] * 2
+    frame = spark.createDataFrame([*rows, (99, "Other", "7", '{"duration": 3}')], "_ID bigint, EVENT string, JOB_ID string, METADATA string")
+    pairs = [("FileRead", job, key) for job in ("7", "8", "9", "10", "11") for key in ("duration", "disk")]
+    asked = spark.createDataFrame([*pairs, pairs[0]], "EVENT string, JOB_ID string, key string")
+    values = generation.asked_values(frame, asked, generation.ASKABLE)
+    assert values.inputFiles()
+    for one, other in (
+        (generation.field_answers(frame, asked, generation.ASKABLE), generation.field_answers(frame, asked, values=values)),
+        (generation.value_parts(frame, 2, asked), generation.value_parts(frame, 2, asked, values)),
+    ):
+        found = sorted(map(tuple, other.select(*one.columns).collect()))
+        assert found == sorted(map(tuple, one.collect())) and found
