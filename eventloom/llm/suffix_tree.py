@@ -18,6 +18,12 @@ occurrences and no others would gain; the sum of that over the occurrences bound
 Rounds end when all contexts are closed. From the second
 round on a block carries its open positions, with the chance of the word and the count of the
 context; the logs of closed ones are added to their texts' scores and not looked at again.
+
+All occurrences of a long context are few enough for one task. From some length on the open
+positions leave their blocks, with the words before them, for the bucket that all occurrences
+of their context fall in, and are judged there for many lengths on end. The bucket is told by
+the smallest hash of a few words among the context's last ones, so neighbours mostly share it and words
+are sent once for a run of them. Contexts that occur too often for that go on by questions.
 Words and sequences are known by 64-bit hashes. No task holds more than a block or a bucket,
 a hot word is one entry per block, and no vocabulary or tree is sent to all.
 
@@ -51,7 +57,8 @@ END = xxhash.xxh64_intdigest(b" ")
 @dataclass(frozen=True)
 class Tree:
     """Settings: longest context (null: none), lengths judged one by one, occurrences and gain (nats) a context needs,
-    strengths to choose from."""
+    strengths to choose from; words of a block and of a bucket; shortest contexts whose positions are gathered in
+    buckets, and the most occurrences of one there."""
 
     depth: int | None = None
     single: int = 8
@@ -60,6 +67,8 @@ class Tree:
     strengths: tuple[float, ...] = (2.0, 100.0)
     block_tokens: int = 1_500_000
     bucket_tokens: int = 2_000_000
+    gathered: int = 4
+    gathered_count: int = 200_000
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -91,6 +100,19 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(np.full(n, base, np.uint64))
 
 
+class Windows:
+    """Words in a row, from which the hash of any sequence of them is told."""
+
+    def __init__(self, words: np.ndarray):
+        self.power = _powers(FACTOR, len(words))
+        weighed = words * _powers(pow(FACTOR, -1, 1 << 64), len(words))
+        self.running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(weighed)])
+
+    def keys(self, ends: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the sequences of some length that end at places."""
+        return _mixed(self.power[ends] * (self.running[ends + 1] - self.running[ends + 1 - length]))
+
+
 def _mixed(sums: np.ndarray) -> np.ndarray:
     """Hashes of sequences from the sums of their words."""
     mixed = (sums ^ (sums >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
@@ -98,6 +120,31 @@ def _mixed(sums: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(32))
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and which of them each key is.
+
+    Keys are sorted by value with their places in the low bits, many times faster than places by keys; keys that only
+    differ in these bits are put in order after.
+    """
+    if len(keys) < 1000:
+        return np.unique(keys, return_inverse=True)
+    low = np.uint64(len(keys).bit_length())
+    order = np.sort((keys >> low << low) | np.arange(len(keys), dtype=np.uint64))
+    order = (order & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    found = keys[order]
+    high = found >> low
+    mixed_up = np.flatnonzero((high[1:] == high[:-1]) & (found[1:] != found[:-1]))
+    if len(mixed_up):
+        for value in np.unique(high[mixed_up]):
+            a, b = np.searchsorted(high, value), np.searchsorted(high, value, "right")
+            order[a:b] = order[a:b][np.argsort(found[a:b])]
+        found = keys[order]
+    new = np.concatenate([[True], found[1:] != found[:-1]])
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return found[new], which
+
+
 # --- blocks ---------------------------------------------------------------------------
 
 def _block_schema(row: T.StructType) -> T.StructType:
@@ -116,7 +163,7 @@ def blocks(docs: DataFrame, train: Column, text: str, keep: Sequence[str] | None
 
         def flush() -> pa.RecordBatch:
             all_words = np.concatenate(words)
-            vocabulary, numbers = np.unique(all_words, return_inverse=True)
+            vocabulary, numbers = _numbered(all_words)
             lengths = np.array([len(w) for w in words], np.int64)
             values = pa.concat_arrays([r.combine_chunks() if isinstance(r, pa.ChunkedArray) else r for r in rows])
             return pa.record_batch(
@@ -195,9 +242,7 @@ class Block:
         n = len(self.words)
         self.spots = np.arange(n)
         self.place = np.arange(n) - (np.cumsum(self.lengths) - self.lengths)[self.text]
-        self.power = _powers(FACTOR, n)
-        weighed = self.vocabulary[self.words] * _powers(pow(FACTOR, -1, 1 << 64), n)
-        self.running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(weighed)])
+        self.windows = Windows(self.vocabulary[self.words])
         if first == 1:
             self.known = self.heard("count", np.uint64, 0)[self.words].astype(np.int64)
             self.chance = self.base = (self.known + 1.0) / (self.total + self.distinct + 1.0)
@@ -221,8 +266,7 @@ class Block:
 
     def keys(self, ends: np.ndarray, length: int) -> np.ndarray:
         """Hashes of the sequences of some length that end at positions."""
-        at = self.spots[ends]
-        return _mixed(self.power[at] * (self.running[at + 1] - self.running[at + 1 - length]))
+        return self.windows.keys(self.spots[ends], length)
 
     def sequences(self, order: int) -> np.ndarray:
         """Where sequences of order + 1 words end that are asked for: open positions, and those before them."""
@@ -233,12 +277,12 @@ class Block:
 
     def counting(self, order: int) -> tuple[np.ndarray, np.ndarray]:
         ends = self.sequences(order)
-        keys, which = np.unique(self.keys(ends, order + 1), return_inverse=True)
+        keys, which = _numbered(self.keys(ends, order + 1))
         return keys, np.bincount(which[self.train[ends]], minlength=len(keys)).astype(np.uint32)
 
     def counted(self, order: int) -> np.ndarray:
         """Counts of the sequences, as answered per distinct one."""
-        which = np.unique(self.keys(self.sequences(order), order + 1), return_inverse=True)[1]
+        which = _numbered(self.keys(self.sequences(order), order + 1))[1]
         return self.heard("count", np.uint64, 2 * order)[which].astype(np.int64)
 
     def judged(self, first: int, last: int) -> Iterator[tuple]:
@@ -253,7 +297,7 @@ class Block:
             seen[self.sequences(order)] = self.counted(order)
             at = self.at[(self.place[self.at] >= order) & (ahead[self.at] >= self.tree.min_count)]
             at = at[(ahead[at] > 2) | (seen[at] != 1)]
-            keys, state = np.unique(self.keys(at - 1, order), return_inverse=True)
+            keys, state = _numbered(self.keys(at - 1, order))
             yield order, at, keys, state, ahead[at], seen[at]
             ahead = np.concatenate([[0], seen[:-1]])
         self.next_ahead = ahead
@@ -290,19 +334,24 @@ class Block:
         if final:
             still = still[:0]
         self.still = still[(self.place[still] > last) & (self.next_ahead[still] >= self.tree.min_count)] if len(still) else still
-        self.closed[self.still] = False
+        self.closed[self.still], self.upto = False, last + 1
         chance[self.still] = chance[self.still].astype(np.float32)
         self.chance = chance
 
     def settled(self, first: int) -> list[tuple]:
         """What goes on after the round that began with ``first``, and the scores of what it closed."""
-        out, ahead = [], self.next_ahead[self.still] if len(self.still) else self.still
-        if first == 1 and len(self.still):
-            out.append(self.says("again", np.zeros(0, np.uint8), len(self.still)))
-        elif len(self.still):
-            out.append(self.says("at", np.diff(self.spots[self.still], prepend=0).astype(np.uint64), len(self.still)))
-            out.append(self.says("ahead", ahead.astype(np.uint64)))
-            out.append(self.says("chance", self.chance[self.still].astype(np.float32)))
+        out, still, upto = [], self.still, self.upto
+        gathers = first > 1 and upto >= self.tree.gathered
+        leaves = (self.next_ahead[still] <= self.tree.gathered_count) & gathers if len(still) else np.zeros(0, bool)
+        if leaves.any():
+            out.append(_left(self.number, "open", upto, 0, self.spots[still[leaves]], self.chance[still[leaves]]))
+            still = still[~leaves]
+        if first == 1 and len(still):
+            out.append(self.says("again", np.zeros(0, np.uint8), len(still)))
+        elif len(still):
+            out.append(self.says("at", np.diff(self.spots[still], prepend=0).astype(np.uint64), len(still)))
+            out.append(self.says("ahead", self.next_ahead[still].astype(np.uint64)))
+            out.append(self.says("chance", self.chance[still].astype(np.float32)))
         out.append(self.says("score", self.by_text(np.where(self.closed, np.log10(self.chance), 0.0))))
         if first == 1:
             out.append(self.says("base", self.by_text(np.log10(self.base))))
@@ -332,6 +381,12 @@ def _questions(block: int, what: str, step: int, keys: np.ndarray, numbers: np.n
     ]
 
 
+def _left(block: int, what: str, step: int, bucket: int, places: np.ndarray, chance: np.ndarray) -> tuple:
+    """Places of a block and the chances of their words, from which contexts of ``step`` words on are to be judged."""
+    packed = _packed_sorted(places.astype(np.uint64)), _packed(chance.astype(np.float32))
+    return (block, what, step, bucket, *packed, len(places), 0)
+
+
 def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
@@ -344,7 +399,7 @@ def _answers(questions: DataFrame, tree: Tree) -> DataFrame:
         group = group.sort_values("block")
         what, step, bucket = group.what.iloc[0], int(group.step.iloc[0]), int(group.bucket.iloc[0])
         keys = [_unpacked_sorted(k) for k in group["keys"]]
-        found, where = np.unique(np.concatenate(keys), return_inverse=True)
+        found, where = _numbered(np.concatenate(keys))
         if what == "count":
             numbers = np.concatenate([_unpacked(n, np.uint32) for n in group.numbers])
             out = np.bincount(where, weights=numbers, minlength=len(found)).astype(np.uint64)
@@ -367,6 +422,174 @@ def _answers(questions: DataFrame, tree: Tree) -> DataFrame:
     return questions.groupBy("what", "step", "bucket").applyInPandas(answer, _MESSAGE)
 
 
+# --- positions gathered in buckets ----------------------------------------------------
+
+_RUNS = (
+    "block bigint, bucket int, places binary, since binary, chance binary, "
+    "starts binary, lengths binary, trains binary, vocabulary binary, words binary"
+)
+
+
+def _stretches(tree: Tree, first: int) -> Iterator[list[tuple[int, int]]]:
+    """Rounds judged on end in a bucket, from contexts of ``first`` words on: the longer they are, the fewer are open."""
+    stretch = []
+    for low, high in _rounds(tree):
+        if high < first:
+            continue
+        stretch.append((low, high))
+        begin = stretch[0][0]
+        if high >= (tree.single if begin <= tree.single else 3 * begin if begin <= 8 * tree.single else 15 * begin):
+            yield stretch
+            stretch = []
+    if stretch:
+        yield stretch
+
+
+def _smallest(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of each value and the ``width - 1`` before it."""
+    reach = 1
+    while reach < width:
+        step = min(reach, width - reach)
+        hashes = np.concatenate([hashes[:step], np.minimum(hashes[step:], hashes[:-step])])
+        reach += step
+    return hashes
+
+
+def _runs(row, told: pd.DataFrame, first: int, last: int, bits: int) -> list[tuple]:
+    """A block's open positions and the words before them, for the buckets of their contexts of ``first`` words.
+
+    One word more than the longest context is sent, where there is one, to tell contexts that end there.
+    """
+    lengths, words = _unpacked(row.lengths, np.int64), _unpacked(row.words, np.uint32)
+    trains, vocabulary = _unpacked(row.trains, np.uint8), _unpacked_sorted(row.vocabulary)
+    at = np.concatenate([_unpacked_sorted(k) for k in told["keys"]]).astype(np.int64)
+    chance = np.concatenate([_unpacked(n, np.float32) for n in told.numbers])
+    since = np.repeat(told.step.to_numpy(), told.total.to_numpy())
+    size = max(1, min(4, first // 2))
+    hashes = Windows(vocabulary[words]).keys(np.arange(size - 1, len(words)), size)
+    hashes = _smallest(np.concatenate([np.zeros(size - 1, np.uint64), hashes]), first - size + 1)
+    bucket = (_mixed(hashes[at - 1]) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(at), np.int64)
+    order = np.lexsort((at, bucket))
+    at, chance, since, bucket = at[order], chance[order], since[order], bucket[order]
+    ends = np.cumsum(lengths)
+    text = np.searchsorted(ends, at, "right")
+    begin = np.maximum(ends[text] - lengths[text], at - last - 1)
+    fresh = np.concatenate([[True], (np.diff(bucket) != 0) | (np.diff(text) != 0) | (begin[1:] > at[:-1])])
+    starts, runs = begin[fresh], np.flatnonzero(fresh)
+    sizes = at[np.append(runs[1:], len(at)) - 1] + 1 - starts
+    out, cuts = [], np.flatnonzero(np.diff(bucket, prepend=-1))
+    for a, b in zip(cuts, [*cuts[1:], len(at)]):
+        c, d = np.searchsorted(runs, [a, b])
+        skipped = starts[c:d] - (np.cumsum(sizes[c:d]) - sizes[c:d])
+        used, numbers = _numbered(words[np.arange(sizes[c:d].sum()) + np.repeat(skipped, sizes[c:d])].astype(np.uint64))
+        packed = (
+            _packed_sorted(at[a:b].astype(np.uint64)),
+            _packed(since[a:b].astype(np.uint32)),
+            _packed(chance[a:b]),
+            _packed_sorted(starts[c:d].astype(np.uint64)),
+            _packed(sizes[c:d].astype(np.uint32)),
+            _packed(trains[text[runs[c:d]]]),
+            _packed_sorted(vocabulary[used]),
+            _packed(numbers.astype(np.uint32)),
+        )
+        out.append((int(row.block), int(bucket[a]), *packed))
+    return out
+
+
+class Gathered:
+    """All occurrences of some contexts: their words, and the words before them as far as they are judged now."""
+
+    def __init__(self, group: pd.DataFrame, tree: Tree):
+        def joined(parts) -> np.ndarray:
+            return np.concatenate(list(parts))
+
+        self.tree = tree
+        self.windows = Windows(joined(_unpacked_sorted(v)[_unpacked(w, np.uint32)] for v, w in zip(group.vocabulary, group.words)))
+        places = [_unpacked_sorted(p).astype(np.int64) for p in group.places]
+        starts = [_unpacked_sorted(s).astype(np.int64) for s in group.starts]
+        sizes = [_unpacked(n, np.uint32).astype(np.int64) for n in group.lengths]
+        counts = np.cumsum([0, *map(len, starts)])
+        run = joined(np.searchsorted(s, p, "right") - 1 + c for s, p, c in zip(starts, places, counts))
+        sizes = joined(sizes)
+        self.places, self.blocks = joined(places), np.repeat(group.block.to_numpy(), [len(p) for p in places])
+        self.reach = self.places - joined(starts)[run]  # words before a position that are here
+        self.at = (np.cumsum(sizes) - sizes)[run] + self.reach
+        self.train = joined(_unpacked(t, np.uint8) for t in group.trains)[run] > 0
+        self.since = joined(_unpacked(s, np.uint32) for s in group.since).astype(np.int64)
+        self.chance = joined(_unpacked(c, np.float32) for c in group.chance).astype(np.float64)
+        self.open = np.ones(len(self.at), bool)
+
+    def contexts(self, live: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions whose contexts of some length occur often enough, with the contexts' numbers and counts."""
+        live = live[self.reach[live] >= order]
+        keys, state = _numbered(self.windows.keys(self.at[live] - 1, order))
+        n = np.bincount(state[self.train[live]], minlength=len(keys))
+        often = n[state] >= self.tree.min_count
+        return live[often], state[often], n
+
+    def judge(self, first: int, last: int) -> None:
+        """A round. What is not among its contexts any more, or has too little left to gain, is closed.
+
+        Longer contexts of the round are judged against the same chances, later rounds against those that the round
+        leaves; a context is closed when neither leaves enough.
+        """
+        strengths, least = np.array([*self.tree.strengths, 0.0]), min(self.tree.strengths)
+        before, after = self.chance, self.chance.copy()
+        live = np.flatnonzero(self.open & (self.since <= first))
+        self.open[live] = False
+        for order in range(first, last + 1):
+            live, state, n = self.contexts(live, order)
+            if not len(live):
+                break
+            keys, which = _numbered(self.windows.keys(self.at[live], order + 1))
+            mine = self.train[live]
+            seen = np.bincount(which[mine], minlength=len(keys))[which]
+            learnt, m, total, old = state[mine], seen[mine], n[state[mine]], before[live[mine]]
+
+            def summed(parts: np.ndarray) -> np.ndarray:
+                return np.bincount(learnt, weights=parts, minlength=len(n))
+
+            def left(chance: np.ndarray) -> np.ndarray:
+                return summed(np.maximum(0, np.log((m - 1 + least * chance) / (m - 1 + least)) - np.log(chance)))
+
+            gains = np.array([summed(np.log((m - 1 + s * old) / (total - 1 + s)) - np.log(old)) for s in strengths[:-1]])
+            s = strengths[np.where(gains.max(0) > self.tree.min_gain, gains.argmax(0), len(strengths) - 1)][state]
+            use = s > 0
+            after[live[use]] = (seen[use] + s[use] * before[live[use]]) / (n[state[use]] + s[use])
+            more = left(after[live[mine]])
+            more = np.maximum(more, left(old)) if order < last else more
+            live = live[(more > self.tree.min_gain - 1e-3 * abs(self.tree.min_gain))[state]]
+        if last != self.tree.depth:
+            self.open[self.contexts(live, last + 1)[0]] = True
+        self.chance = after
+
+    def told(self, bucket: int) -> list[tuple]:
+        """To each block, what is closed and what stays open."""
+        kinds = np.where(self.open, np.maximum(self.since, 1), 0)
+        order = np.lexsort((self.places, kinds, self.blocks))
+        kinds, blocks = kinds[order], self.blocks[order]
+        cuts = np.flatnonzero(np.diff(blocks, prepend=blocks[0] - 1).astype(bool) | np.diff(kinds, prepend=-1).astype(bool))
+        return [
+            _left(
+                int(blocks[a]), "open" if kinds[a] else "closed", int(kinds[a]), bucket, self.places[order[a:b]], self.chance[order[a:b]]
+            )
+            for a, b in zip(cuts, [*cuts[1:], len(order)])
+        ]
+
+
+def _gathered(runs: DataFrame, stretch: list[tuple[int, int]], tree: Tree) -> DataFrame:
+    """Judge gathered positions for a stretch of rounds."""
+
+    def judge(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("block")
+        found = Gathered(group, tree)
+        for first, last in stretch:
+            found.judge(first, last)
+        return _frame(found.told(int(group.bucket.iloc[0])), _MESSAGE)
+
+    return runs.groupBy("bucket").applyInPandas(judge, _MESSAGE)
+
+
 def scored(
     docs: DataFrame, train: Column, text: str = "text", keep: Sequence[str] | None = None, tree: Tree = Tree()
 ) -> DataFrame:
@@ -442,18 +665,39 @@ def scored(
         block.settle(1, 0, True)
         return block.settled(1)
 
-    closed = None
+    def both(a: DataFrame | None, b: DataFrame) -> DataFrame:
+        return b if a is None else a.unionByName(b)
+
+    def left_in(messages: DataFrame, *what: str) -> int:
+        return messages.where(F.col("what").isin(*what)).agg(F.sum("total")).first()[0] or 0
+
+    def runs_of(messages: DataFrame, first: int, last: int, bits: int) -> DataFrame:
+        def each(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+            return _frame([m for row in rows.itertuples() if len(told) for m in _runs(row, told, first, last, bits)], _RUNS)
+
+        return packed.groupBy("block").cogroup(messages.groupBy("block")).applyInPandas(each, _RUNS)
+
+    closed = waiting = None
     for first, last in _rounds(tree):
         kept, done = round_of(state, first, last, bits)
-        mine = done.where(F.col("what").isin("score", "base", "known"))
-        closed = mine if closed is None else closed.unionByName(mine)
+        closed = both(closed, done.where(F.col("what").isin("score", "base", "known")))
+        if last + 1 >= tree.gathered:
+            waiting = both(waiting, done.where(F.col("what") == "open"))
         state = kept.where(F.col("what").isin("count", "gain", "at", "ahead", "chance"))
-        still = done.where(F.col("what").isin("again", "at")).agg(F.sum("total")).first()[0]
+        still = left_in(done, "again", "at")
         if not still:
             break
         bits = bits_for(2 * still)  # as many buckets as an order needs, open positions and those before them
     if closed is None:
         closed = together(state, root, 1)
+    for stretch in _stretches(tree, tree.gathered):
+        still = left_in(waiting, "open") if waiting is not None else 0
+        if not still:
+            break
+        first, last = stretch[0][0], stretch[-1][1]
+        told = written(_gathered(runs_of(waiting, first, last, bits_for(4 * still * (1 + 2 * last // first))), stretch, tree), "state")
+        closed = closed.unionByName(told.where(F.col("what") == "closed"))
+        waiting = told.where(F.col("what") == "open")
 
     def add_up(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         done = []
@@ -463,6 +707,11 @@ def scored(
                 what: np.sum([_unpacked(n, np.float64) for n in told.numbers[told.what == what]], axis=0)
                 for what in ("known", "base", "score")
             }
+            ends = np.cumsum(lengths)
+            for _, part in told[told.what == "closed"].iterrows():
+                text = np.searchsorted(ends, _unpacked_sorted(part["keys"]), "right")
+                chance = _unpacked(part["numbers"], np.float32).astype(np.float64)
+                sums["score"] = sums["score"] + np.bincount(text, weights=np.log10(chance), minlength=len(lengths))
             done.append((int(row.block), lengths, sums["known"].astype(np.int64), sums["base"], sums["score"]))
         return _frame(done, _SCORES)
 

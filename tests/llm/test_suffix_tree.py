@@ -187,3 +187,22 @@ def test_near_copies_with_independent_edits(docs_of):
 def test_root_only(docs_of):
     rows = suffix_tree.scored(docs_of("a b a", "b"), F.lit(True), tree=suffix_tree.Tree(depth=0)).collect()
     assert all(r.score == pytest.approx(r.base_score) and r.base_score < 0 for r in rows)
+
+
+@pytest.mark.parametrize("often", [8, 10**6])
+def test_gathered_contexts_equal_slow_version(docs_of, monkeypatch, often):
+    """Contexts stay open over hundreds of words: long ones are judged in a few steps, frequent ones by questions."""
+    draw = random.Random(12)
+    text = [f"t{draw.randrange(50)}" for _ in range(300)]
+    texts = [" ".join(f"x{draw.randrange(50)}" if draw.random() < 0.01 else w for w in text) for _ in range(14)]
+    texts += [None, texts[0], " ".join(text[100:]), " ".join(text[:40])]
+    steps = []
+    kept = suffix_tree.written
+    monkeypatch.setattr(suffix_tree, "written", lambda rows, purpose: steps.append(purpose) or kept(rows, purpose))
+    tree = suffix_tree.Tree(single=2, min_gain=1.0, gathered_count=often, block_tokens=700, bucket_tokens=500)
+    rows = suffix_tree.scored(docs_of(*texts), F.col("doc_id") % 5 != 0, tree=tree).collect()
+    got = {r.row.doc_id: (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows}
+    want, states = slow_scores(texts, [i % 5 != 0 for i in range(len(texts))], tree)
+    assert max(len(c) for c in states) > 64
+    compare([got[i] for i in range(len(texts))], want)
+    assert often == 8 or len(steps) <= 16  # by questions alone a round is three steps
