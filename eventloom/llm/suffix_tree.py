@@ -67,7 +67,7 @@ class Tree:
     strengths: tuple[float, ...] = (2.0, 100.0)
     block_tokens: int = 1_500_000
     bucket_tokens: int = 2_000_000
-    gathered: int = 4
+    gathered: int = 3
     gathered_count: int = 200_000
 
 
@@ -92,6 +92,23 @@ def _unpacked_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64)
 
 
+def _gain_type(tree: Tree) -> np.dtype:
+    """A context's gain by each strength, and what is left after each and after none: a byte on a scale of powers."""
+    width = len(tree.strengths)
+    return np.dtype([("gain", np.float32, (width,)), ("left", np.uint8, (width + 1,))])
+
+
+def _scaled(left: np.ndarray, tree: Tree) -> np.ndarray:
+    """What is left, in bytes; rounded up, so no context is closed by it."""
+    with np.errstate(divide="ignore"):
+        steps = np.ceil(16 * (np.log2(left / max(abs(tree.min_gain), 1e-9)) + 12))
+    return np.where(left > 0, np.clip(steps, 1, 255), 0).astype(np.uint8)
+
+
+def _unscaled(scaled: np.ndarray, tree: Tree) -> np.ndarray:
+    return np.where(scaled > 0, max(abs(tree.min_gain), 1e-9) * np.exp2(scaled / 16 - 12), 0.0)
+
+
 #: What a word counts in a sequence's sum, for each place that it is before the last word.
 FACTOR = 0xC2B2AE3D27D4EB4F
 
@@ -249,10 +266,9 @@ class Block:
             ahead = np.concatenate([[0], self.known[:-1]])
             self.at = np.flatnonzero((self.place >= 1) & (ahead >= self.tree.min_count))
             self.ahead, self.closed = ahead[self.at], np.ones(n, bool)
-        elif first == 2:  # the first round is gone over again: its answers are less than what stays open
+        elif first == 2:  # the first round is settled here: its answers are less than what stays open
             self.opened(1).settle(1, 1)
-            self.at, self.ahead = self.still, self.next_ahead[self.still]
-            self.closed = ~self.closed
+            self.at, self.ahead, self.closed = self.still, self.next_ahead[self.still], np.ones(n, bool)
         else:
             places = np.cumsum(self.heard("at", np.uint64), dtype=np.uint64).astype(np.int64)
             self.spots = np.union1d(places, places - 1)
@@ -319,7 +335,9 @@ class Block:
             sums = np.zeros((2 * len(strengths) + 1, len(keys)))
             for i, part in enumerate(parts):
                 sums[i] = np.bincount(state, weights=part, minlength=len(keys))
-            yield order, keys, sums.astype(np.float32).T
+            width, told = len(strengths), np.empty(len(keys), _gain_type(self.tree))
+            told["gain"], told["left"] = sums[:width].T, _scaled(sums[width:], self.tree).T
+            yield order, keys, told
 
     def settle(self, first: int, last: int, final: bool = False) -> None:
         """Take the states of a round, and tell what stays open from what is closed."""
@@ -341,19 +359,17 @@ class Block:
     def settled(self, first: int) -> list[tuple]:
         """What goes on after the round that began with ``first``, and the scores of what it closed."""
         out, still, upto = [], self.still, self.upto
-        gathers = first > 1 and upto >= self.tree.gathered
+        gathers = upto >= self.tree.gathered
         leaves = (self.next_ahead[still] <= self.tree.gathered_count) & gathers if len(still) else np.zeros(0, bool)
         if leaves.any():
             out.append(_left(self.number, "open", upto, 0, self.spots[still[leaves]], self.chance[still[leaves]]))
             still = still[~leaves]
-        if first == 1 and len(still):
-            out.append(self.says("again", np.zeros(0, np.uint8), len(still)))
-        elif len(still):
+        if len(still):
             out.append(self.says("at", np.diff(self.spots[still], prepend=0).astype(np.uint64), len(still)))
             out.append(self.says("ahead", self.next_ahead[still].astype(np.uint64)))
             out.append(self.says("chance", self.chance[still].astype(np.float32)))
         out.append(self.says("score", self.by_text(np.where(self.closed, np.log10(self.chance), 0.0))))
-        if first == 1:
+        if first <= 2:
             out.append(self.says("base", self.by_text(np.log10(self.base))))
             out.append(self.says("known", self.by_text(self.known > 0)))
         return out
@@ -404,8 +420,9 @@ def _answers(questions: DataFrame, tree: Tree) -> DataFrame:
             numbers = np.concatenate([_unpacked(n, np.uint32) for n in group.numbers])
             out = np.bincount(where, weights=numbers, minlength=len(found)).astype(np.uint64)
         else:
-            gains = np.concatenate([_unpacked(n, np.float32).reshape(-1, 2 * width + 1) for n in group.numbers])
-            sums = np.array([np.bincount(where, weights=column, minlength=len(found)) for column in gains.T])
+            gains = np.concatenate([_unpacked(n, _gain_type(tree)) for n in group.numbers])
+            columns = [*gains["gain"].T, *_unscaled(gains["left"], tree).T]
+            sums = np.array([np.bincount(where, weights=column, minlength=len(found)) for column in columns])
             best = np.where(sums[:width].max(0) > tree.min_gain, sums[:width].argmax(0), width)
             left = sums[width + best, np.arange(len(found))]
             # A choice is twice a strength's number, odd if open. Sums of single precision: at the threshold it is open.
@@ -657,9 +674,10 @@ def scored(
 
         told = state.unionByName(written(_answers(together(state, count, first), tree), "counts"))
         told = told.unionByName(written(_answers(together(told, weigh, first), tree), "choices"))
+        if first == 1 and tree.depth != 1:
+            return told, told.where(F.lit(False))  # the next round settles both
         done = written(together(told, settle, first), "state")
-        kept = told.unionByName(done) if first == 1 else done
-        return kept, done
+        return done, done
 
     def root(block: Block) -> list[tuple]:
         block.settle(1, 0, True)
@@ -681,21 +699,22 @@ def scored(
     for first, last in _rounds(tree):
         kept, done = round_of(state, first, last, bits)
         closed = both(closed, done.where(F.col("what").isin("score", "base", "known")))
-        if last + 1 >= tree.gathered:
-            waiting = both(waiting, done.where(F.col("what") == "open"))
         state = kept.where(F.col("what").isin("count", "gain", "at", "ahead", "chance"))
-        still = left_in(done, "again", "at")
+        if first == 1 and tree.depth != 1:
+            continue
+        waiting = both(waiting, done.where(F.col("what") == "open"))
+        still = left_in(done, "at")
         if not still:
             break
         bits = bits_for(2 * still)  # as many buckets as an order needs, open positions and those before them
     if closed is None:
         closed = together(state, root, 1)
-    for stretch in _stretches(tree, tree.gathered):
+    for stretch in _stretches(tree, max(3, tree.gathered)):  # what is open after the first round is not told
         still = left_in(waiting, "open") if waiting is not None else 0
         if not still:
             break
         first, last = stretch[0][0], stretch[-1][1]
-        told = written(_gathered(runs_of(waiting, first, last, bits_for(4 * still * (1 + 2 * last // first))), stretch, tree), "state")
+        told = written(_gathered(runs_of(waiting, first, last, bits_for(2 * still * (1 + 2 * last // first))), stretch, tree), "state")
         closed = closed.unionByName(told.where(F.col("what") == "closed"))
         waiting = told.where(F.col("what") == "open")
 
