@@ -67,7 +67,7 @@ class Tree:
     strengths: tuple[float, ...] = (2.0, 100.0)
     block_tokens: int = 1_500_000
     bucket_tokens: int = 2_000_000
-    gathered: int = 3
+    gathered: int = 4
     gathered_count: int = 200_000
 
 
@@ -714,7 +714,7 @@ def scored(
         if not still:
             break
         first, last = stretch[0][0], stretch[-1][1]
-        told = written(_gathered(runs_of(waiting, first, last, bits_for(2 * still * (1 + 2 * last // first))), stretch, tree), "state")
+        told = written(_gathered(runs_of(waiting, first, last, bits_for(4 * still * (1 + 2 * last // first))), stretch, tree), "state")
         closed = closed.unionByName(told.where(F.col("what") == "closed"))
         waiting = told.where(F.col("what") == "open")
 
