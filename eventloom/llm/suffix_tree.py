@@ -8,22 +8,25 @@ its counts smoothed towards its suffix's, with the strength that does best in th
 test. A word is scored by the longest context before it that is a state.
 
 Counts of word sequences are far too many rows to move one by one. Documents are cut into
-blocks of some million words; a block asks, per sequence of words it holds, what the count
-over the whole corpus is. Questions travel as packed arrays to the bucket their hash falls in,
-which adds up the counts of all blocks and answers each block in the order of its questions.
+blocks of some million words; a block asks, per context and word after it that it holds, how often
+they occur in the whole corpus. Questions travel as packed arrays to the bucket the context's hash
+falls in, which adds up the counts of all blocks, judges the context and answers each block in the
+order of its questions: one exchange for an order. A context with more occurrences than one task
+should hold is cut up by the words after it, and the sums of its pieces are put together on the driver.
 A sequence is asked for only if the sequence it extends is frequent enough to be a context.
 A context is closed when what is left to gain after it is not over the threshold. An occurrence
 of a word seen m times after the context can gain at most what a context with these m
 occurrences and no others would gain; the sum of that over the occurrences bounds every longer context.
-Rounds end when all contexts are closed. From the second
-round on a block carries its open positions, with the chance of the word and the count of the
-context; the logs of closed ones are added to their texts' scores and not looked at again.
+Rounds end when all contexts are closed. From the third
+order on a block carries its open positions, with the chance of the word; the first two are gone over again
+from their answers. The logs of closed ones are added to their texts' scores and not looked at again.
 
 All occurrences of a long context are few enough for one task. From some length on the open
 positions leave their blocks, with the words before them, for the bucket that all occurrences
 of their context fall in, and are judged there for many lengths on end. The bucket is told by
 the smallest hash of a few words among the context's last ones, so neighbours mostly share it and words
-are sent once for a run of them. Contexts that occur too often for that go on by questions.
+are sent once for a run of them. Contexts that occur too often for that go on by rounds of questions, first for
+counts, then for gains.
 Words and sequences are known by 64-bit hashes. No task holds more than a block or a bucket,
 a hot word is one entry per block, and no vocabulary or tree is sent to all.
 
@@ -35,8 +38,9 @@ input columns travel in ``row`` and clash with nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -71,16 +75,32 @@ class Tree:
     gathered_count: int = 200_000
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Numbers of one width, byte plane by byte plane, compressed."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+_ZIP, _UNZIP = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
-def _unpacked(data: bytes, dtype) -> np.ndarray:
-    width = np.dtype(dtype).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width, -1)
-    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+def _packed(values: np.ndarray, width: int | None = None) -> bytes:
+    """Numbers of one width, byte plane by byte plane, compressed; of some width, its lowest bytes."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize)
+    return _ZIP.compress(b"".join(planes[:, i].tobytes() for i in range(width or values.itemsize)))
+
+
+def _unpacked(data: bytes, dtype, width: int | None = None) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    planes = np.frombuffer(_UNZIP.decompress(data), np.uint8).reshape(width or size, -1)
+    out = (np.empty if len(planes) == size else np.zeros)((planes.shape[1], size), np.uint8)
+    for i, plane in enumerate(planes):
+        out[:, i] = plane
+    return out.view(dtype).ravel()
+
+
+def _packed_small(numbers: np.ndarray) -> bytes:
+    """Whole numbers in as many bytes as the largest takes."""
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + _packed(numbers.astype(np.uint64), width)
+
+
+def _unpacked_small(data: bytes) -> np.ndarray:
+    return _unpacked(data[1:], np.int64, data[0])
 
 
 def _packed_sorted(keys: np.ndarray) -> bytes:
@@ -112,6 +132,9 @@ def _unscaled(scaled: np.ndarray, tree: Tree) -> np.ndarray:
 #: What a word counts in a sequence's sum, for each place that it is before the last word.
 FACTOR = 0xC2B2AE3D27D4EB4F
 
+#: A block goes over the orders before this one again from their answers; from it on it carries its open positions.
+REPLAYED = 3
+
 
 def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(np.full(n, base, np.uint64))
@@ -146,8 +169,16 @@ def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(keys) < 1000:
         return np.unique(keys, return_inverse=True)
     low = np.uint64(len(keys).bit_length())
-    order = np.sort((keys >> low << low) | np.arange(len(keys), dtype=np.uint64))
-    order = (order & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    mask = (np.uint64(1) << low) - np.uint64(1)
+    if int(keys.max()).bit_length() + int(low) <= 64:
+        found = np.sort((keys << low) | np.arange(len(keys), dtype=np.uint64))
+        order, found = (found & mask).astype(np.int64), found >> low
+        new = np.concatenate([[True], found[1:] != found[:-1]])
+        which = np.empty(len(keys), np.int64)
+        which[order] = np.cumsum(new) - 1
+        return found[new], which
+    order = np.sort((keys & ~mask) | np.arange(len(keys), dtype=np.uint64))
+    order = (order & mask).astype(np.int64)
     found = keys[order]
     high = found >> low
     mixed_up = np.flatnonzero((high[1:] == high[:-1]) & (found[1:] != found[:-1]))
@@ -234,50 +265,209 @@ def _rounds(tree: Tree) -> Iterator[tuple[int, int]]:
 class Block:
     """A block's words, and its open positions: those where a longer context may still help."""
 
-    def __init__(self, row, tree: Tree, told: pd.DataFrame, total: int = 0, distinct: int = 0):
+    def __init__(self, row, tree: Tree, told: pd.DataFrame):
         self.number, self.tree, self.told = int(row.block), tree, told
         self.lengths = _unpacked(row.lengths, np.int64)
         self.vocabulary = _unpacked_sorted(row.vocabulary)
         self.words = _unpacked(row.words, np.uint32)
         self.train = np.repeat(_unpacked(row.trains, np.uint8) > 0, self.lengths)
-        self.text = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        self.total, self.distinct = total, distinct
+        self.place = np.arange(len(self.words)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
 
     def first_questions(self) -> tuple[np.ndarray, np.ndarray]:
         return self.vocabulary, np.bincount(self.words[self.train], minlength=len(self.vocabulary)).astype(np.uint32)
 
+    @cached_property
+    def text(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.lengths)), self.lengths)
+
+    @cached_property
+    def windows(self) -> Windows:
+        return Windows(self.vocabulary[self.words])
+
     def heard(self, what: str, dtype, step: int | None = None) -> np.ndarray:
+        """What was told of something; without a type, numbers packed in few bytes."""
         mine = self.told[self.told.what == what]
         mine = (mine if step is None else mine[mine.step == step]).sort_values("bucket")
-        return np.concatenate([np.zeros(0, dtype), *[_unpacked(n, dtype) for n in mine.numbers]])
+        unpacked = [_unpacked(n, dtype) if dtype else _unpacked_small(n) for n in mine.numbers]
+        return np.concatenate([np.zeros(0, dtype or np.int64), *unpacked])
 
-    def opened(self, first: int) -> Block:
-        """Take up the state before the round whose shortest context has ``first`` words.
+    def says(self, what: str, numbers: bytes, total: int = 0) -> tuple:
+        """A message to itself."""
+        return (self.number, what, 0, self.number, b"", numbers, total, 0)
 
-        From the third round on only open positions and those before them are looked at: ``spots``.
+    def by_text(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.text, weights=values, minlength=len(self.lengths))
+
+
+class FirstOrders(Block):
+    """A block while its contexts are short and nearly all its positions are open.
+
+    It asks of each distinct context and word after it how often they occur. All occurrences of a context meet in
+    one bucket, which judges it at once; a context with too many of them is cut up by the words after it, and the
+    sums of the pieces are put together before the next order.
+    """
+
+    def begun(self, total: int, distinct: int, scoring: bool) -> None:
+        """Take up the state before the first order; scores are not needed if it is gone over again later."""
+        known = self.heard("count", np.uint64, 0).astype(np.int64)
+        base = (known + 1.0) / (total + distinct + 1.0)
+        ahead = np.concatenate([[0], known[self.words[:-1]]])
+        self.at = np.flatnonzero((self.place >= 1) & (ahead >= self.tree.min_count))
+        self.most, self.chance = ahead[self.at], base[self.words[self.at]]
+        self.score = None
+        if scoring:
+            logs = np.log10(base)[self.words]
+            self.bases, self.knowns = self.by_text(logs), self.by_text((known > 0)[self.words])
+            logs[self.at] = 0.0
+            self.score = self.by_text(logs)
+
+    def resumed(self) -> None:
+        """Take up the state that it left with its last questions."""
+        self.bases, self.knowns, self.score = None, None, np.zeros(len(self.lengths))
+        self.at, self.most = np.cumsum(self.heard("at", None)), self.heard("most", None)
+        self.chance = self.heard("chance", np.float32).astype(np.float64)
+
+    def carried(self) -> list[tuple]:
+        return [
+            self.says("at", _packed_small(np.diff(self.at, prepend=0)), len(self.at)),
+            self.says("chance", _packed(self.chance.astype(np.float32))),
+            self.says("most", _packed_small(self.most)),
+        ]
+
+    def number_contexts(self, order: int) -> None:
+        """Contexts of some length by ascending key, and the sequences of them and a word.
+
+        Positions whose words so far are very frequent need an exact count to go on, also where the position before
+        is closed: there the sequence is asked for alone. ``most`` is an upper bound, and exact for these positions.
         """
-        n = len(self.words)
-        self.spots = np.arange(n)
-        self.place = np.arange(n) - (np.cumsum(self.lengths) - self.lengths)[self.text]
-        self.windows = Windows(self.vocabulary[self.words])
-        if first == 1:
-            self.known = self.heard("count", np.uint64, 0)[self.words].astype(np.int64)
-            self.chance = self.base = (self.known + 1.0) / (self.total + self.distinct + 1.0)
-            ahead = np.concatenate([[0], self.known[:-1]])
-            self.at = np.flatnonzero((self.place >= 1) & (ahead >= self.tree.min_count))
-            self.ahead, self.closed = ahead[self.at], np.ones(n, bool)
-        elif first == 2:  # the first round is settled here: its answers are less than what stays open
-            self.opened(1).settle(1, 1)
-            self.at, self.ahead, self.closed = self.still, self.next_ahead[self.still], np.ones(n, bool)
+        at, extra = self.at, self.at[:0]
+        if order == 1:
+            keys, state = self.vocabulary, self.words[at - 1].astype(np.int64)
         else:
-            places = np.cumsum(self.heard("at", np.uint64), dtype=np.uint64).astype(np.int64)
-            self.spots = np.union1d(places, places - 1)
-            self.place, self.text, self.train = self.place[self.spots], self.text[self.spots], self.train[self.spots]
-            self.at = np.searchsorted(self.spots, places)
-            self.ahead = self.heard("ahead", np.uint64).astype(np.int64)
-            self.chance, self.closed = np.ones(len(self.spots)), np.zeros(len(self.spots), bool)
-            self.chance[self.at] = self.heard("chance", np.float32)
-            self.closed[self.at] = True
+            keys, state = _numbered(self.windows.keys(at - 1, order))
+        self.given, self.whole = np.zeros(len(keys), np.int64), keys
+        wide = np.flatnonzero(self.most > self.tree.gathered_count)
+        if len(wide):
+            self.given[state[wide]] = self.most[wide]
+            pieces = np.maximum(1, -(-self.given // self.tree.gathered_count))
+            first = np.cumsum(pieces) - pieces
+            whole = np.repeat(np.arange(len(keys)), pieces)
+            piece = np.arange(len(whole)) - first[whole]
+            spread, key = pieces[state[wide]].astype(np.uint64), keys[whole]
+            state = first[state]
+            state[wide] += (_mixed(self.vocabulary[self.words[at[wide]]]) % spread).astype(np.int64)
+            cut = self.given[whole] > 0
+            key[cut] = _mixed(key[cut] + (piece[cut] + 1).astype(np.uint64) * np.uint64(FACTOR))
+            extra = np.setdiff1d(at[wide[self.place[at[wide]] > order]] - 1, at)
+            alone, which = np.unique(_mixed(self.windows.keys(extra, order + 1)), return_inverse=True)
+            state, key = np.concatenate([state, len(key) + which]), np.concatenate([key, alone])
+            self.given = np.concatenate([self.given[whole], np.zeros(len(alone), np.int64)])
+            self.whole = np.concatenate([keys[whole], alone])
+            by_key = np.argsort(key)
+            rank = np.empty(len(key), np.int64)
+            rank[by_key] = np.arange(len(key))
+            keys, state, self.given, self.whole = key[by_key], rank[state], self.given[by_key], self.whole[by_key]
+        self.asked, self.state = np.concatenate([at, extra]), state
+        sequences = state.astype(np.uint64) * np.uint64(len(self.vocabulary)) + self.words[self.asked]
+        sequences, self.which = _numbered(sequences)
+        self.context, self.word = (x.astype(np.int64) for x in np.divmod(sequences, np.uint64(len(self.vocabulary))))
+        self.keys = keys
+        self.sizes = np.bincount(self.context, minlength=len(keys))
+
+    def questions(self, order: int, bits: int) -> list[tuple]:
+        """One packed message for each bucket, told by the first bits of a context's key."""
+        counts = np.bincount(self.which[self.train[self.asked]], minlength=len(self.word))
+        chance = np.ones(len(self.word), np.float32)
+        chance[self.which[: len(self.at)]] = self.chance
+        ids = self.heard("id", None, 0)[self.word]
+        used = np.flatnonzero(self.sizes)
+        keys, sizes, given, whole = self.keys[used], self.sizes[used], self.given[used], self.whole[used]
+        buckets = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+        cuts, out = np.flatnonzero(np.diff(buckets, prepend=-1)), []
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        for a, b in zip(cuts, [*cuts[1:], len(keys)]):
+            mine, cut = slice(ends[a], ends[b]), np.flatnonzero(given[a:b])
+            parts = (
+                _packed_sorted(keys[a:b]),
+                _packed_small(sizes[a:b]),
+                _packed_small(ids[mine]),
+                _packed(chance[mine]),
+                _packed_small(counts[mine]),
+                _packed_small(cut),
+                _packed_small(given[a:b][cut]),
+                _packed(whole[a:b][cut]),
+            )
+            out.append((self.number, "asked", order, int(buckets[a]), b"", _joined(parts), 0, 0))
+        return out
+
+    def settle(self, order: int, cut: tuple[np.ndarray, np.ndarray]) -> None:
+        """Take the states of an order, and tell what stays open from what is closed.
+
+        ``cut`` has the keys of contexts that were cut up, ascending, and what was chosen for them.
+        """
+        kinds, used = 2 * len(self.tree.strengths) + 2, np.flatnonzero(self.sizes)
+        mine = self.told[(self.told.what == "told") & (self.told.step == order)].sort_values("bucket")
+        told = np.zeros(len(self.keys), np.int64)
+        told[used] = np.concatenate([np.zeros(0, np.int64), *map(_unpacked_small, mine["keys"])])
+        seen = np.concatenate([np.zeros(0, np.int64), *map(_unpacked_small, mine.numbers)])
+        n, choice = told // kinds, told % kinds
+        pieces = np.flatnonzero((self.given > 0) & (self.sizes > 0))
+        n[pieces] = self.given[pieces]
+        if len(pieces):
+            choice[pieces] = cut[1][np.searchsorted(cut[0], self.whole[pieces])]
+        state, m = self.state[: len(self.at)], seen[self.which]
+        n, choice, extra, m = n[state], choice[state], m[len(self.at) :], m[: len(self.at)]
+        s = np.array([*self.tree.strengths, 0.0])[choice >> 1]
+        self.chance = np.where(s > 0, (m + s * self.chance) / np.maximum(n + s, 1e-9), self.chance)
+        place = self.place[self.at]
+        # Contexts to come end before these positions: counted where the positions before are asked for too.
+        most = np.concatenate([n[:1], np.where(np.diff(self.at) == 1, m[:-1], n[1:])])
+        if len(extra):
+            found = np.searchsorted(self.at, self.asked[len(self.at) :] + 1)
+            most[found] = extra
+        self.most = most
+        self.close(~((choice & 1 == 1) & (place > order) & (most >= self.tree.min_count)))
+
+    def close(self, which: np.ndarray) -> None:
+        if self.score is not None:
+            logs = np.log10(self.chance[which])
+            self.score += np.bincount(self.text[self.at[which]], weights=logs, minlength=len(self.lengths))
+        still = np.flatnonzero(~which)
+        self.at, self.chance, self.most = self.at[still], self.chance[still], self.most[still]
+
+    def scores(self) -> list[tuple]:
+        """Scores of what is closed."""
+        out = [self.says("score", _packed(self.score))]
+        return out if self.bases is None else [*out, self.says("base", _packed(self.bases)), self.says("known", _packed(self.knowns))]
+
+    def left(self, upto: int, final: bool) -> list[tuple]:
+        """What goes on from contexts of ``upto`` words on, if any does, and the scores of what is closed."""
+        if final:
+            self.close(np.ones(len(self.at), bool))
+        out, leaves = self.scores(), self.most <= self.tree.gathered_count
+        if leaves.any():
+            out.append(_left(self.number, "open", upto, 0, self.at[leaves], self.chance[leaves]))
+        if not leaves.all():
+            at = self.at[~leaves]
+            out.append(self.says("at", _packed(np.diff(at, prepend=0).astype(np.uint64)), len(at)))
+            out.append(self.says("ahead", _packed(self.most[~leaves].astype(np.uint64))))
+            out.append(self.says("chance", _packed(self.chance[~leaves].astype(np.float32))))
+        return out
+
+
+class LaterRound(Block):
+    """A block whose open positions have contexts too frequent to be gathered: rounds of questions and answers."""
+
+    def opened(self) -> LaterRound:
+        """Take up the state before a round: open positions and those before them are looked at, ``spots``."""
+        places = np.cumsum(self.heard("at", np.uint64), dtype=np.uint64).astype(np.int64)
+        self.spots = np.union1d(places, places - 1)
+        self.place, self.text, self.train = self.place[self.spots], self.text[self.spots], self.train[self.spots]
+        self.at = np.searchsorted(self.spots, places)
+        self.ahead = self.heard("ahead", np.uint64).astype(np.int64)
+        self.chance, self.closed = np.ones(len(self.spots)), np.zeros(len(self.spots), bool)
+        self.chance[self.at] = self.heard("chance", np.float32)
+        self.closed[self.at] = True
         return self
 
     def keys(self, ends: np.ndarray, length: int) -> np.ndarray:
@@ -356,34 +546,24 @@ class Block:
         chance[self.still] = chance[self.still].astype(np.float32)
         self.chance = chance
 
-    def settled(self, first: int) -> list[tuple]:
-        """What goes on after the round that began with ``first``, and the scores of what it closed."""
+    def settled(self) -> list[tuple]:
+        """What goes on after a round, and the scores of what it closed."""
         out, still, upto = [], self.still, self.upto
-        gathers = upto >= self.tree.gathered
-        leaves = (self.next_ahead[still] <= self.tree.gathered_count) & gathers if len(still) else np.zeros(0, bool)
+        leaves = self.next_ahead[still] <= self.tree.gathered_count if len(still) else np.zeros(0, bool)
         if leaves.any():
             out.append(_left(self.number, "open", upto, 0, self.spots[still[leaves]], self.chance[still[leaves]]))
             still = still[~leaves]
         if len(still):
-            out.append(self.says("at", np.diff(self.spots[still], prepend=0).astype(np.uint64), len(still)))
-            out.append(self.says("ahead", self.next_ahead[still].astype(np.uint64)))
-            out.append(self.says("chance", self.chance[still].astype(np.float32)))
-        out.append(self.says("score", self.by_text(np.where(self.closed, np.log10(self.chance), 0.0))))
-        if first <= 2:
-            out.append(self.says("base", self.by_text(np.log10(self.base))))
-            out.append(self.says("known", self.by_text(self.known > 0)))
+            out.append(self.says("at", _packed(np.diff(self.spots[still], prepend=0).astype(np.uint64)), len(still)))
+            out.append(self.says("ahead", _packed(self.next_ahead[still].astype(np.uint64))))
+            out.append(self.says("chance", _packed(self.chance[still].astype(np.float32))))
+        out.append(self.says("score", _packed(self.by_text(np.where(self.closed, np.log10(self.chance), 0.0)))))
         return out
 
-    def says(self, what: str, numbers: np.ndarray, total: int = 0) -> tuple:
-        return (self.number, what, 0, 0, b"", _packed(numbers), total, 0)
-
-    def by_text(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.text, weights=values, minlength=len(self.lengths))
-
 
 # --- questions and answers ------------------------------------------------------------
 
-_MESSAGE = "block bigint, what string, step int, bucket int, keys binary, numbers binary, total bigint, distinct bigint"
+_MESSAGE = "block bigint, what string, step int, bucket bigint, keys binary, numbers binary, total bigint, distinct bigint"
 _SCORES = "block bigint, n_tokens array<bigint>, n_known array<bigint>, base_score array<double>, score array<double>"
 
 
@@ -397,6 +577,19 @@ def _questions(block: int, what: str, step: int, keys: np.ndarray, numbers: np.n
     ]
 
 
+def _joined(parts: Iterable[bytes]) -> bytes:
+    return b"".join(len(part).to_bytes(4, "little") + part for part in parts)
+
+
+def _parted(data: bytes) -> list[bytes]:
+    out, begin = [], 0
+    while begin < len(data):
+        end = begin + 4 + int.from_bytes(data[begin : begin + 4], "little")
+        out.append(data[begin + 4 : end])
+        begin = end
+    return out
+
+
 def _left(block: int, what: str, step: int, bucket: int, places: np.ndarray, chance: np.ndarray) -> tuple:
     """Places of a block and the chances of their words, from which contexts of ``step`` words on are to be judged."""
     packed = _packed_sorted(places.astype(np.uint64)), _packed(chance.astype(np.float32))
@@ -407,8 +600,17 @@ def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
 
-def _answers(questions: DataFrame, tree: Tree) -> DataFrame:
-    """Add up what all blocks say of a key: counts, or gains by which a strength is chosen."""
+def _choices(gains: np.ndarray, left: np.ndarray, tree: Tree) -> np.ndarray:
+    """Choices for contexts from the gain by each strength, and what is left after each and after none.
+
+    A choice is twice a strength's number, odd if open. Sums of single precision: at the threshold it is open.
+    """
+    best = np.where(gains.max(0) > tree.min_gain, gains.argmax(0), len(gains))
+    return 2 * best + (left[best, np.arange(len(best))] > tree.min_gain - 1e-3 * abs(tree.min_gain))
+
+
+def _answers(questions: DataFrame, tree: Tree, bits: int = 0) -> DataFrame:
+    """Add up what all blocks say of a key: counts, or gains by which a strength is chosen. Words get numbers too."""
     width = len(tree.strengths)
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:
@@ -423,10 +625,7 @@ def _answers(questions: DataFrame, tree: Tree) -> DataFrame:
             gains = np.concatenate([_unpacked(n, _gain_type(tree)) for n in group.numbers])
             columns = [*gains["gain"].T, *_unscaled(gains["left"], tree).T]
             sums = np.array([np.bincount(where, weights=column, minlength=len(found)) for column in columns])
-            best = np.where(sums[:width].max(0) > tree.min_gain, sums[:width].argmax(0), width)
-            left = sums[width + best, np.arange(len(found))]
-            # A choice is twice a strength's number, odd if open. Sums of single precision: at the threshold it is open.
-            out = (2 * best + (left > tree.min_gain - 1e-3 * abs(tree.min_gain))).astype(np.uint8)
+            out = _choices(sums[:width], sums[width:], tree).astype(np.uint8)
         ends = np.cumsum([len(k) for k in keys])
         rows = [
             (int(b), what, step, bucket, b"", _packed(out[where[e - len(k) : e]]), 0, 0)
@@ -434,11 +633,93 @@ def _answers(questions: DataFrame, tree: Tree) -> DataFrame:
         ]
         if step == 0:
             rows[0] = (*rows[0][:6], int(out.sum()), int((out > 0).sum()))
+            ids = np.empty(len(found), np.int64)  # frequent words have small ones
+            ids[np.argsort(-out.astype(np.int64), kind="stable")] = np.arange(len(found))
+            ids = (ids << bits) | bucket
+            rows += [
+                (int(b), "id", step, bucket, b"", _packed_small(ids[where[e - len(k) : e]]), 0, 0)
+                for b, k, e in zip(group.block, keys, ends)
+            ]
         return _frame(rows, _MESSAGE)
 
     return questions.groupBy("what", "step", "bucket").applyInPandas(answer, _MESSAGE)
 
 
+def _judgements(asked: DataFrame, tree: Tree) -> DataFrame:
+    """Judge the contexts of an order, all whose occurrences meet, and tell each block what it asked for.
+
+    Of a context that was cut up, sums of gains are told instead; what a block tells itself is passed on.
+    A word seen once after a context gains log(s / (n - 1 + s)) whatever its chance was, and leaves nothing to gain.
+    """
+    strengths, least, width = (*tree.strengths, 0.0), min(tree.strengths), len(tree.strengths)
+
+    def judge(group: pd.DataFrame) -> pd.DataFrame:
+        if group.what.iloc[0] != "asked":
+            return group
+        group = group.sort_values("block")
+        step, bucket = int(group.step.iloc[0]), int(group.bucket.iloc[0])
+        parts = list(zip(*map(_parted, group.numbers)))
+        keys = [_unpacked_sorted(p) for p in parts[0]]
+        sizes, ids, counts = (np.concatenate([_unpacked_small(p) for p in parts[i]]) for i in (1, 2, 4))
+        chance = np.concatenate([_unpacked(p, np.float32) for p in parts[3]])
+        ends = np.cumsum([len(k) for k in keys])
+        cut = np.concatenate([_unpacked_small(p) + e - len(k) for p, e, k in zip(parts[5], ends, keys)])
+        found, where = _numbered(np.concatenate(keys))
+        given, whole = np.zeros(len(found), np.int64), np.zeros(len(found), np.uint64)
+        given[where[cut]] = np.concatenate([_unpacked_small(p) for p in parts[6]])
+        whole[where[cut]] = np.concatenate([_unpacked(p, np.uint64) for p in parts[7]])
+        bits = np.uint64(int(ids.max(initial=0)).bit_length())
+        sequences, which = _numbered((np.repeat(where, sizes).astype(np.uint64) << bits) | ids.astype(np.uint64))
+        context = (sequences >> bits).astype(np.int64)
+        m = np.bincount(which, weights=counts, minlength=len(sequences))
+        before = np.empty(len(sequences))
+        before[which] = chance
+
+        def summed(which: np.ndarray, parts: np.ndarray | None = None) -> np.ndarray:
+            return np.bincount(which, weights=parts, minlength=len(found))
+
+        here, once, again = summed(context, m), summed(context[m == 1]), np.flatnonzero(m > 1)
+        n = np.where(given > 0, given, here)
+        context, mine, before = context[again], m[again], before[again]
+        total, logs = n[context], np.log(before)
+
+        def gain(s: float) -> np.ndarray:
+            more = summed(context, mine * (np.log(mine - 1 + s * before) - logs))
+            return more + once * np.log(s) - here * np.log(np.maximum(n, 1) - 1 + s)
+
+        def left(s: float) -> np.ndarray:
+            after = (mine + s * before) / (total + s) if s else before
+            return summed(context, mine * np.maximum(0, np.log((mine - 1 + least * after) / (mine - 1 + least)) - np.log(after)))
+
+        gains, lefts = np.array([gain(s) for s in strengths[:-1]]), np.array([left(s) for s in strengths])
+        choice = np.where(n < tree.min_count, 2 * width, _choices(gains, lefts, tree))
+        told, seen = n.astype(np.int64) * (2 * width + 2) + choice, m.astype(np.int64)[which]
+        cuts = np.cumsum([0, *np.add.reduceat(sizes, ends - [len(k) for k in keys])])
+        rows = [
+            (int(b), "told", step, bucket, _packed_small(told[where[e - len(k) : e]]), _packed_small(seen[c:d]), 0, 0)
+            for b, k, e, c, d in zip(group.block, keys, ends, cuts, cuts[1:])
+        ]
+        rows[0] = (*rows[0][:6], int(here[(choice & 1 == 1) & (given == 0)].sum()), 0)
+        cut = np.flatnonzero(given)
+        if len(cut):
+            sums = np.concatenate([gains, lefts])[:, cut]
+            rows.append((rows[0][0], "cut", step, bucket, _packed(whole[cut]), _packed(sums.ravel()), 0, 0))
+        return _frame(rows, _MESSAGE)
+
+    return asked.groupBy("what", "step", "bucket").applyInPandas(judge, _MESSAGE)
+
+
+def _put_together(told: DataFrame, step: int, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and choices of contexts that were cut up: one for each ``gathered_count`` words of the corpus at most."""
+    sums, width = 2 * len(tree.strengths) + 1, len(tree.strengths)
+    rows = told.where((F.col("what") == "cut") & (F.col("step") == step)).select("keys", "numbers").collect()
+    keys = np.concatenate([np.zeros(0, np.uint64), *[_unpacked(r["keys"], np.uint64) for r in rows]])
+    parts = np.concatenate([np.zeros((sums, 0)), *[_unpacked(r["numbers"], np.float64).reshape(sums, -1) for r in rows]], axis=1)
+    keys, which = np.unique(keys, return_inverse=True)
+    parts = np.array([np.bincount(which, weights=part, minlength=len(keys)) for part in parts])
+    return keys, _choices(parts[:width], parts[width:], tree)
+
+
 # --- positions gathered in buckets ----------------------------------------------------
 
 _RUNS = (
@@ -482,10 +763,16 @@ def _runs(row, told: pd.DataFrame, first: int, last: int, bits: int) -> list[tup
     at = np.concatenate([_unpacked_sorted(k) for k in told["keys"]]).astype(np.int64)
     chance = np.concatenate([_unpacked(n, np.float32) for n in told.numbers])
     since = np.repeat(told.step.to_numpy(), told.total.to_numpy())
-    size = max(1, min(4, first // 2))
-    hashes = Windows(vocabulary[words]).keys(np.arange(size - 1, len(words)), size)
-    hashes = _smallest(np.concatenate([np.zeros(size - 1, np.uint64), hashes]), first - size + 1)
-    bucket = (_mixed(hashes[at - 1]) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(at), np.int64)
+    bucket = np.zeros(len(at), np.int64)
+    if bits:
+        # Only words of the contexts are looked at; those of one context stay in a row.
+        change = np.bincount(at - first, minlength=len(words)) - np.bincount(at, minlength=len(words))
+        covered = np.cumsum(change) > 0
+        size = max(1, min(4, first // 2))
+        hashes = Windows(vocabulary[words[covered]])
+        hashes = hashes.keys(np.arange(size - 1, len(hashes.power)), size)
+        hashes = _smallest(np.concatenate([np.zeros(size - 1, np.uint64), hashes]), first - size + 1)
+        bucket = (_mixed(hashes[np.cumsum(covered)[at - 1] - 1]) >> np.uint64(64 - bits)).astype(np.int64)
     order = np.lexsort((at, bucket))
     at, chance, since, bucket = at[order], chance[order], since[order], bucket[order]
     ends = np.cumsum(lengths)
@@ -637,57 +924,92 @@ def scored(
                 block = Block(row, tree, batch)
                 yield _frame(_questions(block.number, "count", 0, *block.first_questions(), bits), _MESSAGE)
 
-    state = written(_answers(packed.mapInPandas(words, _MESSAGE), tree), "state")
-    totals = state.agg(F.sum("total"), F.sum("distinct")).first()
+    vocabulary = written(_answers(packed.mapInPandas(words, _MESSAGE), tree, bits), "state")
+    totals = vocabulary.agg(F.sum("total"), F.sum("distinct")).first()
     total, distinct = int(totals[0] or 0), int(totals[1] or 0)
 
-    def together(messages: DataFrame, function, first: int) -> DataFrame:
+    def together(messages: DataFrame, kind: type, function) -> DataFrame:
         """Blocks that have messages, with all of them."""
 
         def each(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
             out = []
             if len(told):
                 for row in rows.itertuples():
-                    out += function(Block(row, tree, told, total, distinct).opened(first))
+                    out += function(kind(row, tree, told))
             return _frame(out, _MESSAGE)
 
         return packed.groupBy("block").cogroup(messages.groupBy("block")).applyInPandas(each, _MESSAGE)
 
-    def round_of(state: DataFrame, first: int, last: int, bits: int) -> tuple[DataFrame, DataFrame]:
-        """The state after a round, and what the round says."""
-
-        def count(block: Block) -> list[tuple]:
-            out = []
-            for order in range(first, last + 1):
-                out += _questions(block.number, "count", 2 * order, *block.counting(order), bits)
-            return out
-
-        def weigh(block: Block) -> list[tuple]:
-            out = []
-            for order, keys, gains in block.gains(first, last):
-                out += _questions(block.number, "gain", 2 * order + 1, keys, gains, bits)
-            return out
-
-        def settle(block: Block) -> list[tuple]:
-            block.settle(first, last, last == tree.depth)
-            return block.settled(first)
-
-        told = state.unionByName(written(_answers(together(state, count, first), tree), "counts"))
-        told = told.unionByName(written(_answers(together(told, weigh, first), tree), "choices"))
-        if first == 1 and tree.depth != 1:
-            return told, told.where(F.lit(False))  # the next round settles both
-        done = written(together(told, settle, first), "state")
-        return done, done
-
-    def root(block: Block) -> list[tuple]:
-        block.settle(1, 0, True)
-        return block.settled(1)
-
     def both(a: DataFrame | None, b: DataFrame) -> DataFrame:
         return b if a is None else a.unionByName(b)
 
-    def left_in(messages: DataFrame, *what: str) -> int:
-        return messages.where(F.col("what").isin(*what)).agg(F.sum("total")).first()[0] or 0
+    def of(messages: DataFrame, *what: str) -> DataFrame:
+        return messages.where(F.col("what").isin(*what))
+
+    def left_in(messages: DataFrame, what: str) -> int:
+        return of(messages, what).agg(F.sum("total")).first()[0] or 0
+
+    def taken_up(block: FirstOrders, order: int, cuts: dict, scoring: bool) -> FirstOrders:
+        """The state before an order."""
+        if order <= REPLAYED:
+            block.begun(total, distinct, scoring)
+        else:
+            block.resumed()
+        for done in range(1 if order <= REPLAYED else order - 1, order):
+            block.number_contexts(done)
+            block.settle(done, cuts[done])
+        return block
+
+    def asking(order: int, bits: int, cuts: dict):
+        def ask(block: FirstOrders) -> list[tuple]:
+            taken_up(block, order, cuts, order >= REPLAYED).number_contexts(order)
+            carried = [*block.scores(), *block.carried()] if order >= REPLAYED else []
+            return block.questions(order, bits) + carried
+
+        return ask
+
+    def ending(order: int, cuts: dict, final: bool):
+        return lambda block: taken_up(block, order, cuts, True).left(order, final)
+
+    told, closed, cuts, order, still = vocabulary, None, {}, 1, tokens
+    orders = min(tree.single, tree.gathered - 1, tree.single if tree.depth is None else tree.depth)
+    while order <= orders and still:
+        now = written(_judgements(together(told, FirstOrders, asking(order, bits, cuts)), tree), "state")
+        closed = both(closed, of(now, "score", "base", "known")) if order >= REPLAYED else closed
+        cuts = {**cuts, order: _put_together(now, order, tree)}
+        still = left_in(now, "told") + (tokens if (cuts[order][1] & 1).any() else 0)
+        now = of(now, "told", "at", "chance", "most")
+        told = (told if order < REPLAYED else vocabulary).unionByName(now)
+        order += 1
+    done = written(together(told, FirstOrders, ending(order, cuts, order - 1 == tree.depth or not still)), "state")
+    closed = both(closed, of(done, "score", "base", "known"))
+    waiting, state = of(done, "open"), of(done, "at", "ahead", "chance")
+
+    def round_of(state: DataFrame, first: int, last: int, bits: int) -> DataFrame:
+        """The state after a round by questions."""
+
+        def count(block: LaterRound) -> list[tuple]:
+            block.opened()
+            return [
+                message
+                for order in range(first, last + 1)
+                for message in _questions(block.number, "count", 2 * order, *block.counting(order), bits)
+            ]
+
+        def weigh(block: LaterRound) -> list[tuple]:
+            return [
+                message
+                for order, keys, gains in block.opened().gains(first, last)
+                for message in _questions(block.number, "gain", 2 * order + 1, keys, gains, bits)
+            ]
+
+        def settle(block: LaterRound) -> list[tuple]:
+            block.opened().settle(first, last, last == tree.depth)
+            return block.settled()
+
+        told = state.unionByName(written(_answers(together(state, LaterRound, count), tree), "counts"))
+        told = told.unionByName(written(_answers(together(told, LaterRound, weigh), tree), "choices"))
+        return written(together(told, LaterRound, settle), "state")
 
     def runs_of(messages: DataFrame, first: int, last: int, bits: int) -> DataFrame:
         def each(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
@@ -695,22 +1017,17 @@ def scored(
 
         return packed.groupBy("block").cogroup(messages.groupBy("block")).applyInPandas(each, _RUNS)
 
-    closed = waiting = None
     for first, last in _rounds(tree):
-        kept, done = round_of(state, first, last, bits)
-        closed = both(closed, done.where(F.col("what").isin("score", "base", "known")))
-        state = kept.where(F.col("what").isin("count", "gain", "at", "ahead", "chance"))
-        if first == 1 and tree.depth != 1:
+        if first < order:
             continue
-        waiting = both(waiting, done.where(F.col("what") == "open"))
-        still = left_in(done, "at")
+        still = left_in(state, "at")
         if not still:
             break
-        bits = bits_for(2 * still)  # as many buckets as an order needs, open positions and those before them
-    if closed is None:
-        closed = together(state, root, 1)
-    for stretch in _stretches(tree, max(3, tree.gathered)):  # what is open after the first round is not told
-        still = left_in(waiting, "open") if waiting is not None else 0
+        # As many buckets as an order needs, open positions and those before them.
+        done = round_of(state, first, last, bits_for(2 * still))
+        closed, waiting, state = both(closed, of(done, "score")), both(waiting, of(done, "open")), of(done, "at", "ahead", "chance")
+    for stretch in _stretches(tree, order):
+        still = left_in(waiting, "open")
         if not still:
             break
         first, last = stretch[0][0], stretch[-1][1]

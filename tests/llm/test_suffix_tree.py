@@ -206,3 +206,21 @@ def test_gathered_contexts_equal_slow_version(docs_of, monkeypatch, often):
     assert max(len(c) for c in states) > 64
     compare([got[i] for i in range(len(texts))], want)
     assert often == 8 or len(steps) <= 16  # by questions alone a round is three steps
+
+
+@pytest.mark.parametrize("often", [5, 200_000])
+def test_an_order_is_asked_and_judged_in_one_step(docs_of, monkeypatch, often):
+    """Also where contexts occur too often for one bucket and are cut up."""
+    draw = random.Random(14)
+    words = [f"w{i}" for i in range(12)]
+    texts = [" ".join(draw.choice(words[: 3 + i % 9]) for _ in range(draw.randrange(30))) for i in range(90)]
+    steps = []
+    kept = suffix_tree.written
+    monkeypatch.setattr(suffix_tree, "written", lambda rows, purpose: steps.append(purpose) or kept(rows, purpose))
+    tree = suffix_tree.Tree(depth=3, min_gain=1.0, gathered_count=often, block_tokens=200, bucket_tokens=150)
+    rows = suffix_tree.scored(docs_of(*texts), F.col("doc_id") % 4 != 0, tree=tree).collect()
+    got = {r.row.doc_id: (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows}
+    want, states = slow_scores(texts, [i % 4 != 0 for i in range(len(texts))], tree)
+    assert {len(c) for c in states} == {1, 2, 3}
+    compare([got[i] for i in range(len(texts))], want)
+    assert len(steps) == 6  # words, three orders, what is left, scores
