@@ -17,9 +17,8 @@ A sequence is asked for only if the sequence it extends is frequent enough to be
 A context is closed when what is left to gain after it is not over the threshold. An occurrence
 of a word seen m times after the context can gain at most what a context with these m
 occurrences and no others would gain; the sum of that over the occurrences bounds every longer context.
-Rounds end when all contexts are closed. From the third
-order on a block carries its open positions, with the chance of the word; the first two are gone over again
-from their answers. The logs of closed ones are added to their texts' scores and not looked at again.
+Rounds end when all contexts are closed. From the second
+order on a block carries its open positions, with the count or the chance of the word. The logs of closed ones are added to their texts' scores and not looked at again.
 
 All occurrences of a long context are few enough for one task. From some length on the open
 positions leave their blocks, with the words before them, for the bucket that all occurrences
@@ -38,6 +37,7 @@ input columns travel in ``row`` and clash with nothing.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
@@ -132,8 +132,8 @@ def _unscaled(scaled: np.ndarray, tree: Tree) -> np.ndarray:
 #: What a word counts in a sequence's sum, for each place that it is before the last word.
 FACTOR = 0xC2B2AE3D27D4EB4F
 
-#: A block goes over the orders before this one again from their answers; from it on it carries its open positions.
-REPLAYED = 3
+#: Up to this order a block begins anew, going over the order before from its answers; later ones it takes up from what it carried.
+BEGUN = 2
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -313,7 +313,7 @@ class FirstOrders(Block):
         base = (known + 1.0) / (total + distinct + 1.0)
         ahead = np.concatenate([[0], known[self.words[:-1]]])
         self.at = np.flatnonzero((self.place >= 1) & (ahead >= self.tree.min_count))
-        self.most, self.chance = ahead[self.at], base[self.words[self.at]]
+        self.most, self.chance, self.seen = ahead[self.at], base[self.words[self.at]], known[self.words[self.at]]
         self.score = None
         if scoring:
             logs = np.log10(base)[self.words]
@@ -321,18 +321,29 @@ class FirstOrders(Block):
             logs[self.at] = 0.0
             self.score = self.by_text(logs)
 
-    def resumed(self) -> None:
-        """Take up the state that it left with its last questions."""
+    def resumed(self, order: int, total: int, distinct: int) -> None:
+        """Take up the state that it left with its questions of an order."""
         self.bases, self.knowns, self.score = None, None, np.zeros(len(self.lengths))
         self.at, self.most = np.cumsum(self.heard("at", None)), self.heard("most", None)
-        self.chance = self.heard("chance", np.float32).astype(np.float64)
+        if order > BEGUN:
+            self.chance = self.heard("chance", np.float32).astype(np.float64)
+            return
+        # The chance after the first order, from counts and the choice for the word before.
+        known = self.heard("count", np.uint64, 0).astype(np.int64)
+        base, before = (known + 1.0) / (total + distinct + 1.0), self.words[self.at - 1]
+        s = np.array([*self.tree.strengths, 0.0])[self.heard("kind", None)]
+        self.chance = self.smoothed(self.heard("seen", None), known[before], s[before], base[self.words[self.at]])
 
-    def carried(self) -> list[tuple]:
-        return [
-            self.says("at", _packed_small(np.diff(self.at, prepend=0)), len(self.at)),
-            self.says("chance", _packed(self.chance.astype(np.float32))),
-            self.says("most", _packed_small(self.most)),
-        ]
+    @staticmethod
+    def smoothed(m: np.ndarray, n: np.ndarray, s: np.ndarray, chance: np.ndarray) -> np.ndarray:
+        return np.where(s > 0, (m + s * chance) / np.maximum(n + s, 1e-9), chance)
+
+    def carried(self, order: int) -> list[tuple]:
+        most = np.where(self.most > self.tree.gathered_count, self.most, 0)
+        out = [self.says("at", _packed_small(np.diff(self.at, prepend=0)), len(self.at)), self.says("most", _packed_small(most))]
+        if order > BEGUN:
+            return [*out, self.says("chance", _packed(self.chance.astype(np.float32)))]
+        return [*out, self.says("seen", _packed_small(self.seen)), self.says("kind", _packed_small(self.kind))]
 
     def number_contexts(self, order: int) -> None:
         """Contexts of some length by ascending key, and the sequences of them and a word.
@@ -418,8 +429,10 @@ class FirstOrders(Block):
         state, m = self.state[: len(self.at)], seen[self.which]
         n, choice, extra, m = n[state], choice[state], m[len(self.at) :], m[: len(self.at)]
         s = np.array([*self.tree.strengths, 0.0])[choice >> 1]
-        self.chance = np.where(s > 0, (m + s * self.chance) / np.maximum(n + s, 1e-9), self.chance)
-        place = self.place[self.at]
+        self.chance, self.seen, place = self.smoothed(m, n, s, self.chance), m, self.place[self.at]
+        if order == 1:
+            self.kind = np.full(len(self.vocabulary), len(self.tree.strengths), np.int64)
+            self.kind[self.words[self.at - 1]] = choice >> 1
         # Contexts to come end before these positions: counted where the positions before are asked for too.
         most = np.concatenate([n[:1], np.where(np.diff(self.at) == 1, m[:-1], n[1:])])
         if len(extra):
@@ -433,7 +446,7 @@ class FirstOrders(Block):
             logs = np.log10(self.chance[which])
             self.score += np.bincount(self.text[self.at[which]], weights=logs, minlength=len(self.lengths))
         still = np.flatnonzero(~which)
-        self.at, self.chance, self.most = self.at[still], self.chance[still], self.most[still]
+        self.at, self.chance, self.most, self.seen = self.at[still], self.chance[still], self.most[still], self.seen[still]
 
     def scores(self) -> list[tuple]:
         """Scores of what is closed."""
@@ -808,7 +821,8 @@ class Gathered:
             return np.concatenate(list(parts))
 
         self.tree = tree
-        self.windows = Windows(joined(_unpacked_sorted(v)[_unpacked(w, np.uint32)] for v, w in zip(group.vocabulary, group.words)))
+        words = joined(_unpacked_sorted(v)[_unpacked(w, np.uint32)] for v, w in zip(group.vocabulary, group.words))
+        self.windows = Windows(words)
         places = [_unpacked_sorted(p).astype(np.int64) for p in group.places]
         starts = [_unpacked_sorted(s).astype(np.int64) for s in group.starts]
         sizes = [_unpacked(n, np.uint32).astype(np.int64) for n in group.lengths]
@@ -818,6 +832,7 @@ class Gathered:
         self.places, self.blocks = joined(places), np.repeat(group.block.to_numpy(), [len(p) for p in places])
         self.reach = self.places - joined(starts)[run]  # words before a position that are here
         self.at = (np.cumsum(sizes) - sizes)[run] + self.reach
+        self.word = _numbered(words[self.at])[1]
         self.train = joined(_unpacked(t, np.uint8) for t in group.trains)[run] > 0
         self.since = joined(_unpacked(s, np.uint32) for s in group.since).astype(np.int64)
         self.chance = joined(_unpacked(c, np.float32) for c in group.chance).astype(np.float64)
@@ -845,7 +860,7 @@ class Gathered:
             live, state, n = self.contexts(live, order)
             if not len(live):
                 break
-            keys, which = _numbered(self.windows.keys(self.at[live], order + 1))
+            keys, which = _numbered((state * len(self.at) + self.word[live]).astype(np.uint64))
             mine = self.train[live]
             seen = np.bincount(which[mine], minlength=len(keys))[which]
             learnt, m, total, old = state[mine], seen[mine], n[state[mine]], before[live[mine]]
@@ -946,24 +961,31 @@ def scored(
     def of(messages: DataFrame, *what: str) -> DataFrame:
         return messages.where(F.col("what").isin(*what))
 
+    def step(rows: DataFrame, purpose: str = "state") -> DataFrame:
+        """A written table; files shuffled for it are let go of, which else stay until the driver happens to collect garbage."""
+        made = written(rows, purpose)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        return made
+
     def left_in(messages: DataFrame, what: str) -> int:
         return of(messages, what).agg(F.sum("total")).first()[0] or 0
 
     def taken_up(block: FirstOrders, order: int, cuts: dict, scoring: bool) -> FirstOrders:
         """The state before an order."""
-        if order <= REPLAYED:
+        if order <= BEGUN:
             block.begun(total, distinct, scoring)
         else:
-            block.resumed()
-        for done in range(1 if order <= REPLAYED else order - 1, order):
-            block.number_contexts(done)
-            block.settle(done, cuts[done])
+            block.resumed(order - 1, total, distinct)
+        if order > 1:
+            block.number_contexts(order - 1)
+            block.settle(order - 1, cuts[order - 1])
         return block
 
     def asking(order: int, bits: int, cuts: dict):
         def ask(block: FirstOrders) -> list[tuple]:
-            taken_up(block, order, cuts, order >= REPLAYED).number_contexts(order)
-            carried = [*block.scores(), *block.carried()] if order >= REPLAYED else []
+            taken_up(block, order, cuts, order >= BEGUN).number_contexts(order)
+            carried = [*block.scores(), *block.carried(order)] if order >= BEGUN else []
             return block.questions(order, bits) + carried
 
         return ask
@@ -974,14 +996,14 @@ def scored(
     told, closed, cuts, order, still = vocabulary, None, {}, 1, tokens
     orders = min(tree.single, tree.gathered - 1, tree.single if tree.depth is None else tree.depth)
     while order <= orders and still:
-        now = written(_judgements(together(told, FirstOrders, asking(order, bits, cuts)), tree), "state")
-        closed = both(closed, of(now, "score", "base", "known")) if order >= REPLAYED else closed
+        now = step(_judgements(together(told, FirstOrders, asking(order, bits, cuts)), tree))
+        closed = both(closed, of(now, "score", "base", "known")) if order >= BEGUN else closed
         cuts = {**cuts, order: _put_together(now, order, tree)}
         still = left_in(now, "told") + (tokens if (cuts[order][1] & 1).any() else 0)
-        now = of(now, "told", "at", "chance", "most")
-        told = (told if order < REPLAYED else vocabulary).unionByName(now)
+        now = of(now, "told", "at", "most", "seen", "kind", "chance")
+        told = (told if order < BEGUN else vocabulary).unionByName(now)
         order += 1
-    done = written(together(told, FirstOrders, ending(order, cuts, order - 1 == tree.depth or not still)), "state")
+    done = step(together(told, FirstOrders, ending(order, cuts, order - 1 == tree.depth or not still)))
     closed = both(closed, of(done, "score", "base", "known"))
     waiting, state = of(done, "open"), of(done, "at", "ahead", "chance")
 
@@ -1007,9 +1029,9 @@ def scored(
             block.opened().settle(first, last, last == tree.depth)
             return block.settled()
 
-        told = state.unionByName(written(_answers(together(state, LaterRound, count), tree), "counts"))
-        told = told.unionByName(written(_answers(together(told, LaterRound, weigh), tree), "choices"))
-        return written(together(told, LaterRound, settle), "state")
+        told = state.unionByName(step(_answers(together(state, LaterRound, count), tree), "counts"))
+        told = told.unionByName(step(_answers(together(told, LaterRound, weigh), tree), "choices"))
+        return step(together(told, LaterRound, settle))
 
     def runs_of(messages: DataFrame, first: int, last: int, bits: int) -> DataFrame:
         def each(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
@@ -1031,7 +1053,7 @@ def scored(
         if not still:
             break
         first, last = stretch[0][0], stretch[-1][1]
-        told = written(_gathered(runs_of(waiting, first, last, bits_for(4 * still * (1 + 2 * last // first))), stretch, tree), "state")
+        told = step(_gathered(runs_of(waiting, first, last, bits_for(4 * still * (1 + 2 * last // first))), stretch, tree))
         closed = closed.unionByName(told.where(F.col("what") == "closed"))
         waiting = told.where(F.col("what") == "open")
 
